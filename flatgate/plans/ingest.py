@@ -80,7 +80,8 @@ def ingest_frame(df: DataFrame, columns: str | Iterable[str], out_root: str, job
 
 
 def _rows(spark: SparkSession, out_root: str, job_id: str | None, flag: bool) -> DataFrame:
-    df = spark.read.parquet(f"{out_root.rstrip('/')}/rows")
+    # partition values come back as text; the cast stays a partition filter
+    df = spark.read.parquet(f"{out_root.rstrip('/')}/rows").withColumn(FLAG, F.col(FLAG).cast("boolean"))
     cond = F.col(FLAG) == F.lit(flag)
     if job_id is not None:
         cond = cond & (F.col(JOB_COL) == F.lit(job_id))

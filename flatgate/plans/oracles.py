@@ -208,7 +208,8 @@ ORACLES: dict[str, str] = {
     "json_lines_roundtrip": FLATTEN_PREFIXED,
     "json_docs_roundtrip": FLATTEN_PREFIXED,
     "corrupt_rows": (
-        "SELECT '{\"event_id\":' || CAST(event_id AS VARCHAR) || ',\"event_type\":\"error\"' AS _corrupt_record "
+        "SELECT NULL::BIGINT AS event_id, NULL::VARCHAR AS event_type, "
+        "'{\"event_id\":' || CAST(event_id AS VARCHAR) || ',\"event_type\":\"error\"' AS _corrupt_record "
         "FROM events WHERE event_type = 'error'"
     ),
     "csv_roundtrip": "SELECT * FROM documents",

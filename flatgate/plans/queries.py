@@ -359,9 +359,9 @@ def q_corrupt_rows(spark, sf):
     line = F.to_json(F.struct("event_id", "event_type"))
     text = F.when(F.col("event_type") == "error", F.expr("substring(j, 1, length(j) - 1)")).otherwise(F.col("j"))
     path = scratch_dir(spark, "corrupt")
-    ev.select(line.alias("j")).select(text.alias("value")).write.text(path)
+    ev.select(line.alias("j"), "event_type").select(text.alias("value")).write.text(path)
     back = read_json_lines(spark, path, schema="event_id bigint, event_type string", keep_corrupt=True)
-    return corrupt_rows(back).select("_corrupt_record")
+    return corrupt_rows(back)
 
 
 def q_csv_roundtrip(spark, sf):

@@ -30,6 +30,8 @@ def _read(spark: SparkSession, path, schema, multi_line: bool, mode: str, corrup
     )
     for k, v in options.items():
         reader = reader.option(k, v)
+    if isinstance(schema, str):
+        schema = spark.createDataFrame([], schema).schema  # DDL text -> StructType
     if schema is not None:
         reader = reader.schema(_with_corrupt(schema, corrupt_col) if keep_corrupt else schema)
     df = reader.json(path)
@@ -58,8 +60,11 @@ def read_json_docs(spark: SparkSession, path, schema: StructType | str | None =
 
 
 def corrupt_rows(df: DataFrame, corrupt_col: str = CORRUPT) -> DataFrame:
-    """Records that failed to parse. Spark refuses a raw-file query that
-    needs only the corrupt column, so every column is kept in the plan."""
+    """Records that failed to parse, whole (data fields are null).
+
+    Spark refuses a raw-file plan that needs only the corrupt column (the
+    parser would have nothing to parse), so keep at least one data column
+    next to it in any later projection."""
     if corrupt_col not in df.columns:
         return df.limit(0)
     return df.filter(F.col(corrupt_col).isNotNull())
