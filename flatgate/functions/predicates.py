@@ -7,7 +7,22 @@ from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringType, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    BooleanType,
+    DataType,
+    DateType,
+    MapType,
+    NumericType,
+    StringType,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
+
+# Types whose text form is never empty or all spaces: only NULL can fail.
+_NEVER_BLANK = (NumericType, BooleanType, DateType, TimestampType, TimestampNTZType)
 
 from flatgate.operators.flatten import col_of
 
@@ -41,7 +56,9 @@ def is_blank(c: str | Column) -> Column:
 def _failure_for(c: Column, dt: DataType | None) -> Column:
     if isinstance(dt, (ArrayType, MapType)):
         return c.isNull() | (F.size(c) == 0)
-    if isinstance(dt, (StructType, BinaryType)):
+    if isinstance(dt, (StructType, BinaryType) + _NEVER_BLANK):
+        # TRIM(text) = '' can never hold for these (NaN reads 'NaN'): skip
+        # the cast to text, which would cost more than the whole test
         return c.isNull()
     text = c if isinstance(dt, StringType) else c.cast("string")
     # TRIM removes the space character only: a lone tab passes, NaN passes

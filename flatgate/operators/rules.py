@@ -1,9 +1,11 @@
 """Declarative data-quality rules: not null, unique, query.
 
 Rule fusion: every not-null rule, the total count and every unique rule are
-answered by ONE scan of the data — a single ``GROUPING SETS`` aggregation
-with the empty set (totals and not-null failures) plus one set per distinct
-unique-key list, combined map-side before the shuffle. Query rules are free
+answered by ONE scan of the data. Without unique rules that is one global
+aggregate (no shuffle beyond one row per task). With unique rules it is one
+``GROUPING SETS`` aggregation with one set per distinct key list (a plain
+``groupBy`` when there is one), combined map-side before the shuffle; the
+total and the not-null failures are sums over the first set's groups. Query rules are free
 SQL and run one job each. The reference shape (one job per rule plus one
 for the total) costs k+1 scans.
 """
@@ -122,29 +124,36 @@ def fused_counts(df: DataFrame, not_null: Sequence[Rule], unique: Sequence[Rule]
         *[col_of(k).alias(alias[k]) for k in all_keys],
         *[not_null_failure(r.columns, types).alias(f"__fg_p{i}") for i, r in enumerate(not_null)],
     )
-    sets = [[]] + [[alias[k] for k in ks] for ks in key_sets]
-    level1 = src.groupingSets(sets, *[alias[k] for k in all_keys]).agg(
-        F.grouping_id().alias("__fg_gid"),
+    # Level 1: count per key group. Totals and not-null failures are summed
+    # from the groups of the first key set, so no extra grouping set (and,
+    # with one key set, no Expand at all) is needed for them.
+    level1_aggs = [
         F.count(F.lit(1)).alias("__fg_n"),
         *[F.count_if(F.col(f"__fg_p{i}")).alias(f"__fg_nn{i}") for i in range(len(not_null))],
-    )
+    ]
+    if len(key_sets) == 1:
+        level1 = src.groupBy(*[alias[k] for k in key_sets[0]]).agg(*level1_aggs).withColumn("__fg_gid", F.lit(0))
+        gid_of = {key_sets[0]: 0}
+    else:
+        sets = [[alias[k] for k in ks] for ks in key_sets]
+        level1 = src.groupingSets(sets, *[alias[k] for k in all_keys]).agg(
+            F.grouping_id().alias("__fg_gid"), *level1_aggs
+        )
+        # grouping_id bit (n-1-i) is 1 when key i is NOT grouped
+        n = len(all_keys)
+        gid_of = {ks: sum(1 << (n - 1 - i) for i, k in enumerate(all_keys) if k not in ks) for ks in key_sets}
+    # Level 2: one row per key set (a global aggregate per grouping id)
     level2 = level1.groupBy("__fg_gid").agg(
         F.sum("__fg_n").alias("__fg_total"),
         F.count_if(F.col("__fg_n") > 1).alias("__fg_dups"),
         *[F.sum(f"__fg_nn{i}").alias(f"__fg_nn{i}") for i in range(len(not_null))],
     )
-    rows = {r["__fg_gid"]: r for r in level2.collect()}  # one row per grouping set
-    # grouping_id bit i (from the right) is 1 when column i is NOT grouped
-    n = len(all_keys)
-
-    def gid_of(ks: tuple[str, ...]) -> int:
-        return sum(1 << (n - 1 - i) for i, k in enumerate(all_keys) if k not in ks)
-
-    empty = rows.get(gid_of(()))
-    out["total"] = int(empty["__fg_total"]) if empty else 0
-    out["not_null"] = {r.rule_id: int(empty[f"__fg_nn{i}"]) if empty else 0 for i, r in enumerate(not_null)}
+    rows = {r["__fg_gid"]: r for r in level2.collect()}  # one small row per key set
+    first = rows.get(gid_of[key_sets[0]])
+    out["total"] = int(first["__fg_total"]) if first else 0
+    out["not_null"] = {r.rule_id: int(first[f"__fg_nn{i}"] or 0) if first else 0 for i, r in enumerate(not_null)}
     for r in unique:
-        row = rows.get(gid_of(tuple(r.columns)))
+        row = rows.get(gid_of[tuple(r.columns)])
         out["unique"][r.rule_id] = int(row["__fg_dups"]) if row else 0
     return out
 
