@@ -42,10 +42,16 @@ def dedup_keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str
     """one row per key, the one first by ``order_by``. NULL keys group
     together.
 
-    Written as a hash aggregation with ``min_by`` rather than a window: the
+    Written as an aggregation with ``min_by`` rather than a window: the
     aggregate is combined map-side, so a key holding a third of all rows
     (exact copies) still shrinks to one candidate per task before the
     shuffle, where a window would sort the whole group in one task.
+
+    A row-valued ``min_by`` buffer is variable-length, so Spark aggregates
+    by sorting; a 64-bit hash of the keys is put first in the grouping so
+    those sorts are decided on an 8-byte prefix instead of comparing long
+    texts. The keys stay in the grouping, so hash collisions cannot merge
+    different keys.
     """
     keys = list(keys)
     order = [col_of(c) if isinstance(c, str) else c for c in order_by]
@@ -54,7 +60,8 @@ def dedup_keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str
         return df.select(*[col_of(k) for k in keys]).distinct()
     ord_key = order[0] if len(order) == 1 else F.struct(*order)
     row = F.struct(*[col_of(c) for c in rest])
-    picked = df.groupBy(*[col_of(k) for k in keys]).agg(F.min_by(row, ord_key).alias("__fg_row"))
+    key_hash = F.xxhash64(*[col_of(k) for k in keys]).alias("__fg_h")
+    picked = df.groupBy(key_hash, *[col_of(k) for k in keys]).agg(F.min_by(row, ord_key).alias("__fg_row"))
     return picked.select(*[col_of(k) for k in keys], *[F.col("__fg_row").getField(c).alias(c) for c in rest]).select(
         *[col_of(c) for c in df.columns]
     )

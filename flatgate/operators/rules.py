@@ -247,9 +247,11 @@ def passed(results: DataFrame) -> DataFrame:
 
 def missing_keys(expected: DataFrame, key: str, seen: DataFrame, seen_key: str | None = None) -> DataFrame:
     """D7 generalised: expected keys absent from ``seen`` (a left anti join;
-    the planner picks broadcast or shuffle from the measured sizes)."""
+    the planner picks broadcast or shuffle from the measured sizes). The
+    seen keys are made distinct first, combined map-side, so a key repeated
+    a billion times is one row on the join's build side."""
     seen_key = seen_key or key
-    s = seen.select(col_of(seen_key).alias("__fg_key"))
+    s = seen.select(col_of(seen_key).alias("__fg_key")).distinct()
     return expected.join(s, col_of(key) == F.col("__fg_key"), "left_anti")
 
 
