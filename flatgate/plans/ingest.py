@@ -22,7 +22,7 @@ from flatgate.functions.predicates import parse_columns
 from flatgate.operators.flatten import flatten
 from flatgate.operators.ledger import COMPLETED, Ledger
 from flatgate.operators.quality import FLAG, null_flag, observe_metrics
-from flatgate.sinks.files import write_good, write_quarantine
+from flatgate.sinks.files import write_csv, write_good
 
 JOB_COL = "job_id"
 
@@ -58,18 +58,20 @@ def ingest_frame(df: DataFrame, columns: str | Iterable[str], out_root: str, job
     if ledger is not None:
         ledger.start(job_id, description, None, source_path, q_location)
     try:
-        flagged = flag_frame(df, columns, prefix).withColumn(JOB_COL, F.lit(job_id))
+        flagged = flag_frame(df, columns, prefix)
         observed, obs = observe_metrics(flagged, FLAG)
-        # dynamic partition overwrite: a retried job replaces only its own
-        # partitions, so the write is idempotent per job_id
-        write_good(observed, rows_path, partition_by=[JOB_COL, FLAG], max_records_per_file=max_records_per_file)
+        # Each job owns rows/job_id=<id>/ and quarantine/job_id=<id>/, and
+        # both are overwritten whole (static mode): a retried job replaces
+        # everything of its failed attempt, even a flag partition the retry
+        # no longer produces. Reading rows/ discovers job_id and the flag.
+        write_good(observed, f"{rows_path}/{JOB_COL}={job_id}", partition_by=[FLAG],
+                   max_records_per_file=max_records_per_file, overwrite_mode="static")
         m = obs.get
         total = int(m.get("total_record_count", 0))
         errors = int(m.get("error_record_count", 0))
         spark = df.sparkSession
         bad = bad_rows(spark, out_root, job_id)
-        if errors:
-            write_quarantine(bad.withColumn(JOB_COL, F.lit(job_id)), quarantine_path, partition_by=[JOB_COL])
+        write_csv(bad, f"{quarantine_path}/{JOB_COL}={job_id}", mode="overwrite", overwrite_mode="static")
         if ledger is not None:
             ledger.finish(job_id, total, total - errors, errors, q_location, COMPLETED)
         return IngestResult(job_id, total, total - errors, errors, rows_path, quarantine_path)
@@ -80,12 +82,15 @@ def ingest_frame(df: DataFrame, columns: str | Iterable[str], out_root: str, job
 
 
 def _rows(spark: SparkSession, out_root: str, job_id: str | None, flag: bool) -> DataFrame:
-    # partition values come back as text; the cast stays a partition filter
-    df = spark.read.parquet(f"{out_root.rstrip('/')}/rows").withColumn(FLAG, F.col(FLAG).cast("boolean"))
-    cond = F.col(FLAG) == F.lit(flag)
+    rows = f"{out_root.rstrip('/')}/rows"
+    reader = spark.read
     if job_id is not None:
-        cond = cond & (F.col(JOB_COL) == F.lit(job_id))
-    return df.filter(cond)
+        # list only this job's folder; basePath keeps job_id as a column
+        reader = reader.option("basePath", rows)
+        rows = f"{rows}/{JOB_COL}={job_id}"
+    # partition values come back as text; the cast stays a partition filter
+    df = reader.parquet(rows).withColumn(FLAG, F.col(FLAG).cast("boolean"))
+    return df.filter(F.col(FLAG) == F.lit(flag))
 
 
 def good_rows(spark: SparkSession, out_root: str, job_id: str | None = None) -> DataFrame:

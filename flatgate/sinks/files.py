@@ -36,8 +36,10 @@ def csv_safe(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "append", partition_by: Sequence[str] = (),
-              max_records_per_file: int | None = None) -> None:
+              max_records_per_file: int | None = None, overwrite_mode: str | None = None) -> None:
     w = csv_safe(df).write.mode(mode).options(**CSV_WRITE)
+    if overwrite_mode:
+        w = w.option("partitionOverwriteMode", overwrite_mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if max_records_per_file:
@@ -66,10 +68,13 @@ def read_csv(spark: SparkSession, path: str, schema=None) -> DataFrame:
 
 
 def write_good(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite",
-               max_records_per_file: int | None = None) -> None:
+               max_records_per_file: int | None = None, overwrite_mode: str | None = None) -> None:
     """K4: snappy parquet; with ``partition_by`` and dynamic partition
-    overwrite only the partitions present in ``df`` are replaced."""
+    overwrite only the partitions present in ``df`` are replaced
+    (``overwrite_mode='static'`` replaces everything under ``path``)."""
     w = df.write.mode(mode).option("compression", "snappy")
+    if overwrite_mode:
+        w = w.option("partitionOverwriteMode", overwrite_mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if max_records_per_file:

@@ -75,6 +75,12 @@ def test_ingest_pipeline_idempotent_and_ledger(spark, tmp):
     assert cur.status == "COMPLETED" and cur.job_description == "PAYMENT"
     assert (cur.total_record_count, cur.load_record_count, cur.error_record_count) == (4, 3, 1)
     assert cur.job_start_time is not None and cur.source_path.endswith("src")
+    # a retry whose input no longer has bad rows leaves no stale quarantine
+    _lines(src, [json.dumps({"accountId": "a1", "items": [{"v": 1}]})])
+    res = validate_and_process(spark, os.path.dirname(src), "accountId", out, job_id="j1")
+    assert (res.total, res.errors) == (1, 0)
+    assert bad_rows(spark, out, "j1").count() == 0 and good_rows(spark, out, "j1").count() == 1
+    assert read_csv(spark, os.path.join(out, "quarantine")).count() == 0
 
 
 def test_ledger_current_keeps_fields_not_updated(spark):
