@@ -19,7 +19,7 @@ from flatgate.operators import columns as C
 from flatgate.operators import flatten as FL
 from flatgate.operators import quality as Q
 from flatgate.operators import rules as R
-from flatgate.operators.ledger import LEDGER_SCHEMA, Ledger, latest_per_key
+from flatgate.operators.ledger import Ledger, latest_per_key
 from flatgate.operators.report import report_html
 from flatgate.operators.routing import route_counts, route_target, with_route
 from flatgate.plans import fixtures as FX
@@ -311,7 +311,9 @@ def q_ledger_events(spark, sf):
     )
     ledger = Ledger(spark, scratch_dir(spark, "ledger"))
     started.unionByName(finished).write.mode("append").parquet(ledger.path)
-    return ledger.current().drop("seq")
+    cur = ledger.current().drop("seq")
+    # ledger times are instants; report them as wall-clock (session zone)
+    return cur.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("job_start_time", "job_end_time")})
 
 
 def q_run_stamp(spark, sf):

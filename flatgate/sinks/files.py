@@ -52,7 +52,7 @@ def write_quarantine(bad: DataFrame, path: str, partition_by: Sequence[str] = ("
     job. Dynamic partition overwrite replaces only the folders this write
     touches, so a retried job replaces its own rows and nobody else's."""
     parts = [p for p in partition_by if p in bad.columns]
-    write_csv(bad, path, mode="overwrite", partition_by=parts)
+    write_csv(bad, path, mode="overwrite", partition_by=parts, overwrite_mode="dynamic")
 
 
 def write_flat_csv(df: DataFrame, path: str, mode: str = "append") -> None:
@@ -68,7 +68,7 @@ def read_csv(spark: SparkSession, path: str, schema=None) -> DataFrame:
 
 
 def write_good(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite",
-               max_records_per_file: int | None = None, overwrite_mode: str | None = None) -> None:
+               max_records_per_file: int | None = None, overwrite_mode: str = "dynamic") -> None:
     """K4: snappy parquet; with ``partition_by`` and dynamic partition
     overwrite only the partitions present in ``df`` are replaced
     (``overwrite_mode='static'`` replaces everything under ``path``)."""
