@@ -23,12 +23,14 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from flatgate.operators import rules as R  # noqa: E402
-from flatgate.operators.flatten import flatten  # noqa: E402
+from flatgate.operators.columns import dedup_keep_first  # noqa: E402
+from flatgate.operators.flatten import flatten, flatten_positional, leaf_paths  # noqa: E402
 from flatgate.plans import fixtures as FX  # noqa: E402
 from flatgate.plans.ingest import ingest_frame  # noqa: E402
 from flatgate.plans.queries import _no_lines_sql, _orders_rules  # noqa: E402
 from flatgate.session import get_session, scratch_dir  # noqa: E402
 from flatgate.sources.json import infer_schema, read_json_lines  # noqa: E402
+from flatgate.streaming.files import stream_files, stream_ingest  # noqa: E402
 
 
 def main() -> None:
@@ -53,6 +55,16 @@ def main() -> None:
     orders_nulls = FX.orders_nulls(spark, sf_dir)
     noop = lambda df: df.write.format("noop").mode("overwrite").save()
 
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    embeddings = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+    def stream():
+        s = stream_files(spark, sf_dir, spark.read.parquet(f"{sf_dir}/orders.parquet").schema, "parquet",
+                         pathGlobFilter="orders.parquet").select(
+            "o_orderkey", F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("st"))
+        stream_ingest(s, ["st"], scratch_dir(spark, "bench-stream"), scratch_dir(spark, "bench-ckpt")).awaitTermination()
+
     def ingest():
         ingest_frame(read_json_lines(spark, json_path, schema=schema), ["st"], scratch_dir(spark, "bench-ingest"),
                      "job_bench")
@@ -74,10 +86,13 @@ def main() -> None:
         # the flagship pipeline: JSON -> flatten -> flag -> parquet + quarantine CSV
         "ingest_pipeline": ingest,
         # dedup of documents by text (hash aggregate, map-side combined)
-        "dedup_documents": lambda: noop(
-            __import__("flatgate.operators.columns", fromlist=["x"]).dedup_keep_first(
-                spark.read.parquet(f"{sf_dir}/documents.parquet"), ["text"], ["doc_id"])
-        ),
+        "dedup_documents": lambda: noop(dedup_keep_first(documents, ["text"], ["doc_id"])),
+        # schemaless JSON leaves of events.props (one schema pass + levels)
+        "leaf_paths_events": lambda: noop(leaf_paths(events, "event_id", "props")),
+        # arrays to numbered columns (width from one pass)
+        "flatten_positional_embeddings": lambda: noop(flatten_positional(embeddings)),
+        # file-source stream, pipeline A per micro-batch (fresh checkpoint)
+        "stream_ingest_orders": stream,
     }
 
     spark.range(1000).agg(F.sum("id")).collect()  # JVM warm-up

@@ -390,24 +390,26 @@ def leaf_paths(
     is_open = obj.isNotNull() | arr.isNotNull()
 
     def step(frontier: DataFrame) -> DataFrame:
-        # open values fan out to their entries; leaves pass through as one
-        # entry with a null key, so every level is a single Generate over
-        # one scan (no union of per-level branches)
+        # decode each value once per level (object view, array view), then
+        # fan open values out to their entries; leaves pass through as one
+        # entry with a null key, so every level is one Generate over one scan
+        decoded = frontier.select("id", "path", "v", obj.alias("__o"), arr.alias("__a"))
+        o, a = F.col("__o"), F.col("__a")
         entries = (
             F.when(
-                obj.isNotNull(),
+                o.isNotNull(),
                 F.transform(
-                    F.map_entries(obj),
+                    F.map_entries(o),
                     lambda e: F.struct(e["key"].alias("k"), e["value"].alias("c"), F.lit(True).alias("o")),
                 ),
             )
             .when(
-                arr.isNotNull(),
-                F.transform(arr, lambda x, i: F.struct(i.cast("string").alias("k"), x.alias("c"), F.lit(False).alias("o"))),
+                a.isNotNull(),
+                F.transform(a, lambda x, i: F.struct(i.cast("string").alias("k"), x.alias("c"), F.lit(False).alias("o"))),
             )
             .otherwise(F.array(F.struct(F.lit(None).cast("string").alias("k"), F.col("v").alias("c"), F.lit(False).alias("o"))))
         )
-        nxt = frontier.select("id", "path", F.explode(entries).alias("e"))
+        nxt = decoded.select("id", "path", F.explode(entries).alias("e"))
         if exclude:
             nxt = nxt.filter(~(F.col("e.o") & F.col("e.k").isin(exclude)))
         return nxt.select(

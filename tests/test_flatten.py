@@ -3,7 +3,6 @@
 import json
 
 from pyspark.sql import Row
-from pyspark.sql import functions as F
 
 from flatgate.operators.flatten import (
     complex_columns,

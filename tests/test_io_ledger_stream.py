@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from flatgate.operators.ledger import Ledger, ledger_current
 from flatgate.operators.routing import route_counts, route_target, with_route
 from flatgate.plans.documents import write_json_docs
-from flatgate.plans.ingest import bad_rows, good_rows, ingest_frame, validate_and_process
+from flatgate.plans.ingest import bad_rows, good_rows, validate_and_process
 from flatgate.sinks.files import read_csv, write_csv, write_report
 from flatgate.sources.json import corrupt_rows, read_json_docs, read_json_lines
 from flatgate.streaming.files import stream_ingest, stream_json
