@@ -207,6 +207,7 @@ ORACLES: dict[str, str] = {
     ),
     "json_lines_roundtrip": FLATTEN_PREFIXED,
     "json_docs_roundtrip": FLATTEN_PREFIXED,
+    "doc_to_csv": FLATTEN_PREFIXED,
     "corrupt_rows": (
         "SELECT NULL::BIGINT AS event_id, NULL::VARCHAR AS event_type, "
         "'{\"event_id\":' || CAST(event_id AS VARCHAR) || ',\"event_type\":\"error\"' AS _corrupt_record "

@@ -354,6 +354,18 @@ def q_json_docs_roundtrip(spark, sf):
     return FL.flatten(back, prefix=True)
 
 
+def q_doc_to_csv(spark, sf):
+    """Pipeline B: nested orders as JSON documents -> prefixed flatten ->
+    CSV (append) -> read back with the flat schema."""
+    from flatgate.plans.documents import json_docs_to_csv
+
+    nested = FX.orders_nested(spark, sf)
+    docs, out = scratch_dir(spark, "b-docs"), scratch_dir(spark, "b-csv")
+    write_json_docs(nested, docs)
+    flat = json_docs_to_csv(spark, docs, out, schema=nested.schema)
+    return read_csv(spark, out, schema=flat.schema)
+
+
 def q_corrupt_rows(spark, sf):
     """Events as JSON lines; every 'error' event's line is cut short by one
     character, so it no longer parses."""
@@ -481,6 +493,7 @@ QUERIES: dict[str, Query] = {
     "route_target": q_route_target,
     "json_lines_roundtrip": q_json_lines_roundtrip,
     "json_docs_roundtrip": q_json_docs_roundtrip,
+    "doc_to_csv": q_doc_to_csv,
     "corrupt_rows": q_corrupt_rows,
     "csv_roundtrip": q_csv_roundtrip,
     "quarantine_csv_roundtrip": q_quarantine_csv_roundtrip,

@@ -172,3 +172,12 @@ def test_fused_counts_one_grouping_pass(spark):
     ]
     res = {r.rule_id: r.fail_count for r in R.run_rules(df, rules).collect()}
     assert res == {1: 1, 2: 1, 3: 0, 4: 1, 5: 1}
+
+
+def test_query_rule_with_input_file_name(spark, tmp):
+    data = os.path.join(tmp, "recipes")
+    _write_recipes(data)
+    df = read_json_lines(spark, data, schema="name string, cookTime string, prepTime string")
+    sql = SAMPLE_QUERY.replace("get(reverse(split(source_file, '/')), 0)", "reverse(split(input_file_name(), '/'))[0]")
+    assert R.query_rule_count(df, sql) == 0
+    assert R.query_rule_count(df, sql.replace("recipes-002.json", "recipes-009.json")) == 1
