@@ -84,7 +84,7 @@ def main() -> None:
         # parquet scan + prefixed flatten, noop sink
         "parquet_flatten_noop": lambda: noop(flatten(spark.read.parquet(parquet_path), prefix=True)),
         # the flagship pipeline: JSON -> flatten -> flag -> parquet + quarantine CSV
-        "ingest_pipeline": ingest,
+        "ingest_json_orders": ingest,
         # dedup of documents by text (hash aggregate, map-side combined)
         "dedup_documents": lambda: noop(dedup_keep_first(documents, ["text"], ["doc_id"])),
         # schemaless JSON leaves of events.props (one schema pass + levels)

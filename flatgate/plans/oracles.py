@@ -144,6 +144,19 @@ INGEST_METRICS = (
     "FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey"
 )
 
+FLAT_ORDERS = (
+    "(SELECT o.o_orderkey, CASE WHEN o.o_orderstatus <> 'P' THEN o.o_orderstatus END AS st, "
+    "l.l_linenumber AS items_l_linenumber, l.l_quantity AS items_l_quantity " + NESTED_JOIN + ")"
+)
+RULES_AFTER_INGEST = "\nUNION ALL\n".join(
+    _rule_row(rid, rtype, fail, total=f"(SELECT count(*) FROM {FLAT_ORDERS})")
+    for rid, rtype, fail in [
+        (1, "not null", f"(SELECT count(*) FROM {FLAT_ORDERS} WHERE {NN(['st'])})"),
+        (2, "unique", _dups("o_orderkey, items_l_linenumber", FLAT_ORDERS)),
+        (3, "query", f"(SELECT count(*) FROM {FLAT_ORDERS} WHERE items_l_quantity > 45)"),
+    ]
+)
+
 ORACLES: dict[str, str] = {
     "flatten_prefixed": FLATTEN_PREFIXED,
     "flatten_plain": FLATTEN_PLAIN,
@@ -223,6 +236,7 @@ ORACLES: dict[str, str] = {
         "o_orderstatus FROM orders"
     ),
     "ingest_metrics": INGEST_METRICS,
+    "rules_after_ingest": RULES_AFTER_INGEST,
     "ingest_quarantine": (
         "SELECT o.o_orderkey, l.l_linenumber AS items_l_linenumber, true AS null_check_result "
         "FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey WHERE o.o_orderstatus = 'P'"

@@ -412,6 +412,22 @@ def q_ingest_metrics(spark, sf):
     )
 
 
+def q_rules_after_ingest(spark, sf):
+    """Pipelines A then C: ingest nested orders, then run rules of all
+    three types over the rows the ingest wrote."""
+    from flatgate.plans.quality_report import ingested_rows, quality_report
+
+    root = scratch_dir(spark, "ingest-c")
+    ingest_frame(FX.orders_nested(spark, sf), ["st"], root, "job_" + FIXED_STAMP, prefix=True)
+    rules = [
+        R.Rule(1, "status", R.NOT_NULL, columns=("st",), dq_id=7),
+        R.Rule(2, "line key", R.UNIQUE, columns=("o_orderkey", "items_l_linenumber"), dq_id=7),
+        R.Rule(3, "big lines", R.QUERY, query="SELECT * FROM temp WHERE items_l_quantity > 45", dq_id=7),
+    ]
+    res = quality_report(ingested_rows(spark, root, "job_" + FIXED_STAMP), rules, scratch_dir(spark, "report"))
+    return res.select(*RESULT_COLS)
+
+
 def q_ingest_quarantine(spark, sf):
     root = scratch_dir(spark, "ingest")
     nested = FX.orders_nested(spark, sf)
@@ -500,6 +516,7 @@ QUERIES: dict[str, Query] = {
     "dynamic_overwrite": q_dynamic_overwrite,
     "ingest_metrics": q_ingest_metrics,
     "ingest_quarantine": q_ingest_quarantine,
+    "rules_after_ingest": q_rules_after_ingest,
     "stream_events": q_stream_events,
     "stream_quarantine": q_stream_quarantine,
 }
