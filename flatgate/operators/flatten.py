@@ -265,6 +265,16 @@ def explode_estimate(df: DataFrame) -> int:
 # ---------------------------------------------------------------------------
 
 
+def _via_field(fn, name: str):
+    # one-argument closures: F.transform reads a lambda's arity to choose
+    # between (x) and (x, index), so no default arguments here
+    return lambda c: fn(c.getField(name))
+
+
+def _via_elements(fn):
+    return lambda c: F.array_max(F.transform(c, lambda x: fn(x)))
+
+
 def _size_specs(dt: DataType, key: tuple, exclude: frozenset):
     """(array key, fn(value) -> max size) for every array node below dt."""
     specs = []
@@ -273,11 +283,11 @@ def _size_specs(dt: DataType, key: tuple, exclude: frozenset):
             if f.name in exclude:
                 continue
             for k, fn in _size_specs(f.dataType, key + (f.name,), exclude):
-                specs.append((k, lambda c, fn=fn, n=f.name: fn(c.getField(n))))
+                specs.append((k, _via_field(fn, f.name)))
     elif isinstance(dt, ArrayType):
-        specs.append((key, lambda c: F.size(c)))
+        specs.append((key, F.size))
         for k, fn in _size_specs(dt.elementType, key + ("[]",), exclude):
-            specs.append((k, lambda c, fn=fn: F.array_max(F.transform(c, fn))))
+            specs.append((k, _via_elements(fn)))
     return specs
 
 

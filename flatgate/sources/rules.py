@@ -59,14 +59,16 @@ def rules_table(raw: DataFrame) -> DataFrame:
     )
 
 
-def read_rules(spark: SparkSession, path: str) -> DataFrame:
-    """Read a rule file (either shape) into the rules table."""
+def read_rules(spark: SparkSession, path: str, job_id: str | None = None) -> DataFrame:
+    """Read a rule file (either shape) into the rules table, stamped with
+    the run's ``job_id`` when given."""
     raw = spark.read.option("multiLine", True).option("mode", "FAILFAST").json(path)
-    return rules_table(raw)
+    table = rules_table(raw)
+    return table if job_id is None else table.withColumn("job_id", F.lit(job_id))
 
 
 def load_rules(spark: SparkSession, path: str) -> list[Rule]:
     """Rule objects for ``run_rules``. Rule sets are configuration (a few
     rows), so collecting them is fine; no data row is collected."""
-    rows = [r.asDict() for r in read_rules(spark, path).collect()]
+    rows = [{k: v for k, v in r.asDict().items() if k != "job_id"} for r in read_rules(spark, path).collect()]
     return rules_from_dicts(rows)

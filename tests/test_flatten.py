@@ -161,3 +161,21 @@ def test_leaf_paths_depth_cap_raises(spark):
         pass
     else:
         raise AssertionError("expected a depth error, not silently dropped leaves")
+
+
+def test_positional_unpivots_to_leaf_paths(spark):
+    """F5 and F6 agree: every non-null positional cell is one leaf path."""
+    docs = [
+        {"id": 1, "apps": [{"slug": "a", "tags": ["x", "y"]}, {"slug": "b", "tags": []}], "m": {"k": 2}},
+        {"id": 2, "apps": [{"slug": "c", "tags": ["z"]}], "m": {"k": None}},
+    ]
+    df = spark.read.schema("id int, apps array<struct<slug string, tags array<string>>>, m struct<k int>").json(
+        spark.sparkContext.parallelize([json.dumps(d) for d in docs])
+    )
+    wide = flatten_positional(df).collect()
+    from_wide = sorted(
+        (r.id, c, str(v)) for r in wide for c, v in r.asDict().items() if v is not None and c != "id"
+    )
+    js = df.selectExpr("id", "to_json(struct(*)) AS j")
+    long = sorted((r.id, r.path, r.value) for r in leaf_paths(js, "id", "j").collect() if r.path != "id")
+    assert from_wide == long
