@@ -4,7 +4,7 @@ Runs at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 ``local[$BENCH_CPUS]`` and prints ONE JSON line:
 ``{"metric": ..., "value": total_sec, "unit": "sec", "queries": {...}, "sf": ...}``.
 
-Each query runs ``$BENCH_REPEATS`` times (default 3) after one warm-up; the
+Each query runs ``$BENCH_REPEATS`` times (default 5) after one warm-up; the
 median is reported. Setup (nested orders written once as JSON lines and as
 parquet into the shared scratch folder) is not timed.
 """
@@ -36,7 +36,7 @@ from flatgate.streaming.files import stream_files, stream_ingest  # noqa: E402
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "5"))
     os.environ["FLATGATE_MASTER"] = f"local[{cpus}]"
     spark = get_session("local", "flatgate-bench", **{"spark.sql.shuffle.partitions": cpus})
     m = re.search(r"sf([0-9.]+)", sf_dir)
