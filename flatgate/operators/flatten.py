@@ -370,6 +370,7 @@ def leaf_paths(
     exclude: Iterable[str] = (),
     sep: str = "_",
     max_depth: int = 64,
+    depth: int | None = None,
 ) -> DataFrame:
     """``(id, path, value)`` for every scalar leaf of a JSON text column.
 
@@ -384,6 +385,12 @@ def leaf_paths(
     merged schema hides depth behind a VARIANT (mixed types), the plan grows
     level by level until nothing is left open, and raises past
     ``max_depth`` instead of dropping leaves.
+
+    Parsing dominates the cost, and the schema pass parses every document
+    once more. A caller who knows the nesting depth (e.g. from a stored
+    schema) passes ``depth`` to skip that pass; the plan then carries a
+    guard that fails the job if any document is deeper -- leaves are never
+    dropped silently.
     """
     exclude = sorted(set(exclude))
     base = df.select(
@@ -391,47 +398,46 @@ def leaf_paths(
         F.lit("").alias("path"),
         F.try_parse_json(col_of(json_col)).alias("v"),
     )
-    schema = base.agg(F.schema_of_variant_agg("v").alias("s")).first()["s"] or "VARIANT"
-    exact = "VARIANT" not in schema
-    planned = _variant_depth(schema)
+    if depth is None:
+        schema = base.agg(F.schema_of_variant_agg("v").alias("s")).first()["s"] or "VARIANT"
+        exact = "VARIANT" not in schema
+        planned = _variant_depth(schema)
+    else:
+        exact, planned = True, depth
 
     obj = F.try_variant_get("v", "$", "map<string,variant>")
     arr = F.try_variant_get("v", "$", "array<variant>")
     is_open = obj.isNotNull() | arr.isNotNull()
 
     def step(frontier: DataFrame) -> DataFrame:
-        # decode each value once per level (object view, array view), then
-        # fan open values out to their entries; leaves pass through as one
-        # entry with a null key, so every level is one Generate over one scan
+        # One level: decode each value once (object view, array view), then
+        # two plain outer generators (no lambdas, so they stay in codegen).
+        # Objects fan out to (key, value), arrays to (position, element);
+        # a scalar passes both generators as one row and stays a leaf; an
+        # empty object or array and a missing document yield nothing.
         decoded = frontier.select("id", "path", "v", obj.alias("__o"), arr.alias("__a"))
-        o, a = F.col("__o"), F.col("__a")
-        entries = (
-            F.when(
-                o.isNotNull(),
-                F.transform(
-                    F.map_entries(o),
-                    lambda e: F.struct(e["key"].alias("k"), e["value"].alias("c"), F.lit(True).alias("o")),
-                ),
-            )
-            .when(
-                a.isNotNull(),
-                F.transform(a, lambda x, i: F.struct(i.cast("string").alias("k"), x.alias("c"), F.lit(False).alias("o"))),
-            )
-            .otherwise(F.array(F.struct(F.lit(None).cast("string").alias("k"), F.col("v").alias("c"), F.lit(False).alias("o"))))
+        by_key = decoded.select(
+            "id", "path", "v", "__o", "__a", F.explode_outer("__o").alias("__k", "__kv")
+        )
+        both = by_key.select(
+            "id", "path", "v", "__o", "__a", "__k", "__kv", F.posexplode_outer("__a").alias("__p", "__pv")
+        )
+        # (a missing document -- SQL NULL, not JSON null -- is dropped at
+        # the end, where the test cannot be pushed below the parse and make
+        # Spark parse every document twice)
+        keep = ~(
+            (F.col("__o").isNotNull() & F.col("__k").isNull()) | (F.col("__a").isNotNull() & F.col("__p").isNull())
         )
-        nxt = decoded.select("id", "path", F.explode(entries).alias("e"))
         if exclude:
-            nxt = nxt.filter(~(F.col("e.o") & F.col("e.k").isin(exclude)))
-        return nxt.select(
+            keep = keep & ~(F.col("__k").isNotNull() & F.col("__k").isin(exclude))
+        k = F.coalesce(F.col("__k"), F.col("__p").cast("string"))
+        return both.filter(keep).select(
             "id",
-            F.when(F.col("e.k").isNull(), F.col("path"))
-            .when(F.col("path") == "", F.col("e.k"))
-            .otherwise(F.concat_ws(sep, "path", F.col("e.k")))
-            .alias("path"),
-            F.col("e.c").alias("v"),
+            F.when(k.isNull(), F.col("path")).when(F.col("path") == "", k).otherwise(F.concat_ws(sep, "path", k)).alias("path"),
+            F.when(k.isNull(), F.col("v")).otherwise(F.coalesce(F.col("__kv"), F.col("__pv"))).alias("v"),
         )
 
-    frontier = base.filter(F.col("v").isNotNull())
+    frontier = base
     level = 0
     while True:
         if level >= planned and (exact or frontier.filter(is_open).isEmpty()):
@@ -440,4 +446,8 @@ def leaf_paths(
             raise ValueError(f"leaf_paths: documents nest deeper than max_depth={max_depth}")
         frontier = step(frontier)
         level += 1
-    return frontier.select(F.col("id").alias(id_col), "path", F.col("v").cast("string").alias("value"))
+    # guard: anything still open here means the planned depth was too small
+    value = F.when(
+        is_open, F.raise_error(F.lit(f"leaf_paths: a document nests deeper than depth={planned}"))
+    ).otherwise(F.col("v").cast("string"))
+    return frontier.filter(F.col("v").isNotNull()).select(F.col("id").alias(id_col), "path", value.alias("value"))

@@ -153,6 +153,17 @@ def test_leaf_paths_deep_and_mixed(spark):
     ]
 
 
+def test_leaf_paths_with_known_depth(spark):
+    df = spark.createDataFrame([(1, '{"a": {"b": 1}}'), (2, '{"a": {"b": 2}}')], "id int, j string")
+    assert sorted(tuple(r) for r in leaf_paths(df, "id", "j", depth=2).collect()) == [(1, "a_b", "1"), (2, "a_b", "2")]
+    try:
+        leaf_paths(df, "id", "j", depth=1).collect()
+    except Exception as ex:  # the guard fails the job
+        assert "deeper than depth=1" in str(ex)
+    else:
+        raise AssertionError("a too-small depth must fail, not drop leaves")
+
+
 def test_leaf_paths_depth_cap_raises(spark):
     df = spark.createDataFrame([(1, '{"a": {"b": {"c": 1}}}'), (2, '{"a": 1}')], "id int, j string")
     try:
