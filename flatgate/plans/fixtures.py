@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 from flatgate.operators.flatten import col_of
 
 DEFAULT_MAX_ITEMS = 10_000
+# Hot parents (more than max_items children) are broadcast only below this
+# many; each is one (key, parts) pair, so this bounds the broadcast at a few MB.
+MAX_BROADCAST_HOT = 200_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,11 +42,11 @@ def nest_children(
     """``(key, part, name array<struct<item_cols>>)`` with about
     ``max_items`` elements per array at most.
 
-    Children are split into ``ceil(n / max_items)`` parts by a hash of the
-    item, where ``n`` is the parent's child count (a partial aggregate, so a
-    hot parent is counted map-side; the join back to the children is a
-    sort-merge join whose hot partition AQE splits). Arrays are sorted by ``sort_cols`` (or
-    the item struct) so the documents are deterministic.
+    A parent with ``n > max_items`` children is split into
+    ``ceil(n / max_items)`` parts by a hash of the item; ``n`` comes from a
+    map-side combined count, and only the (few) hot parents are joined
+    back, through a size-checked broadcast. Arrays are sorted by
+    ``sort_cols`` (or the item struct) so the documents are deterministic.
 
     With ``part_col`` (a column unique within the parent, e.g. a turn
     number) parts are contiguous ranges ``part_col div max_items`` instead,
@@ -52,12 +55,25 @@ def nest_children(
     if part_col is not None:
         salted = children.withColumn("part", F.floor(col_of(part_col) / F.lit(max_items)).cast("long"))
         return _group_parts(salted, key, item_cols, name, sort_cols)
+    # Only parents with more than max_items children need splitting. Count
+    # children per parent (combined map-side: one (key, n) pair per task),
+    # keep the hot ones, and broadcast that table only when its size is
+    # checked to be small; otherwise fall back to a shuffle join.
     counts = children.groupBy(col_of(key)).agg(F.count(F.lit(1)).alias("__fg_n"))
-    parts = F.greatest(F.lit(1), F.ceil(F.col("__fg_n") / F.lit(max_items))).cast("long")
-    item = F.struct(*[col_of(c) for c in item_cols])
-    salted = children.join(counts, key).withColumn(
-        "part", F.pmod(F.xxhash64(*[col_of(c) for c in item_cols]), parts)
+    hot = counts.filter(F.col("__fg_n") > max_items).select(
+        col_of(key), F.ceil(F.col("__fg_n") / F.lit(max_items)).cast("long").alias("__fg_parts")
     )
+    n_hot = hot.count()
+    if n_hot == 0:
+        salted = children.withColumn("part", F.lit(0).cast("long"))
+    else:
+        side = F.broadcast(hot) if n_hot <= MAX_BROADCAST_HOT else hot
+        salted = children.join(side, key, "left").withColumn(
+            "part",
+            F.when(F.col("__fg_parts").isNull(), F.lit(0).cast("long")).otherwise(
+                F.pmod(F.xxhash64(*[col_of(c) for c in item_cols]), F.col("__fg_parts"))
+            ),
+        ).drop("__fg_parts")
     return _group_parts(salted, key, item_cols, name, sort_cols)
 
 
