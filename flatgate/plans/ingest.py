@@ -35,6 +35,7 @@ class IngestResult:
     errors: int
     rows_path: str
     quarantine_path: str
+    rule_results: DataFrame | None = None
 
 
 def new_job_id(prefix: str = "job") -> str:
@@ -105,12 +106,22 @@ def bad_rows(spark: SparkSession, out_root: str, job_id: str | None = None) -> D
 
 def validate_and_process(spark: SparkSession, source_path: str, columns: str | Iterable[str], out_root: str,
                          job_id: str | None = None, schema=None, multi_line: bool = False, prefix: bool = False,
-                         ledger_path: str | None = None, description: str = "PAYMENT") -> IngestResult:
-    """Pipeline A end to end from JSON files."""
+                         ledger_path: str | None = None, description: str = "PAYMENT",
+                         rules=None, report_dir: str | None = None) -> IngestResult:
+    """Pipeline A end to end from JSON files; with ``rules`` (a list of
+    ``Rule``) pipeline C follows over the rows just written (no second read
+    of the JSON), and one HTML page per dq_id goes to ``report_dir``."""
+    from dataclasses import replace
+
+    from flatgate.plans.quality_report import ingested_rows, quality_report
     from flatgate.sources.json import read_json_docs, read_json_lines
 
     reader = read_json_docs if multi_line else read_json_lines
-    df = reader(spark, source_path, schema=schema)
+    df = reader(spark, source_path, schema=schema, with_source=True)
     ledger = Ledger(spark, ledger_path) if ledger_path else None
-    return ingest_frame(df, columns, out_root, job_id or new_job_id(), prefix=prefix, ledger=ledger,
-                        source_path=source_path, description=description)
+    res = ingest_frame(df, columns, out_root, job_id or new_job_id(), prefix=prefix, ledger=ledger,
+                       source_path=source_path, description=description)
+    if rules:
+        results = quality_report(ingested_rows(spark, out_root, res.job_id), rules, report_dir)
+        res = replace(res, rule_results=results)
+    return res

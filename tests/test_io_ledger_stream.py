@@ -83,6 +83,27 @@ def test_ingest_pipeline_idempotent_and_ledger(spark, tmp):
     assert read_csv(spark, os.path.join(out, "quarantine")).count() == 0
 
 
+def test_ingest_then_rules_and_report(spark, tmp):
+    from flatgate.operators.rules import NOT_NULL, QUERY, UNIQUE, Rule
+
+    src = os.path.join(tmp, "src2")
+    _lines(os.path.join(src, "Invoices-1.json"), [json.dumps({"id": i, "name": None if i == 3 else f"n{i % 4}"})
+                                                  for i in range(8)])
+    rules = [
+        Rule(1, "name", NOT_NULL, columns=("name",), dq_id=5),
+        Rule(2, "name unique", UNIQUE, columns=("name",), dq_id=5),
+        Rule(3, "file read", QUERY, dq_id=5, query=(
+            "SELECT f FROM (SELECT 'Invoices-1.json' AS f) e LEFT JOIN (SELECT DISTINCT "
+            "get(reverse(split(source_file, '/')), 0) AS g FROM temp) t ON t.g = e.f WHERE t.g IS NULL")),
+    ]
+    res = validate_and_process(spark, src, "name", os.path.join(tmp, "out2"), job_id="j2", rules=rules,
+                               report_dir=os.path.join(tmp, "report"))
+    got = {r.rule_id: (r.fail_count, r.total_count) for r in res.rule_results.collect()}
+    assert got == {1: (1, 8), 2: (3, 8), 3: (0, 8)}
+    html = spark.read.text(os.path.join(tmp, "report")).first().value
+    assert "DQ ID = 5</b>, with failures." in html
+
+
 def test_ledger_current_keeps_fields_not_updated(spark):
     t0, t1 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
     ev = spark.createDataFrame(
