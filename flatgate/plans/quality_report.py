@@ -28,10 +28,15 @@ def quality_report(data: DataFrame, rules: Sequence[Rule], report_dir: str | Non
     return results
 
 
-def ingested_rows(spark: SparkSession, out_root: str, job_id: str) -> DataFrame:
-    """All rows (good and quarantined) one ingest job wrote, without the
-    bookkeeping columns."""
+def ingested_rows(spark: SparkSession, out_root: str, job_id: str | None = None) -> DataFrame:
+    """All rows (good and quarantined) one ingest job wrote -- or, with no
+    ``job_id``, every job and stream batch under ``out_root`` -- without the
+    bookkeeping columns.
+
+    Rules run inside a stream's ``foreachBatch`` only see that batch; a
+    unique rule across batches is this read plus ``run_rules``.
+    """
     rows = f"{out_root.rstrip('/')}/rows"
-    return (
-        spark.read.option("basePath", rows).parquet(f"{rows}/{JOB_COL}={job_id}").drop(FLAG, JOB_COL)
-    )
+    if job_id is None:
+        return spark.read.parquet(rows).drop(FLAG, JOB_COL)
+    return spark.read.option("basePath", rows).parquet(f"{rows}/{JOB_COL}={job_id}").drop(FLAG, JOB_COL)

@@ -147,3 +147,19 @@ def test_stream_ingest_replay_adds_nothing(spark, tmp):
     _lines(os.path.join(src, "f2.json"), [json.dumps({"id": 100, "v": None})])
     stream_ingest(stream_json(spark, src, schema), ["v"], out, ckpt).awaitTermination()
     assert bad_rows(spark, out).count() == 4
+
+
+def test_uniqueness_across_stream_batches(spark, tmp):
+    from flatgate.operators.rules import UNIQUE, Rule, run_rules
+    from flatgate.plans.quality_report import ingested_rows
+
+    src, out, ckpt = os.path.join(tmp, "arr"), os.path.join(tmp, "o"), os.path.join(tmp, "c")
+    schema = "id int, v int"
+    _lines(os.path.join(src, "a.json"), [json.dumps({"id": i, "v": i}) for i in range(5)])
+    stream_ingest(stream_json(spark, src, schema), ["v"], out, ckpt).awaitTermination()
+    _lines(os.path.join(src, "b.json"), [json.dumps({"id": 4, "v": 40}), json.dumps({"id": 5, "v": 50})])
+    stream_ingest(stream_json(spark, src, schema), ["v"], out, ckpt).awaitTermination()
+    rule = [Rule(1, "id", UNIQUE, columns=("id",))]
+    per_batch = [run_rules(ingested_rows(spark, out, f"batch_{b}"), rule).first().fail_count for b in (0, 1)]
+    assert per_batch == [0, 0]
+    assert run_rules(ingested_rows(spark, out), rule).first().fail_count == 1  # id 4 in both batches
