@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from flatgate.operators.rules import NOT_NULL, Rule, rules_from_dicts
 
@@ -27,12 +28,18 @@ def rules_table(raw: DataFrame) -> DataFrame:
             (F.col("dq_file_path") if "dq_file_path" in cols else F.lit(None).cast("string")).alias("dq_file_path"),
             F.explode_outer("rules").alias("r"),
         )
-        fields = set(raw.schema["rules"].dataType.elementType.fieldNames())
+        elem = raw.schema["rules"].dataType.elementType
+        fields = set(elem.fieldNames())
 
         def get(name: str, cast: str):
             return F.col(f"r.{name}").cast(cast) if name in fields else F.lit(None).cast(cast)
 
-        columns = F.transform(get("columns", "array<string>"), lambda c: F.trim(c)) if "columns" in fields else F.lit(None).cast("array<string>")
+        if "columns" not in fields:
+            columns = F.lit(None).cast("array<string>")
+        elif isinstance(elem["columns"].dataType, StringType):  # "a, b" written as text
+            columns = F.filter(F.transform(F.split(get("columns", "string"), ","), F.trim), lambda c: c != "")
+        else:
+            columns = F.transform(get("columns", "array<string>"), F.trim)
         return exploded.select(
             "dq_id",
             get("rule_id", "int").alias("rule_id"),

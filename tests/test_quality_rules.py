@@ -157,6 +157,10 @@ def test_rules_file_shapes(spark, tmp):
         fh.write(json.dumps({"columns": "a, b", "dq_file_path": "s3://x/"}))
     r1 = load_rules(spark, nested)
     assert r1 == [R.Rule(1012, "NOT NULL fields", R.NOT_NULL, "d", ("accountId",), None, 101)]
+    mixed = os.path.join(tmp, "mixed.json")
+    with open(mixed, "w") as fh:
+        json.dump({"dq_id": 3, "rules": [{"rule_id": 1, "name": "n", "rule_type": " Not Null ", "columns": "a , b"}]}, fh)
+    assert load_rules(spark, mixed) == [R.Rule(1, "n", R.NOT_NULL, None, ("a", "b"), None, 3)]
     t2 = read_rules(spark, flat).first()
     assert (t2.rule_type, list(t2.columns), t2.dq_file_path) == ("not null", ["a", "b"], "s3://x/")
 
