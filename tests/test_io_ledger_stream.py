@@ -163,3 +163,20 @@ def test_uniqueness_across_stream_batches(spark, tmp):
     per_batch = [run_rules(ingested_rows(spark, out, f"batch_{b}"), rule).first().fail_count for b in (0, 1)]
     assert per_batch == [0, 0]
     assert run_rules(ingested_rows(spark, out), rule).first().fail_count == 1  # id 4 in both batches
+
+
+def test_job_entry(spark, tmp, capsys):
+    from flatgate.__main__ import main
+
+    src = os.path.join(tmp, "jsrc")
+    _lines(os.path.join(src, "Codat_balanceSheet_1.json"),
+           [json.dumps({"accountId": None if i % 5 == 0 else f"a{i}", "lines": [{"amt": i}, {"amt": i + 1}]})
+            for i in range(20)])
+    rules = os.path.join(tmp, "rules.json")
+    with open(rules, "w") as fh:
+        json.dump({"dq_id": 101, "rules": [{"rule_id": 1012, "name": "NOT NULL fields", "description": "d",
+                                            "rule_type": "not null", "columns": ["accountId"]}]}, fh, indent=2)
+    assert main(["--profile", "local", "--source", src, "--rules", rules, "--out", os.path.join(tmp, "jout"),
+                 "--job-id", "j1", "--report", os.path.join(tmp, "jrep")]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out == {"job_id": "j1", "total": 40, "loaded": 32, "errors": 8, "rules_failed": 1}
