@@ -85,3 +85,13 @@ def schema_from_json(text: str) -> StructType:
     import json
 
     return StructType.fromJson(json.loads(text))
+
+
+def store_schema(spark: SparkSession, schema: StructType, path: str) -> None:
+    """Write the schema as one JSON text row, through Spark, so it lands on
+    the same (shared) storage as the data."""
+    spark.createDataFrame([(schema.json(),)], "value string").write.mode("overwrite").text(path)
+
+
+def load_schema(spark: SparkSession, path: str) -> StructType:
+    return schema_from_json(spark.read.text(path).first()["value"])

@@ -29,6 +29,18 @@ def test_malformed_line_is_one_corrupt_row(spark, tmp):
     assert len(bad) == 1 and bad[0].a is None and bad[0]._corrupt_record == '{"a": 2'
 
 
+def test_schema_inferred_once_and_stored(spark, tmp):
+    from flatgate.sources.json import infer_schema, load_schema, store_schema
+
+    p = os.path.join(tmp, "in", "s.json")
+    _lines(p, ['{"a": 1, "b": {"c": [1, 2]}}', '{"a": 2, "b": null}'])
+    schema = infer_schema(spark, os.path.dirname(p))
+    store_schema(spark, schema, os.path.join(tmp, "schema"))
+    again = load_schema(spark, os.path.join(tmp, "schema"))
+    assert again == schema
+    assert read_json_lines(spark, os.path.dirname(p), schema=again).count() == 2
+
+
 def test_mixed_types_read_as_string(spark, tmp):
     p = os.path.join(tmp, "in", "m.json")
     _lines(p, ['{"v":1}', '{"v":{"x":2}}', '{"v":[1]}'])
