@@ -157,6 +157,48 @@ RULES_AFTER_INGEST = "\nUNION ALL\n".join(
     ]
 )
 
+def _html_oracle() -> str:
+    """The D10 page built in SQL from the same counts (values HTML-escaped
+    by hand: the rule texts are constants of the query)."""
+    from flatgate.operators.report import FAILED_COLOUR, PASSED_COLOUR, REPORT_HEADERS
+
+    header = " ".join(f"<th>{h}</th>" for h in REPORT_HEADERS)
+
+    def table(title: str, colour: str) -> str:
+        return (f'<h3 style="font-family:arial">{title}</h3><table border="3" style="width:100%">'
+                f'<tr style="text-align:left;background-color:{colour}">{header}</tr>')
+
+    rules = [  # rule_id, name, type, description, escaped columns/query, fail count
+        (1, "status present", "not null", "status must be set", "[&quot;st&quot;]",
+         f"(SELECT count(*) FROM {ORDERS_NULLS} WHERE {NN(['st'])})"),
+        (2, "order key", "unique", "primary key", "[&quot;o_orderkey&quot;]", _dups("o_orderkey", "orders")),
+        (3, "big orders", "query", "no order above 400000", "SELECT * FROM temp WHERE o_totalprice &gt; 400000",
+         "(SELECT count(*) FROM orders WHERE o_totalprice > 400000)"),
+    ]
+    per_rule = "\nUNION ALL\n".join(
+        f"SELECT {rid} AS rule_id, '{name}' AS n, '{rtype}' AS ty, '{desc}' AS d, '{target}' AS tg, "
+        f"CAST({fail} AS BIGINT) AS f, (SELECT count(*) FROM orders) AS t"
+        for rid, name, rtype, desc, target, fail in rules
+    )
+    row = ("'<tr>' || concat_ws(' ', '<td>flatgate</td>', '<td>101</td>', '<td>' || rule_id || '</td>', "
+           "'<td>' || n || '</td>', '<td>' || ty || '</td>', '<td>' || d || '</td>', '<td>' || tg || '</td>', "
+           "'<td>' || (t - f) || '</td>', '<td>' || f || '</td>', '<td>' || t || '</td>') || '</tr>'")
+    return f"""
+WITH r AS ({per_rule}),
+h AS (SELECT rule_id, f > 0 AS failed, {row} AS html FROM r),
+agg AS (SELECT string_agg(html, ' ' ORDER BY rule_id) FILTER (WHERE failed) AS fr,
+               string_agg(html, ' ' ORDER BY rule_id) FILTER (WHERE NOT failed) AS pr FROM h)
+SELECT 101 AS dq_id,
+  '<html><body><P>Team,<br/><br/>Data Quality check finished successfully for <b>DQ ID = 101</b>'
+  || CASE WHEN fr IS NOT NULL THEN ', with failures. ' ELSE '. ' END
+  || 'Check details in below table of metrics.</P>'
+  || CASE WHEN fr IS NOT NULL THEN '{table("Failed DQ details", FAILED_COLOUR)}' || fr || '</table>' ELSE '' END
+  || CASE WHEN pr IS NOT NULL THEN '{table("Succeeded DQ details", PASSED_COLOUR)}' || pr || '</table>' ELSE '' END
+  || '<br/><br/>Executed on 2024-01-01 00:00:00,<br/>Thanks</body></html><br/>' AS html
+FROM agg
+"""
+
+
 ORACLES: dict[str, str] = {
     "flatten_prefixed": FLATTEN_PREFIXED,
     "flatten_plain": FLATTEN_PLAIN,
@@ -192,6 +234,7 @@ ORACLES: dict[str, str] = {
     "rule_query": RULE_QUERY,
     "rules_report": RULES_REPORT,
     "rules_failed": RULES_FAILED,
+    "rules_html": _html_oracle(),
     "rules_verdict": RULES_VERDICT,
     "missing_keys": MISSING_KEYS,
     "missing_files": MISSING_FILES,
