@@ -132,8 +132,15 @@ def fused_counts(df: DataFrame, not_null: Sequence[Rule], unique: Sequence[Rule]
         F.count(F.lit(1)).alias("__fg_n"),
         *[F.count_if(F.col(f"__fg_p{i}")).alias(f"__fg_nn{i}") for i in range(len(not_null))],
     ]
+    level2_aggs = [
+        F.sum("__fg_n").alias("__fg_total"),
+        F.count_if(F.col("__fg_n") > 1).alias("__fg_dups"),
+        *[F.sum(f"__fg_nn{i}").alias(f"__fg_nn{i}") for i in range(len(not_null))],
+    ]
     if len(key_sets) == 1:
-        level1 = src.groupBy(*[alias[k] for k in key_sets[0]]).agg(*level1_aggs).withColumn("__fg_gid", F.lit(0))
+        # one key list: a plain groupBy, then a keyless global aggregate
+        level1 = src.groupBy(*[alias[k] for k in key_sets[0]]).agg(*level1_aggs)
+        level2 = level1.agg(*level2_aggs).withColumn("__fg_gid", F.lit(0))
         gid_of = {key_sets[0]: 0}
     else:
         sets = [[alias[k] for k in ks] for ks in key_sets]
@@ -143,12 +150,8 @@ def fused_counts(df: DataFrame, not_null: Sequence[Rule], unique: Sequence[Rule]
         # grouping_id bit (n-1-i) is 1 when key i is NOT grouped
         n = len(all_keys)
         gid_of = {ks: sum(1 << (n - 1 - i) for i, k in enumerate(all_keys) if k not in ks) for ks in key_sets}
-    # Level 2: one row per key set (a global aggregate per grouping id)
-    level2 = level1.groupBy("__fg_gid").agg(
-        F.sum("__fg_n").alias("__fg_total"),
-        F.count_if(F.col("__fg_n") > 1).alias("__fg_dups"),
-        *[F.sum(f"__fg_nn{i}").alias(f"__fg_nn{i}") for i in range(len(not_null))],
-    )
+        # Level 2: one row per key set (a global aggregate per grouping id)
+        level2 = level1.groupBy("__fg_gid").agg(*level2_aggs)
     rows = {r["__fg_gid"]: r for r in level2.collect()}  # one small row per key set
     first = rows.get(gid_of[key_sets[0]])
     out["total"] = int(first["__fg_total"]) if first else 0
