@@ -379,8 +379,9 @@ def leaf_paths(
     ``exclude`` skipped at every depth; empty objects/arrays give nothing;
     a JSON null gives a null value; values are the scalar's text.
 
-    The text is parsed once into VARIANT; each nesting level is one
-    ``explode`` over the entries of the objects and arrays still open. The
+    The text is parsed once into VARIANT; each nesting level fans the
+    objects and arrays still open out to their entries with two plain outer
+    generators (all levels fuse into one codegen stage, no shuffle). The
     number of levels comes from one ``schema_of_variant_agg`` pass; if the
     merged schema hides depth behind a VARIANT (mixed types), the plan grows
     level by level until nothing is left open, and raises past
