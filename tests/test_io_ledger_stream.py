@@ -192,3 +192,23 @@ def test_job_entry(spark, tmp, capsys):
                  "--job-id", "j1", "--report", os.path.join(tmp, "jrep")]) == 0
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out == {"job_id": "j1", "total": 40, "loaded": 32, "errors": 8, "rules_failed": 1}
+
+
+def test_flatten_and_leaf_paths_on_a_stream(spark, tmp):
+    from flatgate.operators.flatten import flatten, leaf_paths
+    from flatgate.streaming.files import stream_to_parquet
+
+    src = os.path.join(tmp, "sarr")
+    _lines(os.path.join(src, "a.json"), [json.dumps({"id": i, "s": {"x": i}, "xs": [i, i + 1], "j": '{"k": %d}' % i})
+                                        for i in range(4)])
+    schema = "id int, s struct<x int>, xs array<int>, j string"
+    flat = flatten(stream_json(spark, src, schema), prefix=True)
+    out = os.path.join(tmp, "sflat")
+    stream_to_parquet(flat, out, os.path.join(tmp, "sck1")).awaitTermination()
+    assert spark.read.parquet(out).count() == 8
+    leaves = leaf_paths(stream_json(spark, src, schema), "id", "j", depth=1)  # no schema pass on a stream
+    out2 = os.path.join(tmp, "sleaf")
+    stream_to_parquet(leaves, out2, os.path.join(tmp, "sck2")).awaitTermination()
+    assert sorted((r.id, r.path, r.value) for r in spark.read.parquet(out2).collect()) == [
+        (i, "k", str(i)) for i in range(4)
+    ]
