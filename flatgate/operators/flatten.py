@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructField, StructType
 
+from flatgate.session import ensure_checkpoint_dir
+
 
 def quote(name: str) -> str:
     """Back-quote a column name so dots, spaces and backticks resolve."""
@@ -441,8 +443,17 @@ def leaf_paths(
     frontier = base
     level = 0
     while True:
-        if level >= planned and (exact or frontier.filter(is_open).isEmpty()):
-            break
+        if level >= planned:
+            if exact:
+                break
+            # Past what the merged schema shows: materialise this level in
+            # the shared checkpoint folder (lineage cut), so the emptiness
+            # check and every further level start here instead of parsing
+            # all documents again.
+            ensure_checkpoint_dir(df.sparkSession)
+            frontier = frontier.checkpoint(eager=True)
+            if frontier.filter(is_open).isEmpty():
+                break
         if level >= max_depth:
             raise ValueError(f"leaf_paths: documents nest deeper than max_depth={max_depth}")
         frontier = step(frontier)
