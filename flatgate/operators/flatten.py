@@ -208,11 +208,19 @@ def _flatten_prefixed(df: DataFrame, sep: str) -> DataFrame:
     return df
 
 
-def flatten(df: DataFrame, prefix: bool = False, sep: str = "_") -> DataFrame:
+def flatten(df: DataFrame, prefix: bool = False, sep: str = "_", max_rows: int | None = None) -> DataFrame:
     """F1 (``prefix=False``) or F2 (``prefix=True``): every struct and array
     gone, maps kept. Null structs give null children; null or empty arrays
-    keep their row with nulls."""
+    keep their row with nulls.
+
+    ``max_rows`` (opt-in) first counts the exact output size in one
+    aggregation pass and raises instead of starting a cross-product
+    blow-up of sibling arrays."""
     df = normalize_names(df)
+    if max_rows is not None:
+        n = explode_estimate(df)
+        if n > max_rows:
+            raise ValueError(f"flatten would produce {n} rows, more than max_rows={max_rows}")
     return _flatten_prefixed(df, sep) if prefix else _flatten_bare(df, sep)
 
 

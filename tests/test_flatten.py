@@ -41,6 +41,17 @@ def test_sibling_arrays_multiply(spark):
     assert flatten(df, prefix=True).count() == 7
 
 
+def test_flatten_refuses_blow_up_when_asked(spark):
+    df = spark.createDataFrame([(1, list(range(10)), list(range(10)))], "id int, a array<int>, b array<int>")
+    assert flatten(df, max_rows=100).count() == 100
+    try:
+        flatten(df, max_rows=99)
+    except ValueError as ex:
+        assert "100 rows" in str(ex)
+    else:
+        raise AssertionError("expected the guard to refuse")
+
+
 def test_name_clash_with_top_level(spark):
     df = spark.createDataFrame([(1, Row(id=2, v="x"))], "id int, s struct<id int, v string>")
     out = flatten(df)
