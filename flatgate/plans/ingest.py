@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from flatgate.functions.predicates import parse_columns
 from flatgate.operators.flatten import flatten
@@ -71,7 +72,9 @@ def ingest_frame(df: DataFrame, columns: str | Iterable[str], out_root: str, job
         total = int(m.get("total_record_count", 0))
         errors = int(m.get("error_record_count", 0))
         spark = df.sparkSession
-        bad = bad_rows(spark, out_root, job_id)
+        # the written schema is known: no footer-reading job to rediscover it
+        written = StructType(flagged.schema.fields + [StructField(JOB_COL, StringType(), True)])
+        bad = bad_rows(spark, out_root, job_id, schema=written)
         write_csv(bad, f"{quarantine_path}/{JOB_COL}={job_id}", mode="overwrite", overwrite_mode="static")
         if ledger is not None:
             ledger.finish(job_id, total, total - errors, errors, q_location, COMPLETED)
@@ -82,9 +85,9 @@ def ingest_frame(df: DataFrame, columns: str | Iterable[str], out_root: str, job
         raise
 
 
-def _rows(spark: SparkSession, out_root: str, job_id: str | None, flag: bool) -> DataFrame:
+def _rows(spark: SparkSession, out_root: str, job_id: str | None, flag: bool, schema=None) -> DataFrame:
     rows = f"{out_root.rstrip('/')}/rows"
-    reader = spark.read
+    reader = spark.read if schema is None else spark.read.schema(schema)
     if job_id is not None:
         # list only this job's folder; basePath keeps job_id as a column
         reader = reader.option("basePath", rows)
@@ -94,14 +97,14 @@ def _rows(spark: SparkSession, out_root: str, job_id: str | None, flag: bool) ->
     return df.filter(F.col(FLAG) == F.lit(flag))
 
 
-def good_rows(spark: SparkSession, out_root: str, job_id: str | None = None) -> DataFrame:
+def good_rows(spark: SparkSession, out_root: str, job_id: str | None = None, schema=None) -> DataFrame:
     """Good rows of a run (flag dropped), read from the flag=false partition."""
-    return _rows(spark, out_root, job_id, False).drop(FLAG, JOB_COL)
+    return _rows(spark, out_root, job_id, False, schema).drop(FLAG, JOB_COL)
 
 
-def bad_rows(spark: SparkSession, out_root: str, job_id: str | None = None) -> DataFrame:
+def bad_rows(spark: SparkSession, out_root: str, job_id: str | None = None, schema=None) -> DataFrame:
     """Quarantined rows of a run, flag kept."""
-    return _rows(spark, out_root, job_id, True).drop(JOB_COL)
+    return _rows(spark, out_root, job_id, True, schema).drop(JOB_COL)
 
 
 def validate_and_process(spark: SparkSession, source_path: str, columns: str | Iterable[str], out_root: str,
