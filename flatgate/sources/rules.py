@@ -37,9 +37,11 @@ def rules_table(raw: DataFrame) -> DataFrame:
         if "columns" not in fields:
             columns = F.lit(None).cast("array<string>")
         elif isinstance(elem["columns"].dataType, StringType):  # "a, b" written as text
-            columns = F.filter(F.transform(F.split(get("columns", "string"), ","), F.trim), lambda c: c != "")
+            columns = F.filter(F.transform(F.split(get("columns", "string"), ","), lambda c: F.trim(c)), lambda c: c != "")
         else:
-            columns = F.transform(get("columns", "array<string>"), F.trim)
+            # one-argument lambdas only: transform reads the arity, and
+            # F.trim's optional second parameter would receive the index
+            columns = F.transform(get("columns", "array<string>"), lambda c: F.trim(c))
         return exploded.select(
             "dq_id",
             get("rule_id", "int").alias("rule_id"),

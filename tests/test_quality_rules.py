@@ -161,6 +161,11 @@ def test_rules_file_shapes(spark, tmp):
     with open(mixed, "w") as fh:
         json.dump({"dq_id": 3, "rules": [{"rule_id": 1, "name": "n", "rule_type": " Not Null ", "columns": "a , b"}]}, fh)
     assert load_rules(spark, mixed) == [R.Rule(1, "n", R.NOT_NULL, None, ("a", "b"), None, 3)]
+    listed = os.path.join(tmp, "listed.json")
+    with open(listed, "w") as fh:
+        json.dump({"dq_id": 3, "rules": [{"rule_id": 1, "rule_type": "unique", "columns": ["col0 ", " col1", "c2"]}]}, fh)
+    assert list(read_rules(spark, listed).first().columns) == ["col0", "col1", "c2"]
+    assert list(read_rules(spark, mixed).first().columns) == ["a", "b"]
     t2 = read_rules(spark, flat).first()
     assert (t2.rule_type, list(t2.columns), t2.dq_file_path) == ("not null", ["a", "b"], "s3://x/")
 
