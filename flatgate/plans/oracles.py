@@ -213,6 +213,11 @@ ORACLES: dict[str, str] = {
         f"SELECT conv_id, CAST(floor(turn / {CONV_PART}) AS BIGINT) AS part, "
         "string_agg(role, ',' ORDER BY turn) AS fingerprint FROM conversations GROUP BY ALL"
     ),
+    "fingerprint_first_seen": (
+        f"SELECT conv_id, part, fingerprint FROM (SELECT conv_id, CAST(floor(turn / {CONV_PART}) AS BIGINT) AS part, "
+        "string_agg(role, ',' ORDER BY turn) AS fingerprint FROM conversations GROUP BY ALL) "
+        "QUALIFY row_number() OVER (PARTITION BY fingerprint ORDER BY conv_id, part) = 1"
+    ),
     "dedup_keep_first": "SELECT * FROM documents QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1",
     "keep_known": "SELECT o_orderkey, o_totalprice, o_orderdate FROM orders",
     "stamp_job": f"SELECT o_orderkey, 'job_{FIXED_STAMP}' AS job_id FROM orders",

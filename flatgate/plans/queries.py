@@ -119,6 +119,17 @@ def q_merge_columns(spark, sf):
     return merged.select("conv_id", "part", "fingerprint")
 
 
+def q_fingerprint_first_seen(spark, sf):
+    """Pipeline D over conversation documents: role fingerprint per
+    document, keep (conv_id, part, fingerprint), first document per
+    fingerprint."""
+    from flatgate.plans.positional import positional_report
+
+    docs = FX.conversations_nested(spark, sf, CONV_PART)
+    return positional_report(docs, r"t_\d+_role", "fingerprint", ["conv_id", "part"], ["fingerprint"],
+                             ["conv_id", "part"])
+
+
 def q_dedup_keep_first(spark, sf):
     return C.dedup_keep_first(T(spark, sf, "documents"), ["text"], ["doc_id"])
 
@@ -490,6 +501,7 @@ QUERIES: dict[str, Query] = {
     "merge_fingerprint": q_merge_fingerprint,
     "merge_columns": q_merge_columns,
     "dedup_keep_first": q_dedup_keep_first,
+    "fingerprint_first_seen": q_fingerprint_first_seen,
     "keep_known": q_keep_known,
     "stamp_job": q_stamp_job,
     "preview_top": q_preview_top,
