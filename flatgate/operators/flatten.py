@@ -31,6 +31,31 @@ def col_of(name: str) -> Column:
     return F.col(quote(name))
 
 
+# Flatten plans are built as SQL expression text and applied with one
+# ``selectExpr`` per level: one driver->JVM call per projection instead of
+# several per column, which keeps planning time flat on wide schemas.
+Cols = list[tuple[str, str, DataType]]  # (output name, SQL expression, type)
+
+
+def _frame_cols(df: DataFrame) -> Cols:
+    return [(f.name, quote(f.name), f.dataType) for f in df.schema.fields]
+
+
+def _select(df: DataFrame, cols: Cols, generator_at: int | None = None) -> tuple[DataFrame, Cols]:
+    """Apply ``cols`` (outer-exploding column ``generator_at``) and return
+    the new frame with its columns re-based on their output names."""
+    exprs = []
+    out: Cols = []
+    for i, (name, expr, dt) in enumerate(cols):
+        if i == generator_at:
+            exprs.append(f"explode_outer({expr}) AS {quote(name)}")
+            dt = dt.elementType
+        else:
+            exprs.append(f"{expr} AS {quote(name)}")
+        out.append((name, quote(name), dt))
+    return df.selectExpr(*exprs), out
+
+
 def is_complex(dt: DataType) -> bool:
     return isinstance(dt, (StructType, ArrayType))
 
@@ -87,8 +112,9 @@ def normalize_names(df: DataFrame) -> DataFrame:
     """
     namer = Namer()
     new_names = [namer.claim(f.name) for f in df.schema.fields]
-    if new_names != df.columns:
-        df = df.toDF(*new_names)
+    # always re-alias: fresh attributes carry no table qualifier, so
+    # ``a`.`b`` in the generated SQL can only mean field b of column a
+    df = df.toDF(*new_names)
     casts = []
     changed = False
     for f in df.schema.fields:
@@ -115,32 +141,25 @@ def _flatten_bare(df: DataFrame, sep: str) -> DataFrame:
     """First complex column in schema order is handled each turn: a struct's
     children are appended at the end under their bare names (parent dropped),
     an array is outer-exploded in place. Repeats until nothing is nested."""
-    # each entry: [name, expression, type, path]
-    cols = [[f.name, col_of(f.name), f.dataType, (f.name,)] for f in df.schema.fields]
+    cols: Cols = _frame_cols(df)
+    paths = {c[0]: (c[0],) for c in cols}  # output name -> original path, for fallback names
     namer = Namer(c[0] for c in cols)
     while True:
         idx = next((i for i, c in enumerate(cols) if is_complex(c[2])), None)
         if idx is None:
             break
-        name, expr, dt, path = cols[idx]
+        name, expr, dt = cols[idx]
         if isinstance(dt, StructType):
             del cols[idx]
             namer.release(name)
             for f in dt.fields:
-                child_path = path + (f.name,)
+                child_path = paths[name] + (f.name,)
                 nm = namer.claim(f.name, sep.join(child_path), sep=sep)
-                cols.append([nm, expr.getField(f.name), f.dataType, child_path])
+                paths[nm] = child_path
+                cols.append((nm, f"{expr}.{quote(f.name)}", f.dataType))
         else:
-            sel = [
-                (F.explode_outer(e) if j == idx else e).alias(n)
-                for j, (n, e, _t, _p) in enumerate(cols)
-            ]
-            df = df.select(*sel)
-            cols = [
-                [n, col_of(n), (t.elementType if j == idx else t), p]
-                for j, (n, _e, t, p) in enumerate(cols)
-            ]
-    return df.select(*[e.alias(n) for n, e, _t, _p in cols])
+            df, cols = _select(df, cols, generator_at=idx)
+    return df.selectExpr(*[f"{expr} AS {quote(n)}" for n, expr, _t in cols])
 
 
 # ---------------------------------------------------------------------------
@@ -148,30 +167,27 @@ def _flatten_bare(df: DataFrame, sep: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def _struct_pass_exprs(df: DataFrame, sep: str) -> list[Column] | None:
-    """Aliased leaf expressions of one struct pass, or None if no struct.
+def _struct_pass(cols: Cols, sep: str) -> Cols | None:
+    """Columns after one struct pass, or None if there is no struct.
 
     Order: leaves of a node first, then its struct children taken from a
     stack (last struct first), each named ``parent<sep>child``.
     """
-    if not any(isinstance(f.dataType, StructType) for f in df.schema.fields):
+    if not any(isinstance(t, StructType) for _n, _e, t in cols):
         return None
-    out: list[Column] = []
+    out: Cols = []
     namer = Namer()
-    stack: list[tuple[str | None, Column | None, StructType]] = [(None, None, df.schema)]
+    stack: list[tuple[str | None, Cols]] = [(None, cols)]
     while stack:
-        prefix, base, node = stack.pop()
-        for f in node.fields:
-            if isinstance(f.dataType, StructType):
-                continue
-            expr = col_of(f.name) if base is None else base.getField(f.name)
-            name = f.name if prefix is None else f"{prefix}{sep}{f.name}"
-            out.append(expr.alias(namer.claim(name, sep=sep)))
-        for f in node.fields:
-            if isinstance(f.dataType, StructType):
-                expr = col_of(f.name) if base is None else base.getField(f.name)
-                name = f.name if prefix is None else f"{prefix}{sep}{f.name}"
-                stack.append((name, expr, f.dataType))
+        prefix, node = stack.pop()
+        for name, expr, t in node:
+            if not isinstance(t, StructType):
+                full = name if prefix is None else f"{prefix}{sep}{name}"
+                out.append((namer.claim(full, sep=sep), expr, t))
+        for name, expr, t in node:
+            if isinstance(t, StructType):
+                full = name if prefix is None else f"{prefix}{sep}{name}"
+                stack.append((full, [(f.name, f"{expr}.{quote(f.name)}", f.dataType) for f in t.fields]))
     return out
 
 
@@ -179,32 +195,40 @@ def flatten_structs(df: DataFrame, sep: str = "_") -> DataFrame:
     """expand every struct to ``parent<sep>child`` columns; arrays and
     maps are leaves. One ``select``."""
     df = normalize_names(df)
-    exprs = _struct_pass_exprs(df, sep)
-    return df if exprs is None else df.select(*exprs)
+    cols = _struct_pass(_frame_cols(df), sep)
+    return df if cols is None else _select(df, cols)[0]
 
 
 def explode_all(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """outer-explode each listed array column in place (all top-level
     arrays when ``cols`` is None). Sibling arrays multiply: a row with arrays
     of 3 and 2 elements gives 6 rows; null or empty arrays keep the row."""
-    if cols is None:
-        cols = [f.name for f in df.schema.fields if isinstance(f.dataType, ArrayType)]
-    for c in cols:
-        df = df.select(*[(F.explode_outer(col_of(n)) if n == c else col_of(n)).alias(n) for n in df.columns])
+    df, _cols = _explode_each(df, _frame_cols(df), cols)
     return df
 
 
+def _explode_each(df: DataFrame, cols: Cols, names: Sequence[str] | None = None) -> tuple[DataFrame, Cols]:
+    if names is None:
+        names = [n for n, _e, t in cols if isinstance(t, ArrayType)]
+    for name in names:
+        idx = next(i for i, c in enumerate(cols) if c[0] == name)
+        df, cols = _select(df, cols, generator_at=idx)
+    return df, cols
+
+
 def _flatten_prefixed(df: DataFrame, sep: str) -> DataFrame:
     """struct pass, then rounds of (explode every array, struct pass)
-    until no array is left."""
-    exprs = _struct_pass_exprs(df, sep)
-    if exprs is not None:
-        df = df.select(*exprs)
-    while any(isinstance(f.dataType, ArrayType) for f in df.schema.fields):
-        df = explode_all(df)
-        exprs = _struct_pass_exprs(df, sep)
-        if exprs is not None:
-            df = df.select(*exprs)
+    until no array is left. Types are tracked on the driver, so no round
+    asks the JVM for a schema."""
+    cols = _frame_cols(df)
+    passed = _struct_pass(cols, sep)
+    if passed is not None:
+        df, cols = _select(df, passed)
+    while any(isinstance(t, ArrayType) for _n, _e, t in cols):
+        df, cols = _explode_each(df, cols)
+        passed = _struct_pass(cols, sep)
+        if passed is not None:
+            df, cols = _select(df, passed)
     return df
 
 
@@ -331,25 +355,26 @@ def flatten_positional(
     df = normalize_names(df)
     exclude = frozenset(exclude)
     widths = array_widths(df, exclude) if max_items is None else None
-    out: list[Column] = []
+    out: list[str] = []
     namer = Namer()
 
-    def emit(expr: Column, dt: DataType, parts: tuple, key: tuple) -> None:
+    def emit(expr: str, dt: DataType, parts: tuple, key: tuple) -> None:
         if isinstance(dt, StructType):
             for f in dt.fields:
                 if f.name not in exclude:
-                    emit(expr.getField(f.name), f.dataType, parts + (f.name,), key + (f.name,))
+                    emit(f"{expr}.{quote(f.name)}", f.dataType, parts + (f.name,), key + (f.name,))
         elif isinstance(dt, ArrayType):
             width = max_items if widths is None else widths.get(key, 0)
             for i in range(width):
-                emit(F.get(expr, F.lit(i)), dt.elementType, parts + (str(i),), key + ("[]",))
+                # get() is null past the end (never raises under ANSI)
+                emit(f"get({expr}, {i})", dt.elementType, parts + (str(i),), key + ("[]",))
         else:
-            out.append(expr.alias(namer.claim(sep.join(parts), sep=sep)))
+            out.append(f"{expr} AS {quote(namer.claim(sep.join(parts), sep=sep))}")
 
     for f in df.schema.fields:
         if f.name not in exclude:
-            emit(col_of(f.name), f.dataType, (f.name,), (f.name,))
-    return df.select(*out)
+            emit(quote(f.name), f.dataType, (f.name,), (f.name,))
+    return df.selectExpr(*out)
 
 
 # ---------------------------------------------------------------------------
