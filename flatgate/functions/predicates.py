@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -24,7 +23,7 @@ from pyspark.sql.types import (
 # Types whose text form is never empty or all spaces: only NULL can fail.
 _NEVER_BLANK = (NumericType, BooleanType, DateType, TimestampType, TimestampNTZType)
 
-from flatgate.operators.flatten import col_of
+from flatgate.operators.flatten import col_of, quote
 
 
 def parse_columns(spec: str | Sequence[str]) -> list[str]:
@@ -39,11 +38,12 @@ def parse_columns(spec: str | Sequence[str]) -> list[str]:
 
 def any_null(columns: Iterable[str]) -> Column:
     """True when ANY listed column IS NULL. Blank text is not null here.
-    Never NULL itself."""
+    Never NULL itself. (Built as SQL text: one driver->JVM call however
+    many columns.)"""
     cols = list(columns)
     if not cols:
         raise ValueError("any_null needs at least one column")
-    return reduce(lambda a, b: a | b, (col_of(c).isNull() for c in cols))
+    return F.expr(" OR ".join(f"{quote(c)} IS NULL" for c in cols))
 
 
 def is_blank(c: str | Column) -> Column:
@@ -53,24 +53,30 @@ def is_blank(c: str | Column) -> Column:
     return c.isNull() | c.cast("string").rlike(r"(?U)^\s*$")
 
 
-def _failure_for(c: Column, dt: DataType | None) -> Column:
+def _failure_sql(name: str, dt: DataType | None) -> str:
+    q = quote(name)
     if isinstance(dt, (ArrayType, MapType)):
-        return c.isNull() | (F.size(c) == 0)
+        return f"({q} IS NULL OR size({q}) = 0)"
     if isinstance(dt, (StructType, BinaryType) + _NEVER_BLANK):
         # TRIM(text) = '' can never hold for these (NaN reads 'NaN'): skip
         # the cast to text, which would cost more than the whole test
-        return c.isNull()
-    text = c if isinstance(dt, StringType) else c.cast("string")
-    # TRIM removes the space character only: a lone tab passes, NaN passes
-    return c.isNull() | (F.trim(text) == F.lit(""))
+        return f"({q} IS NULL)"
+    text = q if isinstance(dt, StringType) else f"CAST({q} AS STRING)"
+    # TRIM removes the space character only: a lone tab passes
+    return f"({q} IS NULL OR trim({text}) = '')"
 
 
-def not_null_failure(columns: Iterable[str], types: dict[str, DataType] | None = None) -> Column:
-    """P5: the not-null rule's failure test, ``c IS NULL OR TRIM(c) = ''``
-    OR-ed over the columns. Non-text columns are compared through their text
-    form; arrays and maps fail when null or empty."""
+def not_null_failure_sql(columns: Iterable[str], types: dict[str, DataType] | None = None) -> str:
+    """SQL text of ``not_null_failure``."""
     types = types or {}
     cols = list(columns)
     if not cols:
         raise ValueError("not_null_failure needs at least one column")
-    return reduce(lambda a, b: a | b, (_failure_for(col_of(c), types.get(c)) for c in cols))
+    return " OR ".join(_failure_sql(c, types.get(c)) for c in cols)
+
+
+def not_null_failure(columns: Iterable[str], types: dict[str, DataType] | None = None) -> Column:
+    """P5: the not-null rule's failure test, ``c IS NULL OR TRIM(c) = ''``
+    OR-ed over the columns. Non-text columns are compared through their text
+    form; arrays and maps fail when null or empty."""
+    return F.expr(not_null_failure_sql(columns, types))

@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
-from flatgate.functions.predicates import not_null_failure, parse_columns
-from flatgate.operators.flatten import col_of
+from flatgate.functions.predicates import not_null_failure_sql, parse_columns
+from flatgate.operators.flatten import col_of, quote
 
 # Rule type names as they appear in rule files.
 NOT_NULL = "not null"
@@ -99,8 +99,9 @@ def fused_counts(df: DataFrame, not_null: Sequence[Rule], unique: Sequence[Rule]
     together. Rules sharing a key list share a grouping set.
     """
     types = _types(df)
+    # SQL text: one driver->JVM call per rule, however many columns
     nn_exprs = [
-        F.count_if(not_null_failure(r.columns, types)).alias(f"__fg_nn{i}") for i, r in enumerate(not_null)
+        F.expr(f"count_if({not_null_failure_sql(r.columns, types)}) AS __fg_nn{i}") for i, r in enumerate(not_null)
     ]
     key_sets: list[tuple[str, ...]] = []
     for r in unique:
@@ -121,9 +122,9 @@ def fused_counts(df: DataFrame, not_null: Sequence[Rule], unique: Sequence[Rule]
             if k not in all_keys:
                 all_keys.append(k)
     alias = {k: f"__fg_k{i}" for i, k in enumerate(all_keys)}
-    src = df.select(
-        *[col_of(k).alias(alias[k]) for k in all_keys],
-        *[not_null_failure(r.columns, types).alias(f"__fg_p{i}") for i, r in enumerate(not_null)],
+    src = df.selectExpr(
+        *[f"{quote(k)} AS {alias[k]}" for k in all_keys],
+        *[f"({not_null_failure_sql(r.columns, types)}) AS __fg_p{i}" for i, r in enumerate(not_null)],
     )
     # Level 1: count per key group. Totals and not-null failures are summed
     # from the groups of the first key set, so no extra grouping set (and,
