@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flatgate.functions.text import merge_values
-from flatgate.operators.flatten import col_of
+from flatgate.operators.flatten import col_of, quote
 
 
 def merge_columns(df: DataFrame, pattern: str, out: str, sep: str = ",") -> DataFrame:
@@ -54,17 +54,18 @@ def dedup_keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str
     different keys.
     """
     keys = list(keys)
-    order = [col_of(c) if isinstance(c, str) else c for c in order_by]
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.select(*[col_of(k) for k in keys]).distinct()
+    order = [c if isinstance(c, Column) else F.expr(quote(c)) for c in order_by]
     ord_key = order[0] if len(order) == 1 else F.struct(*order)
-    row = F.struct(*[col_of(c) for c in rest])
-    key_hash = F.xxhash64(*[col_of(k) for k in keys]).alias("__fg_h")
-    picked = df.groupBy(key_hash, *[col_of(k) for k in keys]).agg(F.min_by(row, ord_key).alias("__fg_row"))
-    return picked.select(*[col_of(k) for k in keys], *[F.col("__fg_row").getField(c).alias(c) for c in rest]).select(
-        *[col_of(c) for c in df.columns]
+    # SQL text for the wide parts (one driver->JVM call, however many columns)
+    key_list = ", ".join(quote(k) for k in keys)
+    row = F.expr("struct(" + ", ".join(quote(c) for c in rest) + ")")
+    picked = df.groupBy(F.expr(f"xxhash64({key_list})").alias("__fg_h"), *[F.expr(quote(k)) for k in keys]).agg(
+        F.min_by(row, ord_key).alias("__fg_row")
     )
+    return picked.selectExpr(*[f"{quote(c)}" if c in keys else f"__fg_row.{quote(c)} AS {quote(c)}" for c in df.columns])
 
 
 def preview(df: DataFrame, order_by: Sequence[str | Column], n: int = 100) -> DataFrame:

@@ -15,7 +15,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flatgate.operators.flatten import col_of
+from flatgate.operators.flatten import col_of, quote
 
 # Run states.
 STARTED = "STARTED"
@@ -46,10 +46,9 @@ def latest_per_key(df: DataFrame, key: str | list[str], order: str) -> DataFrame
     """The whole latest row per key (by ``order``), as a partial aggregate."""
     keys = [key] if isinstance(key, str) else list(key)
     rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*[col_of(k) for k in keys]).agg(
-        F.max_by(F.struct(*[col_of(c) for c in rest]), col_of(order)).alias("__fg_row")
-    )
-    return picked.select(*[col_of(k) for k in keys], *[F.col("__fg_row").getField(c).alias(c) for c in rest])
+    row = "struct(" + ", ".join(quote(c) for c in rest) + ")"
+    picked = df.groupBy(*[col_of(k) for k in keys]).agg(F.expr(f"max_by({row}, {quote(order)}) AS __fg_row"))
+    return picked.selectExpr(*[quote(k) for k in keys], *[f"__fg_row.{quote(c)} AS {quote(c)}" for c in rest])
 
 
 class Ledger:
