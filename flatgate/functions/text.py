@@ -45,6 +45,14 @@ def merge_values(cols: Iterable[str | Column], sep: str = ",") -> Column:
     return F.concat_ws(sep, *parts)
 
 
+def html_escape_sql(expr: str) -> str:
+    """SQL text escaping ``& < > " '`` in the text of ``expr``."""
+    out = f"CAST({expr} AS STRING)"
+    for raw, esc in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):
+        out = f"replace({out}, '{raw.replace(chr(39), chr(39) * 2)}', '{esc}')"
+    return out
+
+
 def html_escape(c: str | Column) -> Column:
     """Escape ``& < > " '`` so data cannot inject markup into a report."""
     c = col_of(c) if isinstance(c, str) else c

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flatgate.functions.text import REPORT_TIME_FORMAT, html_escape
+from flatgate.functions.text import REPORT_TIME_FORMAT, html_escape_sql
+from flatgate.operators.flatten import quote
 
 # Report column headers, in order.
 REPORT_HEADERS = (
@@ -65,8 +66,9 @@ def report_html(results: DataFrame, executed_at: F.Column | None = None) -> Data
     rows, so each group is as small as the rule set.
     """
     executed_at = executed_at if executed_at is not None else F.current_timestamp()
-    cells = [F.concat(F.lit("<td>"), F.coalesce(html_escape(c), F.lit("")), F.lit("</td>")) for c in REPORT_COLUMNS]
-    row_html = F.concat(F.lit("<tr>"), F.concat_ws(" ", *cells), F.lit("</tr>"))
+    # one SQL expression for the whole row (one driver->JVM call)
+    cells = ", ".join(f"concat('<td>', coalesce({html_escape_sql(quote(c))}, ''), '</td>')" for c in REPORT_COLUMNS)
+    row_html = F.expr(f"concat('<tr>', concat_ws(' ', {cells}), '</tr>')")
     per_rule = results.select(
         "dq_id", "rule_id", "status", row_html.alias("row_html")
     )
