@@ -71,6 +71,12 @@ def ingest_frame(df: DataFrame, columns: str | Iterable[str], out_root: str, job
         m = obs.get
         total = int(m.get("total_record_count", 0))
         errors = int(m.get("error_record_count", 0))
+        if total == 0:
+            # a partitioned write of no rows leaves no file: keep one empty,
+            # schema-carrying file so the job's rows stay readable
+            flagged.limit(0).drop(FLAG).write.mode("overwrite").parquet(
+                f"{rows_path}/{JOB_COL}={job_id}/{FLAG}=false"
+            )
         spark = df.sparkSession
         # the written schema is known: no footer-reading job to rediscover it
         written = StructType(flagged.schema.fields + [StructField(JOB_COL, StringType(), True)])

@@ -212,3 +212,14 @@ def test_flatten_and_leaf_paths_on_a_stream(spark, tmp):
     assert sorted((r.id, r.path, r.value) for r in spark.read.parquet(out2).collect()) == [
         (i, "k", str(i)) for i in range(4)
     ]
+
+
+def test_ingest_of_an_empty_arrival(spark, tmp):
+    from flatgate.plans.ingest import ingest_frame
+
+    df = spark.createDataFrame([], "id int, s struct<a int>, xs array<int>")
+    out = os.path.join(tmp, "empty")
+    res = ingest_frame(df, ["id"], out, "j0")
+    assert (res.total, res.loaded, res.errors) == (0, 0, 0)
+    assert good_rows(spark, out, "j0").count() == 0 and bad_rows(spark, out, "j0").count() == 0
+    assert set(good_rows(spark, out, "j0").columns) == {"id", "a", "xs"}
