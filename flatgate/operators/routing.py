@@ -34,10 +34,10 @@ def route_counts(df: DataFrame, name_col: str, labels: Sequence[str] = DEFAULT_R
 
 
 def route_target(df: DataFrame, route_col: str, targets: Mapping[str, str], out: str = "target_table") -> DataFrame:
-    """Logical name -> target table, through a small broadcast map.
-    Unmapped routes get NULL."""
-    if len(targets) > MAX_BROADCAST_MAP:
-        raise ValueError(f"route map has {len(targets)} entries; more than {MAX_BROADCAST_MAP} is not a config map")
+    """Logical name -> target table. Unmapped routes get NULL. The map
+    is broadcast when its size is within the checked bound; a larger one
+    is left to an ordinary (shuffle) join."""
     spark = df.sparkSession
     m = spark.createDataFrame(list(targets.items()), f"__fg_route string, {out} string")
-    return df.join(F.broadcast(m), col_of(route_col) == F.col("__fg_route"), "left").drop("__fg_route")
+    side = F.broadcast(m) if len(targets) <= MAX_BROADCAST_MAP else m
+    return df.join(side, col_of(route_col) == F.col("__fg_route"), "left").drop("__fg_route")
