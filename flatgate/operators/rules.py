@@ -24,6 +24,7 @@ from pyspark.sql.types import DataType
 
 from flatgate.functions.predicates import not_null_failure_sql, parse_columns
 from flatgate.operators.flatten import col_of, quote
+from flatgate.session import application_id
 
 # Rule type names as they appear in rule files.
 NOT_NULL = "not null"
@@ -194,7 +195,7 @@ def run_rules(df: DataFrame, rules: Sequence[Rule], app_id: str | None = None,
     their small final stages no longer leave the cluster idle in turn.
     """
     spark = df.sparkSession
-    app_id = app_id or spark.sparkContext.applicationId
+    app_id = app_id or application_id(spark)
     not_null = [r for r in rules if r.rule_type == NOT_NULL]
     unique = [r for r in rules if r.rule_type == UNIQUE]
     queries = [r for r in rules if r.rule_type == QUERY]

@@ -84,7 +84,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     used as is. Only when it is unset (tests, a laptop) a private folder is
     made and registered.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session has no local context
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -95,6 +101,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def application_id(spark: SparkSession) -> str:
+    """The running application's id (also without a local SparkContext)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return spark.conf.get("spark.app.id", "unknown")
+
+
 def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     """A fresh, unique folder under the shared checkpoint root.
 
