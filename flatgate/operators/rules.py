@@ -92,12 +92,13 @@ def _types(df: DataFrame) -> dict[str, DataType]:
     return {f.name: f.dataType for f in df.schema.fields}
 
 
-def fused_counts(df: DataFrame, not_null: Sequence[Rule], unique: Sequence[Rule]) -> dict:
-    """One scan: ``{'total': n, 'not_null': {rule_id: fails}, 'unique':
-    {rule_id: duplicated groups}}``.
+def fused_plan(df: DataFrame, not_null: Sequence[Rule], unique: Sequence[Rule]):
+    """The single-scan plan behind ``fused_counts``: ``(frame, gid_of)``.
 
-    Unique rules count duplicated key *groups* (not rows); NULL keys group
-    together. Rules sharing a key list share a grouping set.
+    Without unique rules ``frame`` is one row (``__fg_total`` and one
+    ``__fg_nn<i>`` per not-null rule) and ``gid_of`` is None; otherwise one
+    row per key list (``__fg_gid``, ``__fg_total``, ``__fg_dups``,
+    ``__fg_nn<i>``) and ``gid_of`` maps each key list to its id.
     """
     types = _types(df)
     # SQL text: one driver->JVM call per rule, however many columns
@@ -108,12 +109,8 @@ def fused_counts(df: DataFrame, not_null: Sequence[Rule], unique: Sequence[Rule]
     for r in unique:
         if tuple(r.columns) not in key_sets:
             key_sets.append(tuple(r.columns))
-    out = {"total": 0, "not_null": {}, "unique": {}}
     if not key_sets:
-        row = df.agg(F.count(F.lit(1)).alias("__fg_total"), *nn_exprs).first()
-        out["total"] = row["__fg_total"]
-        out["not_null"] = {r.rule_id: row[f"__fg_nn{i}"] for i, r in enumerate(not_null)}
-        return out
+        return df.agg(F.count(F.lit(1)).alias("__fg_total"), *nn_exprs), None
 
     # stable internal names for the key columns, so a rule column called
     # like one of our aliases (e.g. ``cnt``) can never be ambiguous
@@ -154,7 +151,25 @@ def fused_counts(df: DataFrame, not_null: Sequence[Rule], unique: Sequence[Rule]
         gid_of = {ks: sum(1 << (n - 1 - i) for i, k in enumerate(all_keys) if k not in ks) for ks in key_sets}
         # Level 2: one row per key set (a global aggregate per grouping id)
         level2 = level1.groupBy("__fg_gid").agg(*level2_aggs)
-    rows = {r["__fg_gid"]: r for r in level2.collect()}  # one small row per key set
+    return level2, gid_of
+
+
+def fused_counts(df: DataFrame, not_null: Sequence[Rule], unique: Sequence[Rule]) -> dict:
+    """One scan: ``{'total': n, 'not_null': {rule_id: fails}, 'unique':
+    {rule_id: duplicated groups}}``.
+
+    Unique rules count duplicated key *groups* (not rows); NULL keys group
+    together. Rules sharing a key list share a grouping set.
+    """
+    frame, gid_of = fused_plan(df, not_null, unique)
+    out = {"total": 0, "not_null": {}, "unique": {}}
+    if gid_of is None:
+        row = frame.first()
+        out["total"] = row["__fg_total"]
+        out["not_null"] = {r.rule_id: row[f"__fg_nn{i}"] for i, r in enumerate(not_null)}
+        return out
+    key_sets = list(gid_of)
+    rows = {r["__fg_gid"]: r for r in frame.collect()}  # one small row per key set
     first = rows.get(gid_of[key_sets[0]])
     out["total"] = int(first["__fg_total"]) if first else 0
     out["not_null"] = {r.rule_id: int(first[f"__fg_nn{i}"] or 0) if first else 0 for i, r in enumerate(not_null)}

@@ -72,3 +72,28 @@ def test_not_null_rules_are_one_global_aggregate(spark, capsys):
     p = plan(df, capsys)
     assert exchanges(p) == 1 and "SinglePartition" in p
     assert "CAST(l_quantity" not in p  # numeric columns are never cast to text
+
+
+def test_ingest_write_plan_has_no_shuffle(spark, nested_parquet, capsys):
+    from flatgate.operators.quality import observe_metrics
+    from flatgate.plans.ingest import flag_frame
+
+    observed, _obs = observe_metrics(flag_frame(spark.read.parquet(nested_parquet), ["st"]))
+    p = plan(observed, capsys)
+    assert exchanges(p) == 0
+    assert "CollectMetrics" in p
+
+
+def test_unique_rules_share_one_scan(spark, capsys):
+    from flatgate.operators import rules as R
+
+    o = spark.read.parquet(f"{SF}/orders.parquet")
+    frame, gid_of = R.fused_plan(
+        o,
+        [R.Rule(1, "s", R.NOT_NULL, columns=("o_orderstatus",))],
+        [R.Rule(2, "k", R.UNIQUE, columns=("o_orderkey",)), R.Rule(3, "c", R.UNIQUE, columns=("o_custkey",))],
+    )
+    assert len(gid_of) == 2
+    p = plan(frame, capsys)
+    assert len(re.findall(r"^\(\d+\) Scan parquet", p, flags=re.M)) == 1
+    assert len(re.findall(r"^\(\d+\) Expand", p, flags=re.M)) == 1
