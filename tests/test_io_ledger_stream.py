@@ -127,7 +127,7 @@ def test_ledger_current_keeps_fields_not_updated(spark):
 
 
 def test_routing(spark):
-    df = spark.createDataFrame([("Codat_balanceSheet_1.json",), ("x_INVOICES.json",), ("other.json",),
+    df = spark.createDataFrame([("acme_balanceSheet_1.json",), ("x_INVOICES.json",), ("other.json",),
                                 ("balancesheet_invoices.json",)], "name string")
     got = [r.route for r in with_route(df, "name").collect()]
     assert got == ["BalanceSheet", "Invoices", "other.json", "BalanceSheet"]
@@ -181,7 +181,7 @@ def test_job_entry(spark, tmp, capsys):
     from flatgate.__main__ import main
 
     src = os.path.join(tmp, "jsrc")
-    _lines(os.path.join(src, "Codat_balanceSheet_1.json"),
+    _lines(os.path.join(src, "acme_balanceSheet_1.json"),
            [json.dumps({"accountId": None if i % 5 == 0 else f"a{i}", "lines": [{"amt": i}, {"amt": i + 1}]})
             for i in range(20)])
     rules = os.path.join(tmp, "rules.json")

@@ -154,7 +154,7 @@ def test_rules_file_shapes(spark, tmp):
                                             "rule_type": "not null", "columns": ["accountId"]}]}, fh, indent=2)
     flat = os.path.join(tmp, "flat.json")
     with open(flat, "w") as fh:
-        fh.write(json.dumps({"columns": "a, b", "dq_file_path": "s3://x/"}))
+        fh.write(json.dumps({"columns": "a, b", "dq_file_path": "/data/quarantine/"}))
     r1 = load_rules(spark, nested)
     assert r1 == [R.Rule(1012, "NOT NULL fields", R.NOT_NULL, "d", ("accountId",), None, 101)]
     mixed = os.path.join(tmp, "mixed.json")
@@ -167,7 +167,7 @@ def test_rules_file_shapes(spark, tmp):
     assert list(read_rules(spark, listed).first().columns) == ["col0", "col1", "c2"]
     assert list(read_rules(spark, mixed).first().columns) == ["a", "b"]
     t2 = read_rules(spark, flat).first()
-    assert (t2.rule_type, list(t2.columns), t2.dq_file_path) == ("not null", ["a", "b"], "s3://x/")
+    assert (t2.rule_type, list(t2.columns), t2.dq_file_path) == ("not null", ["a", "b"], "/data/quarantine/")
 
 
 def test_fused_counts_one_grouping_pass(spark):
