@@ -24,6 +24,16 @@ REPORT_HEADERS = (
 # Header row colours of the failed and passed tables.
 FAILED_COLOUR = "#FF6347"
 PASSED_COLOUR = "#33FFBD"
+# The page's texts, in page order.
+PAGE_OPEN = "<html><body><P>Team,<br/><br/>Data Quality check finished successfully for <b>DQ ID = "
+DQ_ID_CLOSE = "</b>"
+WITH_FAILURES = ", with failures. "
+WITHOUT_FAILURES = ". "
+INTRO_CLOSE = "Check details in below table of metrics.</P>"
+FAILED_TITLE = "Failed DQ details"
+PASSED_TITLE = "Succeeded DQ details"
+EXECUTED_ON = "<br/><br/>Executed on "
+PAGE_CLOSE = ",<br/>Thanks</body></html><br/>"
 
 REPORT_COLUMNS = (
     "app_id",
@@ -84,21 +94,17 @@ def report_html(results: DataFrame, executed_at: F.Column | None = None) -> Data
     n_failed = F.size(F.filter("rows", lambda r: r["status"] == "fail"))
     n_passed = F.size(F.filter("rows", lambda r: r["status"] == "pass"))
     opening = F.concat(
-        F.lit("<html><body><P>Team,<br/><br/>Data Quality check finished successfully for <b>DQ ID = "),
+        F.lit(PAGE_OPEN),
         F.coalesce(F.col("dq_id").cast("string"), F.lit("")),
-        F.lit("</b>"),
-        F.when(n_failed > 0, F.lit(", with failures. ")).otherwise(F.lit(". ")),
-        F.lit("Check details in below table of metrics.</P>"),
-    )
-    closing = F.concat(
-        F.lit("<br/><br/>Executed on "),
-        F.date_format(executed_at, REPORT_TIME_FORMAT),
-        F.lit(",<br/>Thanks</body></html><br/>"),
+        F.lit(DQ_ID_CLOSE),
+        F.when(n_failed > 0, F.lit(WITH_FAILURES)).otherwise(F.lit(WITHOUT_FAILURES)),
+        F.lit(INTRO_CLOSE),
     )
+    closing = F.concat(F.lit(EXECUTED_ON), F.date_format(executed_at, REPORT_TIME_FORMAT), F.lit(PAGE_CLOSE))
     html = F.concat(
         opening,
-        F.when(n_failed > 0, _table("Failed DQ details", FAILED_COLOUR, joined("fail"))).otherwise(F.lit("")),
-        F.when(n_passed > 0, _table("Succeeded DQ details", PASSED_COLOUR, joined("pass"))).otherwise(F.lit("")),
+        F.when(n_failed > 0, _table(FAILED_TITLE, FAILED_COLOUR, joined("fail"))).otherwise(F.lit("")),
+        F.when(n_passed > 0, _table(PASSED_TITLE, PASSED_COLOUR, joined("pass"))).otherwise(F.lit("")),
         closing,
     )
     return grouped.select("dq_id", html.alias("html"))

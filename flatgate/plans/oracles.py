@@ -160,7 +160,20 @@ RULES_AFTER_INGEST = "\nUNION ALL\n".join(
 def _html_oracle() -> str:
     """The D10 page built in SQL from the same counts (values HTML-escaped
     by hand: the rule texts are constants of the query)."""
-    from flatgate.operators.report import FAILED_COLOUR, PASSED_COLOUR, REPORT_HEADERS
+    from flatgate.operators.report import (
+        DQ_ID_CLOSE,
+        EXECUTED_ON,
+        FAILED_COLOUR,
+        FAILED_TITLE,
+        INTRO_CLOSE,
+        PAGE_CLOSE,
+        PAGE_OPEN,
+        PASSED_COLOUR,
+        PASSED_TITLE,
+        REPORT_HEADERS,
+        WITH_FAILURES,
+        WITHOUT_FAILURES,
+    )
 
     header = " ".join(f"<th>{h}</th>" for h in REPORT_HEADERS)
 
@@ -189,12 +202,12 @@ h AS (SELECT rule_id, f > 0 AS failed, {row} AS html FROM r),
 agg AS (SELECT string_agg(html, ' ' ORDER BY rule_id) FILTER (WHERE failed) AS fr,
                string_agg(html, ' ' ORDER BY rule_id) FILTER (WHERE NOT failed) AS pr FROM h)
 SELECT 101 AS dq_id,
-  '<html><body><P>Team,<br/><br/>Data Quality check finished successfully for <b>DQ ID = 101</b>'
-  || CASE WHEN fr IS NOT NULL THEN ', with failures. ' ELSE '. ' END
-  || 'Check details in below table of metrics.</P>'
-  || CASE WHEN fr IS NOT NULL THEN '{table("Failed DQ details", FAILED_COLOUR)}' || fr || '</table>' ELSE '' END
-  || CASE WHEN pr IS NOT NULL THEN '{table("Succeeded DQ details", PASSED_COLOUR)}' || pr || '</table>' ELSE '' END
-  || '<br/><br/>Executed on 2024-01-01 00:00:00,<br/>Thanks</body></html><br/>' AS html
+  '{PAGE_OPEN}101{DQ_ID_CLOSE}'
+  || CASE WHEN fr IS NOT NULL THEN '{WITH_FAILURES}' ELSE '{WITHOUT_FAILURES}' END
+  || '{INTRO_CLOSE}'
+  || CASE WHEN fr IS NOT NULL THEN '{table(FAILED_TITLE, FAILED_COLOUR)}' || fr || '</table>' ELSE '' END
+  || CASE WHEN pr IS NOT NULL THEN '{table(PASSED_TITLE, PASSED_COLOUR)}' || pr || '</table>' ELSE '' END
+  || '{EXECUTED_ON}2024-01-01 00:00:00{PAGE_CLOSE}' AS html
 FROM agg
 """
 
