@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from flatgate.operators.flatten import col_of
+from flatgate.operators.flatten import col_of, quote
 
 # The routing labels of the arrival handler, in priority order.
 DEFAULT_ROUTE_LABELS = ("BalanceSheet", "Invoices")
@@ -39,10 +39,14 @@ def run_stamp(ts: str | Column) -> Column:
 def merge_values(cols: Iterable[str | Column], sep: str = ",") -> Column:
     """F7 core: values joined by ``sep``; nulls are skipped (never the text
     ``None``)."""
-    parts = [(col_of(c) if isinstance(c, str) else c).cast("string") for c in cols]
-    if not parts:
+    cols = list(cols)
+    if not cols:
         return F.lit("")
-    return F.concat_ws(sep, *parts)
+    if all(isinstance(c, str) for c in cols):
+        # SQL text: one driver->JVM call however many columns match
+        sep_sql = sep.replace("\\", "\\\\").replace("'", "\\'")
+        return F.expr(f"concat_ws('{sep_sql}', " + ", ".join(f"CAST({quote(c)} AS STRING)" for c in cols) + ")")
+    return F.concat_ws(sep, *[(col_of(c) if isinstance(c, str) else c).cast("string") for c in cols])
 
 
 def html_escape_sql(expr: str) -> str:

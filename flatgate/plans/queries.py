@@ -64,7 +64,9 @@ def q_flatten_structs(spark, sf):
 
 def q_flatten_positional(spark, sf):
     flat = FL.flatten_positional(T(spark, sf, "embeddings"))
-    return flat.select(*[F.col(c).cast("double").alias(c) if c.startswith("embedding_") else F.col(c) for c in flat.columns])
+    return flat.selectExpr(
+        *[f"CAST({FL.quote(c)} AS DOUBLE) AS {FL.quote(c)}" if c.startswith("embedding_") else FL.quote(c) for c in flat.columns]
+    )
 
 
 def q_flatten_positional_nested(spark, sf):
