@@ -1,4 +1,4 @@
-"""Job entry: ``spark-submit -m flatgate`` / ``python -m flatgate``.
+"""Job entry: ``python -m flatgate`` (cluster: ``spark-submit --py-files flatgate.zip flatgate/__main__.py``).
 
     python -m flatgate --source <dir> --rules <rules.json> --out <root>
         [--job-id ID] [--ledger <path>] [--report <dir>] [--columns a,b]
