@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from flatgate.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
@@ -44,11 +45,11 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) <= set(E.oracle_sql())
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data missing")
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
