@@ -44,6 +44,14 @@ def forget(spark: SparkSession, *paths: str) -> None:
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def free_name(columns: list[str], base: str) -> str:
+    """``base``, lengthened until no column has the name."""
+    taken = {c.lower() for c in columns}
+    while base in taken:
+        base += "_"
+    return base
+
+
 def raw_texts(column: pa.Array) -> Iterator[bytes]:
     """UTF-8 bytes of each text of an Arrow column, one at a time; a null
     is empty."""

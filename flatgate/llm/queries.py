@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from flatgate.llm.common import table
 from flatgate.llm.quality_rules import quality_rules
+from flatgate.llm.simhash import near_duplicates
 from flatgate.llm.token_counts import token_counts
+from flatgate.llm.toxicity import toxicity
 from flatgate.llm.url_filters import url_verdicts
 
 # The rule list of the URL query, (host, path, verdict).
@@ -19,6 +20,14 @@ URL_RULES = [
 ]
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).drop("host", "host_failure_rate")
 
@@ -32,6 +41,8 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_simhash": op1_simhash,
+    "op4_toxicity": op4_toxicity,
     "op6_quality_rules": op6_quality_rules,
     "op8_token_counts": op8_token_counts,
     "op10_url_filters": op10_url_filters,
