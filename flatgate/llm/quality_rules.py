@@ -91,9 +91,10 @@ def host_verdicts(counts: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataFra
     per domain; documents without one form a domain of their own (null)."""
     hosts = counts.groupBy("host").agg(
         F.count(F.lit(1)).alias("n_docs"), F.sum(F.col("base_failed").cast("long")).alias("n_failed"))
-    rate = (F.col("n_failed") + F.col("alpha")) / (F.col("n_docs") + F.col("alpha") + F.col("beta"))
-    # the prior is a single row
-    return hosts.join(F.broadcast(beta_prior(hosts)), how="cross").select(
+    prior = beta_prior(hosts).select(F.struct("alpha", "beta")).scalar()  # one row: a scalar subquery
+    hosts = hosts.withColumn("prior", prior)
+    rate = (F.col("n_failed") + F.col("prior.alpha")) / (F.col("n_docs") + F.col("prior.alpha") + F.col("prior.beta"))
+    return hosts.select(
         "host", "n_docs", "n_failed", rate.alias("failure_rate"), (rate > max_rate).alias("host_rejected"))
 
 

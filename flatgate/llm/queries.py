@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from flatgate.llm.common import table
+from flatgate.llm.merkle import document_fingerprints
+from flatgate.llm.packing import best_fit_packing
 from flatgate.llm.quality_rules import quality_rules
 from flatgate.llm.simhash import near_duplicates
 from flatgate.llm.token_counts import token_counts
@@ -24,10 +26,18 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing(table(spark, sf_dir, "documents"), capacity=2048)
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7)
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).drop("host", "host_failure_rate")
 
@@ -42,7 +52,9 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op3_packing": op3_packing,
     "op4_toxicity": op4_toxicity,
+    "op5_fingerprints": op5_fingerprints,
     "op6_quality_rules": op6_quality_rules,
     "op8_token_counts": op8_token_counts,
     "op10_url_filters": op10_url_filters,
