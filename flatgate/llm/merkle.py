@@ -1,7 +1,8 @@
 """Document fingerprints: Merkle trees, in DataFrame expressions only.
 
 A text is cut into paragraphs (a line with the line feeds that end it), a
-paragraph into blocks of ``BLOCK_CHARS`` code points: the leaves. A
+paragraph into blocks of ``BLOCK_CHARS`` code points (a short paragraph into
+smaller ones): the leaves. A
 paragraph's hash is that of its blocks' hashes, a section's that of
 ``SECTION`` paragraphs, and the root that of all sections. Nothing of the
 text is left out, so equal roots mean equal texts. Two trees are compared
@@ -22,10 +23,15 @@ from pyspark.sql import functions as F
 
 from flatgate.llm.common import store
 
-BLOCK_CHARS = 48
+BLOCK_CHARS = 32
+SHORT_PARAGRAPH, SHORT_BLOCK = 40, 8
 SECTION = 8
 _PARAGRAPHS = r"[^\n]*\n+|[^\n]+"
-_BLOCKS = rf"(?s).{{1,{BLOCK_CHARS}}}"
+
+
+def _blocks(paragraph: Column) -> Column:
+    size = F.when(F.length(paragraph) <= SHORT_PARAGRAPH, F.lit(rf"(?s).{{1,{SHORT_BLOCK}}}")).otherwise(F.lit(rf"(?s).{{1,{BLOCK_CHARS}}}"))
+    return F.regexp_extract_all(paragraph, size, F.lit(0))
 
 
 def _with_tree(rows: DataFrame, text: str, tree: str) -> DataFrame:
@@ -34,7 +40,7 @@ def _with_tree(rows: DataFrame, text: str, tree: str) -> DataFrame:
     columns = rows.columns
     blocks = F.transform(
         F.regexp_extract_all(F.col(text), F.lit(_PARAGRAPHS), F.lit(0)),
-        lambda p: F.transform(F.regexp_extract_all(p, F.lit(_BLOCKS), F.lit(0)), lambda b: F.xxhash64(b)))
+        lambda p: F.transform(_blocks(p), lambda b: F.xxhash64(b)))
     rows = rows.withColumn("__blocks", blocks)
     rows = rows.withColumn("__paragraphs", F.transform("__blocks", lambda b: F.xxhash64(b)))
     last = F.greatest(F.size("__paragraphs") - 1, F.lit(0))

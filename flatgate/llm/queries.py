@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from flatgate.llm.common import table
 from flatgate.llm.merkle import document_fingerprints
 from flatgate.llm.packing import best_fit_packing
+from flatgate.llm.quality_classifier import quality
 from flatgate.llm.quality_rules import quality_rules
+from flatgate.llm.segmentations import sampled_segmentations
 from flatgate.llm.simhash import near_duplicates
 from flatgate.llm.token_counts import token_counts
 from flatgate.llm.toxicity import toxicity
@@ -42,10 +44,19 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).drop("host", "host_failure_rate")
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op9_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ("n_pieces", "ids_crc32", "log_prob", "log_inclusion", "round_trip")
+    return sampled_segmentations(table(spark, sf_dir, "documents"), k=2, fields=fields)
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_verdicts(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -56,6 +67,8 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_fingerprints": op5_fingerprints,
     "op6_quality_rules": op6_quality_rules,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_token_counts": op8_token_counts,
+    "op9_segmentations": op9_segmentations,
     "op10_url_filters": op10_url_filters,
 }
