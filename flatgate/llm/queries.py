@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from flatgate.llm.common import table
+from flatgate.llm.hmm import word_scores
 from flatgate.llm.merkle import document_fingerprints
 from flatgate.llm.packing import best_fit_packing
 from flatgate.llm.quality_classifier import quality
@@ -28,6 +29,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op2_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_scores(table(spark, sf_dir, "documents"), modulus=7, held_out=2)
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents"), capacity=2048)
 
@@ -63,6 +68,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_hmm_scores": op2_hmm_scores,
     "op3_packing": op3_packing,
     "op4_toxicity": op4_toxicity,
     "op5_fingerprints": op5_fingerprints,
