@@ -55,12 +55,3 @@ def html_escape_sql(expr: str) -> str:
     for raw, esc in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):
         out = f"replace({out}, '{raw.replace(chr(39), chr(39) * 2)}', '{esc}')"
     return out
-
-
-def html_escape(c: str | Column) -> Column:
-    """Escape ``& < > " '`` so data cannot inject markup into a report."""
-    c = col_of(c) if isinstance(c, str) else c
-    out = F.replace(c.cast("string"), F.lit("&"), F.lit("&amp;"))
-    for raw, esc in (("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):
-        out = F.replace(out, F.lit(raw), F.lit(esc))
-    return out

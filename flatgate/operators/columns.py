@@ -8,14 +8,37 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 from flatgate.functions.text import merge_values
 from flatgate.operators.flatten import col_of, quote
 
 
+def refuse_column(df: DataFrame, out: str) -> None:
+    """An output column must not replace a column of the data."""
+    if out.lower() in {c.lower() for c in df.columns}:
+        raise ValueError(f"the data has a column {out!r}: name another output column")
+
+
+def _orderable(dt: DataType) -> bool:
+    if isinstance(dt, ArrayType):
+        return _orderable(dt.elementType)
+    if isinstance(dt, StructType):
+        return all(_orderable(f.dataType) for f in dt.fields)
+    return not isinstance(dt, (MapType, VariantType))
+
+
+def tie_break_sql(df: DataFrame) -> str:
+    """A number that decides between rows of equal order, the same one in
+    every run (rows that differ in maps only may still tie)."""
+    names = [quote(f.name) for f in df.schema.fields if _orderable(f.dataType)]
+    return f"xxhash64({', '.join(names)})" if names else "0L"
+
+
 def merge_columns(df: DataFrame, pattern: str, out: str, sep: str = ",") -> DataFrame:
     """``out`` = values of the columns whose names fully match ``pattern``
     (in the frame's column order), joined by ``sep``, nulls skipped."""
+    refuse_column(df, out)
     rx = re.compile(pattern)
     matched = [c for c in df.columns if rx.fullmatch(c)]
     return df.withColumn(out, merge_values(matched, sep))
@@ -26,6 +49,7 @@ def merge_array_field(df: DataFrame, array_col: str, field: str | None, out: str
     (nulls skipped). Same result as positional flatten + ``merge_columns``
     with a pattern admitting every index, without materialising one column
     per position."""
+    refuse_column(df, out)
     arr = col_of(array_col)
     vals = F.transform(arr, lambda x: (x if field is None else x.getField(field)).cast("string"))
     return df.withColumn(out, F.coalesce(F.array_join(vals, sep), F.lit("")))
@@ -39,8 +63,9 @@ def keep_known(df: DataFrame, names: Iterable[str]) -> DataFrame:
 
 
 def dedup_keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:
-    """one row per key, the one first by ``order_by``. NULL keys group
-    together.
+    """one row per key, the one first by ``order_by``: a NULL order
+    value comes before all others (as in an ascending sort), and rows of
+    equal order are decided by a hash of the row. NULL keys group together.
 
     Written as an aggregation with ``min_by`` rather than a window: the
     aggregate is combined map-side, so a key holding a third of all rows
@@ -58,7 +83,8 @@ def dedup_keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str
     if not rest:
         return df.select(*[col_of(k) for k in keys]).distinct()
     order = [c if isinstance(c, Column) else F.expr(quote(c)) for c in order_by]
-    ord_key = order[0] if len(order) == 1 else F.struct(*order)
+    # a struct is never NULL, so a row whose order values are is not passed over
+    ord_key = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], F.expr(tie_break_sql(df)).alias("tie"))
     # SQL text for the wide parts (one driver->JVM call, however many columns)
     key_list = ", ".join(quote(k) for k in keys)
     row = F.expr("struct(" + ", ".join(quote(c) for c in rest) + ")")

@@ -13,15 +13,12 @@ can ever be ambiguous.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructField, StructType
 
-from flatgate.session import ensure_checkpoint_dir
-
-
 def quote(name: str) -> str:
     """Back-quote a column name so dots, spaces and backticks resolve."""
     return "`" + name.replace("`", "``") + "`"
@@ -167,28 +164,22 @@ def _flatten_bare(df: DataFrame, sep: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def _struct_pass(cols: Cols, sep: str) -> Cols | None:
-    """Columns after one struct pass, or None if there is no struct.
+def _leaves(cols: Cols, sep: str, prefix: str | None = None) -> Iterator[tuple[str, str, DataType]]:
+    """What is left of ``cols`` without structs, as (full name, expression,
+    type): a node's own leaves, then its structs from the last to the first."""
+    named = [(name if prefix is None else f"{prefix}{sep}{name}", expr, t) for name, expr, t in cols]
+    yield from (c for c in named if not isinstance(c[2], StructType))
+    for full, expr, t in reversed(named):
+        if isinstance(t, StructType):
+            yield from _leaves([(f.name, f"{expr}.{quote(f.name)}", f.dataType) for f in t.fields], sep, full)
 
-    Order: leaves of a node first, then its struct children taken from a
-    stack (last struct first), each named ``parent<sep>child``.
-    """
+
+def _struct_pass(cols: Cols, sep: str) -> Cols | None:
+    """Columns with every struct opened, or None if there is no struct."""
     if not any(isinstance(t, StructType) for _n, _e, t in cols):
         return None
-    out: Cols = []
     namer = Namer()
-    stack: list[tuple[str | None, Cols]] = [(None, cols)]
-    while stack:
-        prefix, node = stack.pop()
-        for name, expr, t in node:
-            if not isinstance(t, StructType):
-                full = name if prefix is None else f"{prefix}{sep}{name}"
-                out.append((namer.claim(full, sep=sep), expr, t))
-        for name, expr, t in node:
-            if isinstance(t, StructType):
-                full = name if prefix is None else f"{prefix}{sep}{name}"
-                stack.append((full, [(f.name, f"{expr}.{quote(f.name)}", f.dataType) for f in t.fields]))
-    return out
+    return [(namer.claim(full, sep=sep), expr, t) for full, expr, t in _leaves(cols, sep)]
 
 
 def flatten_structs(df: DataFrame, sep: str = "_") -> DataFrame:
@@ -340,18 +331,31 @@ def array_widths(df: DataFrame, exclude: Iterable[str] = ()) -> dict[tuple, int]
     return {k: max(0, row[f"w{i}"] or 0) for i, (k, _e) in enumerate(specs)}
 
 
+#: Columns that a positional layout may have; wider data belongs in rows.
+MAX_POSITIONAL_COLUMNS = 20_000
+
+
 def flatten_positional(
     df: DataFrame,
     max_items: int | None = None,
     exclude: Iterable[str] = (),
     sep: str = "_",
+    max_columns: int = MAX_POSITIONAL_COLUMNS,
 ) -> DataFrame:
     """one row in, one row out. Struct fields become ``a<sep>b``
     columns, array elements numbered columns ``a<sep>0<sep>b`` (0-based);
     keys in ``exclude`` are skipped at every depth; empty structs and arrays
-    give no column. Width of each array is the data's maximum (one pass)
-    unless ``max_items`` fixes it. Missing positions read as null (``get``
-    never raises out of bounds)."""
+    give no column. Missing positions read as null (``get`` never raises out
+    of bounds).
+
+    Width of each array is the data's maximum (one pass) unless
+    ``max_items`` fixes it (a stream has no such pass). No element is left
+    out: a row with a longer array then fails the job. A layout of more than
+    ``max_columns`` columns is refused; ``leaf_paths`` gives the same values
+    as rows, whatever the length of an array.
+    """
+    if max_items is not None and max_items < 1:
+        raise ValueError("max_items must be at least 1")
     df = normalize_names(df)
     exclude = frozenset(exclude)
     widths = array_widths(df, exclude) if max_items is None else None
@@ -365,11 +369,16 @@ def flatten_positional(
                     emit(f"{expr}.{quote(f.name)}", f.dataType, parts + (f.name,), key + (f.name,))
         elif isinstance(dt, ArrayType):
             width = max_items if widths is None else widths.get(key, 0)
+            if widths is None:
+                text = f"flatten_positional: {sep.join(parts)} has more than max_items={max_items} elements".replace("'", "''")
+                expr = f"if(size({expr}) > {max_items}, raise_error('{text}'), {expr})"
             for i in range(width):
                 # get() is null past the end (never raises under ANSI)
                 emit(f"get({expr}, {i})", dt.elementType, parts + (str(i),), key + ("[]",))
         else:
             out.append(f"{expr} AS {quote(namer.claim(sep.join(parts), sep=sep))}")
+            if len(out) > max_columns:
+                raise ValueError(f"flatten_positional would make more than {max_columns} columns; use leaf_paths for rows instead")
 
     for f in df.schema.fields:
         if f.name not in exclude:
@@ -382,20 +391,21 @@ def flatten_positional(
 # ---------------------------------------------------------------------------
 
 
-def _variant_depth(schema: str) -> int:
-    """Nesting depth of a ``schema_of_variant_agg`` string."""
-    depth = best = 0
-    i = 0
-    while i < len(schema):
-        if schema.startswith("OBJECT<", i) or schema.startswith("ARRAY<", i):
-            depth += 1
-            best = max(best, depth)
-            i = schema.index("<", i) + 1
-            continue
-        if schema[i] == ">":
-            depth -= 1
-        i += 1
-    return best
+CORRUPT_PATH = "_corrupt_record"
+USUAL_DEPTH = 8
+
+
+def json_depth_sql(text: str) -> str:
+    """Nesting depth of JSON text, as SQL: with escapes and strings taken
+    out, the largest number of brackets open at once. Keys of any spelling
+    do not matter, and no schema is built."""
+    bare = f"regexp_replace(replace(replace({text}, '\\\\\\\\', ''), '\\\\\"', ''), '\"[^\"]*\"', '')"
+    brackets = f"split(regexp_replace({bare}, '[^\\\\[\\\\]{{}}]', ''), '')"
+    return (
+        f"aggregate({brackets}, named_struct('d', 0, 'm', 0), (a, c) -> named_struct("
+        "'d', a.d + CASE WHEN c IN ('{', '[') THEN 1 WHEN c IN ('}', ']') THEN -1 ELSE 0 END, "
+        "'m', greatest(a.m, a.d + CASE WHEN c IN ('{', '[') THEN 1 ELSE 0 END)), a -> a.m)"
+    )
 
 
 def leaf_paths(
@@ -404,42 +414,49 @@ def leaf_paths(
     json_col: str,
     exclude: Iterable[str] = (),
     sep: str = "_",
-    max_depth: int = 64,
+    max_depth: int | None = None,
     depth: int | None = None,
+    malformed: str = "mark",
 ) -> DataFrame:
     """``(id, path, value)`` for every scalar leaf of a JSON text column.
 
     Same traversal as ``flatten_positional`` but for documents without a
     known schema: object keys and array positions joined by ``sep``; keys in
     ``exclude`` skipped at every depth; empty objects/arrays give nothing;
-    a JSON null gives a null value; values are the scalar's text.
+    a JSON null gives a null value; values are the scalar's text. A NULL
+    text has no leaves.
+
+    A text that does not parse (malformed, a key twice in one object, or
+    larger than a VARIANT holds) comes back as one row with the path
+    ``_corrupt_record`` and its whole text; ``malformed='fail'`` fails the
+    job instead.
 
     The text is parsed once into VARIANT; each nesting level fans the
     objects and arrays still open out to their entries with two plain outer
     generators (all levels fuse into one codegen stage, no shuffle). The
-    number of levels comes from one ``schema_of_variant_agg`` pass; if the
-    merged schema hides depth behind a VARIANT (mixed types), the plan grows
-    level by level until nothing is left open, and raises past
-    ``max_depth`` instead of dropping leaves.
-
-    Parsing dominates the cost, and the schema pass parses every document
-    once more. A caller who knows the nesting depth (e.g. from a stored
-    schema) passes ``depth`` to skip that pass; the plan then carries a
-    guard that fails the job if any document is deeper -- leaves are never
-    dropped silently.
+    number of levels is the largest depth of any document: one pass over the
+    text that returns one number. A caller who knows it passes ``depth`` to
+    skip that pass; the plan then carries a guard that fails the job if any
+    document is deeper. ``max_depth`` refuses deeper documents up front.
     """
+    if malformed not in ("mark", "fail"):
+        raise ValueError("malformed must be 'mark' or 'fail'")
     exclude = sorted(set(exclude))
-    base = df.select(
-        col_of(id_col).alias("id"),
-        F.lit("").alias("path"),
-        F.try_parse_json(col_of(json_col)).alias("v"),
-    )
+    text = col_of(json_col)
+    base = df.select(col_of(id_col).alias("id"), F.lit("").alias("path"), text.alias("raw"),
+                     (F.try_parse_json(text) if malformed == "mark" else F.parse_json(text)).alias("v"))
+    # the text goes on only where it has no value
+    base = base.select("id", "path", F.when(F.col("v").isNull(), F.col("raw")).alias("raw"), "v")
     if depth is None:
-        schema = base.agg(F.schema_of_variant_agg("v").alias("s")).first()["s"] or "VARIANT"
-        exact = "VARIANT" not in schema
-        planned = _variant_depth(schema)
+        # a broken text may open any number of brackets: a document that
+        # looks unusually deep counts only if it parses
+        seen = df.select(F.expr(json_depth_sql(quote(json_col))).alias("d"), text.alias("t"))
+        real = F.when((F.col("d") <= USUAL_DEPTH) | F.try_parse_json("t").isNotNull(), F.col("d"))
+        planned = seen.agg(F.max(real).alias("d")).first()["d"] or 0
     else:
-        exact, planned = True, depth
+        planned = depth
+    if max_depth is not None and planned > max_depth:
+        raise ValueError(f"leaf_paths: documents nest deeper than max_depth={max_depth}")
 
     obj = F.try_variant_get("v", "$", "map<string,variant>")
     arr = F.try_variant_get("v", "$", "array<variant>")
@@ -451,12 +468,12 @@ def leaf_paths(
         # Objects fan out to (key, value), arrays to (position, element);
         # a scalar passes both generators as one row and stays a leaf; an
         # empty object or array and a missing document yield nothing.
-        decoded = frontier.select("id", "path", "v", obj.alias("__o"), arr.alias("__a"))
+        decoded = frontier.select("id", "path", "raw", "v", obj.alias("__o"), arr.alias("__a"))
         by_key = decoded.select(
-            "id", "path", "v", "__o", "__a", F.explode_outer("__o").alias("__k", "__kv")
+            "id", "path", "raw", "v", "__o", "__a", F.explode_outer("__o").alias("__k", "__kv")
         )
         both = by_key.select(
-            "id", "path", "v", "__o", "__a", "__k", "__kv", F.posexplode_outer("__a").alias("__p", "__pv")
+            "id", "path", "raw", "v", "__o", "__a", "__k", "__kv", F.posexplode_outer("__a").alias("__p", "__pv")
         )
         # (a missing document -- SQL NULL, not JSON null -- is dropped at
         # the end, where the test cannot be pushed below the parse and make
@@ -470,29 +487,18 @@ def leaf_paths(
         return both.filter(keep).select(
             "id",
             F.when(k.isNull(), F.col("path")).when(F.col("path") == "", k).otherwise(F.concat_ws(sep, "path", k)).alias("path"),
+            "raw",
             F.when(k.isNull(), F.col("v")).otherwise(F.coalesce(F.col("__kv"), F.col("__pv"))).alias("v"),
         )
 
     frontier = base
-    level = 0
-    while True:
-        if level >= planned:
-            if exact:
-                break
-            # Past what the merged schema shows: materialise this level in
-            # the shared checkpoint folder (lineage cut), so the emptiness
-            # check and every further level start here instead of parsing
-            # all documents again.
-            ensure_checkpoint_dir(df.sparkSession)
-            frontier = frontier.checkpoint(eager=True)
-            if frontier.filter(is_open).isEmpty():
-                break
-        if level >= max_depth:
-            raise ValueError(f"leaf_paths: documents nest deeper than max_depth={max_depth}")
+    for _ in range(planned):
         frontier = step(frontier)
-        level += 1
     # guard: anything still open here means the planned depth was too small
     value = F.when(
         is_open, F.raise_error(F.lit(f"leaf_paths: a document nests deeper than depth={planned}"))
     ).otherwise(F.col("v").cast("string"))
-    return frontier.filter(F.col("v").isNotNull()).select(F.col("id").alias(id_col), "path", value.alias("value"))
+    broken = F.col("raw").isNotNull()
+    return frontier.filter(F.col("v").isNotNull() | broken).select(
+        F.col("id").alias(id_col), F.when(broken, F.lit(CORRUPT_PATH)).otherwise(F.col("path")).alias("path"),
+        F.when(broken, F.col("raw")).otherwise(value).alias("value"))

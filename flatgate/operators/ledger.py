@@ -15,9 +15,11 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flatgate.operators.columns import tie_break_sql
 from flatgate.operators.flatten import col_of, quote
+from flatgate.operators.rules import local_table
 
-# Run states.
+# Run states and the ledger's columns.
 STARTED = "STARTED"
 COMPLETED = "COMPLETED"
 FAILED = "FAILED"
@@ -42,12 +44,16 @@ def ledger_current(events: DataFrame, key: str = "job_id", order: str = "seq") -
     ).select(*[col_of(c) for c in events.columns])
 
 
-def latest_per_key(df: DataFrame, key: str | list[str], order: str) -> DataFrame:
-    """The whole latest row per key (by ``order``), as a partial aggregate."""
+def latest_per_key(df: DataFrame, key: str | list[str], order: str | list[str]) -> DataFrame:
+    """The whole latest row per key (by ``order``), as a partial aggregate.
+    A NULL order value is older than all others; rows of equal order are
+    decided by a hash of the row."""
+    orders = [order] if isinstance(order, str) else list(order)
     keys = [key] if isinstance(key, str) else list(key)
     rest = [c for c in df.columns if c not in keys]
     row = "struct(" + ", ".join(quote(c) for c in rest) + ")"
-    picked = df.groupBy(*[col_of(k) for k in keys]).agg(F.expr(f"max_by({row}, {quote(order)}) AS __fg_row"))
+    picked = df.groupBy(*[col_of(k) for k in keys]).agg(
+        F.expr(f"max_by({row}, struct({', '.join(map(quote, orders))}, {tie_break_sql(df)})) AS __fg_row"))
     return picked.selectExpr(*[quote(k) for k in keys], *[f"__fg_row.{quote(c)} AS {quote(c)}" for c in rest])
 
 
@@ -62,14 +68,23 @@ class Ledger:
         row = {c: None for c in LEDGER_COLUMNS}
         row.update(fields)
         row["seq"] = time.time_ns()
-        self.spark.createDataFrame([tuple(row[c] for c in LEDGER_COLUMNS)], LEDGER_SCHEMA).coalesce(1).write.mode(
+        local_table(self.spark, [tuple(row[c] for c in LEDGER_COLUMNS)], LEDGER_SCHEMA).coalesce(1).write.mode(
             "append"
         ).parquet(self.path)
 
+    @staticmethod
+    def _instant(at: _dt.datetime | None) -> _dt.datetime:
+        """An instant, whatever the driver's zone; a time without a zone is
+        UTC."""
+        at = at or _dt.datetime.now(_dt.timezone.utc)
+        return at if at.tzinfo else at.replace(tzinfo=_dt.timezone.utc)
+
     def start(self, job_id: str, description: str, total: int | None, source_path: str, dq_file_path: str,
               at: _dt.datetime | None = None) -> None:
-        """STARTED row; load and error counts start at 0."""
-        at = at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        """STARTED row; load and error counts start at 0. ``total`` is
+        None where the count comes with the run itself: the finish event
+        fills it in."""
+        at = self._instant(at)
         self._append(job_id=job_id, job_description=description, total_record_count=total, load_record_count=0,
                      error_record_count=0, job_start_time=at, job_end_time=at, source_path=source_path,
                      dq_file_path=dq_file_path, status=STARTED)
@@ -77,12 +92,12 @@ class Ledger:
     def finish(self, job_id: str, total: int, loaded: int, errors: int, dq_file_path: str,
                status: str = COMPLETED, at: _dt.datetime | None = None) -> None:
         """Counts, end time, quarantine path and status of a job."""
-        at = at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        at = self._instant(at)
         self._append(job_id=job_id, total_record_count=total, load_record_count=loaded, error_record_count=errors,
                      job_end_time=at, dq_file_path=dq_file_path, status=status)
 
     def fail(self, job_id: str, at: _dt.datetime | None = None) -> None:
-        at = at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        at = self._instant(at)
         self._append(job_id=job_id, job_end_time=at, status=FAILED)
 
     def events(self) -> DataFrame:

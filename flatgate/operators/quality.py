@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from flatgate.functions.predicates import any_null, is_blank, parse_columns
+from flatgate.operators.columns import refuse_column
 
 FLAG = "null_check_result"
 
 
 def null_flag(df: DataFrame, columns: str | Iterable[str], out: str = FLAG) -> DataFrame:
-    """Boolean ``out`` column, true when any listed column is NULL."""
+    """Boolean ``out`` column, true when any listed column is NULL. The
+    data must not have a column of that name."""
+    refuse_column(df, out)
     return df.withColumn(out, any_null(parse_columns(columns)))
 
 

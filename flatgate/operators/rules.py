@@ -1,13 +1,12 @@
 """Declarative data-quality rules: not null, unique, query.
 
-Rule fusion: every not-null rule, the total count and every unique rule are
-answered by ONE scan of the data. Without unique rules that is one global
-aggregate (no shuffle beyond one row per task). With unique rules it is one
-``GROUPING SETS`` aggregation with one set per distinct key list (a plain
-``groupBy`` when there is one), combined map-side before the shuffle; the
-total and the not-null failures are sums over the first set's groups. Query rules are free
-SQL and run one job each. The reference shape (one job per rule plus one
-for the total) costs k+1 scans.
+Every not-null rule and the total are answered by one keyless aggregate (one
+row per task leaves the scan). Every unique rule is answered by one
+``GROUPING SETS`` aggregation, one set per distinct key list (a plain
+``groupBy`` when there is one), combined map-side before the shuffle. The
+two stay apart so that a shuffle of near-unique keys carries no counters of
+other rules. Query rules are free SQL and run one job each. The reference
+shape (one job per rule plus one for the total) costs k+1 scans.
 """
 
 from __future__ import annotations
@@ -18,9 +17,11 @@ from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DataType, StructType
 
 from flatgate.functions.predicates import not_null_failure_sql, parse_columns
 from flatgate.operators.flatten import col_of, quote
@@ -92,91 +93,59 @@ def _types(df: DataFrame) -> dict[str, DataType]:
     return {f.name: f.dataType for f in df.schema.fields}
 
 
-def fused_plan(df: DataFrame, not_null: Sequence[Rule], unique: Sequence[Rule]):
-    """The single-scan plan behind ``fused_counts``: ``(frame, gid_of)``.
-
-    Without unique rules ``frame`` is one row (``__fg_total`` and one
-    ``__fg_nn<i>`` per not-null rule) and ``gid_of`` is None; otherwise one
-    row per key list (``__fg_gid``, ``__fg_total``, ``__fg_dups``,
-    ``__fg_nn<i>``) and ``gid_of`` maps each key list to its id.
-    """
+def not_null_plan(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """One row: the total and the failures of each not-null rule (``__fg_total``,
+    ``__fg_nn<i>`` by place in ``rules``), a keyless aggregate over the
+    rules' own columns."""
     types = _types(df)
     # SQL text: one driver->JVM call per rule, however many columns
-    nn_exprs = [
-        F.expr(f"count_if({not_null_failure_sql(r.columns, types)}) AS __fg_nn{i}") for i, r in enumerate(not_null)
+    failures = [
+        F.expr(f"count_if({not_null_failure_sql(r.columns, types)}) AS __fg_nn{i}") for i, r in enumerate(rules)
     ]
-    key_sets: list[tuple[str, ...]] = []
-    for r in unique:
-        if tuple(r.columns) not in key_sets:
-            key_sets.append(tuple(r.columns))
-    if not key_sets:
-        return df.agg(F.count(F.lit(1)).alias("__fg_total"), *nn_exprs), None
+    return df.agg(F.count(F.lit(1)).alias("__fg_total"), *failures)
 
+
+def unique_plan(df: DataFrame, key_sets: Sequence[tuple[str, ...]]) -> tuple[DataFrame, list[int]]:
+    """``(frame, ids)``: one row per key list (``__fg_gid``, ``__fg_total``,
+    ``__fg_dups``), and the id of each key list. The shuffle carries the key
+    and a count per key group, nothing else."""
     # stable internal names for the key columns, so a rule column called
     # like one of our aliases (e.g. ``cnt``) can never be ambiguous
-    all_keys: list[str] = []
-    for ks in key_sets:
-        for k in ks:
-            if k not in all_keys:
-                all_keys.append(k)
+    all_keys = list(dict.fromkeys(k for ks in key_sets for k in ks))
     alias = {k: f"__fg_k{i}" for i, k in enumerate(all_keys)}
-    src = df.selectExpr(
-        *[f"{quote(k)} AS {alias[k]}" for k in all_keys],
-        *[f"({not_null_failure_sql(r.columns, types)}) AS __fg_p{i}" for i, r in enumerate(not_null)],
-    )
-    # Level 1: count per key group. Totals and not-null failures are summed
-    # from the groups of the first key set, so no extra grouping set (and,
-    # with one key set, no Expand at all) is needed for them.
-    level1_aggs = [
-        F.count(F.lit(1)).alias("__fg_n"),
-        *[F.count_if(F.col(f"__fg_p{i}")).alias(f"__fg_nn{i}") for i in range(len(not_null))],
-    ]
-    level2_aggs = [
-        F.sum("__fg_n").alias("__fg_total"),
-        F.count_if(F.col("__fg_n") > 1).alias("__fg_dups"),
-        *[F.sum(f"__fg_nn{i}").alias(f"__fg_nn{i}") for i in range(len(not_null))],
-    ]
+    src = df.selectExpr(*[f"{quote(k)} AS {alias[k]}" for k in all_keys])
+    per_group = F.count(F.lit(1)).alias("__fg_n")
+    per_list = [F.sum("__fg_n").alias("__fg_total"), F.count_if(F.col("__fg_n") > 1).alias("__fg_dups")]
     if len(key_sets) == 1:
         # one key list: a plain groupBy, then a keyless global aggregate
-        level1 = src.groupBy(*[alias[k] for k in key_sets[0]]).agg(*level1_aggs)
-        level2 = level1.agg(*level2_aggs).withColumn("__fg_gid", F.lit(0))
-        gid_of = {key_sets[0]: 0}
-    else:
-        sets = [[alias[k] for k in ks] for ks in key_sets]
-        level1 = src.groupingSets(sets, *[alias[k] for k in all_keys]).agg(
-            F.grouping_id().alias("__fg_gid"), *level1_aggs
-        )
-        # grouping_id bit (n-1-i) is 1 when key i is NOT grouped
-        n = len(all_keys)
-        gid_of = {ks: sum(1 << (n - 1 - i) for i, k in enumerate(all_keys) if k not in ks) for ks in key_sets}
-        # Level 2: one row per key set (a global aggregate per grouping id)
-        level2 = level1.groupBy("__fg_gid").agg(*level2_aggs)
-    return level2, gid_of
-
-
-def fused_counts(df: DataFrame, not_null: Sequence[Rule], unique: Sequence[Rule]) -> dict:
-    """One scan: ``{'total': n, 'not_null': {rule_id: fails}, 'unique':
-    {rule_id: duplicated groups}}``.
-
-    Unique rules count duplicated key *groups* (not rows); NULL keys group
-    together. Rules sharing a key list share a grouping set.
-    """
-    frame, gid_of = fused_plan(df, not_null, unique)
-    out = {"total": 0, "not_null": {}, "unique": {}}
-    if gid_of is None:
-        row = frame.first()
-        out["total"] = row["__fg_total"]
-        out["not_null"] = {r.rule_id: row[f"__fg_nn{i}"] for i, r in enumerate(not_null)}
-        return out
-    key_sets = list(gid_of)
-    rows = {r["__fg_gid"]: r for r in frame.collect()}  # one small row per key set
-    first = rows.get(gid_of[key_sets[0]])
-    out["total"] = int(first["__fg_total"]) if first else 0
-    out["not_null"] = {r.rule_id: int(first[f"__fg_nn{i}"] or 0) if first else 0 for i, r in enumerate(not_null)}
-    for r in unique:
-        row = rows.get(gid_of[tuple(r.columns)])
-        out["unique"][r.rule_id] = int(row["__fg_dups"]) if row else 0
-    return out
+        groups = src.groupBy(*[alias[k] for k in key_sets[0]]).agg(per_group)
+        return groups.agg(*per_list).withColumn("__fg_gid", F.lit(0)), [0]
+    sets = [[alias[k] for k in ks] for ks in key_sets]
+    groups = src.groupingSets(sets, *[alias[k] for k in all_keys]).agg(F.grouping_id().alias("__fg_gid"), per_group)
+    # grouping_id bit (n-1-i) is 1 when key i is NOT grouped
+    n = len(all_keys)
+    ids = [sum(1 << (n - 1 - i) for i, k in enumerate(all_keys) if k not in ks) for ks in key_sets]
+    return groups.groupBy("__fg_gid").agg(*per_list), ids
+
+
+def not_null_counts(df: DataFrame, rules: Sequence[Rule]) -> tuple[int, list[int]]:
+    """Total rows, and failures by place in ``rules``."""
+    row = not_null_plan(df, rules).first()
+    return row["__fg_total"], [row[f"__fg_nn{i}"] for i in range(len(rules))]
+
+
+def unique_counts(df: DataFrame, rules: Sequence[Rule]) -> tuple[int, list[int]]:
+    """Total rows, and duplicated key *groups* (not rows) by place in
+    ``rules``; NULL keys group together. Rules sharing a set of keys share a
+    grouping set."""
+    key_of = [tuple(sorted(set(r.columns))) for r in rules]
+    key_sets = list(dict.fromkeys(key_of))
+    frame, ids = unique_plan(df, key_sets)
+    rows = {r["__fg_gid"]: r for r in frame.collect()}  # one small row per key list
+    found = {ks: rows.get(i) for ks, i in zip(key_sets, ids, strict=True)}
+    first = found[key_sets[0]]
+    total = int(first["__fg_total"] or 0) if first else 0
+    return total, [int(found[ks]["__fg_dups"]) if found[ks] else 0 for ks in key_of]
 
 
 def query_rule_count(df: DataFrame, sql: str) -> int:
@@ -205,43 +174,42 @@ def run_rules(df: DataFrame, rules: Sequence[Rule], app_id: str | None = None,
     for a query rule, flagged by ``pass_count_valid``); status is 'fail'
     iff fail_count > 0.
 
-    The fused job and the query-rule jobs are independent, so they are
-    submitted together (one Spark application, several concurrent jobs):
-    their small final stages no longer leave the cluster idle in turn.
+    The not-null scan, the unique scan and the query-rule jobs are
+    independent, so they are submitted together (one Spark application,
+    several concurrent jobs). Results are kept by place in ``rules``: two
+    rules may share an id, within a rule set or across rule sets.
     """
     spark = df.sparkSession
     app_id = app_id or application_id(spark)
-    not_null = [r for r in rules if r.rule_type == NOT_NULL]
-    unique = [r for r in rules if r.rule_type == UNIQUE]
-    queries = [r for r in rules if r.rule_type == QUERY]
-    workers = max(1, min(max_concurrent_jobs, 1 + len(queries)))
+    places = {t: [i for i, r in enumerate(rules) if r.rule_type == t] for t in RULE_TYPES}
+    of = {t: [rules[i] for i in places[t]] for t in RULE_TYPES}
+    workers = max(1, min(max_concurrent_jobs, 2 + len(of[QUERY])))
+    fails: dict[int, int] = {}  # by place in the list: rule ids may repeat
     with ThreadPoolExecutor(workers) as pool:
-        fused = pool.submit(fused_counts, df, not_null, unique)
-        pending = {r.rule_id: pool.submit(query_rule_count, df, r.query) for r in queries}
-        counts = fused.result()
-        query_fails = {rid: f.result() for rid, f in pending.items()}
-    total = counts["total"]
-    fails = {**counts["not_null"], **counts["unique"], **query_fails}
-    rows = []
-    for r in rules:
-        fail = fails[r.rule_id]
-        rows.append(
-            (
-                app_id,
-                r.dq_id,
-                r.rule_id,
-                r.name,
-                r.rule_type,
-                r.description,
-                r.target,
-                "fail" if fail > 0 else "pass",
-                total - fail,
-                fail,
-                total,
-                total - fail >= 0,
-            )
-        )
-    return spark.createDataFrame(rows, RESULT_SCHEMA)
+        # the total rides on whichever of the two scans runs
+        scans = [
+            (places[t], pool.submit(count, df, of[t]))
+            for t, count in ((NOT_NULL, not_null_counts), (UNIQUE, unique_counts)) if of[t]
+        ] or [([], pool.submit(not_null_counts, df, []))]
+        pending = [(i, pool.submit(query_rule_count, df, rules[i].query)) for i in places[QUERY]]
+        for at, scan in scans:
+            total, counts = scan.result()
+            fails.update(zip(at, counts, strict=True))
+        fails.update((i, job.result()) for i, job in pending)
+    rows = [
+        (app_id, r.dq_id, r.rule_id, r.name, r.rule_type, r.description, r.target,
+         "fail" if fails[i] > 0 else "pass", total - fails[i], fails[i], total, total - fails[i] >= 0)
+        for i, r in enumerate(rules)
+    ]
+    return local_table(spark, rows, RESULT_SCHEMA)
+
+
+def local_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """A few rows as a local relation: reading them runs no job."""
+    schema = StructType.fromDDL(ddl)
+    columns = list(zip(*rows, strict=True)) if rows else [()] * len(schema)
+    arrow = to_arrow_schema(schema)
+    return spark.createDataFrame(pa.table([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow), schema)
 
 
 def rule_not_null(df: DataFrame, columns: str | Sequence[str], rule_id: int = 1, name: str = "not null") -> DataFrame:
@@ -284,15 +252,18 @@ def missing_keys(expected: DataFrame, key: str, seen: DataFrame, seen_key: str |
     return expected.join(s, col_of(key) == F.col("__fg_key"), "left_anti")
 
 
-def expected_files_missing(df: DataFrame, names: Iterable[str], file_col: str = "source_file",
+def expected_files_missing(df: DataFrame, names: Iterable[str] | DataFrame, file_col: str = "source_file",
                            level: int = 1) -> DataFrame:
     """Expected file names not present among the rows' source files.
 
     ``level`` picks the path element from the end (1 = file name, 2 = its
-    folder, e.g. a ``key=value`` partition folder). The expected list is
-    configuration; the seen names are a distinct over the data (combined
+    folder, e.g. a ``key=value`` partition folder). The expected names are a
+    short list (configuration) or, of any length, a frame with a column
+    ``file_name``; the seen names are a distinct over the data (combined
     map-side, one row per file)."""
-    spark = df.sparkSession
-    expected = spark.createDataFrame([(n,) for n in dict.fromkeys(names)], "file_name string")
+    if isinstance(names, DataFrame):
+        expected = names.select("file_name").distinct()
+    else:
+        expected = local_table(df.sparkSession, [(n,) for n in dict.fromkeys(names)], "file_name string")
     seen = df.select(F.element_at(F.split(col_of(file_col), "/"), -level).alias("file_name")).distinct()
     return missing_keys(expected, "file_name", seen)

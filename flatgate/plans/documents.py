@@ -1,16 +1,17 @@
 """Pipeline B: JSON documents -> flat CSV; and JSON writers used by it.
 
 Spark writes JSON *lines*. A whole-file document reader needs one JSON
-value per file, so ``write_json_docs`` turns each partition into JSON array
-documents of at most ``docs_per_file`` records (per-partition work in
-Arrow batches; no record leaves its partition).
+value per file, so ``write_json_docs`` joins the records of each Arrow batch
+into JSON array documents of bounded size (no record leaves its partition).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,22 +24,20 @@ def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
 
 
-def write_json_docs(df: DataFrame, path: str, docs_per_file: int = 10_000, mode: str = "overwrite") -> None:
-    """One JSON array per output file, pretty enough to span lines."""
+def write_json_docs(df: DataFrame, path: str, max_bytes: int = 64 << 20, mode: str = "overwrite") -> None:
+    """One JSON array per output file, of about ``max_bytes`` at most (a
+    larger record is a document of its own)."""
     lines = df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("j"))
 
-    def to_docs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        buf: list[str] = []
-        for b in batches:
-            for j in b["j"]:
-                buf.append(j)
-                if len(buf) >= docs_per_file:
-                    yield pd.DataFrame({"doc": ["[\n" + ",\n".join(buf) + "\n]"]})
-                    buf = []
-        if buf:
-            yield pd.DataFrame({"doc": ["[\n" + ",\n".join(buf) + "\n]"]})
-
-    docs = lines.mapInPandas(to_docs, "doc string")
+    def to_docs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            records = batch.column(0)
+            document = np.cumsum(pc.binary_length(records).to_numpy(zero_copy_only=False)) // max_bytes
+            cuts = [0, *(np.flatnonzero(np.diff(document)) + 1), len(records)]
+            docs = ["[\n" + ",\n".join(records.slice(a, z - a).to_pylist()) + "\n]" for a, z in zip(cuts, cuts[1:], strict=False) if z > a]
+            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.string())], names=["doc"])
+
+    docs = lines.mapInArrow(to_docs, "doc string")
     # each text row becomes its own file so every file is one JSON value
     docs.write.mode(mode).option("maxRecordsPerFile", 1).option("lineSep", "\n").text(path)
 

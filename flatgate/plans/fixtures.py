@@ -3,10 +3,10 @@
 The driver tables are flat; the operators under test work on nested
 documents. These builders nest child rows under their parent the way a JSON
 producer would, with one guard for scale: a parent never carries more than
-``max_items`` children in one document. A parent with more children is
-written as several documents (``part`` 0, 1, ...), each repeating the parent
-fields. Flattening gives exactly the same rows either way, and no single
-array, task or group ever has to hold a hot parent's children at once.
+about ``max_items`` children in one document. A parent with more children is
+written as several documents (``part`` 0, 1, ...). The queries built on them
+give the same rows wherever the cuts fall, and no single array, task or
+group ever has to hold a hot parent's children at once.
 
 Sibling arrays are deliberately not derived from the tables: exploding two
 arrays of one parent emits all pairs within that parent's group. The
@@ -21,9 +21,6 @@ from pyspark.sql import functions as F
 from flatgate.operators.flatten import col_of
 
 DEFAULT_MAX_ITEMS = 10_000
-# Hot parents (more than max_items children) are broadcast only below this
-# many; each is one (key, parts) pair, so this bounds the broadcast at a few MB.
-MAX_BROADCAST_HOT = 200_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,10 +39,10 @@ def nest_children(
     """``(key, part, name array<struct<item_cols>>)`` with about
     ``max_items`` elements per array at most.
 
-    A parent with ``n > max_items`` children is split into
-    ``ceil(n / max_items)`` parts by a hash of the item; ``n`` comes from a
-    map-side combined count, and only the (few) hot parents are joined
-    back, through a size-checked broadcast. Arrays are sorted by
+    A parent with ``n`` children is split into ``ceil(n / max_items)`` parts
+    by a hash of the child row's place in its table, so equal children spread
+    as well; ``n`` comes from a map-side combined count and an ordinary join
+    (the planner splits a hot parent's side). Arrays are sorted by
     ``sort_cols`` (or the item struct) so the documents are deterministic.
 
     With ``part_col`` (a column unique within the parent, e.g. a turn
@@ -55,26 +52,10 @@ def nest_children(
     if part_col is not None:
         salted = children.withColumn("part", F.floor(col_of(part_col) / F.lit(max_items)).cast("long"))
         return _group_parts(salted, key, item_cols, name, sort_cols)
-    # Only parents with more than max_items children need splitting. Count
-    # children per parent (combined map-side: one (key, n) pair per task),
-    # keep the hot ones, and broadcast that table only when its size is
-    # checked to be small; otherwise fall back to a shuffle join.
-    counts = children.groupBy(col_of(key)).agg(F.count(F.lit(1)).alias("__fg_n"))
-    hot = counts.filter(F.col("__fg_n") > max_items).select(
-        col_of(key), F.ceil(F.col("__fg_n") / F.lit(max_items)).cast("long").alias("__fg_parts")
-    )
-    n_hot = hot.count()
-    if n_hot == 0:
-        salted = children.withColumn("part", F.lit(0).cast("long"))
-    else:
-        side = F.broadcast(hot) if n_hot <= MAX_BROADCAST_HOT else hot
-        salted = children.join(side, key, "left").withColumn(
-            "part",
-            F.when(F.col("__fg_parts").isNull(), F.lit(0).cast("long")).otherwise(
-                F.pmod(F.xxhash64(*[col_of(c) for c in item_cols]), F.col("__fg_parts"))
-            ),
-        ).drop("__fg_parts")
-    return _group_parts(salted, key, item_cols, name, sort_cols)
+    sizes = children.groupBy(col_of(key)).agg(F.ceil(F.count(F.lit(1)) / F.lit(max_items)).cast("long").alias("__fg_parts"))
+    placed = children.withColumn("__fg_place", F.monotonically_increasing_id())
+    salted = placed.join(sizes, key).withColumn("part", F.pmod(F.xxhash64("__fg_place"), F.col("__fg_parts")))
+    return _group_parts(salted.drop("__fg_place", "__fg_parts"), key, item_cols, name, sort_cols)
 
 
 def _group_parts(salted: DataFrame, key: str, item_cols: list[str], name: str, sort_cols: list[str] | None) -> DataFrame:
@@ -85,35 +66,35 @@ def _group_parts(salted: DataFrame, key: str, item_cols: list[str], name: str, s
     return grouped.select(col_of(key), "part", F.transform(F.array_sort("__fg_l"), lambda x: x["i"]).alias(name))
 
 
-def orders_nested(spark: SparkSession, sf_dir: str, max_items: int = DEFAULT_MAX_ITEMS) -> DataFrame:
+def orders_with_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``o_orderkey, st, cust struct<c_name, seg struct<c_mktsegment,
-    c_nationkey>>, items array<struct<l_linenumber, l_quantity,
-    l_shipdate>>`` (null array for orders without lineitem); ``st`` is the
-    order status, NULL where it was 'P'."""
+    c_nationkey>>``; ``st`` is the order status, NULL where it was 'P'."""
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("st")
     )
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
-    lineitem = table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_quantity", "l_shipdate"
-    )
-    items = nest_children(lineitem, "o_orderkey", ["l_linenumber", "l_quantity", "l_shipdate"], "items", max_items=max_items)
     cust = F.struct(
         F.col("c_name"),
         F.struct(F.col("c_mktsegment"), F.col("c_nationkey")).alias("seg"),
     )
-    return (
-        orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
-        .join(items, "o_orderkey", "left")
-        .select("o_orderkey", "st", cust.alias("cust"), "items")
+    return orders.join(customer, orders.o_custkey == customer.c_custkey, "left").select("o_orderkey", "st", cust.alias("cust"))
+
+
+def orders_nested(spark: SparkSession, sf_dir: str, max_items: int = DEFAULT_MAX_ITEMS) -> DataFrame:
+    """``orders_with_customer`` and ``items array<struct<l_linenumber,
+    l_quantity, l_shipdate>>`` (null array for orders without lineitem)."""
+    lineitem = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_quantity", "l_shipdate"
     )
+    items = nest_children(lineitem, "o_orderkey", ["l_linenumber", "l_quantity", "l_shipdate"], "items", max_items=max_items)
+    return orders_with_customer(spark, sf_dir).join(items, "o_orderkey", "left").select("o_orderkey", "st", "cust", "items")
 
 
-def conversations_nested(spark: SparkSession, sf_dir: str, max_items: int = 16) -> DataFrame:
-    """``conv_id, part, t array<struct<turn, role>>`` sorted by turn; part
-    ``p`` holds turns ``[p*max_items, (p+1)*max_items)``."""
-    conv = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
-    return nest_children(conv, "conv_id", ["turn", "role"], "t", sort_cols=["turn"], max_items=max_items,
+def conversations_nested(spark: SparkSession, sf_dir: str, max_items: int = 4) -> DataFrame:
+    """``conv_id, part, t array<struct<turn, role, text>>`` sorted by turn;
+    part ``p`` holds turns ``[p*max_items, (p+1)*max_items)``."""
+    conv = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return nest_children(conv, "conv_id", ["turn", "role", "text"], "t", sort_cols=["turn"], max_items=max_items,
                          part_col="turn")
 
 

@@ -12,6 +12,7 @@ CSV write) after funnelling it through one task.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -24,6 +25,7 @@ from flatgate.operators.flatten import flatten
 from flatgate.operators.ledger import COMPLETED, Ledger
 from flatgate.operators.quality import FLAG, null_flag, observe_metrics
 from flatgate.sinks.files import write_csv, write_good
+from flatgate.sources.json import CORRUPT
 
 JOB_COL = "job_id"
 
@@ -40,22 +42,45 @@ class IngestResult:
 
 
 def new_job_id(prefix: str = "job") -> str:
-    """``<prefix>_<yyyyMMddHHmmss>`` (UTC)."""
-    return f"{prefix}_{_dt.datetime.now(_dt.timezone.utc).strftime('%Y%m%d%H%M%S')}"
+    """``<prefix>_<yyyyMMddHHmmss>_<8 hex digits>`` (UTC): jobs that start
+    in one second still own different folders."""
+    return f"{prefix}_{_dt.datetime.now(_dt.timezone.utc).strftime('%Y%m%d%H%M%S')}_{uuid.uuid4().hex[:8]}"
+
+
+def keep_clear(df: DataFrame) -> DataFrame:
+    """Data columns named like the bookkeeping columns (``job_id`` and the
+    flag) move to ``<name>_data``: folder names must not replace them."""
+    taken = {c.lower() for c in df.columns}
+    renamed = {}
+    for c in df.columns:
+        if c.lower() in (JOB_COL, FLAG):
+            new = f"{c}_data"
+            while new.lower() in taken:
+                new += "_"
+            renamed[c] = new
+            taken.add(new.lower())
+    return df.withColumnsRenamed(renamed) if renamed else df
 
 
 def flag_frame(df: DataFrame, columns: str | Iterable[str], prefix: bool = False) -> DataFrame:
-    """Flatten, then add the null flag."""
-    return null_flag(flatten(df, prefix=prefix), parse_columns(columns))
+    """Flatten, then add the null flag. A record that did not parse is
+    flagged too, and its text stays with it."""
+    flat = keep_clear(flatten(df, prefix=prefix))
+    flagged = null_flag(flat, parse_columns(columns))
+    if CORRUPT in flat.columns:
+        flagged = flagged.withColumn(FLAG, F.col(FLAG) | F.col(CORRUPT).isNotNull())
+    return flagged
 
 
 def ingest_frame(df: DataFrame, columns: str | Iterable[str], out_root: str, job_id: str,
                  prefix: bool = False, ledger: Ledger | None = None, source_path: str = "",
-                 description: str = "PAYMENT", max_records_per_file: int | None = None) -> IngestResult:
-    """Run pipeline A over an already-read nested frame."""
+                 description: str = "PAYMENT", max_records_per_file: int | None = None,
+                 quarantine_root: str | None = None) -> IngestResult:
+    """Run pipeline A over an already-read nested frame. Quarantined rows go
+    under ``quarantine_root`` (default: ``out_root``)."""
     out_root = out_root.rstrip("/")
     rows_path = f"{out_root}/rows"
-    quarantine_path = f"{out_root}/quarantine"
+    quarantine_path = f"{(quarantine_root or out_root).rstrip('/')}/quarantine"
     q_location = f"{quarantine_path}/{JOB_COL}={job_id}/"
     if ledger is not None:
         ledger.start(job_id, description, None, source_path, q_location)
@@ -104,8 +129,9 @@ def _rows(spark: SparkSession, out_root: str, job_id: str | None, flag: bool, sc
 
 
 def good_rows(spark: SparkSession, out_root: str, job_id: str | None = None, schema=None) -> DataFrame:
-    """Good rows of a run (flag dropped), read from the flag=false partition."""
-    return _rows(spark, out_root, job_id, False, schema).drop(FLAG, JOB_COL)
+    """Good rows of a run (flag dropped), read from the flag=false partition.
+    They all parsed, so the text of broken records is dropped as well."""
+    return _rows(spark, out_root, job_id, False, schema).drop(FLAG, JOB_COL, CORRUPT)
 
 
 def bad_rows(spark: SparkSession, out_root: str, job_id: str | None = None, schema=None) -> DataFrame:
@@ -116,20 +142,24 @@ def bad_rows(spark: SparkSession, out_root: str, job_id: str | None = None, sche
 def validate_and_process(spark: SparkSession, source_path: str, columns: str | Iterable[str], out_root: str,
                          job_id: str | None = None, schema=None, multi_line: bool = False, prefix: bool = False,
                          ledger_path: str | None = None, description: str = "PAYMENT",
-                         rules=None, report_dir: str | None = None) -> IngestResult:
-    """Pipeline A end to end from JSON files; with ``rules`` (a list of
+                         rules=None, report_dir: str | None = None,
+                         quarantine_root: str | None = None) -> IngestResult:
+    """Pipeline A end to end from JSON files (records that do not parse are
+    quarantined with their text); with ``rules`` (a list of
     ``Rule``) pipeline C follows over the rows just written (no second read
     of the JSON), and one HTML page per dq_id goes to ``report_dir``."""
     from dataclasses import replace
 
     from flatgate.plans.quality_report import ingested_rows, quality_report
-    from flatgate.sources.json import read_json_docs, read_json_lines
+    from flatgate.sources.json import infer_schema, read_json_docs, read_json_lines
 
+    if schema is None:
+        schema = infer_schema(spark, source_path, multi_line)
     reader = read_json_docs if multi_line else read_json_lines
-    df = reader(spark, source_path, schema=schema, with_source=True)
+    df = reader(spark, source_path, schema=schema, with_source=True, keep_corrupt=True)
     ledger = Ledger(spark, ledger_path) if ledger_path else None
     res = ingest_frame(df, columns, out_root, job_id or new_job_id(), prefix=prefix, ledger=ledger,
-                       source_path=source_path, description=description)
+                       source_path=source_path, description=description, quarantine_root=quarantine_root)
     if rules:
         results = quality_report(ingested_rows(spark, out_root, res.job_id), rules, report_dir)
         res = replace(res, rule_results=results)

@@ -9,10 +9,6 @@ from __future__ import annotations
 
 from flatgate.plans.queries import CONV_PART, EMBEDDING_WIDTH_SF001, FIXED_STAMP
 
-# Width of the conversation documents at sf0.01 (turns per conversation
-# there are at most 8, all in the first 16-turn document).
-CONV_WIDTH_SF001 = 8
-
 ST = "CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END"
 PR = "CASE WHEN o_orderpriority LIKE '1%' THEN '  ' ELSE o_orderpriority END"
 ORDERS_NULLS = f"(SELECT *, {ST} AS st, {PR} AS pr FROM orders)"
@@ -48,12 +44,14 @@ FLATTEN_POSITIONAL = (
 
 CONV_DOCS = (
     f"(SELECT conv_id, CAST(floor(turn / {CONV_PART}) AS BIGINT) AS part, "
-    "list(struct_pack(turn := turn, role := role) ORDER BY turn) AS t FROM conversations GROUP BY ALL)"
+    "list(struct_pack(turn := turn, role := role, text := text) ORDER BY turn) AS t FROM conversations GROUP BY ALL)"
 )
 
 FLATTEN_POSITIONAL_NESTED = (
     "SELECT conv_id, part, "
-    + ", ".join(f"t[{i + 1}].turn AS t_{i}_turn, t[{i + 1}].role AS t_{i}_role" for i in range(CONV_WIDTH_SF001))
+    + ", ".join(
+        f"t[{i + 1}].turn AS t_{i}_turn, t[{i + 1}].role AS t_{i}_role, t[{i + 1}].text AS t_{i}_text" for i in range(CONV_PART)
+    )
     + f" FROM {CONV_DOCS}"
 )
 
@@ -72,11 +70,18 @@ UNION ALL
 SELECT o.o_orderkey, 'cust_seg_c_nationkey', CAST(c.c_nationkey AS VARCHAR)
 FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
 UNION ALL
-SELECT l_orderkey, 'items_' || CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) - 1 AS VARCHAR)
-       || '_l_linenumber', CAST(l_linenumber AS VARCHAR)
+SELECT l_orderkey, 'items_*_l_linenumber', CAST(l_linenumber AS VARCHAR)
 FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders)
 """
 
+LEAF_PATHS_MALFORMED = f"""
+SELECT event_id, '_corrupt_record' AS path, left(props, length(props) - 1) AS value FROM events WHERE event_id % 3 = 0
+UNION ALL
+SELECT event_id, '_corrupt_record', '{{"k": 0, ' || substr(props, 2) FROM events WHERE event_id % 3 <> 0 AND event_id % 5 = 0
+UNION ALL
+SELECT * FROM ({LEAF_PATHS}) WHERE event_id % 3 <> 0 AND event_id % 5 <> 0
+"""
+
 
 def _rule_row(rule_id: int, rule_type: str, fail: str, total: str = "(SELECT count(*) FROM orders)",
               extra: str = "") -> str:
@@ -115,6 +120,24 @@ RULES_REPORT = "\nUNION ALL\n".join(
     + ")"
     for rid, name, rtype, fail in _REPORT_ROWS
 )
+REPORT_TABLE = " UNION ALL ".join(
+    f"SELECT 'flatgate' AS app_id, 101 AS dq_id, '{name}' AS rule_name, "
+    f"{'NULL' if about is None else repr(about)} AS description, * FROM (" + _rule_row(rid, rtype, fail) + ")"
+    for (rid, name, rtype, fail), about in zip(_REPORT_ROWS, [
+        "status must be set", "priority must not be blank", None, "primary key", "one order per customer",
+        "every order has lineitems", None], strict=True)
+)
+RULES_REPEATED_IDS = " UNION ALL ".join(
+    f"SELECT {dq} AS dq_id, '{name}' AS rule_name, * FROM (" + _rule_row(1, rtype, fail) + ")"
+    for dq, name, rtype, fail in [
+        (1, "status present", "not null", f"(SELECT count(*) FROM {ORDERS_NULLS} WHERE {NN(['st'])})"),
+        (2, "priority present", "not null", f"(SELECT count(*) FROM {ORDERS_NULLS} WHERE {NN(['pr'])})"),
+        (2, "order key", "unique", _dups("o_orderkey", "orders")),
+        (1, "customer", "unique", _dups("o_custkey", "orders")),
+        (1, "big orders", "query", "(SELECT count(*) FROM orders WHERE o_totalprice > 400000)"),
+        (2, "all orders", "query", "(SELECT count(*) FROM orders)"),
+    ]
+)
 RULES_FAILED = f"SELECT rule_id, fail_count FROM ({RULES_REPORT}) WHERE status = 'fail'"
 RULES_VERDICT = f"SELECT bool_and(status = 'pass') AS passed FROM ({RULES_REPORT})"
 
@@ -159,24 +182,20 @@ RULES_AFTER_INGEST = "\nUNION ALL\n".join(
 
 def _html_oracle() -> str:
     """The D10 page built in SQL from the same counts (values HTML-escaped
-    by hand: the rule texts are constants of the query)."""
-    from flatgate.operators.report import (
-        DQ_ID_CLOSE,
-        EXECUTED_ON,
-        FAILED_COLOUR,
-        FAILED_TITLE,
-        INTRO_CLOSE,
-        PAGE_CLOSE,
-        PAGE_OPEN,
-        PASSED_COLOUR,
-        PASSED_TITLE,
-        REPORT_HEADERS,
-        WITH_FAILURES,
-        WITHOUT_FAILURES,
+    by hand: the rule texts are constants of the query). The page's texts
+    are stated here once more, so a slip in the report's own shows."""
+    # The page's texts, colours and headers.
+    page_open = "<html><body><P>Team,<br/><br/>Data Quality check finished successfully for <b>DQ ID = "
+    after_id, with_failures, without_failures = "</b>", ", with failures. ", ". "
+    intro_close = "Check details in below table of metrics.</P>"
+    failed_title, passed_title = "Failed DQ details", "Succeeded DQ details"
+    failed_colour, passed_colour = "#FF6347", "#33FFBD"
+    executed_on, page_close = "<br/><br/>Executed on ", ",<br/>Thanks</body></html><br/>"
+    header = (
+        "<th>Spark Application Id</th> <th>DQ ID</th> <th>Rule ID</th> <th>Rule Name</th> <th>Rule type</th> "
+        "<th>Description</th> <th>Columns/Query</th> <th>Pass Count</th> <th>Fail Count</th> <th>Total Count</th>"
     )
 
-    header = " ".join(f"<th>{h}</th>" for h in REPORT_HEADERS)
-
     def table(title: str, colour: str) -> str:
         return (f'<h3 style="font-family:arial">{title}</h3><table border="3" style="width:100%">'
                 f'<tr style="text-align:left;background-color:{colour}">{header}</tr>')
@@ -202,12 +221,12 @@ h AS (SELECT rule_id, f > 0 AS failed, {row} AS html FROM r),
 agg AS (SELECT string_agg(html, ' ' ORDER BY rule_id) FILTER (WHERE failed) AS fr,
                string_agg(html, ' ' ORDER BY rule_id) FILTER (WHERE NOT failed) AS pr FROM h)
 SELECT 101 AS dq_id,
-  '{PAGE_OPEN}101{DQ_ID_CLOSE}'
-  || CASE WHEN fr IS NOT NULL THEN '{WITH_FAILURES}' ELSE '{WITHOUT_FAILURES}' END
-  || '{INTRO_CLOSE}'
-  || CASE WHEN fr IS NOT NULL THEN '{table(FAILED_TITLE, FAILED_COLOUR)}' || fr || '</table>' ELSE '' END
-  || CASE WHEN pr IS NOT NULL THEN '{table(PASSED_TITLE, PASSED_COLOUR)}' || pr || '</table>' ELSE '' END
-  || '{EXECUTED_ON}2024-01-01 00:00:00{PAGE_CLOSE}' AS html
+  '{page_open}101{after_id}'
+  || CASE WHEN fr IS NOT NULL THEN '{with_failures}' ELSE '{without_failures}' END
+  || '{intro_close}'
+  || CASE WHEN fr IS NOT NULL THEN '{table(failed_title, failed_colour)}' || fr || '</table>' ELSE '' END
+  || CASE WHEN pr IS NOT NULL THEN '{table(passed_title, passed_colour)}' || pr || '</table>' ELSE '' END
+  || '{executed_on}2024-01-01 00:00:00{page_close}' AS html
 FROM agg
 """
 
@@ -220,8 +239,12 @@ ORACLES: dict[str, str] = {
     "flatten_positional_nested": FLATTEN_POSITIONAL_NESTED,
     "leaf_paths": LEAF_PATHS,
     "leaf_paths_nested": LEAF_PATHS_NESTED,
+    "leaf_paths_malformed": LEAF_PATHS_MALFORMED,
     "explode_estimate": "SELECT count(*) AS rows FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey",
-    "merge_fingerprint": "SELECT conv_id, string_agg(role, ',' ORDER BY turn) AS fingerprint FROM conversations GROUP BY conv_id",
+    "merge_fingerprint": (
+        f"SELECT conv_id, CAST(floor(turn / {CONV_PART}) AS BIGINT) AS part, "
+        "string_agg(role, ',' ORDER BY turn) AS fingerprint FROM conversations GROUP BY ALL"
+    ),
     "merge_columns": (
         f"SELECT conv_id, CAST(floor(turn / {CONV_PART}) AS BIGINT) AS part, "
         "string_agg(role, ',' ORDER BY turn) AS fingerprint FROM conversations GROUP BY ALL"
@@ -232,6 +255,14 @@ ORACLES: dict[str, str] = {
         "QUALIFY row_number() OVER (PARTITION BY fingerprint ORDER BY conv_id, part) = 1"
     ),
     "dedup_keep_first": "SELECT * FROM documents QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1",
+    "dedup_null_order": (
+        f"SELECT o_custkey, st, o_orderkey, pr FROM {ORDERS_NULLS} "
+        "QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY st NULLS FIRST, o_orderkey) = 1"
+    ),
+    "latest_null_order": (
+        f"SELECT o_custkey, CASE WHEN st IS NOT NULL THEN o_totalprice END AS price, o_orderkey, st FROM {ORDERS_NULLS} "
+        "QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY price DESC NULLS LAST, o_orderkey DESC) = 1"
+    ),
     "keep_known": "SELECT o_orderkey, o_totalprice, o_orderdate FROM orders",
     "stamp_job": f"SELECT o_orderkey, 'job_{FIXED_STAMP}' AS job_id FROM orders",
     "preview_top": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 100",
@@ -253,6 +284,9 @@ ORACLES: dict[str, str] = {
     "rules_report": RULES_REPORT,
     "rules_failed": RULES_FAILED,
     "rules_html": _html_oracle(),
+    "rules_repeated_ids": RULES_REPEATED_IDS,
+    "report_table": REPORT_TABLE,
+    "report_page": _html_oracle(),
     "rules_verdict": RULES_VERDICT,
     "missing_keys": MISSING_KEYS,
     "missing_files": MISSING_FILES,
@@ -261,6 +295,13 @@ ORACLES: dict[str, str] = {
     "sql_split_reverse": "SELECT p_partkey, list_reverse(string_split(p_name, ' '))[1] AS last_word FROM part",
     "sql_left_join_null": MISSING_KEYS,
     "latest_per_key": "SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1",
+    "ledger_run": (
+        f"SELECT 'job_{FIXED_STAMP}' AS job_id, 'orders' AS job_description, count(*) AS total_record_count, "
+        "count(*) FILTER (WHERE o_orderstatus <> 'P') AS load_record_count, "
+        "count(*) FILTER (WHERE o_orderstatus = 'P') AS error_record_count, "
+        "TIMESTAMP '2024-01-01 00:00:00' AS job_start_time, TIMESTAMP '2024-01-01 01:00:00' AS job_end_time, "
+        "'orders' AS source_path, 'quarantine/' AS dq_file_path, 'COMPLETED' AS status FROM orders"
+    ),
     "ledger_events": (
         "WITH j AS (SELECT d.source, count(*) AS total, count(l.doc_id) AS loaded FROM documents d "
         "LEFT JOIN labels l ON l.doc_id = d.doc_id GROUP BY d.source) "
@@ -302,6 +343,7 @@ ORACLES: dict[str, str] = {
         "SELECT o.o_orderkey, l.l_linenumber AS items_l_linenumber, true AS null_check_result "
         "FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey WHERE o.o_orderstatus = 'P'"
     ),
+    "stream_json_ledger": INGEST_METRICS,
     "stream_events": "SELECT * FROM events",
     "stream_quarantine": (
         "SELECT o_orderkey, NULL::VARCHAR AS st, true AS null_check_result FROM orders WHERE o_orderstatus = 'P'"

@@ -8,10 +8,12 @@ is the feature.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from flatgate.functions.predicates import is_blank
 from flatgate.functions.text import route_label, run_stamp
@@ -19,15 +21,15 @@ from flatgate.operators import columns as C
 from flatgate.operators import flatten as FL
 from flatgate.operators import quality as Q
 from flatgate.operators import rules as R
-from flatgate.operators.ledger import Ledger, latest_per_key
-from flatgate.operators.report import report_html
+from flatgate.operators.ledger import COMPLETED, LEDGER_COLUMNS, LEDGER_SCHEMA, STARTED, Ledger, latest_per_key
+from flatgate.operators.report import report_html, report_table
 from flatgate.operators.routing import route_counts, route_target, with_route
 from flatgate.plans import fixtures as FX
 from flatgate.plans.documents import write_json_docs, write_json_lines
 from flatgate.plans.ingest import bad_rows, ingest_frame
 from flatgate.plans.sql import sql_on
 from flatgate.session import scratch_dir
-from flatgate.sinks.files import read_csv, write_csv, write_good, write_quarantine
+from flatgate.sinks.files import read_csv, write_csv, write_good, write_quarantine, write_report
 from flatgate.sources.json import corrupt_rows, read_json_docs, read_json_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,7 +40,7 @@ ROUTE_LABELS_PART = ("Promo", "Standard")
 ROUTE_TARGETS = {"Promo": "promo_parts", "Standard": "standard_parts"}
 FIXED_STAMP = "20240101000000"
 EMBEDDING_WIDTH_SF001 = 64  # width of the embedding arrays at sf0.01 (oracle only)
-CONV_PART = 16  # turns per conversation document
+CONV_PART = 4  # turns per conversation document (longer ones are several)
 
 
 def T(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -59,7 +61,7 @@ def q_flatten_plain(spark, sf):
 
 
 def q_flatten_structs(spark, sf):
-    return FL.flatten_structs(FX.orders_nested(spark, sf).drop("items"))
+    return FL.flatten_structs(FX.orders_with_customer(spark, sf))
 
 
 def q_flatten_positional(spark, sf):
@@ -77,26 +79,40 @@ def q_leaf_paths(spark, sf):
     return FL.leaf_paths(T(spark, sf, "events"), "event_id", "props")
 
 
-def _orders_json(spark, sf):
-    """Orders as JSON text documents (ints and strings only)."""
+def _orders_json(spark, sf, max_items: int = FX.DEFAULT_MAX_ITEMS):
+    """Orders as JSON text documents (ints and strings only). Of an order
+    in several documents the first carries the order's own fields."""
     o = T(spark, sf, "orders").select("o_orderkey", "o_custkey")
     c = T(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
     li = T(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber")
-    items = FX.nest_children(li, "o_orderkey", ["l_linenumber"], "items")
-    doc = F.struct(
-        "o_orderkey",
-        F.struct("c_name", F.struct("c_mktsegment", "c_nationkey").alias("seg")).alias("cust"),
-        "items",
-    )
+    items = FX.nest_children(li, "o_orderkey", ["l_linenumber"], "items", max_items=max_items)
+    cust = F.struct("c_name", F.struct("c_mktsegment", "c_nationkey").alias("seg"))
+    lead = items.groupBy("o_orderkey").agg(F.min("part").alias("lead"))
+    first = F.col("part").isNull() | (F.col("part") == F.col("lead"))
+    doc = F.struct(F.when(first, F.col("o_orderkey")).alias("o_orderkey"), F.when(first, cust).alias("cust"), "items")
     return (
         o.join(c, o.o_custkey == c.c_custkey, "left")
         .join(items, "o_orderkey", "left")
+        .join(lead, "o_orderkey", "left")
         .select("o_orderkey", F.to_json(doc).alias("doc"))
     )
 
 
-def q_leaf_paths_nested(spark, sf):
-    return FL.leaf_paths(_orders_json(spark, sf), "o_orderkey", "doc")
+def q_leaf_paths_nested(spark, sf, max_items: int = FX.DEFAULT_MAX_ITEMS):
+    """Leaves of order documents; array positions, which depend on where a
+    document was cut, are written as ``*``."""
+    leaves = FL.leaf_paths(_orders_json(spark, sf, max_items), "o_orderkey", "doc")
+    return leaves.withColumn("path", F.regexp_replace("path", r"^items_\d+_", "items_*_"))
+
+
+def q_leaf_paths_malformed(spark, sf):
+    """Leaves of events.props where every third event's text is cut short
+    and every fifth has its key twice: those come back whole, marked."""
+    cut = F.expr("left(props, length(props) - 1)")
+    twice = F.expr("concat('{\"k\": 0, ', substring(props, 2))")
+    ev = T(spark, sf, "events").select(
+        "event_id", F.when(F.col("event_id") % 3 == 0, cut).when(F.col("event_id") % 5 == 0, twice).otherwise(F.col("props")).alias("props"))
+    return FL.leaf_paths(ev, "event_id", "props")
 
 
 def q_explode_estimate(spark, sf):
@@ -105,14 +121,8 @@ def q_explode_estimate(spark, sf):
 
 
 def q_merge_fingerprint(spark, sf):
-    docs = C.merge_array_field(FX.conversations_nested(spark, sf, CONV_PART), "t", "role", "fp")
-    # documents of one conversation are contiguous turn ranges: put their
-    # partial fingerprints back in order (one entry per document, not per turn)
-    return docs.groupBy("conv_id").agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct("part", "fp"))), lambda x: x["fp"]), ","
-        ).alias("fingerprint")
-    )
+    docs = C.merge_array_field(FX.conversations_nested(spark, sf, CONV_PART), "t", "role", "fingerprint")
+    return docs.select("conv_id", "part", "fingerprint")
 
 
 def q_merge_columns(spark, sf):
@@ -136,6 +146,12 @@ def q_dedup_keep_first(spark, sf):
     return C.dedup_keep_first(T(spark, sf, "documents"), ["text"], ["doc_id"])
 
 
+def q_dedup_null_order(spark, sf):
+    """First order per customer by a status that is NULL for some."""
+    o = FX.orders_nulls(spark, sf).select("o_custkey", "st", "o_orderkey", "pr")
+    return C.dedup_keep_first(o, ["o_custkey"], ["st", "o_orderkey"])
+
+
 def q_keep_known(spark, sf):
     return C.keep_known(T(spark, sf, "orders"), ["o_totalprice", "o_orderkey", "no_such_column", "o_orderdate"])
 
@@ -253,6 +269,34 @@ def q_rules_html(spark, sf):
     return report_html(results, F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
 
 
+def q_report_table(spark, sf):
+    """D8 over the orders' rules."""
+    return report_table(R.run_rules(FX.orders_nulls(spark, sf), _orders_rules(sf), app_id="flatgate")).drop("columns_or_query")
+
+
+def q_report_page(spark, sf):
+    """K5: the page as it stands in the written folder."""
+    path = scratch_dir(spark, "page")
+    write_report(q_rules_html(spark, sf), path)
+    return spark.read.text(path, wholetext=True).select("dq_id", F.rtrim(F.col("value"), F.lit("\n")).alias("html"))
+
+
+REPEATED_IDS = [
+    R.Rule(1, "status present", R.NOT_NULL, columns=("st",), dq_id=1),
+    R.Rule(1, "priority present", R.NOT_NULL, columns=("pr",), dq_id=2),
+    R.Rule(1, "order key", R.UNIQUE, columns=("o_orderkey",), dq_id=2),
+    R.Rule(1, "customer", R.UNIQUE, columns=("o_custkey",), dq_id=1),
+    R.Rule(1, "big orders", R.QUERY, query="SELECT * FROM temp WHERE o_totalprice > 400000", dq_id=1),
+    R.Rule(1, "all orders", R.QUERY, query="SELECT * FROM temp", dq_id=2),
+]
+
+
+def q_rules_repeated_ids(spark, sf):
+    """Rules that share their id, within and across rule sets."""
+    results = R.run_rules(FX.orders_nulls(spark, sf), REPEATED_IDS)
+    return results.select("dq_id", "rule_name", *RESULT_COLS)
+
+
 def q_missing_keys(spark, sf):
     return R.missing_keys(T(spark, sf, "orders").select("o_orderkey"), "o_orderkey", T(spark, sf, "lineitem"), "l_orderkey")
 
@@ -266,8 +310,10 @@ def q_missing_files(spark, sf):
     path = scratch_dir(spark, "files")
     docs.write.partitionBy("source").json(path)
     back = read_json_lines(spark, path, schema="doc_id bigint", with_source=True)
-    n = docs.select(F.countDistinct("source").alias("n")).first()["n"]
-    expected = [f"source=src{i}" for i in range(n + 5)]
+    # one expected name per distinct source and five more, as a frame
+    n = docs.select(F.countDistinct("source").alias("n"))
+    expected = n.select(F.explode(F.sequence(F.lit(0), F.col("n") + 4)).alias("i")).select(
+        F.concat(F.lit("source=src"), F.col("i").cast("string")).alias("file_name"))
     return R.expected_files_missing(back, expected, level=2)
 
 
@@ -308,6 +354,26 @@ def q_latest_per_key(spark, sf):
     return latest_per_key(T(spark, sf, "events"), "user_id", "ts")
 
 
+def q_latest_null_order(spark, sf):
+    """Latest order per customer by a key that is NULL for some."""
+    o = FX.orders_nulls(spark, sf).select(
+        "o_custkey", F.when(F.col("st").isNotNull(), F.col("o_totalprice")).alias("price"), "o_orderkey", "st")
+    return latest_per_key(o, "o_custkey", ["price", "o_orderkey"])
+
+
+def q_ledger_run(spark, sf):
+    """A job's ledger rows through ``start`` and ``finish``, its counts from
+    the orders; times as wall clock of the session's zone."""
+    counts = Q.run_metrics(FX.orders_nulls(spark, sf), "st").first()
+    ledger = Ledger(spark, scratch_dir(spark, "ledger"))
+    at = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    ledger.start("job_" + FIXED_STAMP, "orders", None, "orders", "quarantine/", at=at)
+    ledger.finish("job_" + FIXED_STAMP, counts["total_record_count"], counts["load_record_count"],
+                  counts["error_record_count"], "quarantine/", at=at + dt.timedelta(hours=1))
+    current = ledger.current().drop("seq")
+    return current.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("job_start_time", "job_end_time")})
+
+
 def q_ledger_events(spark, sf):
     """Each documents source is a job: STARTED with its total, COMPLETED
     with loaded (labelled) and error (unlabelled) counts; the ledger is
@@ -319,20 +385,19 @@ def q_ledger_events(spark, sf):
     )
     t0 = F.lit("2024-01-01 00:00:00").cast("timestamp")
     t1 = F.lit("2024-01-01 01:00:00").cast("timestamp")
-    started = per_job.select(
-        F.lit(1).cast("bigint").alias("seq"), F.col("source").alias("job_id"), F.lit("documents").alias("job_description"),
-        F.col("total").alias("total_record_count"), F.lit(0).cast("bigint").alias("load_record_count"),
-        F.lit(0).cast("bigint").alias("error_record_count"), t0.alias("job_start_time"), t0.alias("job_end_time"),
-        F.lit("documents").alias("source_path"), F.lit(None).cast("string").alias("dq_file_path"),
-        F.lit("STARTED").alias("status"),
-    )
-    finished = per_job.select(
-        F.lit(2).cast("bigint").alias("seq"), F.col("source").alias("job_id"), F.lit(None).cast("string").alias("job_description"),
-        F.col("total").alias("total_record_count"), F.col("loaded").alias("load_record_count"),
-        (F.col("total") - F.col("loaded")).alias("error_record_count"), F.lit(None).cast("timestamp").alias("job_start_time"),
-        t1.alias("job_end_time"), F.lit(None).cast("string").alias("source_path"),
-        F.concat(F.lit("quarantine/job_id="), F.col("source")).alias("dq_file_path"), F.lit("COMPLETED").alias("status"),
-    )
+    types = {f.name: f.dataType for f in StructType.fromDDL(LEDGER_SCHEMA)}
+
+    def event(**fields):
+        return per_job.select(*[fields.get(c, F.lit(None)).cast(types[c]).alias(c) for c in LEDGER_COLUMNS])
+
+    started = event(
+        seq=F.lit(1), job_id=F.col("source"), job_description=F.lit("documents"), total_record_count=F.col("total"),
+        load_record_count=F.lit(0), error_record_count=F.lit(0), job_start_time=t0, job_end_time=t0,
+        source_path=F.lit("documents"), status=F.lit(STARTED))
+    finished = event(
+        seq=F.lit(2), job_id=F.col("source"), total_record_count=F.col("total"), load_record_count=F.col("loaded"),
+        error_record_count=F.col("total") - F.col("loaded"), job_end_time=t1,
+        dq_file_path=F.concat(F.lit("quarantine/job_id="), F.col("source")), status=F.lit(COMPLETED))
     ledger = Ledger(spark, scratch_dir(spark, "ledger"))
     started.unionByName(finished).write.mode("append").parquet(ledger.path)
     cur = ledger.current().drop("seq")
@@ -491,6 +556,23 @@ def q_stream_quarantine(spark, sf):
     return bad_rows(spark, root).select("o_orderkey", "st", "null_check_result")
 
 
+def q_stream_json_ledger(spark, sf):
+    """T1 and T2 over nested JSON lines: orders arrive as files, each
+    micro-batch is flattened, flagged and recorded; returns the ledger's
+    totals over all batches."""
+    from flatgate.streaming.files import stream_ingest, stream_json
+
+    nested = FX.orders_nested(spark, sf)
+    arrivals = scratch_dir(spark, "arrivals")
+    nested.repartition(4).write.json(arrivals)
+    ledger = Ledger(spark, scratch_dir(spark, "stream-ledger"))
+    s = stream_json(spark, arrivals, nested.schema, maxFilesPerTrigger=2)
+    q = stream_ingest(s, ["st"], scratch_dir(spark, "stream-rows"), scratch_dir(spark, "stream-ckpt"), prefix=True, ledger=ledger)
+    q.awaitTermination()
+    done = ledger.current().filter(F.col("status") == COMPLETED)
+    return done.agg(*[F.sum(c).alias(c) for c in ("total_record_count", "load_record_count", "error_record_count")])
+
+
 QUERIES: dict[str, Query] = {
     "flatten_prefixed": q_flatten_prefixed,
     "flatten_plain": q_flatten_plain,
@@ -499,10 +581,12 @@ QUERIES: dict[str, Query] = {
     "flatten_positional_nested": q_flatten_positional_nested,
     "leaf_paths": q_leaf_paths,
     "leaf_paths_nested": q_leaf_paths_nested,
+    "leaf_paths_malformed": q_leaf_paths_malformed,
     "explode_estimate": q_explode_estimate,
     "merge_fingerprint": q_merge_fingerprint,
     "merge_columns": q_merge_columns,
     "dedup_keep_first": q_dedup_keep_first,
+    "dedup_null_order": q_dedup_null_order,
     "fingerprint_first_seen": q_fingerprint_first_seen,
     "keep_known": q_keep_known,
     "stamp_job": q_stamp_job,
@@ -520,6 +604,9 @@ QUERIES: dict[str, Query] = {
     "rules_failed": q_rules_failed,
     "rules_verdict": q_rules_verdict,
     "rules_html": q_rules_html,
+    "rules_repeated_ids": q_rules_repeated_ids,
+    "report_table": q_report_table,
+    "report_page": q_report_page,
     "missing_keys": q_missing_keys,
     "missing_files": q_missing_files,
     "sql_union_distinct": q_sql_union_distinct,
@@ -527,6 +614,8 @@ QUERIES: dict[str, Query] = {
     "sql_split_reverse": q_sql_split_reverse,
     "sql_left_join_null": q_sql_left_join_null,
     "latest_per_key": q_latest_per_key,
+    "latest_null_order": q_latest_null_order,
+    "ledger_run": q_ledger_run,
     "ledger_events": q_ledger_events,
     "run_stamp": q_run_stamp,
     "route_label": q_route_label,
@@ -544,4 +633,5 @@ QUERIES: dict[str, Query] = {
     "rules_after_ingest": q_rules_after_ingest,
     "stream_events": q_stream_events,
     "stream_quarantine": q_stream_quarantine,
+    "stream_json_ledger": q_stream_json_ledger,
 }

@@ -81,8 +81,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is
-    used as is. Only when it is unset (tests, a laptop) a private folder is
-    made and registered.
+    used as is; without it a cluster session is refused. Only a local master
+    (tests, a laptop) gets a private folder.
     """
     try:
         sc = spark.sparkContext
@@ -96,6 +96,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         configured = tempfile.mkdtemp(prefix="flatgate-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
@@ -116,5 +118,13 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     writes lands in storage every executor can see.
     """
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    # the checkpoint dir is a per-application subfolder; keep ours beside it
+    # inside the application's own checkpoint folder
     return f"{root}/flatgate/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_scratch(spark: SparkSession, *paths: str) -> None:
+    """Delete scratch folders that nothing reads any more."""
+    sc = spark.sparkContext
+    for path in paths:
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)

@@ -14,14 +14,17 @@ from pyspark.sql.types import ArrayType, MapType, StructType
 
 from flatgate.operators.flatten import col_of
 
-# CSV options that survive embedded quotes and newlines on a round trip.
+# CSV options that survive embedded quotes and newlines on a round trip. NULL
+# is written as a marker of its own, so it stays apart from empty text.
+CSV_NULL = "\\N"
 CSV_WRITE = {
     "header": "true",
     "escape": '"',
+    "nullValue": CSV_NULL,
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
-CSV_READ = {"header": "true", "escape": '"', "multiLine": "true"}
+CSV_READ = {"header": "true", "escape": '"', "multiLine": "true", "nullValue": CSV_NULL}
 
 
 def csv_safe(df: DataFrame) -> DataFrame:
@@ -56,7 +59,9 @@ def write_quarantine(bad: DataFrame, path: str, partition_by: Sequence[str] = ("
 
 
 def write_flat_csv(df: DataFrame, path: str, mode: str = "append") -> None:
-    """K2: flattened rows as CSV with header."""
+    """K2: flattened rows as CSV with header. ``mode='append'`` repeats rows
+    when a job is repeated; give each job its own folder and ``overwrite``
+    to make it safe to retry."""
     write_csv(df, path, mode=mode)
 
 
@@ -83,5 +88,7 @@ def write_good(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode:
 
 
 def write_report(report: DataFrame, path: str) -> None:
-    """K5: one HTML text file per dq_id (``dq_id=<n>/part-*.txt``)."""
-    report.select("dq_id", "html").write.mode("overwrite").partitionBy("dq_id").text(path)
+    """K5: one HTML text file per dq_id (``dq_id=<n>/part-*.txt``). Pages of
+    the rule sets in ``report`` are replaced, others in the folder stay."""
+    report.select("dq_id", "html").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option(
+        "lineSep", "\n").partitionBy("dq_id").text(path)

@@ -1,7 +1,7 @@
 """JSON sources: JSON lines, whole-file documents, corrupt records, schemas.
 
-Infer a schema once (one pass, optionally sampled), store it as JSON, and
-pass it to every later read and to streams: a read with a supplied schema
+Infer a schema once (one pass over every record), store it as JSON, and pass
+it to every later read and to streams: a read with a supplied schema
 skips the inference pass and never changes shape between runs.
 """
 
@@ -38,10 +38,21 @@ def _read(spark: SparkSession, path, schema, multi_line: bool, mode: str, corrup
     if with_source:
         # carried as a column at read time: _metadata is not visible through
         # a temp view and input_file_name() is lost after a shuffle
-        df = df.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
+        df = df.withColumn(source_column(df.columns), F.col("_metadata.file_path"))
     return df
 
 
+def source_column(columns) -> str:
+    """Name of the column that carries a row's file: ``source_file``, or
+    with a number behind it where the data has a field of that name."""
+    taken = {c.lower() for c in columns}
+    name, n = SOURCE_FILE, 1
+    while name in taken:
+        n += 1
+        name = f"{SOURCE_FILE}_{n}"
+    return name
+
+
 def read_json_lines(spark: SparkSession, path, schema: StructType | str | None = None, mode: str = "PERMISSIVE",
                     corrupt_col: str = CORRUPT, with_source: bool = False, keep_corrupt: bool = False,
                     **options) -> DataFrame:
@@ -60,25 +71,22 @@ def read_json_docs(spark: SparkSession, path, schema: StructType | str | None =
 
 
 def corrupt_rows(df: DataFrame, corrupt_col: str = CORRUPT) -> DataFrame:
-    """Records that failed to parse, whole (data fields are null).
+    """Records that failed to parse, whole (data fields are null). A
+    frame that was read without the corrupt column cannot tell them, so it
+    is refused: read with ``keep_corrupt=True``.
 
     Spark refuses a raw-file plan that needs only the corrupt column (the
     parser would have nothing to parse), so keep at least one data column
     next to it in any later projection."""
     if corrupt_col not in df.columns:
-        return df.limit(0)
+        raise ValueError(f"no column {corrupt_col!r}: read the records with keep_corrupt=True")
     return df.filter(F.col(corrupt_col).isNotNull())
 
 
-def infer_schema(spark: SparkSession, path, multi_line: bool = False, sampling_ratio: float = 1.0) -> StructType:
-    """One inference pass (sampled when ``sampling_ratio`` < 1)."""
-    return (
-        spark.read.option("multiLine", multi_line).option("samplingRatio", sampling_ratio).json(path).schema
-    )
-
-
-def schema_to_json(schema: StructType) -> str:
-    return schema.json()
+def infer_schema(spark: SparkSession, path, multi_line: bool = False) -> StructType:
+    """One inference pass over every record: a field that only a few records
+    have is part of the schema."""
+    return spark.read.option("multiLine", multi_line).json(path).schema
 
 
 def schema_from_json(text: str) -> StructType:

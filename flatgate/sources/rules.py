@@ -7,11 +7,13 @@ name, description, rule_type, columns: [...], query}]}`` and the flat line
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from flatgate.operators.rules import NOT_NULL, Rule, rules_from_dicts
+from flatgate.operators.rules import NOT_NULL, Rule, local_table, rules_from_dicts
 
 RULES_SCHEMA = (
     "dq_id int, rule_id int, name string, description string, rule_type string, columns array<string>, "
@@ -68,11 +70,54 @@ def rules_table(raw: DataFrame) -> DataFrame:
     )
 
 
+def _documents(text: str, path: str) -> list[dict]:
+    """JSON values of a rule file: one document (or an array of them) over
+    the whole file, or one per line."""
+    try:
+        found = json.loads(text)
+        found = found if isinstance(found, list) else [found]
+    except json.JSONDecodeError:
+        try:
+            found = [json.loads(line) for line in text.splitlines() if line.strip()]
+        except json.JSONDecodeError as e:
+            raise ValueError(f"{path}: neither one JSON document nor one per line: {e}") from e
+    if not all(isinstance(d, dict) for d in found):
+        raise ValueError(f"{path}: a rule document must be an object")
+    return found
+
+
+def _names(columns) -> list[str] | None:
+    """Column names from a list or from comma-separated text."""
+    if columns is None:
+        return None
+    names = columns.split(",") if isinstance(columns, str) else columns
+    return [n.strip() for n in names if n.strip()]
+
+
+def _rule_row(d: dict, parent: dict, number: int) -> tuple:
+    text = lambda k: None if d.get(k) is None else str(d[k])
+    flat = d is parent
+    dq_id = parent.get("dq_id") if d.get("dq_id") is None else d["dq_id"]
+    rule_id = d.get("rule_id", number if flat else None)
+    kind = text("rule_type") or (NOT_NULL if flat else None)
+    return (
+        None if dq_id is None else int(dq_id), None if rule_id is None else int(rule_id),
+        text("name") or ("NOT NULL fields" if flat else None), text("description"),
+        None if kind is None else kind.strip().lower(), _names(d.get("columns")), text("query"), parent.get("dq_file_path"),
+    )
+
+
 def read_rules(spark: SparkSession, path: str, job_id: str | None = None) -> DataFrame:
-    """Read a rule file (either shape) into the rules table, stamped with
-    the run's ``job_id`` when given."""
-    raw = spark.read.option("multiLine", True).option("mode", "FAILFAST").json(path)
-    table = rules_table(raw)
+    """Read rule files (either shape; one document per file or one per line)
+    into the rules table, stamped with the run's ``job_id`` when given.
+    Every line counts; flat lines without an id are numbered from 1 through
+    the file. Rule files are configuration: their text passes the driver."""
+    rows = []
+    for f in spark.read.text(path, wholetext=True).select("value", "_metadata.file_path").orderBy("file_path").collect():
+        for number, doc in enumerate(_documents(f["value"], f["file_path"]), 1):
+            rules = doc["rules"] or [] if "rules" in doc else [doc]
+            rows += [_rule_row(r, doc, number) for r in rules]
+    table = local_table(spark, rows, RULES_SCHEMA)
     return table if job_id is None else table.withColumn("job_id", F.lit(job_id))
 
 

@@ -9,13 +9,15 @@ a continuous one.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import threading
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from flatgate.plans.ingest import ingest_frame
+from flatgate.operators.ledger import Ledger
+from flatgate.plans.ingest import IngestResult, ingest_frame
 
 
 def stream_files(spark: SparkSession, directory: str, schema: StructType | str, fmt: str = "json",
@@ -41,17 +43,31 @@ def stream_to_parquet(stream: DataFrame, out: str, checkpoint: str, available_no
 
 
 def stream_ingest(stream: DataFrame, columns: str | Iterable[str], out_root: str, checkpoint: str,
-                  prefix: bool = False, available_now: bool = True) -> StreamingQuery:
-    """Pipeline A per micro-batch. Each batch writes under
-    ``job_id=batch_<id>`` with dynamic partition overwrite, so a batch that
-    is replayed after a failure replaces its own output instead of adding
-    to it. A new checkpoint restarts batch ids at 0 and must go with a new
-    ``out_root``."""
+                  prefix: bool = False, available_now: bool = True, ledger: Ledger | None = None,
+                  on_batch: Callable[[IngestResult], None] | None = None, source_path: str = "") -> StreamingQuery:
+    """Pipeline A per micro-batch. Each batch owns the folder
+    ``job_id=batch_<stream>_<n>`` and overwrites it whole, so a batch that is
+    replayed after a failure replaces its own output instead of adding to
+    it. ``<stream>`` is the query's id, kept in its checkpoint: a stream with
+    a new checkpoint counts batches from 0 again but writes beside the old
+    ones.
+
+    Every batch is a run of its own: its counts go to ``ledger`` (started
+    and finished rows) and, as the batch's result, to ``on_batch``."""
     cols = list(columns) if not isinstance(columns, str) else columns
+    started = threading.Event()
+    name: list[str] = []
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        ingest_frame(batch, cols, out_root, f"batch_{batch_id}", prefix=prefix)
+        started.wait()
+        result = ingest_frame(batch, cols, out_root, f"batch_{name[0]}_{batch_id}", prefix=prefix, ledger=ledger,
+                              source_path=source_path)
+        if on_batch is not None:
+            on_batch(result)
 
     w = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w
-    return w.start()
+    query = w.start()
+    name.append(str(query.id).replace("-", "")[:12])
+    started.set()
+    return query

@@ -21,6 +21,21 @@ def test_hot_parent_is_split_into_bounded_documents(spark):
     assert flat.agg(F.countDistinct("v")).first()[0] == 30000
 
 
+def test_equal_items_of_a_hot_parent_spread(spark):
+    ch = spark.range(20000).select(F.lit(7).alias("k"), (F.col("id") % 3).alias("v"))
+    docs = nest_children(ch, "k", ["v"], "items", max_items=100)
+    assert docs.agg(F.max(F.size("items"))).first()[0] <= 160
+    assert docs.agg(F.sum(F.size("items"))).first()[0] == 20000
+
+
+def test_queries_do_not_depend_on_the_cut(spark):
+    from flatgate.plans.queries import q_leaf_paths_nested
+
+    sf = "/root/testdata/sf0.001"
+    a, b = (sorted(map(tuple, q_leaf_paths_nested(spark, sf, n).collect()), key=repr) for n in (2, 10_000))
+    assert a == b and len(a) > 1000
+
+
 def test_contiguous_parts_keep_order(spark):
     ch = spark.range(50).select(F.lit(1).alias("k"), F.col("id").alias("turn"), F.col("id").cast("string").alias("r"))
     docs = nest_children(ch, "k", ["turn", "r"], "t", sort_cols=["turn"], max_items=16, part_col="turn")

@@ -139,7 +139,7 @@ def test_positional_flatten(spark):
     assert sorted(out.columns) == sorted(["apps_0_slug", "apps_1_slug", "ip", "meta_keep"])
     got = {r.ip: (r.apps_0_slug, r.apps_1_slug, r.meta_keep) for r in out.collect()}
     assert got == {"1.1.1.1": ("a", "b", 2), "2.2.2.2": ("c", None, 4)}
-    # a fixed width caps the columns; positions past an array's end are null
+    # a fixed width fixes the columns; positions past an array's end are null
     capped = flatten_positional(df, max_items=3, exclude=["skip"])
     assert "apps_2_slug" in capped.columns
 
