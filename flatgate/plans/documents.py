@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flatgate.operators.flatten import flatten
-from flatgate.sinks.files import write_flat_csv
+from flatgate.sinks.files import write_csv, write_flat_csv
 from flatgate.sources.json import read_json_docs
 
 
@@ -42,8 +42,13 @@ def write_json_docs(df: DataFrame, path: str, max_bytes: int = 64 << 20, mode: s
     docs.write.mode(mode).option("maxRecordsPerFile", 1).option("lineSep", "\n").text(path)
 
 
-def json_docs_to_csv(spark: SparkSession, source: str, out: str, schema=None) -> DataFrame:
-    """Pipeline B: read documents, prefixed flatten, append as CSV."""
+def json_docs_to_csv(spark: SparkSession, source: str, out: str, schema=None, job_id: str | None = None) -> DataFrame:
+    """Pipeline B: read documents, prefixed flatten, append as CSV. With a
+    ``job_id`` the job owns ``<out>/job_id=<id>`` and overwrites it, so it
+    can be repeated after a failure without doubling rows."""
     flat = flatten(read_json_docs(spark, source, schema=schema), prefix=True)
-    write_flat_csv(flat, out)
+    if job_id is None:
+        write_flat_csv(flat, out)
+    else:
+        write_csv(flat, f"{out.rstrip('/')}/job_id={job_id}", mode="overwrite", overwrite_mode="static")
     return flat

@@ -8,6 +8,8 @@ overwrite, no summary metadata, predicate pushdown on.
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
 import uuid
@@ -115,16 +117,32 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     """A fresh, unique folder under the shared checkpoint root.
 
     Used for round-trip writes and stream checkpoints, so everything a job
-    writes lands in storage every executor can see.
+    writes lands in storage every executor can see. What is left of it when
+    the driver process ends is deleted.
     """
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    # inside the application's own checkpoint folder
-    return f"{root}/flatgate/{name}-{uuid.uuid4().hex[:12]}"
+    # inside the application's own checkpoint folder, which goes with it
+    folder = f"{root}/flatgate"
+    if folder not in _scratch_roots:
+        _scratch_roots.add(folder)
+        atexit.register(_remove_at_exit, spark.sparkContext, folder)
+    return f"{folder}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_scratch_roots: set[str] = set()
+
+
+def _remove_at_exit(sc, folder: str) -> None:
+    with contextlib.suppress(Exception):  # the JVM may be gone already
+        _remove(sc, folder)
+
+
+def _remove(sc, path: str) -> None:
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def remove_scratch(spark: SparkSession, *paths: str) -> None:
     """Delete scratch folders that nothing reads any more."""
-    sc = spark.sparkContext
     for path in paths:
-        p = sc._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+        _remove(spark.sparkContext, path)

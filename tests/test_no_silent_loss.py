@@ -190,6 +190,27 @@ def test_a_report_replaces_its_own_pages_only(spark, tmp):
     assert {(r.dq_id, r.value) for r in spark.read.text(f"{tmp}/r").collect()} == {(1, "c"), (2, "b")}
 
 
+def test_a_repeated_csv_job_doubles_nothing(spark, tmp):
+    from flatgate.plans.documents import json_docs_to_csv, write_json_docs
+
+    write_json_docs(spark.range(5).select("id", F.struct("id").alias("s")), f"{tmp}/docs")
+    for _ in range(2):
+        json_docs_to_csv(spark, f"{tmp}/docs", f"{tmp}/csv", schema="id bigint, s struct<id bigint>", job_id="j")
+    assert read_csv(spark, f"{tmp}/csv").count() == 5
+
+
+def test_scratch_goes_with_the_process(tmp):
+    import subprocess
+    import sys
+
+    code = ("from flatgate.session import get_session, scratch_dir; s = get_session('local', **{'spark.checkpoint.dir': %r}); "
+            "s.range(3).write.parquet(scratch_dir(s)); import os; print([f for d, _, f in os.walk(%r) if '/scratch-' in d])") % (tmp, tmp)
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=200,
+                          cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    assert "parquet" in done.stdout, done.stderr[-500:]
+    assert not [d for d, _, _ in os.walk(tmp) if os.path.basename(d).startswith("scratch-")]
+
+
 def test_expected_files_as_a_frame(spark):
     df = spark.createDataFrame([("x/a.json",), ("x/b.json",)], "source_file string")
     want = spark.createDataFrame([("a.json",), ("c.json",), ("c.json",)], "file_name string")
