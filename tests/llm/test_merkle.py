@@ -30,7 +30,7 @@ def brute_tree(text):
     paragraphs = [h_array(b) for b in blocks]
     sections = [f"{h_array(paragraphs[i:i + M.SECTION]) % (1 << 64):X}".lower() for i in range(0, max(1, len(paragraphs)), M.SECTION)]
     root = hashlib.sha256(".".join(sections).encode()).hexdigest()
-    return root, sections, [x for b in blocks for x in b]
+    return root, sections, [x >> 32 for b in blocks for x in b]
 
 
 def brute_likeness(a, b):
