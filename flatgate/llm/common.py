@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flatgate.session import scratch_dir
+from flatgate.session import remove_scratch, scratch_dir
 
 # A word is a run of anything but space, tab, LF, VT, FF and CR; bytes.split()
 # cuts at exactly these six.
@@ -36,12 +36,8 @@ def store(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
-def forget(spark: SparkSession, *paths: str) -> None:
-    """Delete scratch tables that no later step reads."""
-    jvm = spark.sparkContext._jvm
-    for path in paths:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+# Deletes scratch tables that no later step reads.
+forget = remove_scratch
 
 
 def free_name(columns: list[str], base: str) -> str:
