@@ -28,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +38,7 @@ from flatgate.llm.common import id_remainder, raw_texts, store, word_runs
 STATES = 8
 CLASSES = 1 << 14
 #: Tokens of a chunk, about; a longer document is a chunk of its own.
-CHUNK_TOKENS = 1 << 21
+CHUNK_TOKENS = 1 << 20
 #: The first estimate comes from a bounded sample of training documents (by
 #: hash order); then every pass goes over all of them.
 SAMPLE_DOCS, SAMPLE_BYTES, SAMPLE_ROUNDS = 1500, 16_000, 12
@@ -47,6 +48,8 @@ PRIOR_TOKENS = 50.0
 #: The E-step takes longer documents in blocks of so many tokens.
 BLOCK = 1 << 16
 GROUP_TOKENS = 400_000
+#: Tokens whose sequences a task runs side by side, at most a chunk more.
+STEP_TOKENS = 1 << 22
 
 
 def word_class(word: bytes) -> int:
@@ -181,7 +184,7 @@ def chunked(docs: DataFrame, id_col: str, text_col: str, modulus: int, held_out:
             train = np.repeat(~np.array(held, bool), sizes)
             counts = np.bincount(every[train], minlength=len(words)).astype(np.int32)
             classes = np.array([word_class(w) for w in words], "<u2")
-            row = [next(number), ids, held, sizes, every.astype("<i4").tobytes(), [w.decode() for w in words], classes.tobytes(), counts]
+            row = [next(number), ids, held, sizes, pack_numbers(every), [w.decode() for w in words], classes.tobytes(), counts]
             types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.string()),
                      pa.binary(), pa.list_(pa.int32())]
             names = ["chunk", "doc_ids", "held", "sizes", "tokens", "words", "classes", "counts"]
@@ -207,11 +210,29 @@ def chunked(docs: DataFrame, id_col: str, text_col: str, modulus: int, held_out:
     return rows.mapInArrow(cut, _CHUNK)
 
 
-def _sequences(classes: bytes, tokens: bytes, sizes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def pack_numbers(numbers: np.ndarray) -> bytes:
+    """Numbers below 2^32, compressed byte plane by byte plane: the high
+    bytes of word places are nearly constant."""
+    planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpack_numbers(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
+def _sequences(classes: bytes, token: np.ndarray, sizes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Class of every token of a chunk, and where its documents start."""
     sizes = np.asarray(sizes, np.int64)
-    obs = np.frombuffer(classes, "<u2")[np.frombuffer(tokens, "<i4")]
-    return obs, np.cumsum(sizes) - sizes, sizes
+    return np.frombuffer(classes, "<u2")[token], np.cumsum(sizes) - sizes, sizes
+
+
+def joined_sequences(parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sequences of several chunks as those of one."""
+    at = np.cumsum([0, *(len(obs) for obs, _, _ in parts)])
+    return (np.concatenate([obs for obs, _, _ in parts]), np.concatenate([starts + a for (_, starts, _), a in zip(parts, at, strict=False)]),
+            np.concatenate([lengths for _, _, lengths in parts]))
 
 
 def corpus_counts(chunks: DataFrame, model: Model):
@@ -224,19 +245,29 @@ def corpus_counts(chunks: DataFrame, model: Model):
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         sums = np.zeros((CLASSES + k + 1, k))
+        waiting: list = []  # long sequences run better beside those of other chunks
+
+        def add_up() -> None:
+            obs, starts, lengths = joined_sequences(waiting)
+            waiting.clear()
+            if (lengths > BLOCK).any():
+                cuts = [(s + o, min(BLOCK, n - o)) for s, n in zip(starts, lengths, strict=True) for o in range(0, n, BLOCK)]
+                starts, lengths = (np.array(x) for x in zip(*cuts, strict=True))
+            if len(lengths):
+                first, moves, emitted = expected_counts(model, obs, starts, lengths)
+                sums[:CLASSES] += emitted
+                sums[CLASSES:CLASSES + k] += moves
+                sums[-1] += first
+
         for batch in batches:
             for sizes, held, tokens, classes in zip(*(batch.column(c) for c in range(4)), strict=True):
-                obs, starts, lengths = _sequences(classes.as_py(), tokens.as_py(), sizes.as_py())
+                obs, starts, lengths = _sequences(classes.as_py(), unpack_numbers(tokens.as_py()), sizes.as_py())
                 train = ~np.array(held.as_py(), bool)
-                starts, lengths = starts[train], lengths[train]
-                if (lengths > BLOCK).any():
-                    cuts = [(s + o, min(BLOCK, n - o)) for s, n in zip(starts, lengths, strict=True) for o in range(0, n, BLOCK)]
-                    starts, lengths = (np.array(x) for x in zip(*cuts, strict=True))
-                if len(lengths):
-                    first, moves, emitted = expected_counts(model, obs, starts, lengths)
-                    sums[:CLASSES] += emitted
-                    sums[CLASSES:CLASSES + k] += moves
-                    sums[-1] += first
+                waiting.append((obs, starts[train], lengths[train]))
+                if sum(len(w[0]) for w in waiting) >= STEP_TOKENS:
+                    add_up()
+        if waiting:
+            add_up()
         rows = np.flatnonzero(sums.any(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), *[pa.array(sums[rows, j]) for j in range(k)]],
                                          names=["row", *[f"k{j}" for j in range(k)]])
@@ -304,21 +335,36 @@ def class_column(word: str):
 def _scored(joined: DataFrame, model: Model, z: np.ndarray, n: int, v: int) -> DataFrame:
     shared = joined.sparkSession.sparkContext.broadcast((model, np.log10(z)))
 
+    def finished(waiting: list, rest: list) -> Iterator[pa.RecordBatch]:
+        likelihood = log_likelihood(shared.value[0], *joined_sequences(waiting)) / np.log(10)
+        at = 0
+        for (_, _, lengths), (ids, held, n_known, base, in_words) in zip(waiting, rest, strict=True):
+            k = len(lengths)
+            yield pa.RecordBatch.from_arrays(
+                [ids, held, pa.array(lengths), pa.array(n_known), pa.array(np.full(k, n, np.int64)), pa.array(base),
+                 pa.array(in_words + likelihood[at:at + k])],
+                names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+            at += k
+
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, log_z = shared.value
+        log_z = shared.value[1]
         for batch in batches:
+            waiting, rest = [], []
             for ids, held, sizes, tokens, classes, n_words, places, known in zip(*batch.columns, strict=True):
                 c = np.zeros(n_words.as_py(), np.int64)
                 if places.is_valid:
                     c[places.values.to_numpy(zero_copy_only=False)] = known.values.to_numpy(zero_copy_only=False)
-                token = np.frombuffer(tokens.as_py(), "<i4")
-                obs, starts, lengths = _sequences(classes.as_py(), tokens.as_py(), sizes.as_py())
+                token = unpack_numbers(tokens.as_py())
+                obs, starts, lengths = _sequences(classes.as_py(), token, sizes.as_py())
                 in_class = np.add.reduceat(np.log10(c + 1.0)[token], starts)
                 base = in_class - lengths * np.log10(float(n + v + 1))
-                full = in_class - np.add.reduceat(log_z[obs], starts) + log_likelihood(model, obs, starts, lengths) / np.log(10)
-                yield pa.RecordBatch.from_arrays(
-                    [ids.values, held.values, pa.array(lengths), pa.array(np.add.reduceat((c > 0)[token], starts, dtype=np.int64)),
-                     pa.array(np.full(len(lengths), n, np.int64)), pa.array(base), pa.array(full)],
-                    names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+                waiting.append((obs, starts, lengths))
+                rest.append((ids.values, held.values, np.add.reduceat((c > 0)[token], starts, dtype=np.int64), base,
+                             in_class - np.add.reduceat(log_z[obs], starts)))
+                if sum(len(w[0]) for w in waiting) >= STEP_TOKENS:
+                    yield from finished(waiting, rest)
+                    waiting, rest = [], []
+            if waiting:
+                yield from finished(waiting, rest)
 
     return joined.mapInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
