@@ -21,6 +21,7 @@ in whatever batch it comes.
 from __future__ import annotations
 
 import heapq
+import itertools
 import math
 import re
 import zlib
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLANK = "▁"
-CACHE_WORDS = 150_000
+CACHE_WORDS = 240_000
 BLOCK_WORDS = 150_000
 _RUNS = re.compile("\n+[^ \n]*| +[^ \n]*|[^ \n]+")
 _U64 = np.uint64
@@ -53,6 +54,9 @@ def mix(x):
     return x ^ x >> _U64(31)
 
 
+_MIXED = [mix(n) for n in range(64)]
+
+
 class Chance:
     """Uniform numbers in (0, 1) of one row, in order."""
 
@@ -61,7 +65,8 @@ class Chance:
 
     def __call__(self) -> float:
         self.n += 1
-        return ((mix(self.key ^ mix(self.n)) >> 11) + 0.5) / (1 << 53)
+        n = self.n
+        return ((mix(self.key ^ (_MIXED[n] if n < len(_MIXED) else mix(n))) >> 11) + 0.5) / (1 << 53)
 
 
 def split_words(text: str) -> list[str]:
@@ -138,6 +143,7 @@ class Lattices:
         self.unknown = sp.unk_id()
         for value in range(128):
             self.pieces.setdefault(chr(value), (self.bytes.get(value, self.unknown), self.byte_weight))
+        self.letters = frozenset(p for p in self.pieces if len(p) == 1)
         self.longest = max(map(len, self.pieces))
         self._index_prefixes()
         self.clear()
@@ -157,7 +163,7 @@ class Lattices:
             codes = np.array([list(map(ord, p)) for p in names], np.uint32).reshape(len(names), n)
             h = np.zeros(len(names), np.uint64)
             for k in range(n):
-                h = self._roll(h, codes[:, k])
+                h = self._roll(h, codes[:, k].astype(np.uint64))
             order = np.argsort(h)
             if len(np.unique(h)) != len(h):
                 raise ValueError("two prefixes share a hash")
@@ -166,13 +172,29 @@ class Lattices:
 
     @staticmethod
     def _roll(h: np.ndarray, code: np.ndarray) -> np.ndarray:
-        return (h ^ code.astype(np.uint64)) * _U64(0x9E3779B97F4A7C15) + _U64(0x632BE59BD9B4E019)
+        out = h ^ code
+        out *= _U64(0x9E3779B97F4A7C15)
+        out += _U64(0x632BE59BD9B4E019)
+        return out
 
     def clear(self) -> None:
         self.known: dict[str, int] = {}  # word -> its first node
         self.first = Grown(np.int32)  # node -> its first edge; -1 at a word's end
         self.cum, self.to, self.piece, self.logp = Grown(np.float64), Grown(np.int32), Grown(np.int32), Grown(np.float64)
         self.first.extend(np.array([-1], np.int32))  # node 0 ends every word
+        self.kept: tuple[int, int, int] | None = None
+
+    def trim(self) -> None:
+        """Forget the words learned last, down to half of the bound: what
+        came first is what comes often."""
+        if self.kept is None:
+            self.clear()
+            return
+        words, nodes, edges = self.kept
+        self.known = dict(itertools.islice(self.known.items(), words))
+        self.first.n = nodes
+        for store in (self.cum, self.to, self.piece, self.logp):
+            store.n = edges
 
     def _extend(self, first, cum, to, piece, logp) -> None:
         for store, values in ((self.first, first), (self.cum, cum), (self.to, to), (self.piece, piece), (self.logp, logp)):
@@ -188,6 +210,7 @@ class Lattices:
         words, spelled, lengths = [words[i] for i in order], [spelled[i] for i in order], lengths[order]
         width = int(lengths[0])
         codes = np.frombuffer("".join(w.rjust(width, "\0") for w in spelled).encode("utf-32-le"), np.uint32).reshape(-1, width)
+        columns = np.ascontiguousarray(codes.T).astype(np.uint64)
         base, edge_base = self.first.n, self.cum.n
         alive = [int(np.searchsorted(-lengths, -d, side="right")) for d in range(width + 1)]  # words of d characters or more
         node_of = [0] * (width + 1)  # first node at each distance
@@ -202,19 +225,24 @@ class Lattices:
             hit_rows, hit_len, hit_piece, hit_weight = [], [], [], []
             for length in range(1, min(d, self.longest) + 1):
                 at = width - d
-                h = self._roll(h, codes[rows, at + length - 1])
+                h = self._roll(h, columns[at + length - 1, :n] if length == 1 else columns[at + length - 1][rows])
                 hashes, spell, ids, weights = self.prefixes[length - 1]
                 k = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
-                same = hashes[k] == h
-                same[same] = (spell[k[same]] == codes[rows[same], at:at + length]).all(axis=1)
-                rows, h, k = rows[same], h[same], k[same]
-                if not len(rows):
+                same = np.flatnonzero(hashes[k] == h)
+                if not len(same):
                     break
-                whole = ids[k] >= 0
-                hit_rows.append(rows[whole])
-                hit_len.append(np.full(int(whole.sum()), length))
-                hit_piece.append(ids[k[whole]])
-                hit_weight.append(weights[k[whole]])
+                rows, h, k = rows[same], h[same], k[same]
+                # a piece is compared letter by letter; a prefix that shares
+                # another one's hash would only lead to no piece
+                whole = np.flatnonzero(ids[k] >= 0)
+                of, piece = rows[whole], k[whole]
+                right = (spell[piece] == codes[of, at:at + length]).all(axis=1)
+                if not right.all():
+                    of, piece = of[right], piece[right]
+                hit_rows.append(of)
+                hit_len.append(np.full(len(of), length))
+                hit_piece.append(ids[piece])
+                hit_weight.append(weights[piece])
             # longer pieces first: they are mostly the likelier ones
             row = np.concatenate(hit_rows[::-1])
             by_row = np.argsort(row, kind="stable")
@@ -285,20 +313,31 @@ class Lattices:
 
     def learn(self, words: Iterable[str]) -> None:
         quick, slow = [], []
-        get = self.pieces.get
+        spelled = self.letters.issuperset
         for w in words:
-            if len(w) < self.WIDEST and (w.isascii() or None not in map(get, w)):
-                quick.append(w)
-            else:
-                slow.append(w)
+            (quick if len(w) < self.WIDEST and (w.isascii() or spelled(w)) else slow).append(w)
+        quick.sort(key=len)  # words of one length share a narrow matrix
         for at in range(0, len(quick), 20_000):
             self._add_all(quick[at:at + 20_000])
         for w in slow:
             self._add_one(w)
+        if self.kept is None and len(self.known) >= CACHE_WORDS // 2:
+            self.kept = len(self.known), self.first.n, self.cum.n
 
     def starts(self, words: list[str]) -> np.ndarray:
         return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
 
+    def starts_of(self, texts: list[list[str]]) -> list[np.ndarray]:
+        """First nodes of each text's words; unknown words are learned, those
+        of all texts together."""
+        found = [list(map(self.known.get, words)) for words in texts]
+        gaps = [(words, nodes, i) for words, nodes in zip(texts, found, strict=True) if None in nodes
+                for i, node in enumerate(nodes) if node is None]
+        self.learn({words[i] for words, _, i in gaps})
+        for words, nodes, i in gaps:
+            nodes[i] = self.known[words[i]]
+        return [np.array(nodes, np.int64) for nodes in found]
+
     def views(self) -> tuple[np.ndarray, ...]:
         return tuple(a.view() for a in (self.first, self.cum, self.to, self.piece, self.logp))
 
@@ -373,15 +412,19 @@ class Search:
 
     def __init__(self, key: int):
         self.chance, self.queue, self.samples = Chance(key), [], []
+        self.pushed = itertools.count()  # decides between equal bounds
 
     def _push(self, location: float, bound: float, region: tuple) -> None:
         value = truncated_gumbel(location, bound, self.chance())
-        heapq.heappush(self.queue, (-value, len(self.queue) + 1000 * len(self.samples), region))
+        heapq.heappush(self.queue, (-value, next(self.pushed), region))
 
     def _leaving(self, sample: Sample, start: int, done: tuple) -> np.ndarray:
         """Chance to leave the sample at each edge from ``start`` on, given
         its prefix up to there."""
         p = sample.prefix[start:]
+        if not done:
+            # what lies 60 nats below the first cannot change a double's sum
+            p = p[:max(2, int(np.searchsorted(-p, 60 - p[0])) + 1)]
         out = np.exp(p[:-1] - p[0]) * -np.expm1(p[1:] - p[:-1])
         for t in done:
             out[t - start] = 0.0
@@ -416,7 +459,8 @@ class Search:
         taken = rest
         if kind == "after":
             leave = np.cumsum(self._leaving(sample, place, rest))
-            t = place + int(np.searchsorted(leave, self.chance() * leave[-1], side="right"))
+            t = int(np.searchsorted(leave, self.chance() * leave[-1], side="right"))
+            t = place + min(t, int(np.searchsorted(leave, leave[-1])))  # not past the last edge that can be left
             self._push_after(sample, place, (*rest, t), value)
             place, taken = t, (int(sample.edges[t]),)
         left = [e for e in _siblings(tables, int(sample.edges[place])) if e not in taken]
@@ -461,9 +505,7 @@ def _siblings(tables, edge: int) -> range:
 def sample_block(lattices: Lattices, keys: list[int], texts: list[str], k: int) -> list[Search]:
     """``k`` distinct segmentations (all, where there are fewer) of each
     text; the texts' paths are drawn together, one round for each sample."""
-    words = [split_words(t) for t in texts]
-    lattices.learn({w for ws in words for w in ws if w not in lattices.known})
-    words = [lattices.starts(ws) for ws in words]
+    words = lattices.starts_of([split_words(t) for t in texts])
     tables = lattices.views()
     logp, to = tables[4], tables[2]
     searches = [Search(mix(key)) for key in keys]
@@ -500,7 +542,8 @@ def sample_block(lattices: Lattices, keys: list[int], texts: list[str], k: int)
             else:
                 searches[row].add(tables, branch, Sample(mine, of_word, prefix, branch[4]))
 
-    draw(list(range(len(texts))), 0, [None] * len(texts)) if texts else None
+    if texts:
+        draw(list(range(len(texts))), 0, [None] * len(texts))
     for round_no in range(1, k):
         open_rows = [(row, branch) for row, s in enumerate(searches) if (branch := s.next_branch(tables)) is not None]
         if not open_rows:
@@ -543,7 +586,7 @@ def sampled_segmentations(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
         def emit(ids, keys, texts) -> pa.RecordBatch:
             if len(lattices.known) > CACHE_WORDS:
-                lattices.clear()
+                lattices.trim()
             out = {name: [] for name in ("doc_id", "sample", *fields)}
             searches = sample_block(lattices, keys, texts, k)
             pieces = lattices.piece.view()
