@@ -5,12 +5,14 @@ Full pieces are sequences of their own. All other pieces are dealt by a hash
 into groups of bounded size, each packed by one task: best fit, longest
 first, and then a local search among the underfull bins that moves a
 document, exchanges one for one or two for one, always increasing the sum of
-squared fills, until bins run empty.
+squared fills, until no exchange of any two bins is left or no bin can run
+empty.
 """
 
 from __future__ import annotations
 
 import heapq
+import itertools
 import re
 import unicodedata
 import zlib
@@ -29,9 +31,6 @@ CAPACITY = 2048
 #: Pieces per packing group, about: the unit of work of one task.
 GROUP_PIECES = 16_384
 CACHE_WORDS = 400_000
-#: Rounds of the local search over all underfull bins, and the emptiest bins
-#: that each of them asks per round.
-ROUNDS, GIVERS = 8, 8
 
 # Fixed value: the word pattern of the public lower-case vocabulary.
 _PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
@@ -195,6 +194,17 @@ class LocalSearch:
         self.fill[a] -= moved
         self.fill[b] += moved
 
+    def _totals(self, a: int) -> tuple[dict, dict]:
+        """What bin ``a`` can give: one piece, or two, by their total."""
+        by_size: dict[int, list[int]] = {}
+        for i in self.bins[a]:
+            by_size.setdefault(self.n[i], []).append(i)
+        ones = {n: (items[0],) for n, items in by_size.items()}
+        twos = {2 * n: tuple(items[:2]) for n, items in by_size.items() if len(items) > 1}
+        for (n, x), (m, y) in itertools.combinations(by_size.items(), 2):
+            twos.setdefault(n + m, (x[0], y[0]))
+        return ones, twos
+
     def _offers(self, a: int, want: int) -> Iterator[tuple[int, tuple]]:
         """What bin ``a`` can give: one or two of its pieces, of a total up
         to ``want``, as (total, pieces), largest first."""
@@ -227,35 +237,93 @@ class LocalSearch:
         self._swap(a, best[1][0], b, best[1][1])
         return True
 
-    def run(self, rounds: int = ROUNDS) -> list[list[int]]:
-        """All bins after the search. It ends when a round changes nothing,
-        or when so few underfull bins are left that none can run empty."""
+    def _index(self, b: int) -> None:
+        """Enter what bin ``b`` can give now; earlier entries of it are
+        dropped when they come first."""
+        self.stamp[b] = self.stamp.get(b, 0) + 1
+        if b in self.bins:
+            entry = (self.fill[b], b, self.stamp[b])
+            for kind, totals in enumerate(self._totals(b)):
+                for n in totals:
+                    heapq.heappush(self.givers[kind][n], entry)
+                    if entry[0] < self.least[kind, n]:
+                        self.least[kind, n] = entry[0]
+
+    def _clean(self, kind: int, n: int) -> list:
+        heap = self.givers[kind][n]
+        while heap and self.stamp[heap[0][1]] != heap[0][2]:
+            heapq.heappop(heap)
+        self.least[kind, n] = heap[0][0] if heap else self.capacity
+        return heap
+
+    def _reindex(self, b: int, before: tuple[dict, dict]) -> None:
+        """``_index`` after a change; ``before`` is what ``b`` could give."""
+        self._index(b)
+        for kind, totals in enumerate(before):
+            for n in totals:
+                self._clean(kind, n)
+
+    def _giver(self, b: int, own: tuple[dict, dict]) -> int | None:
+        """The bin that gives ``b`` the most by one exchange, of all that
+        are not fuller, or None: ``b`` can gain nothing."""
+        room, fill = self.capacity - self.fill[b], self.fill[b]
+        best, found = 0, None
+        for kind in (0, 1):
+            open_ = self.least[kind] <= fill
+            aside = []
+            for n in own[kind]:
+                heap = self._clean(kind, n)
+                if heap[0][1] == b:  # not from itself
+                    entry = heapq.heappop(heap)
+                    open_[n] = bool(self._clean(kind, n)) and heap[0][0] <= fill
+                    aside.append((n, entry))
+            totals = np.flatnonzero(open_)
+            if len(totals):
+                back = np.fromiter(itertools.chain((0,), own[0], own[1] if kind == 0 else ()), np.int64)
+                at = np.searchsorted(totals, room + back, "right") - 1
+                gain = np.where(at >= 0, totals[at] - back, 0)
+                k = int(gain.argmax())
+                if gain[k] > best:
+                    best, found = int(gain[k]), self.givers[kind][totals[at[k]]][0][1]
+            for n, entry in aside:
+                heapq.heappush(self.givers[kind][n], entry)
+                self.least[kind, n] = entry[0]
+        return found
+
+    def run(self) -> list[list[int]]:
+        """All bins after the search. It ends when a round over all bins
+        changes nothing, or when so few underfull bins are left that none
+        can run empty. Every exchange raises the squares' sum, so it ends."""
         least = -(-sum(self.fill[b] for b in self.bins) // self.capacity)
         full = len(self.full)
-        for _ in range(rounds):
-            if len(self.bins) + len(self.full) - full <= least:
-                break
+        self.stamp: dict[int, int] = {}
+        # for one and for two pieces and each total: the bins that have it,
+        # emptiest first, as (fill, bin, stamp), and the first one's fill
+        self.givers = [[[] for _ in range(self.capacity)] for _ in range(2)]
+        self.least = np.full((2, self.capacity), self.capacity, np.int64)
+        if len(self.bins) > least:
+            for b in self.bins:
+                self._index(b)
+        changed = True
+        while changed and len(self.bins) + len(self.full) - full > least:
             changed = False
-            order = sorted(self.bins, key=lambda b: self.fill[b])
-            lo = 0
-            # the emptiest bins give, the fullest take
-            for b in reversed(order):
-                if b not in self.bins:
-                    continue
-                while lo < len(order) and order[lo] not in self.bins:
-                    lo += 1
-                for a in order[lo:lo + GIVERS]:
-                    if a == b or a not in self.bins or self.fill[a] > self.fill[b]:
-                        continue
-                    if self.improve(a, b):
-                        changed = True
-                        if not self.bins[a]:
-                            del self.bins[a]
+            # the fullest take first
+            for b in sorted(self.bins, key=lambda b: -self.fill[b]):
+                while b in self.bins:
+                    own = self._totals(b)
+                    a = self._giver(b, own)
+                    if a is None:
+                        break
+                    given = self._totals(a)
+                    if not self.improve(a, b):
+                        break
+                    changed = True
+                    if not self.bins[a]:
+                        del self.bins[a]
                     if self.fill[b] == self.capacity:
                         self.full.append(self.bins.pop(b))
-                        break
-            if not changed:
-                break
+                    self._reindex(a, given)
+                    self._reindex(b, own)
         return self.full + [self.bins[b] for b in sorted(self.bins)]
 
 
