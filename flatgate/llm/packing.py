@@ -16,7 +16,7 @@ import itertools
 import re
 import unicodedata
 import zlib
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -205,36 +205,23 @@ class LocalSearch:
             twos.setdefault(n + m, (x[0], y[0]))
         return ones, twos
 
-    def _offers(self, a: int, want: int) -> Iterator[tuple[int, tuple]]:
-        """What bin ``a`` can give: one or two of its pieces, of a total up
-        to ``want``, as (total, pieces), largest first."""
-        items = self.bins[a]
-        offers = [(self.n[i], (i,)) for i in items if self.n[i] <= want]
-        offers += [(self.n[i] + self.n[j], (i, j)) for k, i in enumerate(items) for j in items[k + 1:] if self.n[i] + self.n[j] <= want]
-        return iter(heapq.nlargest(8, offers))
-
     def improve(self, a: int, b: int) -> bool:
         """The best move or exchange that gives ``b`` (the fuller bin) some
         of what ``a`` holds: for nothing, for one or (one of ``a`` only) for
         two of its pieces."""
         room = self.capacity - self.fill[b]
-        best = (0, None)
-        gives = [(0, ())] + [(self.n[j], (j,)) for j in self.bins[b]]
-        pairs = [(self.n[i] + self.n[j], (i, j)) for k, i in enumerate(self.bins[b]) for j in self.bins[b][k + 1:]]
-        for back_n, back in gives + pairs:
-            for out_n, out in self._offers(a, room + back_n):
-                if len(back) == 2 and len(out) == 2:
-                    continue
-                gain = out_n - back_n
-                if gain > best[0]:
-                    best = (gain, (out, back))
-                break
-            if best[0] == room:
-                break
-        if best[1] is None:
+        gain, best = 0, None
+        ones, twos = self._totals(b)
+        for kind, offers in enumerate(self._totals(a)):
+            totals = sorted(offers)
+            for back_n, back in itertools.chain([(0, ())], ones.items(), twos.items() if kind == 0 else ()):
+                at = bisect_right(totals, room + back_n) - 1
+                if at >= 0 and totals[at] - back_n > gain:
+                    gain, best = totals[at] - back_n, (offers[totals[at]], back)
+        if best is None:
             return False
         # b is at least as full as a, so any gain of b raises the squares' sum
-        self._swap(a, best[1][0], b, best[1][1])
+        self._swap(a, best[0], b, best[1])
         return True
 
     def _index(self, b: int) -> None:

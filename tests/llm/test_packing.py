@@ -107,6 +107,13 @@ def test_exchanges():
         assert s.improve(0, 1) and s.fill[1] == 10
 
 
+def test_one_piece_for_two_of_a_bin_of_many():
+    # only 61 for 20 + 40 helps; the pairs of 31 are larger and not for two
+    a, b = [61, 31, 31, 31, 31, 31], [20, 40, 938]
+    s = P.LocalSearch(a + b, [list(range(len(a))), list(range(len(a), len(a) + len(b)))], 1000)
+    assert s.improve(0, 1) and s.fill[1] == 999 and sorted(s.bins[1]) == [0, 8]
+
+
 def test_word_cache_and_odd_words():
     w = P.WordIds(public_tokenizers.path("word_bpe_49k.json"))
     rnd = random.Random(1)
