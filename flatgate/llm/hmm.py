@@ -39,10 +39,9 @@ STATES = 8
 CLASSES = 1 << 14
 #: Tokens of a chunk, about; a longer document is a chunk of its own.
 CHUNK_TOKENS = 1 << 20
-#: The first estimate comes from a bounded sample of training documents (by
-#: hash order); then every pass goes over all of them.
-SAMPLE_DOCS, SAMPLE_BYTES, SAMPLE_ROUNDS = 1500, 16_000, 12
-PASSES = 2
+#: Rounds of Baum-Welch, each over all training documents: until one raises
+#: the log likelihood by less than SETTLED nats a token, or so many.
+SETTLED, MAX_ROUNDS = 1e-3, 50
 #: Weight, in tokens, of the corpus's class shares in each state's emissions.
 PRIOR_TOKENS = 50.0
 #: The E-step takes longer documents in blocks of so many tokens.
@@ -100,8 +99,13 @@ def log_likelihood(model: Model, obs: np.ndarray, starts: np.ndarray, lengths: n
 
 def expected_counts(model: Model, obs: np.ndarray, starts: np.ndarray, lengths: np.ndarray):
     """Baum-Welch counts of the sequences: starts, moves, class emissions."""
+    return counts_and_likelihood(model, obs, starts, lengths)[:3]
+
+
+def counts_and_likelihood(model: Model, obs: np.ndarray, starts: np.ndarray, lengths: np.ndarray):
+    """``expected_counts`` and the log likelihood of all sequences."""
     k = len(model.start)
-    first, moves, emitted = np.zeros(k), np.zeros((k, k)), np.zeros((CLASSES, k))
+    first, moves, emitted, likelihood = np.zeros(k), np.zeros((k, k)), np.zeros((CLASSES, k)), 0.0
     for group in _groups(lengths):
         at, n = starts[group], _alive(lengths[group])
         # time-major copy: position of (t, sequence) is offset[t] + sequence
@@ -119,6 +123,7 @@ def expected_counts(model: Model, obs: np.ndarray, starts: np.ndarray, lengths:
             scales[s] = a.sum(1)
             a = a / scales[s][:, None]
             alpha[s] = a
+        likelihood += float(np.log(scales).sum())
         gamma = alpha  # becomes alpha * beta from the end on
         beta = np.ones((0, k))
         for t in range(len(n) - 1, -1, -1):
@@ -135,7 +140,7 @@ def expected_counts(model: Model, obs: np.ndarray, starts: np.ndarray, lengths:
         first += gamma[:len(group)].sum(0)
         for j in range(k):
             emitted[:, j] += np.bincount(seen, weights=gamma[:, j], minlength=CLASSES)
-    return first, moves * model.move, emitted
+    return first, moves * model.move, emitted, likelihood
 
 
 def maximised(first: np.ndarray, moves: np.ndarray, emitted: np.ndarray, share: np.ndarray) -> Model:
@@ -146,20 +151,12 @@ def maximised(first: np.ndarray, moves: np.ndarray, emitted: np.ndarray, share:
     return Model((first + 0.1) / (first.sum() + 0.1 * k), (moves + 0.1) / (moves.sum(1, keepdims=True) + 0.1 * k), emit / emit.sum(0))
 
 
-def first_model(share: np.ndarray, sample: list[np.ndarray], seed: int = 11) -> Model:
-    """Model of a small sample, from a seeded start near the class shares."""
+def first_model(share: np.ndarray, _=(), seed: int = 11) -> Model:
+    """Seeded start near the class shares."""
     rng = np.random.default_rng(seed)
     emit = share[:, None] * np.exp(rng.normal(0, 0.5, (CLASSES, STATES)))
-    model = Model(np.full(STATES, 1 / STATES), np.full((STATES, STATES), 0.1 / (STATES - 1)) + np.eye(STATES) * (0.9 - 0.1 / (STATES - 1)),
-                  emit / emit.sum(0))
-    if not sample:
-        return model
-    lengths = np.array([len(s) for s in sample])
-    starts = np.cumsum(lengths) - lengths
-    obs = np.concatenate(sample)
-    for _ in range(SAMPLE_ROUNDS):
-        model = maximised(*expected_counts(model, obs, starts, lengths), share)
-    return model
+    return Model(np.full(STATES, 1 / STATES), np.full((STATES, STATES), 0.1 / (STATES - 1)) + np.eye(STATES) * (0.9 - 0.1 / (STATES - 1)),
+                 emit / emit.sum(0))
 
 
 _CHUNK = "chunk long, doc_ids array<long>, held array<boolean>, sizes array<int>, tokens binary, words array<string>, classes binary, counts array<int>"
@@ -236,15 +233,16 @@ def joined_sequences(parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def corpus_counts(chunks: DataFrame, model: Model):
-    """Expected counts over the training documents of all chunks: each task
-    adds up its own, Spark adds up the tasks'. The driver gets one row per
-    class and state that occurs, at most CLASSES + STATES + 1."""
+    """Expected counts over the training documents of all chunks, and their
+    log likelihood: each task adds up its own, Spark adds up the tasks'. The
+    driver gets one row per class and state that occurs, at most CLASSES +
+    STATES + 2."""
     shared = chunks.sparkSession.sparkContext.broadcast(model)
     k = len(model.start)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        sums = np.zeros((CLASSES + k + 1, k))
+        sums = np.zeros((CLASSES + k + 2, k))
         waiting: list = []  # long sequences run better beside those of other chunks
 
         def add_up() -> None:
@@ -254,10 +252,11 @@ def corpus_counts(chunks: DataFrame, model: Model):
                 cuts = [(s + o, min(BLOCK, n - o)) for s, n in zip(starts, lengths, strict=True) for o in range(0, n, BLOCK)]
                 starts, lengths = (np.array(x) for x in zip(*cuts, strict=True))
             if len(lengths):
-                first, moves, emitted = expected_counts(model, obs, starts, lengths)
+                first, moves, emitted, likelihood = counts_and_likelihood(model, obs, starts, lengths)
                 sums[:CLASSES] += emitted
                 sums[CLASSES:CLASSES + k] += moves
-                sums[-1] += first
+                sums[-2] += first
+                sums[-1, 0] += likelihood
 
         for batch in batches:
             for sizes, held, tokens, classes in zip(*(batch.column(c) for c in range(4)), strict=True):
@@ -273,10 +272,10 @@ def corpus_counts(chunks: DataFrame, model: Model):
                                          names=["row", *[f"k{j}" for j in range(k)]])
 
     partial = chunks.select("sizes", "held", "tokens", "classes").mapInArrow(count, "row int, " + ", ".join(f"k{j} double" for j in range(k)))
-    total = np.zeros((CLASSES + k + 1, k))
+    total = np.zeros((CLASSES + k + 2, k))
     for row, *values in partial.groupBy("row").agg(*[F.sum(f"k{j}") for j in range(k)]).collect():
         total[row] = values
-    return total[-1], total[CLASSES:-1], total[:CLASSES]
+    return total[-2], total[CLASSES:-2], total[:CLASSES], float(total[-1, 0])
 
 
 def word_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", modulus: int = 7, held_out: int = 2) -> DataFrame:
@@ -305,16 +304,13 @@ def word_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     z = sums.sum(1) + 1.0
     share = z / z.sum()
 
-    chosen = (
-        docs.filter(F.col(id_col).isNotNull() & (id_remainder(id_col, modulus) != held_out) & (F.octet_length(text_col) <= SAMPLE_BYTES))
-        .select(F.col(id_col).cast("long").alias("id")).orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCS)
-    )
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen.distinct()), "id")
-    sample = texts.filter(F.octet_length("text") <= SAMPLE_BYTES).dropDuplicates(["id"]).toArrow().sort_by("id")
-    sequences = [np.array([word_class(w) for w in raw.lower().split()] + [0]) for raw in raw_texts(sample["text"].combine_chunks())]
-    model = first_model(share, sequences)
-    for _ in range(PASSES if n else 0):
-        model = maximised(*corpus_counts(chunks, model), share)
+    model, last = first_model(share), -np.inf
+    for _ in range(MAX_ROUNDS if n else 0):
+        *sums_of_round, likelihood = corpus_counts(chunks, model)
+        model = maximised(*sums_of_round, share)
+        if likelihood - last < SETTLED * n:
+            break
+        last = likelihood
 
     # each chunk's word list with the corpus counts, back in its order
     back = each.select("chunk", "place", "word").join(counts, "word").groupBy("chunk").agg(

@@ -126,3 +126,25 @@ def test_word_probabilities_sum_to_one():
     assert math.isclose(((c + 1) / z).sum() + 1 / z, 1)
     share = np.ones(H.CLASSES) / H.CLASSES
     assert np.allclose(H.first_model(share, []).emit.sum(0), 1)
+
+
+def test_every_round_goes_over_all_training_documents(spark, monkeypatch):
+    """The likelihood has settled, and documents of any length, one of them
+    over the 16,000 bytes of the former sample, count in every round."""
+    words_of = ["aa bb cc dd", "zz yy xx ww"]
+    rows = [(i, " ".join([words_of[i % 2]] * (5000 if i == 1 else 30)), "en", "a") for i in range(40)]
+    seen = []
+    real = H.corpus_counts
+
+    def counted(chunks, model):
+        out = real(chunks, model)
+        seen.append((out[0].sum(), out[2].sum(), out[3]))
+        return out
+
+    monkeypatch.setattr(H, "corpus_counts", counted)
+    got = H.word_scores(frame(spark, rows)).collect()
+    train = [r for r in got if not r.held_out]
+    assert len(seen) > 2
+    for texts, tokens, _ in seen:
+        assert math.isclose(texts, len(train)) and math.isclose(tokens, sum(r.n_tokens for r in train))
+    assert seen[-1][2] - seen[-2][2] < H.SETTLED * train[0].train_tokens < seen[-2][2] - seen[-3][2]
