@@ -44,7 +44,8 @@ CHUNK_TOKENS = 1 << 20
 SETTLED, MAX_ROUNDS = 1e-3, 50
 #: Weight, in tokens, of the corpus's class shares in each state's emissions.
 PRIOR_TOKENS = 50.0
-#: The E-step takes longer documents in blocks of so many tokens.
+#: The E-step takes longer documents in blocks of so many tokens, each with
+#: the forward and backward values at its ends.
 BLOCK = 1 << 16
 GROUP_TOKENS = 400_000
 #: Tokens whose sequences a task runs side by side, at most a chunk more.
@@ -97,6 +98,40 @@ def log_likelihood(model: Model, obs: np.ndarray, starts: np.ndarray, lengths: n
     return out
 
 
+def _in_blocks(model: Model, obs: np.ndarray, starts: np.ndarray, lengths: np.ndarray):
+    """The sequences with long ones in blocks of ``BLOCK``: starts, lengths,
+    whether a block begins its sequence, the forward value before it, the
+    chances of its first state, and the backward value after it."""
+    k = len(model.start)
+    n_blocks = -(-lengths // BLOCK)
+    at = np.arange(n_blocks.sum()) - np.repeat(np.cumsum(n_blocks) - n_blocks, n_blocks)
+    starts = np.repeat(starts, n_blocks) + at * BLOCK
+    sizes = np.minimum(BLOCK, np.repeat(lengths, n_blocks) - at * BLOCK)
+    before, begin, end = np.zeros((len(at), k)), np.tile(model.start, (len(at), 1)), np.ones((len(at), k))
+    cut = np.flatnonzero(np.repeat(n_blocks, n_blocks) > 1)
+    cut = cut[np.argsort(-sizes[cut], kind="stable")]
+    if len(cut):
+        # what each block does to a forward value: a product of matrices
+        done = {}
+        product = np.where((at[cut] == 0)[:, None, None], np.eye(k), model.move)
+        n = _alive(sizes[cut])
+        for t, live in enumerate(n.tolist()):
+            product = (product[:live] @ model.move if t else product) * model.emit[obs[starts[cut[:live]] + t]][:, None, :]
+            product /= product.sum((1, 2), keepdims=True)
+            ended = int(n[t + 1]) if t + 1 < len(n) else 0
+            done.update(zip(cut[ended:live].tolist(), product[ended:live].copy(), strict=True))
+        for i in sorted(done):
+            if at[i]:
+                before[i], begin[i] = alpha, alpha @ model.move
+            alpha = (before[i] if at[i] else model.start) @ done[i]
+            alpha /= alpha.sum()
+        for i in sorted(done, reverse=True):
+            if at[i]:
+                beta = done[i] @ end[i]
+                end[i - 1] = beta / beta.sum()
+    return starts, sizes, at == 0, before, begin, end
+
+
 def expected_counts(model: Model, obs: np.ndarray, starts: np.ndarray, lengths: np.ndarray):
     """Baum-Welch counts of the sequences: starts, moves, class emissions."""
     return counts_and_likelihood(model, obs, starts, lengths)[:3]
@@ -106,6 +141,7 @@ def counts_and_likelihood(model: Model, obs: np.ndarray, starts: np.ndarray, len
     """``expected_counts`` and the log likelihood of all sequences."""
     k = len(model.start)
     first, moves, emitted, likelihood = np.zeros(k), np.zeros((k, k)), np.zeros((CLASSES, k)), 0.0
+    starts, lengths, whole, before, begin, end = _in_blocks(model, obs, starts, lengths)
     for group in _groups(lengths):
         at, n = starts[group], _alive(lengths[group])
         # time-major copy: position of (t, sequence) is offset[t] + sequence
@@ -114,7 +150,7 @@ def counts_and_likelihood(model: Model, obs: np.ndarray, starts: np.ndarray, len
         ahead = np.empty_like(alpha)  # emission times backward value, scaled
         seen = np.empty(len(alpha), obs.dtype)
         scales = np.empty(len(alpha))
-        a = np.broadcast_to(model.start, (len(group), k))
+        a = begin[group]
         for t, live in enumerate(n.tolist()):
             s = slice(offset[t], offset[t + 1])
             seen[s] = obs[at[:live] + t]
@@ -130,14 +166,20 @@ def counts_and_likelihood(model: Model, obs: np.ndarray, starts: np.ndarray, len
             live = int(n[t])
             s = slice(offset[t], offset[t + 1])
             if live > len(beta):
-                beta = np.concatenate([beta, np.ones((live - len(beta), k))])
+                late = end[group[len(beta):live]]
+                late = late / (alpha[offset[t] + len(beta):offset[t + 1]] * late).sum(1, keepdims=True)
+                beta = np.concatenate([beta, late])
             ahead[s] *= beta / scales[s][:, None]
             if t:
                 p = slice(offset[t - 1], offset[t - 1] + live)
                 moves += alpha[p].T @ ahead[s]
             gamma[s] *= beta
             beta = ahead[s] @ model.move.T
-        first += gamma[:len(group)].sum(0)
+        begins = whole[group]
+        first += gamma[:len(group)][begins].sum(0)
+        if not begins.all():  # the moves into blocks
+            later = group[~begins]
+            moves += before[later].T @ (gamma[:len(group)][~begins] / begin[later])
         for j in range(k):
             emitted[:, j] += np.bincount(seen, weights=gamma[:, j], minlength=CLASSES)
     return first, moves * model.move, emitted, likelihood
@@ -248,9 +290,6 @@ def corpus_counts(chunks: DataFrame, model: Model):
         def add_up() -> None:
             obs, starts, lengths = joined_sequences(waiting)
             waiting.clear()
-            if (lengths > BLOCK).any():
-                cuts = [(s + o, min(BLOCK, n - o)) for s, n in zip(starts, lengths, strict=True) for o in range(0, n, BLOCK)]
-                starts, lengths = (np.array(x) for x in zip(*cuts, strict=True))
             if len(lengths):
                 first, moves, emitted, likelihood = counts_and_likelihood(model, obs, starts, lengths)
                 sums[:CLASSES] += emitted

@@ -148,3 +148,29 @@ def test_every_round_goes_over_all_training_documents(spark, monkeypatch):
     for texts, tokens, _ in seen:
         assert math.isclose(texts, len(train)) and math.isclose(tokens, sum(r.n_tokens for r in train))
     assert seen[-1][2] - seen[-2][2] < H.SETTLED * train[0].train_tokens < seen[-2][2] - seen[-3][2]
+
+
+def test_counts_do_not_depend_on_blocks(monkeypatch):
+    m = tiny_model()
+    rng = np.random.default_rng(4)
+    seqs = [rng.integers(0, 5, n) for n in (1, 50, 7, 14, 8, 23, 3)]
+    want = H.counts_and_likelihood(m, *layout(seqs))
+    for block in (1, 2, 7):
+        monkeypatch.setattr(H, "BLOCK", block)
+        for g, w in zip(H.counts_and_likelihood(m, *layout(seqs)), want, strict=True):
+            assert np.allclose(g, w)
+
+
+def test_counts_of_a_very_long_document_are_exact(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    long = " ".join(rng.choice(["a", "b", "c", "d"], H.BLOCK + 2000))
+    rows = [(1, long, "en", "a"), (3, "a b c", "en", "a")]
+    share = np.full(H.CLASSES, 1 / H.CLASSES)
+    model = H.first_model(share, [])
+    chunks, _ = H.store(H.chunked(frame(spark, rows), "doc_id", "text", 7, 9), "chunks")
+    got = H.corpus_counts(chunks, model)
+    seqs = [np.array([H.word_class(w) for w in t.encode().split()] + [0]) for _, t, *_ in rows]
+    monkeypatch.setattr(H, "BLOCK", 1 << 40)
+    for g, w in zip(got, H.counts_and_likelihood(model, *layout(seqs)), strict=True):
+        assert np.allclose(g, w)
+    assert math.isclose(got[0].sum(), 2)  # two texts, two starts
