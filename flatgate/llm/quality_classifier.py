@@ -12,6 +12,7 @@ share, so a sparse site falls back to its host and to the corpus.
 from __future__ import annotations
 
 import math
+import warnings
 from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass
@@ -112,15 +113,17 @@ def train(raws: list[bytes], y: np.ndarray, w: np.ndarray, ridge: float = 1.0) -
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
         held_out: int = 1, folds: int = 3) -> Evidence:
     """Evidence model from the labelled rows outside fold ``held_out``, at
-    most ``MAX_GOOD`` and ``MAX_BAD`` by hash order with texts up to
-    ``MAX_FIT_BYTES``, weighted to the classes' shares of all labelled rows.
+    most ``MAX_GOOD`` and ``MAX_BAD`` by hash order, of those whose documents have
+    texts up to ``MAX_FIT_BYTES``, weighted to the classes' shares of all labelled rows.
     Ids labelled twice count as bad if any label says so; null ids and
     labels teach nothing; without both classes the evidence is constant."""
     marked = (
         labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & (id_remainder(id_col, folds) != held_out))
         .groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).cast("int").alias("y"))
     )
-    chosen = [marked.filter(F.col("y") == v).orderBy(F.xxhash64("id"), "id").limit(n) for v, n in ((1, MAX_GOOD), (0, MAX_BAD))]
+    usable = docs.filter(F.coalesce(F.octet_length(text_col), F.lit(0)) <= MAX_FIT_BYTES).select(F.col(id_col).alias("id"))
+    usable = marked.join(usable, "id", "left_semi")
+    chosen = [usable.filter(F.col("y") == v).orderBy(F.xxhash64("id"), "id").limit(n) for v, n in ((1, MAX_GOOD), (0, MAX_BAD))]
     rows = (
         docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
         .filter(F.octet_length("text") <= MAX_FIT_BYTES)
@@ -130,6 +133,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     totals = {r["y"]: r["n"] for r in marked.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     y = np.array(rows["y"].to_pylist(), float)
     if not 0 < y.sum() < len(y):
+        if len(totals) > 1:
+            warnings.warn(f"labels have both classes ({totals}), the usable documents do not: the score is constant", RuntimeWarning, stacklevel=2)
         share = float(y.mean()) if len(y) else 1.0
         return Evidence(*[np.zeros(0)] * 3, 0.0, share, constant=share)
     w = np.where(y == 1, totals[1] / y.sum(), totals[0] / (len(y) - y.sum()))

@@ -126,3 +126,29 @@ def test_features_are_finite():
         f = Q.features(raw)
         assert np.isfinite(f).all() and len(f) == len(Q.features(b"a"))
     assert zlib.crc32(b"") == 0  # a null id's fold
+
+
+@pytest.mark.parametrize("module", [X, Q])
+def test_long_texts_do_not_use_up_the_sample(spark, monkeypatch, module):
+    """Both classes have many labelled texts over the bound and three each
+    that can be used."""
+    for bound in ("MAX_POSITIVE", "MAX_NEGATIVE", "MAX_GOOD", "MAX_BAD"):
+        if hasattr(module, bound):
+            monkeypatch.setattr(module, bound, 3)
+    ids = [i for i in range(400) if remainder(i, 3) != 1][:120]
+    rows = [(i, ("good words here " if i % 2 else "vile slur there ") * (1 if k >= 110 else 3000), "en", "a") for k, i in enumerate(ids)]
+    marks = labels(spark, [(i, i % 2, i % 2) for i in ids])
+    taught = []
+    real = module.train
+    monkeypatch.setattr(module, "train", lambda raws, *rest: taught.extend(raws) or real(raws, *rest))
+    fitted = module.fit(frame(spark, rows), marks)
+    model = fitted[0] if module is X else fitted
+    assert model.constant is None and taught
+
+
+@pytest.mark.parametrize("module", [X, Q])
+def test_a_class_without_usable_documents_is_reported(spark, module):
+    ids = [i for i in range(40) if remainder(i, 3) != 1]
+    rows = [(i, "some words", "en", "a") for i in ids if i % 2]
+    with pytest.warns(RuntimeWarning, match="both classes"):
+        module.fit(frame(spark, rows), labels(spark, [(i, i % 2, i % 2) for i in ids]))
