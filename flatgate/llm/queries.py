@@ -59,7 +59,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = ("n_pieces", "ids_crc32", "log_prob", "log_inclusion", "round_trip")
-    return sampled_segmentations(table(spark, sf_dir, "documents"), k=2, fields=fields)
+    return sampled_segmentations(table(spark, sf_dir, "documents"), k=3, fields=fields)
 
 
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:

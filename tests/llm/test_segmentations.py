@@ -9,7 +9,8 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 from flatgate.llm import segmentations as G
-from tests.llm.helpers import EDGE, SF, canon, frame
+from flatgate.llm.queries import op9_segmentations
+from tests.llm.helpers import EDGE, SF, SMALL, canon, frame
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -147,3 +148,8 @@ def test_quick_and_slow_lattices_agree():
             if len(stack) < 50:
                 stack += [(p[2], q[2]) for p, q in zip(ea, eb, strict=True)][:3]
     assert np.isfinite(a.logp.view()).all()
+
+
+def test_the_query_draws_three_segmentations(spark):
+    rows = op9_segmentations(spark, SMALL).groupBy("doc_id").count().collect()
+    assert {r["count"] for r in rows} == {3}
