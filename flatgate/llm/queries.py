@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from flatgate.llm.common import table
+from flatgate.llm.conversation_trie import prefix_trie
+from flatgate.llm.exact_dedup import exact_duplicates
+from flatgate.llm.filter_audit import filter_audit
 from flatgate.llm.hmm import word_scores
 from flatgate.llm.merkle import document_fingerprints
 from flatgate.llm.packing import best_fit_packing
@@ -66,6 +69,18 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_verdicts(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_hmm_scores": op2_hmm_scores,
@@ -77,4 +92,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_segmentations": op9_segmentations,
     "op10_url_filters": op10_url_filters,
+    "op11_exact_dedup": op11_exact_dedup,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_filter_audit": op13_filter_audit,
 }
