@@ -7,28 +7,17 @@ from flatgate.llm import merkle as M
 from tests.llm.helpers import EDGE, SF, frame
 
 
-def h_long(x, seed):
-    return xxh64(int(x).to_bytes(8, "little", signed=True), seed=seed % (1 << 64)).intdigest()
-
-
 def signed(x):
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def h_array(values):
-    seed = 42
-    for v in values:
-        seed = h_long(v, seed)
-    return signed(seed)
-
-
 def brute_tree(text):
     blocks = []
     for p in re.findall(r"[^\n]*\n+|[^\n]+", text):
         n = M.SHORT_BLOCK if len(p) <= M.SHORT_PARAGRAPH else M.BLOCK_CHARS
         blocks.append([signed(xxh64(p[i:i + n].encode(), seed=42).intdigest()) for i in range(0, len(p), n)])
-    paragraphs = [h_array(b) for b in blocks]
-    sections = [f"{h_array(paragraphs[i:i + M.SECTION]) % (1 << 64):X}".lower() for i in range(0, max(1, len(paragraphs)), M.SECTION)]
+    paragraphs = [hashlib.sha256(p.encode()).hexdigest() for p in re.findall(r"[^\n]*\n+|[^\n]+", text)]
+    sections = [hashlib.sha256("".join(paragraphs[i:i + M.SECTION]).encode()).hexdigest() for i in range(0, max(1, len(paragraphs)), M.SECTION)]
     root = hashlib.sha256(".".join(sections).encode()).hexdigest()
     return root, sections, [x for b in blocks for x in b]
 
@@ -100,6 +89,29 @@ def test_plan_has_no_python(spark):
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan and "Cartesian" not in plan
 
 
+def test_heads_and_leaves_are_shuffled_once(spark):
+    """Behind the texts' join stands one exchange that carries heads."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = M.document_fingerprints(spark.read.parquet(f"{SF}/documents.parquet"))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    exchanges = [x for x in plan.splitlines() if "Exchange hashpartitioning(p#" in x]
+    assert len(exchanges) == 1 and "ring#" not in plan.split("SortMergeJoin", 1)[0]
+
+
+def test_section_numbers_and_roots(spark):
+    lines = [f"paragraph number {i} of the text\n" for i in range(32)]
+    got = M.document_fingerprints(frame(spark, [(1, "".join(lines), "en", "a"), (2, "other words", "en", "a")])).orderBy("doc_id").collect()
+    assert got[0].edited_section_numbers == [3] or got[0].edited_section_numbers[0] >= 2
+    assert got[0].edited_sections == len(got[0].edited_section_numbers)
+    root, sections = got[0].fingerprint.split(":")
+    assert root == hashlib.sha256(sections.encode()).hexdigest()
+
+
 def test_leaves_that_agree_in_half_of_the_hash_only_are_different(spark):
     seen = {}
     for i in range(400_000):
