@@ -125,7 +125,8 @@ def document_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     near = neighbours(rows.select("doc_id", F.length("t").alias("n_chars")))
     near = near.select(*_id_keys("doc_id", "n"), "prev_id", "prev_chars")
-    rows = rows.select("doc_id", "t", *_id_keys("doc_id", "key"))
+    # both sides of the second join read the same columns, so the texts' exchange is one
+    rows = rows.select("t", *_id_keys("doc_id", "key"))
     placed = rows.join(near, (F.col("key") == F.col("n")) & (F.col("no_key") == F.col("no_n"))).drop("n", "no_n")
     placed = _with_tree(placed, "t", "tree")
     heads = placed.select(*_id_keys("prev_id", "p"), F.struct(
@@ -133,7 +134,7 @@ def document_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str
         F.col("tree.leaves").alias("leaves")).alias("next"))
     heads = heads.groupBy("p", "no_p").agg(F.min("next").alias("next"))
     both = placed.join(heads, (F.col("key") == F.col("p")) & (F.col("no_key") == F.col("no_p")))
-    both = both.withColumn("n_chars", F.length("t").cast("long"))
+    both = both.withColumns({"doc_id": F.when(~F.col("no_key"), F.col("key")), "n_chars": F.length("t").cast("long")})
     both = both.withColumn("edited", F.expr("concat(left(t, int(n_chars - n_chars div 4)), left(next.head, int(n_chars div 4)))"))
     both = _with_tree(both.select("doc_id", "n_chars", "tree", "next", "edited"), "edited", "edited_tree")
     a, b = F.col("tree"), F.col("edited_tree")

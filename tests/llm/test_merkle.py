@@ -90,7 +90,8 @@ def test_plan_has_no_python(spark):
 
 
 def test_heads_and_leaves_are_shuffled_once(spark):
-    """Behind the texts' join stands one exchange that carries heads."""
+    """One exchange of texts, which the heads' branch uses again, and one of
+    heads behind the join."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
@@ -100,6 +101,8 @@ def test_heads_and_leaves_are_shuffled_once(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
     exchanges = [x for x in plan.splitlines() if "Exchange hashpartitioning(p#" in x]
+    texts = [x for x in plan.splitlines() if "Exchange hashpartitioning(key#" in x]
+    assert len(texts) == 2 and sum("ReusedExchange" in x for x in texts) == 1
     assert len(exchanges) == 1 and "ring#" not in plan.split("SortMergeJoin", 1)[0]
 
 
