@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flatgate.llm.common import free_name, id_remainder, raw_texts, store, word_runs
+from flatgate.operators.flatten import col_of
 
 # Bounds of the labelled sample that the fit sees (a documented parameter).
 MAX_GOOD, MAX_BAD, MAX_FIT_BYTES = 4000, 2000, 32_000
@@ -115,8 +116,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Evidence model from the labelled rows outside fold ``held_out``, at
     most ``MAX_GOOD`` and ``MAX_BAD`` by hash order, of those whose documents have
     texts up to ``MAX_FIT_BYTES``, weighted to the classes' shares of all labelled rows.
-    Ids labelled twice count as bad if any label says so; null ids and
-    labels teach nothing; without both classes the evidence is constant."""
+    Ids labelled twice count as bad if any label says so; of the texts under
+    one id the one of the smallest hash teaches; null ids and labels teach
+    nothing; without both classes the evidence is constant."""
     marked = (
         labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & (id_remainder(id_col, folds) != held_out))
         .groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).cast("int").alias("y"))
@@ -128,7 +130,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
         .filter(F.octet_length("text") <= MAX_FIT_BYTES)
         .join(F.broadcast(chosen[0].unionByName(chosen[1])), "id")  # at most MAX_GOOD + MAX_BAD ids
-        .dropDuplicates(["id"]).toArrow().sort_by("id")
+        .groupBy("id", "y").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("row"))
+        .select("id", "y", "row.text").toArrow().sort_by("id")
     )
     totals = {r["y"]: r["n"] for r in marked.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     y = np.array(rows["y"].to_pylist(), float)
@@ -250,4 +253,4 @@ def drop_low_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     marked = docs.withColumn(p, evidence).join(
         at, F.col(host_col).cast("string").eqNullSafe(F.col(host)) & path_value.eqNullSafe(F.col(path)))
     _, score = posterior(F.col(p), site["n"], site["s"], site["host_rate"], site["strength"], model.base)
-    return marked.filter(score >= threshold).select(*docs.columns)
+    return marked.filter(score >= threshold).select(*[col_of(c) for c in docs.columns])

@@ -11,7 +11,8 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {i: i + 32 for i in range(65, 91)}
 
 # Names that the operators use inside, as extra columns of the input.
-EXTRA = ["fp", "fingerprint", "score", "evidence", "id", "g", "t", "host", "path", "simhash", "tree", "n", "chunk", "piece", "length"]
+EXTRA = ["fp", "fingerprint", "score", "evidence", "id", "g", "t", "host", "path", "simhash", "tree", "n", "chunk", "piece", "length",
+         "__k_id", "__k_fp", "__k_n", "a.b", "keeper_id"]
 
 LONG = " ".join(f"word{i % 977} thing{i % 89}" for i in range(60_000))
 

@@ -152,3 +152,88 @@ def test_a_class_without_usable_documents_is_reported(spark, module):
     rows = [(i, "some words", "en", "a") for i in ids if i % 2]
     with pytest.warns(RuntimeWarning, match="both classes"):
         module.fit(frame(spark, rows), labels(spark, [(i, i % 2, i % 2) for i in ids]))
+
+
+def test_scores_equal_a_plain_forward_pass(spark):
+    """Whole table: embeddings added up word by word, every window of every
+    filter, largest response, logistic layer."""
+    docs, marks = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    net, _ = X.fit(docs, marks)
+    known = X.WordHash()
+
+    def score(text):
+        rows = []
+        for word in (text or "").encode().split():
+            packed = np.array([known[word]])
+            rows.append(sum(table[X.bucket(packed, k)[0]].astype(float) for k, table in enumerate(net.tables)))
+        rows = rows or [np.zeros(X.DIM)]
+        pooled = []
+        for w, f in zip(X.WIDTHS, net.filters, strict=True):
+            responses = [sum(rows[i + j] @ f[j] for j in range(w) if i + j < len(rows)) for i in range(len(rows))]
+            pooled.append(np.max(responses, axis=0))
+        h = np.maximum(np.concatenate(pooled) + net.bias, 0)
+        z = sum(float(a) * float(b) for a, b in zip(h, net.out, strict=True)) + net.out_bias
+        return 1 / (1 + np.exp(-(net.slope * z + net.offset)))
+
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = X.toxicity(docs, marks).collect()
+    assert len(got) == len(texts)
+    assert max(abs(r.score - score(texts[r.doc_id])) for r in got) < 1e-4
+
+
+def test_posteriors_equal_a_version_in_dictionaries(spark):
+    docs, marks = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    model = Q.fit(docs, marks)
+    rows = docs.collect()
+    p = dict(zip([r.doc_id for r in rows], model.probability([(r.text or "").encode() for r in rows]), strict=True))
+    hosts, sites = {}, {}
+    for r in rows:
+        hosts.setdefault(r.source, {}).setdefault(r.lang, []).append(p[r.doc_id])
+    total_n = len(rows)
+    mean = sum(p.values()) / total_n
+    noise = max(mean * (1 - mean), 1e-6)
+
+    def strength(spread, groups, room):
+        between = (spread - groups * noise) / room if room > 0 else 0
+        return min(max(noise / between - 1, 1.0), 1e4) if between > 0 else 1e4
+
+    def moments(groups):
+        """Spread of the rates about the common one, and the room it had."""
+        n, s = [len(g) for g in groups], [sum(g) for g in groups]
+        return sum(b * b / a for a, b in zip(n, s, strict=True)) - sum(s) ** 2 / sum(n), len(groups) - 1, sum(n) - sum(a * a for a in n) / sum(n)
+
+    of_host = strength(*moments([[x for g in paths.values() for x in g] for paths in hosts.values()]))
+    of_path = strength(*map(sum, zip(*[moments(list(paths.values())) for paths in hosts.values()], strict=True)))
+    for host, paths in hosts.items():
+        n, s = sum(map(len, paths.values())), sum(map(sum, paths.values()))
+        host_rate = (s + of_host * mean) / (n + of_host)
+        for path, g in paths.items():
+            sites[host, path] = (len(g), sum(g), host_rate)
+
+    def logit(x):
+        x = min(max(x, 1e-6), 1 - 1e-6)
+        return np.log(x / (1 - x))
+
+    got = Q.quality(docs, marks).collect()
+    assert len(got) == total_n
+    for r in got:
+        n, s, host_rate = sites[r.host, r.path]
+        path_rate = (s - p[r.doc_id] + of_path * host_rate) / (n - 1 + of_path)
+        score = 1 / (1 + np.exp(-(logit(p[r.doc_id]) - logit(model.base) + logit(path_rate))))
+        assert np.allclose([r.evidence, r.host_rate, r.path_rate, r.score], [p[r.doc_id], host_rate, path_rate, score], atol=1e-9)
+        assert r.kept == (r.score >= 0.5)
+
+
+@pytest.mark.parametrize("module", [X, Q])
+def test_ids_of_several_texts_teach_alike_in_any_order(spark, module):
+    ids = [i for i in range(90) if remainder(i, 3) != 1][:40]
+    rows = [(i, f"text {k} of {i} " + ("vile slur" if (i + k) % 2 else "calm talk"), "en", "a") for i in ids for k in range(2)]
+    marks = labels(spark, [(i, i % 2, i % 2) for i in ids])
+
+    def weights(df):
+        model = module.fit(df, marks)
+        return model[0].tables[0] if module is X else model.weights
+
+    first = weights(frame(spark, rows).repartition(1))
+    for n in (3, 7):
+        assert np.array_equal(first, weights(frame(spark, rows[::-1]).repartition(n)))
