@@ -27,7 +27,7 @@ from flatgate.operators.columns import dedup_keep_first  # noqa: E402
 from flatgate.operators.flatten import flatten, flatten_positional, leaf_paths  # noqa: E402
 from flatgate.plans import fixtures as FX  # noqa: E402
 from flatgate.plans.ingest import ingest_frame  # noqa: E402
-from flatgate.plans.queries import _no_lines_sql, _orders_rules  # noqa: E402
+from flatgate.plans.queries import _no_lines_sql, _orders_rules, _rule_access  # noqa: E402
 from flatgate.session import get_session, scratch_dir  # noqa: E402
 from flatgate.sources.json import infer_schema, read_json_lines  # noqa: E402
 from flatgate.streaming.files import stream_files, stream_ingest  # noqa: E402
@@ -89,8 +89,8 @@ def main() -> None:
         # unique rule on (l_orderkey, l_linenumber)
         "rule_unique_lineitem": lambda: R.rule_unique(lineitem, ["l_orderkey", "l_linenumber"]).collect(),
         # 7 rules of all three types over orders (not-null scan, unique scan and query job side by side)
-        "rules_report_mixed": lambda: R.run_rules(orders_nulls, _orders_rules(sf_dir)).collect(),
-        "rule_query_orders": lambda: R.query_rule_count(spark.read.parquet(f"{sf_dir}/orders.parquet"), _no_lines_sql(sf_dir)),
+        "rules_report_mixed": lambda: R.run_rules(orders_nulls, _orders_rules(sf_dir), access=_rule_access(sf_dir)).collect(),
+        "rule_query_orders": lambda: R.query_rule_count(spark.read.parquet(f"{sf_dir}/orders.parquet"), _no_lines_sql(sf_dir), _rule_access(sf_dir)),
         # schema inference over the nested JSON lines
         "json_infer": lambda: infer_schema(spark, json_path),
         # JSON scan + prefixed flatten, schema supplied, noop sink

@@ -5,26 +5,31 @@ row per task leaves the scan). Every unique rule is answered by one
 ``GROUPING SETS`` aggregation, one set per distinct key list (a plain
 ``groupBy`` when there is one), combined map-side before the shuffle. The
 two stay apart so that a shuffle of near-unique keys carries no counters of
-other rules. Query rules are free SQL and run one job each. The reference
-shape (one job per rule plus one for the total) costs k+1 scans.
+other rules. A query rule that counts rows of the data under a condition joins
+the scan of the not-null rules; any other SQL runs a job of its own. The
+reference shape (one job per rule plus one for the total) costs k+1 scans.
+
+Rule SQL is checked before anything runs (``sql_guard``): it reads the data
+and what the caller's ``Access`` declares, nothing else.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DataType, StructType
 
 from flatgate.functions.predicates import not_null_failure_sql, parse_columns
 from flatgate.operators.flatten import col_of, quote
+from flatgate.operators.sql_guard import DATA, ParsedRule, RuleSqlError, check_rule_sql
 from flatgate.session import application_id
 
 # Rule type names as they appear in rule files.
@@ -40,6 +45,25 @@ RESULT_SCHEMA = (
 )
 
 
+@dataclass(frozen=True)
+class Access:
+    """What query rules may use besides the data: ``tables`` by name, files
+    at or below ``paths`` (as ``format.`path```), functions by name."""
+
+    tables: Mapping[str, DataFrame] = field(default_factory=dict)
+    paths: tuple[str, ...] = ()
+    functions: tuple[str, ...] = ()
+
+    def check(self, spark: SparkSession, rule: Rule) -> ParsedRule:
+        try:
+            return check_rule_sql(spark, rule.query, self.tables, self.paths, self.functions)
+        except RuleSqlError as e:
+            raise RuleSqlError(f"rule {rule.rule_id} ({rule.name}): {e}") from None
+
+
+NO_ACCESS = Access()
+
+
 @dataclass(frozen=True)
 class Rule:
     rule_id: int
@@ -93,16 +117,18 @@ def _types(df: DataFrame) -> dict[str, DataType]:
     return {f.name: f.dataType for f in df.schema.fields}
 
 
-def not_null_plan(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """One row: the total and the failures of each not-null rule (``__fg_total``,
-    ``__fg_nn<i>`` by place in ``rules``), a keyless aggregate over the
-    rules' own columns."""
+def not_null_plan(df: DataFrame, rules: Sequence[Rule], conditions: Sequence[Column | None] = ()) -> DataFrame:
+    """One row: the total, the failures of each not-null rule and the rows
+    under each condition (``__fg_total``, ``__fg_nn<i>`` and ``__fg_q<i>`` by
+    place), a keyless aggregate over the columns that they read."""
     types = _types(df)
     # SQL text: one driver->JVM call per rule, however many columns
     failures = [
         F.expr(f"count_if({not_null_failure_sql(r.columns, types)}) AS __fg_nn{i}") for i, r in enumerate(rules)
     ]
-    return df.agg(F.count(F.lit(1)).alias("__fg_total"), *failures)
+    counts = [(F.count(F.lit(1)) if c is None else F.count_if(c)).alias(f"__fg_q{i}") for i, c in enumerate(conditions)]
+    # conditions may call the data by its name
+    return (df.alias(DATA) if counts else df).agg(F.count(F.lit(1)).alias("__fg_total"), *failures, *counts)
 
 
 def unique_plan(df: DataFrame, key_sets: Sequence[tuple[str, ...]]) -> tuple[DataFrame, list[int]]:
@@ -128,10 +154,10 @@ def unique_plan(df: DataFrame, key_sets: Sequence[tuple[str, ...]]) -> tuple[Dat
     return groups.groupBy("__fg_gid").agg(*per_list), ids
 
 
-def not_null_counts(df: DataFrame, rules: Sequence[Rule]) -> tuple[int, list[int]]:
-    """Total rows, and failures by place in ``rules``."""
-    row = not_null_plan(df, rules).first()
-    return row["__fg_total"], [row[f"__fg_nn{i}"] for i in range(len(rules))]
+def not_null_counts(df: DataFrame, rules: Sequence[Rule], conditions: Sequence[Column | None] = ()) -> tuple[int, list[int]]:
+    """Total rows, and failures by place in ``rules`` and then ``conditions``."""
+    row = not_null_plan(df, rules, conditions).first()
+    return row["__fg_total"], [row[f"__fg_nn{i}"] for i in range(len(rules))] + [row[f"__fg_q{i}"] for i in range(len(conditions))]
 
 
 def unique_counts(df: DataFrame, rules: Sequence[Rule]) -> tuple[int, list[int]]:
@@ -148,25 +174,39 @@ def unique_counts(df: DataFrame, rules: Sequence[Rule]) -> tuple[int, list[int]]
     return total, [int(found[ks]["__fg_dups"]) if found[ks] else 0 for ks in key_of]
 
 
-def query_rule_count(df: DataFrame, sql: str) -> int:
-    """D3: rows returned by ``sql``, where the data is visible as ``temp``.
+def query_rule_count(df: DataFrame, sql: str, access: Access = NO_ACCESS) -> int:
+    """D3: rows returned by ``sql``, where the data is visible as ``temp``
+    and the tables of ``access`` by their names.
 
     The data is registered under a unique view name and aliased to ``temp``
-    by a CTE, so concurrent callers never share a view; the rule text is
-    wrapped as a subquery, so only a query (not DDL) parses.
+    by a CTE, so concurrent callers never share a view. The text has to
+    parse by itself and pass the guard before it is wrapped.
     """
     spark = df.sparkSession
-    view = f"__fg_src_{uuid.uuid4().hex}"
-    df.createOrReplaceTempView(view)
+    check_rule_sql(spark, sql, access.tables, access.paths, access.functions)
+    views = {name: f"__fg_src_{uuid.uuid4().hex}" for name in (DATA, *access.tables)}
+    for name, frame in {DATA: df, **access.tables}.items():
+        frame.createOrReplaceTempView(views[name])
     try:
-        wrapped = f"WITH temp AS (SELECT * FROM {view}) SELECT count(*) AS n FROM (\n{sql.strip().rstrip(';')}\n) q"
+        named = ", ".join(f"{quote(name)} AS (SELECT * FROM {view})" for name, view in views.items())
+        wrapped = f"WITH {named} SELECT count(*) AS n FROM (\n{sql.strip().rstrip(';')}\n) q"
         return int(spark.sql(wrapped).first()["n"])
     finally:
-        spark.catalog.dropTempView(view)
+        for view in views.values():
+            spark.catalog.dropTempView(view)
+
+
+def fused_conditions(df: DataFrame, rules: Sequence[Rule], access: Access = NO_ACCESS) -> dict[int, Column | None]:
+    """Conditions of the query rules (by place in ``rules``) that only count
+    rows of the data: ``SELECT columns FROM temp [WHERE condition]`` over
+    columns that exist. Every query rule passes the guard first."""
+    known = {c.lower() for c in df.columns}
+    parsed = {i: access.check(df.sparkSession, r) for i, r in enumerate(rules) if r.rule_type == QUERY}
+    return {i: p.condition for i, p in parsed.items() if p.counted and p.columns <= known}
 
 
 def run_rules(df: DataFrame, rules: Sequence[Rule], app_id: str | None = None,
-              max_concurrent_jobs: int = 8) -> DataFrame:
+              max_concurrent_jobs: int = 8, access: Access = NO_ACCESS) -> DataFrame:
     """Run every rule (all three types), return the result table.
 
     ``fail_count`` is rows failing (not null), duplicated groups (unique) or
@@ -174,24 +214,27 @@ def run_rules(df: DataFrame, rules: Sequence[Rule], app_id: str | None = None,
     for a query rule, flagged by ``pass_count_valid``); status is 'fail'
     iff fail_count > 0.
 
-    The not-null scan, the unique scan and the query-rule jobs are
-    independent, so they are submitted together (one Spark application,
+    Query rules that only count rows under a condition are part of the
+    not-null scan. That scan, the unique scan and the jobs of other query
+    rules are independent, so they are submitted together (one Spark application,
     several concurrent jobs). Results are kept by place in ``rules``: two
     rules may share an id, within a rule set or across rule sets.
     """
     spark = df.sparkSession
     app_id = app_id or application_id(spark)
-    places = {t: [i for i, r in enumerate(rules) if r.rule_type == t] for t in RULE_TYPES}
+    fused = fused_conditions(df, rules, access)
+    places = {t: [i for i, r in enumerate(rules) if r.rule_type == t and i not in fused] for t in RULE_TYPES}
     of = {t: [rules[i] for i in places[t]] for t in RULE_TYPES}
     workers = max(1, min(max_concurrent_jobs, 2 + len(of[QUERY])))
     fails: dict[int, int] = {}  # by place in the list: rule ids may repeat
     with ThreadPoolExecutor(workers) as pool:
         # the total rides on whichever of the two scans runs
-        scans = [
-            (places[t], pool.submit(count, df, of[t]))
-            for t, count in ((NOT_NULL, not_null_counts), (UNIQUE, unique_counts)) if of[t]
-        ] or [([], pool.submit(not_null_counts, df, []))]
-        pending = [(i, pool.submit(query_rule_count, df, rules[i].query)) for i in places[QUERY]]
+        scans = []
+        if of[NOT_NULL] or fused or not of[UNIQUE]:
+            scans.append(([*places[NOT_NULL], *fused], pool.submit(not_null_counts, df, of[NOT_NULL], list(fused.values()))))
+        if of[UNIQUE]:
+            scans.append((places[UNIQUE], pool.submit(unique_counts, df, of[UNIQUE])))
+        pending = [(i, pool.submit(query_rule_count, df, rules[i].query, access)) for i in places[QUERY]]
         for at, scan in scans:
             total, counts = scan.result()
             fails.update(zip(at, counts, strict=True))
@@ -222,9 +265,9 @@ def rule_unique(df: DataFrame, columns: str | Sequence[str], rule_id: int = 1, n
     return run_rules(df, [Rule(rule_id, name, UNIQUE, columns=tuple(parse_columns(columns)))])
 
 
-def rule_query(df: DataFrame, sql: str, rule_id: int = 1, name: str = "query") -> DataFrame:
+def rule_query(df: DataFrame, sql: str, rule_id: int = 1, name: str = "query", access: Access = NO_ACCESS) -> DataFrame:
     """D3 on its own (result table with one row)."""
-    return run_rules(df, [Rule(rule_id, name, QUERY, query=sql)])
+    return run_rules(df, [Rule(rule_id, name, QUERY, query=sql)], access=access)
 
 
 def verdict(results: DataFrame) -> DataFrame:

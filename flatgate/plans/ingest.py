@@ -143,13 +143,15 @@ def validate_and_process(spark: SparkSession, source_path: str, columns: str | I
                          job_id: str | None = None, schema=None, multi_line: bool = False, prefix: bool = False,
                          ledger_path: str | None = None, description: str = "PAYMENT",
                          rules=None, report_dir: str | None = None,
-                         quarantine_root: str | None = None) -> IngestResult:
+                         quarantine_root: str | None = None, access=None) -> IngestResult:
     """Pipeline A end to end from JSON files (records that do not parse are
     quarantined with their text); with ``rules`` (a list of
     ``Rule``) pipeline C follows over the rows just written (no second read
-    of the JSON), and one HTML page per dq_id goes to ``report_dir``."""
+    of the JSON), and one HTML page per dq_id goes to ``report_dir``;
+    ``access`` declares what query rules may read besides those rows."""
     from dataclasses import replace
 
+    from flatgate.operators.rules import NO_ACCESS
     from flatgate.plans.quality_report import ingested_rows, quality_report
     from flatgate.sources.json import infer_schema, read_json_docs, read_json_lines
 
@@ -161,6 +163,6 @@ def validate_and_process(spark: SparkSession, source_path: str, columns: str | I
     res = ingest_frame(df, columns, out_root, job_id or new_job_id(), prefix=prefix, ledger=ledger,
                        source_path=source_path, description=description, quarantine_root=quarantine_root)
     if rules:
-        results = quality_report(ingested_rows(spark, out_root, res.job_id), rules, report_dir)
+        results = quality_report(ingested_rows(spark, out_root, res.job_id), rules, report_dir, access=access or NO_ACCESS)
         res = replace(res, rule_results=results)
     return res

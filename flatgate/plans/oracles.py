@@ -127,6 +127,22 @@ REPORT_TABLE = " UNION ALL ".join(
         "status must be set", "priority must not be blank", None, "primary key", "one order per customer",
         "every order has lineitems", None], strict=True)
 )
+RULES_FUSED_QUERIES = " UNION ALL ".join(
+    f"SELECT {i} AS rule_id, '{name}' AS rule_name, '{kind}' AS rule_type, CASE WHEN f > 0 THEN 'fail' ELSE 'pass' END AS status, "
+    f"n - f AS pass_count, f AS fail_count, n AS total_count FROM (SELECT count(*) AS n, {fails} AS f FROM {ORDERS_NULLS} t)"
+    for i, name, kind, fails in [
+        (1, "big orders", "query", "count(*) FILTER (o_totalprice > 400000)"),
+        (2, "late and urgent", "query", "count(*) FILTER (o_orderpriority LIKE '1-%' AND year(o_orderdate) >= 1997)"),
+        (3, "no status", "query", "count(*) FILTER (st IS NULL OR trim(pr) = '')"),
+        (4, "all orders", "query", "count(*)"),
+        (5, "status present", "not null", "count(*) FILTER (st IS NULL OR trim(st) = '')"),
+        (6, "customers", "query", "count(DISTINCT o_custkey) FILTER (o_totalprice > 400000)"),
+        (7, "orders have lines", "query",
+         "count(*) FILTER (st IS NOT NULL AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem))"),
+        (8, "of known customers", "query", "count(*) FILTER (o_custkey NOT IN (SELECT c_custkey FROM customer))"),
+        (9, "a third", "query", "count(*) FILTER (o_orderkey % 3 = 0)"),
+    ]
+)
 RULES_REPEATED_IDS = " UNION ALL ".join(
     f"SELECT {dq} AS dq_id, '{name}' AS rule_name, * FROM (" + _rule_row(1, rtype, fail) + ")"
     for dq, name, rtype, fail in [
@@ -285,6 +301,7 @@ ORACLES: dict[str, str] = {
     "rules_failed": RULES_FAILED,
     "rules_html": _html_oracle(),
     "rules_repeated_ids": RULES_REPEATED_IDS,
+    "rules_fused_queries": RULES_FUSED_QUERIES,
     "report_table": REPORT_TABLE,
     "report_page": _html_oracle(),
     "rules_verdict": RULES_VERDICT,

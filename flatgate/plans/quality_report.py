@@ -13,16 +13,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from flatgate.operators.quality import FLAG
 from flatgate.operators.report import report_html
-from flatgate.operators.rules import Rule, run_rules
+from flatgate.operators.rules import NO_ACCESS, Access, Rule, run_rules
 from flatgate.plans.ingest import JOB_COL
 from flatgate.sinks.files import write_report
 
 
 def quality_report(data: DataFrame, rules: Sequence[Rule], report_dir: str | None = None,
-                   app_id: str | None = None) -> DataFrame:
+                   app_id: str | None = None, access: Access = NO_ACCESS) -> DataFrame:
     """Run every rule (fused), optionally write one HTML page per dq_id,
-    return the result table."""
-    results = run_rules(data, rules, app_id)
+    return the result table. Query rules read the data and what ``access``
+    declares."""
+    results = run_rules(data, rules, app_id, access=access)
     if report_dir:
         write_report(report_html(results), report_dir)
     return results

@@ -234,12 +234,16 @@ def q_rule_unique(spark, sf):
     return R.rule_unique(T(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"]).select(*RESULT_COLS)
 
 
+def _rule_access(sf: str) -> R.Access:
+    return R.Access(paths=(f"{sf.rstrip('/')}/lineitem.parquet",))
+
+
 def q_rule_query(spark, sf):
-    return R.rule_query(T(spark, sf, "orders"), _no_lines_sql(sf)).select(*RESULT_COLS)
+    return R.rule_query(T(spark, sf, "orders"), _no_lines_sql(sf), access=_rule_access(sf)).select(*RESULT_COLS)
 
 
 def _report(spark, sf):
-    return R.run_rules(FX.orders_nulls(spark, sf), _orders_rules(sf))
+    return R.run_rules(FX.orders_nulls(spark, sf), _orders_rules(sf), access=_rule_access(sf))
 
 
 def q_rules_report(spark, sf):
@@ -271,7 +275,28 @@ def q_rules_html(spark, sf):
 
 def q_report_table(spark, sf):
     """D8 over the orders' rules."""
-    return report_table(R.run_rules(FX.orders_nulls(spark, sf), _orders_rules(sf), app_id="flatgate")).drop("columns_or_query")
+    return report_table(R.run_rules(FX.orders_nulls(spark, sf), _orders_rules(sf), app_id="flatgate", access=_rule_access(sf))).drop("columns_or_query")
+
+
+FUSED_RULES = [
+    R.Rule(1, "big orders", R.QUERY, query="SELECT * FROM temp WHERE o_totalprice > 400000"),
+    R.Rule(2, "late and urgent", R.QUERY, query="SELECT o_orderkey FROM temp WHERE upper(o_orderpriority) LIKE '1-%' AND year(o_orderdate) >= 1997;"),
+    R.Rule(3, "no status", R.QUERY, query="SELECT temp.o_orderkey AS k, 'x' AS why FROM temp WHERE temp.st IS NULL OR trim(pr) = ''"),
+    R.Rule(4, "all orders", R.QUERY, query="SELECT * FROM temp"),
+    R.Rule(5, "status present", R.NOT_NULL, columns=("st",)),
+    R.Rule(6, "customers", R.QUERY, query="SELECT DISTINCT o_custkey FROM temp WHERE o_totalprice > 400000"),
+    R.Rule(7, "orders have lines", R.QUERY,
+           query="SELECT t.o_orderkey FROM temp t LEFT ANTI JOIN lines l ON l.l_orderkey = t.o_orderkey WHERE t.st IS NOT NULL"),
+    R.Rule(8, "of known customers", R.QUERY, query="SELECT * FROM temp WHERE o_custkey NOT IN (SELECT c_custkey FROM customers)"),
+    R.Rule(9, "a third", R.QUERY, query="SELECT * FROM temp WHERE pmod(o_orderkey, 3) = 0"),
+]
+
+
+def q_rules_fused_queries(spark, sf):
+    """Nine rules, five of them conditions on rows: those share the not-null
+    scan, the others run by themselves over declared tables."""
+    access = R.Access(tables={"lines": T(spark, sf, "lineitem"), "customers": T(spark, sf, "customer")})
+    return R.run_rules(FX.orders_nulls(spark, sf), FUSED_RULES, access=access).select("rule_name", *RESULT_COLS)
 
 
 def q_report_page(spark, sf):
@@ -605,6 +630,7 @@ QUERIES: dict[str, Query] = {
     "rules_verdict": q_rules_verdict,
     "rules_html": q_rules_html,
     "rules_repeated_ids": q_rules_repeated_ids,
+    "rules_fused_queries": q_rules_fused_queries,
     "report_table": q_report_table,
     "report_page": q_report_page,
     "missing_keys": q_missing_keys,

@@ -1,0 +1,129 @@
+"""Rule SQL: what it may read and call, and which rules share a scan."""
+
+import pytest
+
+from flatgate.operators import rules as R
+from flatgate.operators.sql_guard import RuleSqlError, check_rule_sql
+from flatgate.plans import fixtures as FX
+from flatgate.plans.queries import FUSED_RULES, HTML_RULES, REPEATED_IDS, _orders_rules, _rule_access
+
+SF = "/root/testdata/sf0.001"
+
+REFUSED = [
+    "SELECT java_method('java.lang.System', 'getProperty', 'user.home') AS x FROM temp",
+    "SELECT * FROM temp WHERE reflect('java.util.UUID', 'randomUUID') = 'x'",
+    "SELECT try_reflect('java.util.UUID', 'randomUUID') FROM temp",
+    "SELECT * FROM text.`/etc/hostname`",
+    "SELECT * FROM temp WHERE id IN (SELECT value FROM text.`/etc/hostname`)",
+    "SELECT (SELECT max(value) FROM text.`/etc/hostname`) FROM temp",
+    "SELECT * FROM temp t JOIN LATERAL (SELECT * FROM json.`/secret`) s",
+    "WITH k AS (SELECT * FROM csv.`/secret`) SELECT * FROM k",
+    "WITH k AS (WITH i AS (SELECT * FROM other) SELECT * FROM i) SELECT * FROM k",
+    "(WITH k AS (SELECT 1 AS id) SELECT * FROM k) UNION ALL SELECT * FROM k",
+    "WITH other AS (SELECT * FROM other) SELECT * FROM other",
+    "SELECT * FROM some_table", "SELECT * FROM db.some_table", "SELECT * FROM spark_catalog.db.temp",
+    "SELECT * FROM parquet.`/data/allowed/../secret`", "SELECT * FROM parquet.`/data/allowed_not`",
+    "SELECT TRANSFORM(id) USING 'cat' AS (x) FROM temp",
+    "SELECT * FROM IDENTIFIER('te' || 'xt.`/etc/hostname`')", "SELECT IDENTIFIER('java_' || 'method')('java.lang.System', 'gc') FROM temp",
+    "SELECT * FROM temp ORDER BY java_method('java.lang.System', 'gc')",
+    "SELECT count(*) FILTER (WHERE reflect('a', 'b') = 'x') FROM temp",
+    "SELECT transform(array(1), x -> reflect('a', 'b')) FROM temp",
+    "SELECT * FROM temp LATERAL VIEW explode(array(current_user())) e AS u",
+    "SELECT raise_error('stop') FROM temp", "SELECT xpath(name, '//a') FROM temp", "SELECT my_own_function(id) FROM temp",
+    "SELECT builtin.reflect('a', 'b') FROM temp", "DROP TABLE IF EXISTS x", "INSERT INTO x SELECT * FROM temp", "SET a = b",
+    "CREATE TEMPORARY VIEW v AS SELECT 1", "SELECT * FROM temp |> CALL_ME", "SELECT 1) q UNION ALL SELECT * FROM (SELECT 2",
+]
+
+ALLOWED = [
+    "SELECT * FROM temp", "SELECT * FROM TEMP t WHERE t.id > 1 ORDER BY t.id LIMIT 3;",
+    "WITH k AS (SELECT id FROM temp), l AS (SELECT * FROM k) SELECT * FROM l JOIN k USING (id)",
+    "SELECT * FROM parquet.`/data/allowed/x.parquet`", "SELECT * FROM parquet.`/data/allowed/`", "SELECT * FROM Declared d, temp",
+    "SELECT name, count(*), max(id) FROM temp GROUP BY name HAVING count(*) > 1",
+    "SELECT explode(split(name, ',')) FROM temp", "SELECT * FROM temp LATERAL VIEW OUTER explode(split(name, ',')) e AS w",
+    "SELECT row_number() OVER (PARTITION BY name ORDER BY id) AS n FROM temp", "SELECT my_udf(id) FROM temp",
+    "SELECT 'a' AS file UNION SELECT get(reverse(split(input_file_name(), '/')), 0) FROM temp",
+    "SELECT * FROM VALUES (1, 'a'), (2, 'b') AS v(id, name) WHERE EXISTS (SELECT 1 FROM temp WHERE temp.id = v.id)",
+    "SELECT CASE WHEN id BETWEEN 1 AND 2 THEN extract(year FROM current_date()) END, trim(BOTH ' ' FROM name) FROM temp",
+    "SELECT * FROM range(10) WHERE id NOT IN (SELECT id FROM temp)", "SELECT * FROM temp EXCEPT SELECT * FROM temp WHERE id = 1",
+    "WITH RECURSIVE r(n) AS (SELECT 1 UNION ALL SELECT n + 1 FROM r WHERE n < 3) SELECT * FROM r",
+]
+
+
+def checked(spark, sql):
+    return check_rule_sql(spark, sql, tables=["declared"], paths=["/data/allowed/"], functions=["my_udf"])
+
+
+@pytest.mark.parametrize("sql", REFUSED)
+def test_refused(spark, sql):
+    with pytest.raises(Exception) as e:
+        checked(spark, sql)
+    # refused by the guard, or no query at all for the parser
+    assert isinstance(e.value, RuleSqlError) or "PARSE_SYNTAX_ERROR" in str(e.value)
+
+
+@pytest.mark.parametrize("sql", ALLOWED)
+def test_allowed(spark, sql):
+    checked(spark, sql)
+
+
+def test_registered_rules_pass(spark):
+    for rules in (_orders_rules(SF), HTML_RULES, REPEATED_IDS):
+        R.fused_conditions(FX.orders_nulls(spark, SF), rules, _rule_access(SF))
+
+
+def test_a_refused_rule_stops_the_run_before_any_job(spark):
+    df = spark.createDataFrame([(1, "a")], "id int, name string")
+    group = "guard-refused"
+    spark.sparkContext.setJobGroup(group, "refused rules")
+    try:
+        for sql in REFUSED[:6]:
+            rules = [R.Rule(1, "name", R.NOT_NULL, columns=("name",)), R.Rule(7, "probe", R.QUERY, query=sql)]
+            with pytest.raises(RuleSqlError, match=r"rule 7 \(probe\)"):
+                R.run_rules(df, rules)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_which_rules_are_fused(spark):
+    orders = FX.orders_nulls(spark, SF)
+    access = R.Access(tables={"lines": orders, "customers": orders})
+    assert sorted(R.fused_conditions(orders, FUSED_RULES, access)) == [0, 1, 2, 3, 8]
+    alone = ["SELECT count(*) FROM temp", "SELECT * FROM temp LIMIT 1", "SELECT explode(array(1, 2)) FROM temp", "SELECT o_orderkey + 1 FROM temp",
+             "SELECT * FROM temp WHERE rand() < 0.5", "SELECT * FROM temp t WHERE t.st IS NULL", "SELECT no_such_column FROM temp",
+             "SELECT * FROM temp WHERE EXISTS (SELECT 1)", "SELECT * FROM (SELECT * FROM temp) WHERE st = 'F'", "SELECT t.* FROM temp t"]
+    assert R.fused_conditions(orders, [R.Rule(i, "r", R.QUERY, query=q) for i, q in enumerate(alone)]) == {}
+
+
+def test_fused_rules_cost_one_scan(spark):
+    orders = FX.orders_nulls(spark, SF)
+    rules = [R.Rule(i, "r", R.QUERY, query=f"SELECT * FROM temp WHERE o_totalprice > {i * 1000}") for i in range(12)]
+    fused = R.fused_conditions(orders, rules)
+    plan = R.not_null_plan(orders, [], list(fused.values()))._jdf.queryExecution().executedPlan().toString()
+    assert len(fused) == 12 and plan.count("FileScan") == 1 and "ReadSchema: struct<o_totalprice:double>" in plan
+    group = "guard-fused"
+    spark.sparkContext.setJobGroup(group, "fused rules")
+    try:
+        got = [r.fail_count for r in R.run_rules(orders, rules).collect()]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert got == [orders.filter(f"o_totalprice > {i * 1000}").count() for i in range(12)]
+
+
+def test_nulls_types_and_nested_columns_in_fused_conditions(spark):
+    df = spark.createDataFrame([(1, None, ("x",)), (None, "b", ("y",)), (3, "", None)], "id int, `my name` string, s struct<f: string>")
+    rules = [R.Rule(i, "r", R.QUERY, query=f"SELECT * FROM temp WHERE {p}") for i, p in enumerate([
+        "id > 0", "NOT (id > 0)", "`my name` = ''", "temp.s.f = 'x' OR s.f IS NULL", "id IN (1, 3) AND s IS NOT NULL", "ID = 3", "true"])]
+    assert len(R.fused_conditions(df, rules)) == len(rules)
+    assert [r.fail_count for r in R.run_rules(df, rules).collect()] == [2, 0, 1, 2, 1, 1, 3]
+    with pytest.raises(Exception, match="DATATYPE_MISMATCH|boolean|BOOLEAN"):
+        R.run_rules(df, [R.Rule(1, "r", R.QUERY, query="SELECT * FROM temp WHERE id")]).collect()
+
+
+def test_declared_tables_shadow_nothing(spark):
+    df = spark.createDataFrame([(1,), (2,)], "id int")
+    other = spark.createDataFrame([(2,)], "id int")
+    sql = "SELECT * FROM temp WHERE id NOT IN (SELECT id FROM `odd name`)"
+    assert R.query_rule_count(df, sql, R.Access(tables={"odd name": other})) == 1
+    with pytest.raises(RuleSqlError):
+        R.query_rule_count(df, sql)
