@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as _dt
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from flatgate.operators.columns import tie_break_sql
@@ -100,6 +100,10 @@ class Ledger:
         at = self._instant(at)
         self._append(job_id=job_id, job_end_time=at, status=FAILED)
 
+    def completed(self, job_id: str) -> Row | None:
+        """A plain ledger publishes nothing: a repeated job runs again."""
+        return None
+
     def events(self) -> DataFrame:
         return self.spark.read.schema(LEDGER_SCHEMA).parquet(self.path)
 

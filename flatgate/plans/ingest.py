@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from flatgate.functions.predicates import parse_columns
+from flatgate.operators.commits import CommitLog, committed
 from flatgate.operators.flatten import flatten
 from flatgate.operators.ledger import COMPLETED, Ledger
 from flatgate.operators.quality import FLAG, null_flag, observe_metrics
@@ -77,12 +78,19 @@ def ingest_frame(df: DataFrame, columns: str | Iterable[str], out_root: str, job
                  description: str = "PAYMENT", max_records_per_file: int | None = None,
                  quarantine_root: str | None = None) -> IngestResult:
     """Run pipeline A over an already-read nested frame. Quarantined rows go
-    under ``quarantine_root`` (default: ``out_root``)."""
+    under ``quarantine_root`` (default: ``out_root``).
+
+    With a ``CommitLog`` as ledger the finish event publishes rows,
+    quarantine and counts together (see ``committed_rows``), and a job that
+    is published already is not run again."""
     out_root = out_root.rstrip("/")
     rows_path = f"{out_root}/rows"
     quarantine_path = f"{(quarantine_root or out_root).rstrip('/')}/quarantine"
     q_location = f"{quarantine_path}/{JOB_COL}={job_id}/"
     if ledger is not None:
+        if done := ledger.completed(job_id):
+            return IngestResult(job_id, done["total_record_count"], done["load_record_count"], done["error_record_count"],
+                                rows_path, quarantine_path)
         ledger.start(job_id, description, None, source_path, q_location)
     try:
         flagged = flag_frame(df, columns, prefix)
@@ -139,6 +147,14 @@ def bad_rows(spark: SparkSession, out_root: str, job_id: str | None = None, sche
     return _rows(spark, out_root, job_id, True, schema).drop(JOB_COL)
 
 
+def committed_rows(spark: SparkSession, out_root: str, log: CommitLog, flag: bool = False, schema=None) -> DataFrame:
+    """Good rows (``flag=True``: quarantined ones) of the jobs that ``log``
+    has published. Folders of failed and unfinished jobs are pruned."""
+    df = _rows(spark, out_root, None, flag, schema)
+    df = committed(df.withColumn(JOB_COL, F.col(JOB_COL).cast("string")), log).drop(JOB_COL)
+    return df if flag else df.drop(FLAG, CORRUPT)
+
+
 def validate_and_process(spark: SparkSession, source_path: str, columns: str | Iterable[str], out_root: str,
                          job_id: str | None = None, schema=None, multi_line: bool = False, prefix: bool = False,
                          ledger_path: str | None = None, description: str = "PAYMENT",

@@ -143,6 +143,18 @@ RULES_FUSED_QUERIES = " UNION ALL ".join(
         (9, "a third", "query", "count(*) FILTER (o_orderkey % 3 = 0)"),
     ]
 )
+STREAM_UNIQUE_RULE = " UNION ALL ".join(
+    f"SELECT {i} AS rule_id, 'unique' AS rule_type, CASE WHEN f > 0 THEN 'fail' ELSE 'pass' END AS status, n - f AS pass_count, "
+    f"f AS fail_count, n AS total_count FROM (SELECT (SELECT count(*) FROM orders) AS n, (SELECT count(*) FROM "
+    f"(SELECT 1 FROM {ORDERS_NULLS} GROUP BY {keys} HAVING count(*) > 1)) AS f)"
+    for i, keys in ((1, "o_orderkey"), (2, "o_custkey"), (3, "st, o_custkey"), (4, "o_custkey"))
+)
+LEDGER_SNAPSHOTS = " UNION ALL ".join(
+    f"SELECT {2 * i} AS seq, 'job_{status}' AS job_id, 'COMPLETED' AS status, count(*) AS total_record_count, "
+    f"count(*) FILTER (trim(pr) <> '') AS load_record_count, count(*) FILTER (trim(pr) = '') AS error_record_count "
+    f"FROM {ORDERS_NULLS} WHERE o_orderstatus = '{status}'"
+    for i, status in enumerate("FOP", 1)
+)
 RULES_REPEATED_IDS = " UNION ALL ".join(
     f"SELECT {dq} AS dq_id, '{name}' AS rule_name, * FROM (" + _rule_row(1, rtype, fail) + ")"
     for dq, name, rtype, fail in [
@@ -302,6 +314,9 @@ ORACLES: dict[str, str] = {
     "rules_html": _html_oracle(),
     "rules_repeated_ids": RULES_REPEATED_IDS,
     "rules_fused_queries": RULES_FUSED_QUERIES,
+    "stream_unique_rule": STREAM_UNIQUE_RULE,
+    "committed_rows": f"SELECT o_orderkey, st, pr FROM {ORDERS_NULLS} WHERE st IS NOT NULL",
+    "ledger_snapshots": LEDGER_SNAPSHOTS,
     "report_table": REPORT_TABLE,
     "report_page": _html_oracle(),
     "rules_verdict": RULES_VERDICT,

@@ -21,12 +21,13 @@ from flatgate.operators import columns as C
 from flatgate.operators import flatten as FL
 from flatgate.operators import quality as Q
 from flatgate.operators import rules as R
+from flatgate.operators.commits import CommitLog
 from flatgate.operators.ledger import COMPLETED, LEDGER_COLUMNS, LEDGER_SCHEMA, STARTED, Ledger, latest_per_key
 from flatgate.operators.report import report_html, report_table
 from flatgate.operators.routing import route_counts, route_target, with_route
 from flatgate.plans import fixtures as FX
 from flatgate.plans.documents import write_json_docs, write_json_lines
-from flatgate.plans.ingest import bad_rows, ingest_frame
+from flatgate.plans.ingest import bad_rows, committed_rows, ingest_frame
 from flatgate.plans.sql import sql_on
 from flatgate.session import scratch_dir
 from flatgate.sinks.files import read_csv, write_csv, write_good, write_quarantine, write_report
@@ -557,6 +558,57 @@ def q_ingest_quarantine(spark, sf):
 # ---------------------------------------------------------------------------
 
 
+def q_committed_rows(spark, sf):
+    """Orders arrive in two jobs; the first fails after its rows are
+    written and comes again under a new id. Published are the rows of the
+    jobs that finished, so every good order once."""
+    o = FX.orders_nulls(spark, sf).select("o_orderkey", "st", "pr")
+    halves = [o.filter(F.col("o_orderkey") % 2 == i) for i in (0, 1)]
+    root = scratch_dir(spark, "published")
+    log = CommitLog(spark, scratch_dir(spark, "log"), every=4)
+    log.start("job_a", "orders", None, "orders", "quarantine/")
+    ingest_frame(halves[0], ["st"], root, "job_a")
+    log.fail("job_a")
+    ingest_frame(halves[1], ["st"], root, "job_b", ledger=log)
+    ingest_frame(halves[0], ["st"], root, "job_c", ledger=log)
+    return committed_rows(spark, root, log)
+
+
+def q_ledger_snapshots(spark, sf):
+    """The published jobs' counts by the log, some of its events in a
+    snapshot, some after it: one job per order status."""
+    o = FX.orders_nulls(spark, sf).select("o_orderkey", "o_orderstatus", "pr")
+    log = CommitLog(spark, scratch_dir(spark, "log"), every=3)
+    root = scratch_dir(spark, "published")
+    for status in ("F", "O", "P"):
+        frame = o.filter(F.col("o_orderstatus") == status).withColumn("pr", F.when(F.trim("pr") != "", F.col("pr")))
+        ingest_frame(frame, ["pr"], root, f"job_{status}", ledger=log)
+    counts = ("total_record_count", "load_record_count", "error_record_count")
+    return log.current().select("seq", "job_id", "status", *counts)
+
+
+UNIQUE_RULES = [
+    R.Rule(1, "order key", R.UNIQUE, columns=("o_orderkey",)),
+    R.Rule(2, "customer", R.UNIQUE, columns=("o_custkey",)),
+    R.Rule(3, "customer, status", R.UNIQUE, columns=("st", "o_custkey")),
+    R.Rule(4, "customer again", R.UNIQUE, columns=("o_custkey",)),
+]
+
+
+def q_stream_unique_rule(spark, sf):
+    """D2 across batches: orders arrive as files, one a batch; the rules
+    hold over all of them together."""
+    from flatgate.streaming.files import stream_files
+    from flatgate.streaming.unique import stream_unique_rules, unique_results
+
+    orders = FX.orders_nulls(spark, sf).select("o_orderkey", "o_custkey", "st")
+    arrivals, out = scratch_dir(spark, "arrivals"), scratch_dir(spark, "unique")
+    orders.repartition(4).write.parquet(arrivals)
+    s = stream_files(spark, arrivals, orders.schema, "parquet", max_files_per_trigger=1)
+    stream_unique_rules(s, UNIQUE_RULES, out, scratch_dir(spark, "stream-ckpt")).awaitTermination()
+    return unique_results(spark, out, UNIQUE_RULES).select(*RESULT_COLS)
+
+
 def q_stream_events(spark, sf):
     from flatgate.streaming.files import stream_files, stream_to_parquet
 
@@ -660,4 +712,7 @@ QUERIES: dict[str, Query] = {
     "stream_events": q_stream_events,
     "stream_quarantine": q_stream_quarantine,
     "stream_json_ledger": q_stream_json_ledger,
+    "stream_unique_rule": q_stream_unique_rule,
+    "committed_rows": q_committed_rows,
+    "ledger_snapshots": q_ledger_snapshots,
 }
