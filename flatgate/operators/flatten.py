@@ -417,6 +417,7 @@ def leaf_paths(
     max_depth: int | None = None,
     depth: int | None = None,
     malformed: str = "mark",
+    escape: bool = False,
 ) -> DataFrame:
     """``(id, path, value)`` for every scalar leaf of a JSON text column.
 
@@ -426,6 +427,11 @@ def leaf_paths(
     a JSON null gives a null value; values are the scalar's text. A NULL
     text has no leaves.
 
+    Paths are for reading: a key that contains ``sep`` or looks like a
+    position may give the path of another leaf. ``escape=True`` writes keys
+    with a backslash before every backslash and ``sep`` in them, and
+    positions in brackets; ``leaf_steps`` returns the path as an array.
+
     A text that does not parse (malformed, a key twice in one object, or
     larger than a VARIANT holds) comes back as one row with the path
     ``_corrupt_record`` and its whole text; ``malformed='fail'`` fails the
@@ -441,10 +447,53 @@ def leaf_paths(
     """
     if malformed not in ("mark", "fail"):
         raise ValueError("malformed must be 'mark' or 'fail'")
+    key, position = F.col("__k"), F.col("__p").cast("string")
+    if escape:
+        for special in ("\\", sep):
+            key = F.replace(key, F.lit(special), F.lit("\\" + special))
+        position = F.concat(F.lit("["), position, F.lit("]"))
+    k = F.coalesce(key, position)
+    # with ``escape`` a first key may be empty: the root is then told by NULL
+    root = F.lit(None).cast("string") if escape else F.lit("")
+    at_root = F.col("path").isNull() if escape else F.col("path") == ""
+    longer = F.when(at_root, k).otherwise(F.concat_ws(sep, "path", k))
+    leaves = _leaf_rows(df, id_col, json_col, exclude, root, longer, max_depth, depth, malformed == "fail")
+    broken = F.col("raw").isNotNull()
+    path = F.when(broken, F.lit(CORRUPT_PATH)).otherwise(F.coalesce("path", F.lit("")))
+    return leaves.select(F.col("id").alias(id_col), path.alias("path"), F.coalesce("raw", "value").alias("value"))
+
+
+STEPS = "array<struct<key: string, pos: int>>"
+
+
+def leaf_steps(df: DataFrame, id_col: str, json_col: str, exclude: Iterable[str] = (), max_depth: int | None = None,
+               depth: int | None = None) -> DataFrame:
+    """F6 without ambiguity: ``(id, steps, kind, value)`` for every scalar
+    leaf of a JSON text column.
+
+    A step has a ``key`` (an object's) or a ``pos`` (an array's place), so no
+    spelling of a key can look like another path. ``kind`` is the scalar's
+    type (``VOID`` for a JSON null). A text that does not parse is one row
+    with NULL steps and kind, which no leaf has, and the whole text as its
+    value. Otherwise as ``leaf_paths``."""
+    one = F.struct(F.col("__k").alias("key"), F.col("__p").alias("pos"))
+    root = F.array().cast(STEPS)
+    leaves = _leaf_rows(df, id_col, json_col, exclude, root, F.concat("path", F.array(one)), max_depth, depth, False)
+    steps = F.when(F.col("raw").isNull(), F.col("path"))
+    return leaves.select(F.col("id").alias(id_col), steps.alias("steps"), F.schema_of_variant("v").alias("kind"),
+                         F.coalesce("raw", "value").alias("value"))
+
+
+def _leaf_rows(df: DataFrame, id_col: str, json_col: str, exclude: Iterable[str], root: Column, longer: Column,
+               max_depth: int | None, depth: int | None, fail: bool) -> DataFrame:
+    """``(id, path, raw, v, value)`` per leaf: ``root`` is the path of a whole
+    document, ``longer`` the one of an entry (``__k`` its key or ``__p`` its
+    place) below ``path``. ``raw`` is the text of a document without a
+    value."""
     exclude = sorted(set(exclude))
     text = col_of(json_col)
-    base = df.select(col_of(id_col).alias("id"), F.lit("").alias("path"), text.alias("raw"),
-                     (F.try_parse_json(text) if malformed == "mark" else F.parse_json(text)).alias("v"))
+    base = df.select(col_of(id_col).alias("id"), root.alias("path"), text.alias("raw"),
+                     (F.parse_json(text) if fail else F.try_parse_json(text)).alias("v"))
     # the text goes on only where it has no value
     base = base.select("id", "path", F.when(F.col("v").isNull(), F.col("raw")).alias("raw"), "v")
     if depth is None:
@@ -483,12 +532,10 @@ def leaf_paths(
         )
         if exclude:
             keep = keep & ~(F.col("__k").isNotNull() & F.col("__k").isin(exclude))
-        k = F.coalesce(F.col("__k"), F.col("__p").cast("string"))
+        scalar = F.col("__k").isNull() & F.col("__p").isNull()
         return both.filter(keep).select(
-            "id",
-            F.when(k.isNull(), F.col("path")).when(F.col("path") == "", k).otherwise(F.concat_ws(sep, "path", k)).alias("path"),
-            "raw",
-            F.when(k.isNull(), F.col("v")).otherwise(F.coalesce(F.col("__kv"), F.col("__pv"))).alias("v"),
+            "id", F.when(scalar, F.col("path")).otherwise(longer).alias("path"), "raw",
+            F.when(scalar, F.col("v")).otherwise(F.coalesce(F.col("__kv"), F.col("__pv"))).alias("v"),
         )
 
     frontier = base
@@ -498,7 +545,4 @@ def leaf_paths(
     value = F.when(
         is_open, F.raise_error(F.lit(f"leaf_paths: a document nests deeper than depth={planned}"))
     ).otherwise(F.col("v").cast("string"))
-    broken = F.col("raw").isNotNull()
-    return frontier.filter(F.col("v").isNotNull() | broken).select(
-        F.col("id").alias(id_col), F.when(broken, F.lit(CORRUPT_PATH)).otherwise(F.col("path")).alias("path"),
-        F.when(broken, F.col("raw")).otherwise(value).alias("value"))
+    return frontier.filter(F.col("v").isNotNull() | F.col("raw").isNotNull()).select("id", "path", "raw", "v", value.alias("value"))

@@ -22,11 +22,11 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from flatgate.functions.predicates import parse_columns
 from flatgate.operators.commits import CommitLog, committed
-from flatgate.operators.flatten import flatten
+from flatgate.operators.flatten import col_of, flatten
 from flatgate.operators.ledger import COMPLETED, Ledger
 from flatgate.operators.quality import FLAG, null_flag, observe_metrics
 from flatgate.sinks.files import write_csv, write_good
-from flatgate.sources.json import CORRUPT
+from flatgate.sources.json import corrupt_column
 
 JOB_COL = "job_id"
 
@@ -68,8 +68,8 @@ def flag_frame(df: DataFrame, columns: str | Iterable[str], prefix: bool = False
     flagged too, and its text stays with it."""
     flat = keep_clear(flatten(df, prefix=prefix))
     flagged = null_flag(flat, parse_columns(columns))
-    if CORRUPT in flat.columns:
-        flagged = flagged.withColumn(FLAG, F.col(FLAG) | F.col(CORRUPT).isNotNull())
+    if mark := corrupt_column(flat):
+        flagged = flagged.withColumn(FLAG, F.col(FLAG) | col_of(mark).isNotNull())
     return flagged
 
 
@@ -139,7 +139,13 @@ def _rows(spark: SparkSession, out_root: str, job_id: str | None, flag: bool, sc
 def good_rows(spark: SparkSession, out_root: str, job_id: str | None = None, schema=None) -> DataFrame:
     """Good rows of a run (flag dropped), read from the flag=false partition.
     They all parsed, so the text of broken records is dropped as well."""
-    return _rows(spark, out_root, job_id, False, schema).drop(FLAG, JOB_COL, CORRUPT)
+    return _parsed(_rows(spark, out_root, job_id, False, schema)).drop(JOB_COL)
+
+
+def _parsed(good: DataFrame) -> DataFrame:
+    """Rows that all parsed, without flag and text of broken records."""
+    mark = corrupt_column(good)
+    return good.drop(FLAG, *([mark] if mark else []))
 
 
 def bad_rows(spark: SparkSession, out_root: str, job_id: str | None = None, schema=None) -> DataFrame:
@@ -152,7 +158,7 @@ def committed_rows(spark: SparkSession, out_root: str, log: CommitLog, flag: boo
     has published. Folders of failed and unfinished jobs are pruned."""
     df = _rows(spark, out_root, None, flag, schema)
     df = committed(df.withColumn(JOB_COL, F.col(JOB_COL).cast("string")), log).drop(JOB_COL)
-    return df if flag else df.drop(FLAG, CORRUPT)
+    return df if flag else _parsed(df)
 
 
 def validate_and_process(spark: SparkSession, source_path: str, columns: str | Iterable[str], out_root: str,

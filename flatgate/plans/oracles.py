@@ -74,6 +74,23 @@ SELECT l_orderkey, 'items_*_l_linenumber', CAST(l_linenumber AS VARCHAR)
 FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders)
 """
 
+_STEPS_DOC = (
+    "'{\"a\":{\"b\":' || event_id || ',\"0\":[\"' || event_type || '\"]},\"a_b\":\"' || event_type || '\",\"a_0\":{\"0\":{\"0\":' || user_id "
+    "|| '}},\"_corrupt_record\":' || user_id || '}'"
+)
+LEAF_STEPS = (
+    " UNION ALL ".join(
+        f"SELECT event_id, '{steps}' AS steps, '{kind}' AS kind, CAST({value} AS VARCHAR) AS value FROM events WHERE event_id % 4 <> 0"
+        for steps, kind, value in [
+            (".a.b", "BIGINT", "event_id"), (".a.0[0]", "STRING", "event_type"), (".a_b", "STRING", "event_type"),
+            (".a_0.0.0", "BIGINT", "user_id"), ("._corrupt_record", "BIGINT", "user_id")])
+    + f" UNION ALL SELECT event_id, NULL, NULL, left({_STEPS_DOC}, length({_STEPS_DOC}) - 1) FROM events WHERE event_id % 4 = 0"
+)
+CORRUPT_ROWS_OWN_FIELD = (
+    "SELECT CASE WHEN event_type <> 'error' THEN event_id END AS event_id, "
+    "CASE WHEN event_type <> 'error' THEN event_type END AS _corrupt_record, "
+    "CASE WHEN event_type = 'error' THEN '{\"event_id\":' || event_id || ',\"_corrupt_record\":\"error\"' END AS broken FROM events"
+)
 LEAF_PATHS_MALFORMED = f"""
 SELECT event_id, '_corrupt_record' AS path, left(props, length(props) - 1) AS value FROM events WHERE event_id % 3 = 0
 UNION ALL
@@ -268,6 +285,8 @@ ORACLES: dict[str, str] = {
     "leaf_paths": LEAF_PATHS,
     "leaf_paths_nested": LEAF_PATHS_NESTED,
     "leaf_paths_malformed": LEAF_PATHS_MALFORMED,
+    "leaf_steps": LEAF_STEPS,
+    "corrupt_rows_own_field": CORRUPT_ROWS_OWN_FIELD,
     "explode_estimate": "SELECT count(*) AS rows FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey",
     "merge_fingerprint": (
         f"SELECT conv_id, CAST(floor(turn / {CONV_PART}) AS BIGINT) AS part, "

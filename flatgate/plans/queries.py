@@ -31,7 +31,7 @@ from flatgate.plans.ingest import bad_rows, committed_rows, ingest_frame
 from flatgate.plans.sql import sql_on
 from flatgate.session import scratch_dir
 from flatgate.sinks.files import read_csv, write_csv, write_good, write_quarantine, write_report
-from flatgate.sources.json import corrupt_rows, read_json_docs, read_json_lines
+from flatgate.sources.json import corrupt_column, corrupt_rows, read_json_docs, read_json_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -116,6 +116,32 @@ def q_leaf_paths_malformed(spark, sf):
     return FL.leaf_paths(ev, "event_id", "props")
 
 
+def q_leaf_steps(spark, sf):
+    """Unambiguous leaves of documents in which different leaves have one
+    text path (a.b and a_b, key 0 and place 0) and a key is called like the
+    mark of broken texts; every fourth text is cut short."""
+    doc = F.to_json(F.struct(
+        F.struct(F.col("event_id").alias("b"), F.array("event_type").alias("0")).alias("a"), F.col("event_type").alias("a_b"),
+        F.struct(F.struct(F.col("user_id").alias("0")).alias("0")).alias("a_0"), F.col("user_id").alias("_corrupt_record")))
+    text = F.when(F.col("event_id") % 4 == 0, F.expr("left(doc, length(doc) - 1)")).otherwise(F.col("doc"))
+    ev = T(spark, sf, "events").select("event_id", doc.alias("doc")).select("event_id", text.alias("doc"))
+    steps = F.transform("steps", lambda s: F.coalesce(F.concat(F.lit("."), s["key"]), F.concat(F.lit("["), s["pos"].cast("string"), F.lit("]"))))
+    return FL.leaf_steps(ev, "event_id", "doc").select("event_id", F.array_join(steps, "").alias("steps"), "kind", "value")
+
+
+def q_corrupt_rows_own_field(spark, sf):
+    """Events as JSON lines that have a field called like the mark; every
+    'error' event's line does not parse. All rows, the mark beside the
+    field."""
+    ev = T(spark, sf, "events")
+    line = F.to_json(F.struct("event_id", F.col("event_type").alias("_corrupt_record")))
+    text = F.when(F.col("event_type") == "error", F.expr("left(j, length(j) - 1)")).otherwise(F.col("j"))
+    path = scratch_dir(spark, "corrupt")
+    ev.select(line.alias("j"), "event_type").select(text.alias("value")).write.text(path)
+    back = read_json_lines(spark, path, schema="event_id bigint, _corrupt_record string", keep_corrupt=True)
+    return back.withColumnRenamed(corrupt_column(back), "broken")
+
+
 def q_explode_estimate(spark, sf):
     nested = FX.orders_nested(spark, sf)
     return nested.agg(F.sum(FL.explode_estimate_expr(nested)).alias("rows"))
@@ -659,6 +685,7 @@ QUERIES: dict[str, Query] = {
     "leaf_paths": q_leaf_paths,
     "leaf_paths_nested": q_leaf_paths_nested,
     "leaf_paths_malformed": q_leaf_paths_malformed,
+    "leaf_steps": q_leaf_steps,
     "explode_estimate": q_explode_estimate,
     "merge_fingerprint": q_merge_fingerprint,
     "merge_columns": q_merge_columns,
@@ -703,6 +730,7 @@ QUERIES: dict[str, Query] = {
     "json_docs_roundtrip": q_json_docs_roundtrip,
     "doc_to_csv": q_doc_to_csv,
     "corrupt_rows": q_corrupt_rows,
+    "corrupt_rows_own_field": q_corrupt_rows_own_field,
     "csv_roundtrip": q_csv_roundtrip,
     "quarantine_csv_roundtrip": q_quarantine_csv_roundtrip,
     "dynamic_overwrite": q_dynamic_overwrite,
