@@ -74,6 +74,30 @@ SELECT l_orderkey, 'items_*_l_linenumber', CAST(l_linenumber AS VARCHAR)
 FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders)
 """
 
+# path, stored kind, and per arrival the kinds seen ("" for none), the
+# status and how many values a document gives
+_DRIFT = {
+    ".id": ("BIGINT", [("BIGINT", "same", 1)] * 4 + [("STRING", "conflicting", 1)]),
+    ".kind": ("STRING", [("STRING", "same", 1)] * 5),
+    ".size": ("BIGINT", [("BIGINT", "same", 1)] * 3 + [("DOUBLE", "widened", 1), ("BIGINT", "same", 1)]),
+    ".user": ("OBJECT", [("OBJECT", "same", 2)] * 2 + [("", "absent", 0), ("OBJECT", "same", 2), ("BIGINT", "conflicting", 1)]),
+    ".user.id": ("BIGINT", [("BIGINT", "same", 1)] * 2 + [("", "absent", 0), ("BIGINT", "same", 1), ("", "absent", 0)]),
+    ".user.age": ("DOUBLE", [("DOUBLE", "same", 1)] * 2 + [("", "absent", 0), ("BIGINT", "same", 1), ("", "absent", 0)]),
+    ".tags": ("ARRAY", [("ARRAY", "same", 2)] * 4 + [("ARRAY", "same", 1)]),
+    ".tags[]": ("STRING", [("STRING", "same", 2)] * 4 + [("BIGINT|OBJECT", "conflicting", 1)]),
+    ".tags[].t": (None, [None] * 4 + [("VOID", "added", "(event_id % 2)")]),
+    ".extra": (None, [None, ("BOOLEAN", "added", 1), None, None, None]),
+    ".more": (None, [None, ("OBJECT", "added", 1), None, None, None]),
+    r".more.a\.b": (None, [None, ("BIGINT", "added", 1), None, None, None]),
+}
+SCHEMA_DRIFT = " UNION ALL ".join(
+    f"SELECT {i} AS arrival, '{path}' AS path, '{seen[1]}' AS status, {f"'{stored}'" if stored else 'NULL'} AS stored_type, "
+    f"nullif('{seen[0]}', '') AS observed_type, CAST(sum({seen[2]}) AS BIGINT) AS n_values FROM events "
+    f"WHERE event_id % 5 = {i} AND NOT (event_id % 5 = 4 AND event_id % 3 = 0)"
+    for path, (stored, arrivals) in _DRIFT.items() for i, seen in enumerate(arrivals) if seen
+) + (
+    " UNION ALL SELECT 4, NULL, 'malformed', NULL, NULL, count(*) FROM events WHERE event_id % 5 = 4 AND event_id % 3 = 0"
+)
 _STEPS_DOC = (
     "'{\"a\":{\"b\":' || event_id || ',\"0\":[\"' || event_type || '\"]},\"a_b\":\"' || event_type || '\",\"a_0\":{\"0\":{\"0\":' || user_id "
     "|| '}},\"_corrupt_record\":' || user_id || '}'"
@@ -160,6 +184,15 @@ RULES_FUSED_QUERIES = " UNION ALL ".join(
         (9, "a third", "query", "count(*) FILTER (o_orderkey % 3 = 0)"),
     ]
 )
+QUARANTINE_REASONS = f"""
+SELECT * FROM (
+  SELECT o_orderkey, st, pr, concat_ws(',',
+    CASE WHEN coalesce(trim(st), '') = '' THEN '11' END, CASE WHEN count(*) OVER (PARTITION BY o_custkey) > 1 THEN '12' END,
+    CASE WHEN coalesce(trim(st), '') = '' OR coalesce(trim(pr), '') = '' THEN '13' END, CASE WHEN o_totalprice > 400000 THEN '14' END,
+    CASE WHEN count(*) OVER (PARTITION BY st, o_custkey) > 1 THEN '15' END,
+    CASE WHEN count(*) OVER (PARTITION BY o_orderkey) > 1 THEN '16' END) AS failed_rules
+  FROM {ORDERS_NULLS}) WHERE failed_rules <> ''
+"""
 STREAM_UNIQUE_RULE = " UNION ALL ".join(
     f"SELECT {i} AS rule_id, 'unique' AS rule_type, CASE WHEN f > 0 THEN 'fail' ELSE 'pass' END AS status, n - f AS pass_count, "
     f"f AS fail_count, n AS total_count FROM (SELECT (SELECT count(*) FROM orders) AS n, (SELECT count(*) FROM "
@@ -286,6 +319,7 @@ ORACLES: dict[str, str] = {
     "leaf_paths_nested": LEAF_PATHS_NESTED,
     "leaf_paths_malformed": LEAF_PATHS_MALFORMED,
     "leaf_steps": LEAF_STEPS,
+    "schema_drift": SCHEMA_DRIFT,
     "corrupt_rows_own_field": CORRUPT_ROWS_OWN_FIELD,
     "explode_estimate": "SELECT count(*) AS rows FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey",
     "merge_fingerprint": (
@@ -334,6 +368,7 @@ ORACLES: dict[str, str] = {
     "rules_repeated_ids": RULES_REPEATED_IDS,
     "rules_fused_queries": RULES_FUSED_QUERIES,
     "stream_unique_rule": STREAM_UNIQUE_RULE,
+    "quarantine_reasons": QUARANTINE_REASONS,
     "committed_rows": f"SELECT o_orderkey, st, pr FROM {ORDERS_NULLS} WHERE st IS NOT NULL",
     "ledger_snapshots": LEDGER_SNAPSHOTS,
     "report_table": REPORT_TABLE,

@@ -22,7 +22,9 @@ from flatgate.operators import flatten as FL
 from flatgate.operators import quality as Q
 from flatgate.operators import rules as R
 from flatgate.operators.commits import CommitLog
+from flatgate.operators.drift import schema_drift
 from flatgate.operators.ledger import COMPLETED, LEDGER_COLUMNS, LEDGER_SCHEMA, STARTED, Ledger, latest_per_key
+from flatgate.operators.reasons import quarantine_reasons, with_identity
 from flatgate.operators.report import report_html, report_table
 from flatgate.operators.routing import route_counts, route_target, with_route
 from flatgate.plans import fixtures as FX
@@ -142,6 +144,38 @@ def q_corrupt_rows_own_field(spark, sf):
     return back.withColumnRenamed(corrupt_column(back), "broken")
 
 
+DRIFT_SCHEMA = "id bigint, kind string, size bigint, user struct<id: bigint, age: double>, tags array<string>"
+
+
+def q_schema_drift(spark, sf):
+    """Events as JSON documents in five arrivals. Arrival 0 has the stored
+    schema; 1 adds a field and an object; 2 lacks two; in 3 sizes are
+    fractions and ages whole; in 4 ids are text, users a number, every tag a
+    number or an object, and some documents cut short."""
+    ev = T(spark, sf, "events").withColumn("arrival", F.col("event_id") % 5)
+    num = F.col("event_id").cast("string")
+    quoted = F.concat(F.lit('"'), num, F.lit('"'))
+
+    def doc(*fields):
+        return F.concat(F.lit("{"), F.concat_ws(",", *[F.concat(F.lit(f'"{k}":'), v) for k, v in fields]), F.lit("}"))
+
+    kind = F.concat(F.lit('"'), "event_type", F.lit('"'))
+    user = doc(("id", num), ("age", F.lit("1.5e1")))
+    tags = F.concat(F.lit("["), kind, F.lit(',"x"]'))
+    base = {"id": num, "kind": kind, "size": num, "user": user, "tags": tags}
+    shapes = [
+        base, {**base, "extra": F.lit("true"), "more": doc(("a.b", num))}, {k: base[k] for k in ("id", "kind", "size", "tags")},
+        {**base, "size": F.lit("2.5e0"), "user": doc(("id", num), ("age", F.lit("15")))},
+        {**base, "id": quoted, "user": num, "tags": F.when(F.col("event_id") % 2 == 0, F.lit("[7]")).otherwise(F.lit('[{"t":null}]'))}]
+    text_of = F.when(F.lit(False), F.lit(""))
+    for i, shape in enumerate(shapes):
+        text_of = text_of.when(F.col("arrival") == i, doc(*shape.items()))
+    docs = ev.select("arrival", "event_id", text_of.alias("doc"))
+    broken = (F.col("arrival") == 4) & (F.col("event_id") % 3 == 0)
+    docs = docs.select("arrival", F.when(broken, F.lit("{")).otherwise(F.col("doc")).alias("doc"))
+    return schema_drift(docs, "doc", "arrival", spark.createDataFrame([], DRIFT_SCHEMA).schema)
+
+
 def q_explode_estimate(spark, sf):
     nested = FX.orders_nested(spark, sf)
     return nested.agg(F.sum(FL.explode_estimate_expr(nested)).alias("rows"))
@@ -613,6 +647,25 @@ def q_ledger_snapshots(spark, sf):
     return log.current().select("seq", "job_id", "status", *counts)
 
 
+REASON_RULES = [
+    R.Rule(11, "status", R.NOT_NULL, columns=("st",)), R.Rule(12, "customer", R.UNIQUE, columns=("o_custkey",)),
+    R.Rule(13, "priority", R.NOT_NULL, columns=("pr", "st")), R.Rule(14, "big", R.QUERY, query="SELECT * FROM temp WHERE o_totalprice > 400000"),
+    R.Rule(15, "customer, status", R.UNIQUE, columns=("st", "o_custkey")), R.Rule(16, "order", R.UNIQUE, columns=("o_orderkey",)),
+]
+
+
+def q_quarantine_reasons(spark, sf):
+    """Orders as an ingest job wrote them: every row that fails a rule, with
+    the rules it fails."""
+    o = FX.orders_nulls(spark, sf).select("o_orderkey", "o_custkey", "o_totalprice", "st", "pr")
+    root = scratch_dir(spark, "reasons")
+    ingest_frame(o, ["st"], root, "job_" + FIXED_STAMP)
+    rows = with_identity(spark.read.schema(o.schema).parquet(f"{root}/rows/job_id=job_{FIXED_STAMP}"))
+    bad = quarantine_reasons(rows.drop("null_check_result"), REASON_RULES)
+    ids = F.array_join(F.transform("failed_rules", lambda r: r["rule_id"].cast("string")), ",")
+    return bad.select("o_orderkey", "st", "pr", ids.alias("failed_rules"))
+
+
 UNIQUE_RULES = [
     R.Rule(1, "order key", R.UNIQUE, columns=("o_orderkey",)),
     R.Rule(2, "customer", R.UNIQUE, columns=("o_custkey",)),
@@ -686,6 +739,7 @@ QUERIES: dict[str, Query] = {
     "leaf_paths_nested": q_leaf_paths_nested,
     "leaf_paths_malformed": q_leaf_paths_malformed,
     "leaf_steps": q_leaf_steps,
+    "schema_drift": q_schema_drift,
     "explode_estimate": q_explode_estimate,
     "merge_fingerprint": q_merge_fingerprint,
     "merge_columns": q_merge_columns,
@@ -697,6 +751,7 @@ QUERIES: dict[str, Query] = {
     "preview_top": q_preview_top,
     "null_flag": q_null_flag,
     "quarantine_rows": q_quarantine_rows,
+    "quarantine_reasons": q_quarantine_reasons,
     "good_rows": q_good_rows,
     "run_metrics": q_run_metrics,
     "blank_filter": q_blank_filter,
