@@ -223,6 +223,28 @@ def _flatten_prefixed(df: DataFrame, sep: str) -> DataFrame:
     return df
 
 
+def flatten_zipped(df: DataFrame, sep: str = "_") -> DataFrame:
+    """F4 without the product: the sibling arrays of a level advance
+    together, so a row of arrays of 3 and 2 elements gives 3 rows, the
+    shorter one padded with nulls. Names as of the prefixed flatten; null or
+    empty arrays keep their row. A level costs one Generate, and rows are
+    the longest array's length, where ``explode_all`` multiplies lengths."""
+    df = normalize_names(df)
+    cols = _struct_pass(_frame_cols(df), sep) or _frame_cols(df)
+    while arrays := [i for i, c in enumerate(cols) if isinstance(c[2], ArrayType)]:
+        plain = [f"{expr} AS {quote(name)}" for i, (name, expr, _t) in enumerate(cols) if i not in arrays]
+        # the zip of a null array would be null as a whole
+        whole = ", ".join(f"coalesce({cols[i][1]}, array())" for i in arrays)
+        zipped = Namer([c[0] for c in cols]).claim("__fg_zip", sep=sep)
+        df = df.selectExpr(*plain, f"explode_outer(arrays_zip({whole})) AS {zipped}")
+        # a zip of expressions numbers its fields
+        names = [f.name for f in df.schema[zipped].dataType.fields]
+        cols = [(name, quote(name), t) if i not in arrays else (name, f"{zipped}.{quote(names[arrays.index(i)])}", t.elementType)
+                for i, (name, _e, t) in enumerate(cols)]
+        cols = _struct_pass(cols, sep) or cols
+    return df.selectExpr(*[f"{expr} AS {quote(name)}" for name, expr, _t in cols])
+
+
 def flatten(df: DataFrame, prefix: bool = False, sep: str = "_", max_rows: int | None = None) -> DataFrame:
     """F1 (``prefix=False``) or F2 (``prefix=True``): every struct and array
     gone, maps kept. Null structs give null children; null or empty arrays

@@ -98,6 +98,19 @@ SCHEMA_DRIFT = " UNION ALL ".join(
 ) + (
     " UNION ALL SELECT 4, NULL, 'malformed', NULL, NULL, count(*) FROM events WHERE event_id % 5 = 4 AND event_id % 3 = 0"
 )
+FLATTEN_ZIPPED = f"""
+WITH docs AS (SELECT conv_id, part, t, list_transform(list_filter(t, lambda x: x.role = 'user'), lambda x: x.text) AS said FROM {CONV_DOCS})
+SELECT conv_id, part, t[i].role AS d_roles, said[i] AS d_said, t[i].turn AS d_at_turn FROM docs, unnest(range(1, len(t) + 1)) AS u(i)
+"""
+ARRIVALS_AUDIT = """
+WITH n AS (SELECT count(DISTINCT source) AS n FROM documents),
+expected AS (SELECT 'source=src' || i AS file_name FROM n, unnest(range(1, n + 5)) AS u(i) UNION ALL SELECT 'source=nothing'),
+arrived AS (SELECT DISTINCT 'source=' || source AS file_name, true AS has_content FROM documents UNION ALL SELECT 'source=nothing', false)
+SELECT coalesce(e.file_name, a.file_name) AS file_name,
+       CASE WHEN a.file_name IS NULL THEN 'missing' WHEN e.file_name IS NULL THEN 'unexpected' WHEN has_content THEN 'present' ELSE 'empty' END AS status,
+       a.file_name IS NOT NULL AS arrived, coalesce(has_content, false) AS has_content
+FROM expected e FULL JOIN arrived a ON a.file_name = e.file_name
+"""
 _STEPS_DOC = (
     "'{\"a\":{\"b\":' || event_id || ',\"0\":[\"' || event_type || '\"]},\"a_b\":\"' || event_type || '\",\"a_0\":{\"0\":{\"0\":' || user_id "
     "|| '}},\"_corrupt_record\":' || user_id || '}'"
@@ -320,6 +333,8 @@ ORACLES: dict[str, str] = {
     "leaf_paths_malformed": LEAF_PATHS_MALFORMED,
     "leaf_steps": LEAF_STEPS,
     "schema_drift": SCHEMA_DRIFT,
+    "flatten_zipped": FLATTEN_ZIPPED,
+    "arrivals_audit": ARRIVALS_AUDIT,
     "corrupt_rows_own_field": CORRUPT_ROWS_OWN_FIELD,
     "explode_estimate": "SELECT count(*) AS rows FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey",
     "merge_fingerprint": (
@@ -336,6 +351,7 @@ ORACLES: dict[str, str] = {
         "QUALIFY row_number() OVER (PARTITION BY fingerprint ORDER BY conv_id, part) = 1"
     ),
     "dedup_keep_first": "SELECT * FROM documents QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1",
+    "dedup_incremental": "SELECT * FROM documents QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1",
     "dedup_null_order": (
         f"SELECT o_custkey, st, o_orderkey, pr FROM {ORDERS_NULLS} "
         "QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY st NULLS FIRST, o_orderkey) = 1"

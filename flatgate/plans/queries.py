@@ -23,6 +23,7 @@ from flatgate.operators import quality as Q
 from flatgate.operators import rules as R
 from flatgate.operators.commits import CommitLog
 from flatgate.operators.drift import schema_drift
+from flatgate.operators.keep_first import KeepFirstStore
 from flatgate.operators.ledger import COMPLETED, LEDGER_COLUMNS, LEDGER_SCHEMA, STARTED, Ledger, latest_per_key
 from flatgate.operators.reasons import quarantine_reasons, with_identity
 from flatgate.operators.report import report_html, report_table
@@ -33,6 +34,7 @@ from flatgate.plans.ingest import bad_rows, committed_rows, ingest_frame
 from flatgate.plans.sql import sql_on
 from flatgate.session import scratch_dir
 from flatgate.sinks.files import read_csv, write_csv, write_good, write_quarantine, write_report
+from flatgate.sources.arrivals import arrivals_audit
 from flatgate.sources.json import corrupt_column, corrupt_rows, read_json_docs, read_json_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -176,6 +178,44 @@ def q_schema_drift(spark, sf):
     return schema_drift(docs, "doc", "arrival", spark.createDataFrame([], DRIFT_SCHEMA).schema)
 
 
+def q_flatten_zipped(spark, sf):
+    """Conversation documents with sibling arrays (roles, texts of user turns
+    only, turns as structs): siblings advance together."""
+    docs = FX.conversations_nested(spark, sf, CONV_PART)
+    users = F.filter("t", lambda x: x["role"] == "user")
+    arrays = F.struct(F.transform("t", lambda x: x["role"]).alias("roles"), F.transform(users, lambda x: x["text"]).alias("said"),
+                      F.transform("t", lambda x: F.struct(x["turn"].alias("turn"))).alias("at"))
+    return FL.flatten_zipped(docs.select("conv_id", "part", arrays.alias("d")))
+
+
+def q_arrivals_audit(spark, sf):
+    """D7 from the listing: documents arrive as JSON, a folder per source;
+    one folder's only file is empty, one source is not expected, and the
+    last five expected ones are missing. Sizes depend on the writer, so what
+    is compared is whether there are any."""
+    docs = T(spark, sf, "documents").select("doc_id", "source")
+    path = scratch_dir(spark, "arrivals")
+    docs.write.partitionBy("source").json(path)
+    spark.createDataFrame([], "value string").write.text(f"{path}/source=nothing")
+    n = docs.select(F.countDistinct("source").alias("n"))
+    expected = n.select(F.explode(F.sequence(F.lit(1), F.col("n") + 4)).alias("i")).select(
+        F.concat(F.lit("source=src"), F.col("i").cast("string")).alias("file_name"))
+    expected = expected.unionByName(spark.createDataFrame([("source=nothing",)], "file_name string"))
+    audit = arrivals_audit(spark, path, expected, level=2)
+    return audit.select("file_name", "status", (F.col("n_files") > 0).alias("arrived"), (F.col("bytes") > 0).alias("has_content"))
+
+
+def q_dedup_incremental(spark, sf):
+    """F9 across jobs: documents in three arrivals by their ids' remainders;
+    later ones bring copies with smaller ids, which replace kept rows."""
+    docs = T(spark, sf, "documents")
+    store = KeepFirstStore(spark, scratch_dir(spark, "kept"), ["text"], ["doc_id"], buckets=16)
+    arrivals = docs.withColumn("arrival", F.lit(3) - F.pmod(F.col("doc_id"), F.lit(3)))
+    for i in (1, 2, 3):
+        store.add(arrivals.filter(F.col("arrival") == i).drop("arrival"), f"arrival-{i}")
+    return store.rows()
+
+
 def q_explode_estimate(spark, sf):
     nested = FX.orders_nested(spark, sf)
     return nested.agg(F.sum(FL.explode_estimate_expr(nested)).alias("rows"))
@@ -741,6 +781,9 @@ QUERIES: dict[str, Query] = {
     "leaf_steps": q_leaf_steps,
     "schema_drift": q_schema_drift,
     "explode_estimate": q_explode_estimate,
+    "flatten_zipped": q_flatten_zipped,
+    "arrivals_audit": q_arrivals_audit,
+    "dedup_incremental": q_dedup_incremental,
     "merge_fingerprint": q_merge_fingerprint,
     "merge_columns": q_merge_columns,
     "dedup_keep_first": q_dedup_keep_first,
