@@ -19,6 +19,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructField, StructType
 
+from flatgate.session import scratch_dir
+
+
 def quote(name: str) -> str:
     """Back-quote a column name so dots, spaces and backticks resolve."""
     return "`" + name.replace("`", "``") + "`"
@@ -506,6 +509,50 @@ def leaf_steps(df: DataFrame, id_col: str, json_col: str, exclude: Iterable[str]
                          F.coalesce("raw", "value").alias("value"))
 
 
+def documents_from_leaves(leaves: DataFrame, id_col: str, out: str = "doc") -> DataFrame:
+    """``(id, out)``: JSON documents put together again from the rows of
+    ``leaf_steps``, deepest level first; ids must tell documents apart.
+
+    Keys come in their own order. An empty object or array has no leaf: it is
+    gone from an object, and null where it was an element of an array, so
+    that the others keep their places. A document that did not parse comes
+    back as its text. The leaves are written once to the shared scratch
+    folder, by level; each level turns a parent's entries into its text, and
+    as all levels group within a document, rows are shuffled by id only."""
+    spark = leaves.sparkSession
+    quoted = F.to_json(F.array("value"))
+    text = F.when(F.col("kind") == "VOID", F.lit("null")).when(
+        F.col("kind") == "STRING", F.substring(quoted, F.lit(2), F.length(quoted) - 2)).otherwise(F.col("value"))
+    level = F.when(F.col("steps").isNull(), F.lit(-1)).otherwise(F.size("steps"))
+    rows = leaves.select(col_of(id_col).alias("id"), "steps", text.alias("text"), level.alias("level"))
+    path = scratch_dir(spark, "leaves")
+    rows.write.partitionBy("level").parquet(path)
+    rows = spark.read.schema(rows.schema).parquet(path)
+    depth = rows.agg(F.max("level").alias("d")).first()["d"] or 0
+    whole = rows.filter(F.col("level") <= 0).select("id", "text")
+
+    def entries(of: DataFrame, steps: str) -> DataFrame:
+        last = F.element_at(steps, -1)
+        return of.select("id", F.slice(steps, 1, F.size(steps) - 1).alias("up"), last["key"].alias("key"), last["pos"].alias("pos"), "text")
+
+    name = F.to_json(F.array("key"))
+    member = F.concat(F.substring(name, F.lit(2), F.length(name) - 2), F.lit(":"), "text")
+    members = F.array_sort(F.collect_list(F.when(F.col("key").isNotNull(), F.struct("key", member.alias("text")))))
+    items = F.map_from_entries(F.collect_list(F.when(F.col("key").isNull(), F.struct("pos", "text"))))
+    filled = F.transform(F.sequence(F.lit(0), F.coalesce("last", F.lit(0))), lambda i: F.coalesce(F.try_element_at("items", i), F.lit("null")))
+    as_object = F.concat(F.lit("{"), F.array_join(F.transform("members", lambda m: m["text"]), ","), F.lit("}"))
+    as_array = F.concat(F.lit("["), F.array_join(filled, ","), F.lit("]"))
+    parents = None
+    for n in range(depth, 0, -1):
+        level_rows = entries(rows.filter(F.col("level") == n).repartition("id"), "steps")
+        if parents is not None:
+            level_rows = level_rows.unionByName(entries(parents, "up"))
+        grouped = level_rows.groupBy("id", "up").agg(members.alias("members"), items.alias("items"), F.max("pos").alias("last"))
+        parents = grouped.select("id", "up", F.when(F.size("members") > 0, as_object).otherwise(as_array).alias("text"))
+    found = whole if parents is None else whole.unionByName(parents.select("id", "text"))
+    return found.select(F.col("id").alias(id_col), F.col("text").alias(out))
+
+
 def _leaf_rows(df: DataFrame, id_col: str, json_col: str, exclude: Iterable[str], root: Column, longer: Column,
                max_depth: int | None, depth: int | None, fail: bool) -> DataFrame:
     """``(id, path, raw, v, value)`` per leaf: ``root`` is the path of a whole

@@ -111,6 +111,21 @@ SELECT coalesce(e.file_name, a.file_name) AS file_name,
        a.file_name IS NOT NULL AS arrived, coalesce(has_content, false) AS has_content
 FROM expected e FULL JOIN arrived a ON a.file_name = e.file_name
 """
+# keys in their order; an order without lines has no items
+LEAF_PATHS_REBUILT = """
+SELECT 'e' || event_id AS id,
+       CASE WHEN event_id % 7 = 0 THEN left(props, length(props) - 1)
+            ELSE '{' || array_to_string(list_transform(list_sort(json_keys(props)),
+                   lambda k: to_json(k)::VARCHAR || ':' || json_extract(props, '$."' || k || '"')::VARCHAR), ',') || '}' END AS doc
+FROM events
+UNION ALL
+SELECT 'o' || o_orderkey,
+       '{"cust":{"c_name":"' || c_name || '","seg":{"c_mktsegment":"' || c_mktsegment || '","c_nationkey":' || c_nationkey || '}},'
+       || coalesce('"items":[' || string_agg('{"l_linenumber":' || l_linenumber || '}', ',' ORDER BY l_linenumber) || '],', '')
+       || '"o_orderkey":' || o_orderkey || '}'
+FROM orders JOIN customer ON c_custkey = o_custkey LEFT JOIN lineitem ON l_orderkey = o_orderkey
+GROUP BY o_orderkey, c_name, c_mktsegment, c_nationkey
+"""
 _STEPS_DOC = (
     "'{\"a\":{\"b\":' || event_id || ',\"0\":[\"' || event_type || '\"]},\"a_b\":\"' || event_type || '\",\"a_0\":{\"0\":{\"0\":' || user_id "
     "|| '}},\"_corrupt_record\":' || user_id || '}'"
@@ -332,6 +347,7 @@ ORACLES: dict[str, str] = {
     "leaf_paths_nested": LEAF_PATHS_NESTED,
     "leaf_paths_malformed": LEAF_PATHS_MALFORMED,
     "leaf_steps": LEAF_STEPS,
+    "leaf_paths_rebuilt": LEAF_PATHS_REBUILT,
     "schema_drift": SCHEMA_DRIFT,
     "flatten_zipped": FLATTEN_ZIPPED,
     "arrivals_audit": ARRIVALS_AUDIT,

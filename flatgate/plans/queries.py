@@ -133,6 +133,15 @@ def q_leaf_steps(spark, sf):
     return FL.leaf_steps(ev, "event_id", "doc").select("event_id", F.array_join(steps, "").alias("steps"), "kind", "value")
 
 
+def q_leaf_paths_rebuilt(spark, sf):
+    """Order documents and events.props taken apart into leaves and put
+    together again; every seventh event's text is cut short."""
+    props = F.when(F.col("event_id") % 7 == 0, F.expr("left(props, length(props) - 1)")).otherwise(F.col("props"))
+    ev = T(spark, sf, "events").select(F.concat(F.lit("e"), "event_id").alias("id"), props.alias("doc"))
+    od = _orders_json(spark, sf).select(F.concat(F.lit("o"), "o_orderkey").alias("id"), "doc")
+    return FL.documents_from_leaves(FL.leaf_steps(ev.unionByName(od), "id", "doc"), "id")
+
+
 def q_corrupt_rows_own_field(spark, sf):
     """Events as JSON lines that have a field called like the mark; every
     'error' event's line does not parse. All rows, the mark beside the
@@ -779,6 +788,7 @@ QUERIES: dict[str, Query] = {
     "leaf_paths_nested": q_leaf_paths_nested,
     "leaf_paths_malformed": q_leaf_paths_malformed,
     "leaf_steps": q_leaf_steps,
+    "leaf_paths_rebuilt": q_leaf_paths_rebuilt,
     "schema_drift": q_schema_drift,
     "explode_estimate": q_explode_estimate,
     "flatten_zipped": q_flatten_zipped,

@@ -92,3 +92,45 @@ def test_ingest_keeps_the_field_and_quarantines_by_the_mark(spark, tmp):
     # nothing is taken for a mark that is not one
     own = spark.createDataFrame([(1, "text")], "id int, _corrupt_record string")
     assert [r.null_check_result for r in flag_frame(own, ["id"]).collect()] == [False]
+
+
+def rebuilt(value, inner=False):
+    """What leaves can tell of a document: empty containers are gone, or
+    null inside an array up to its last element that has a leaf."""
+    if isinstance(value, dict):
+        found = {k: x for k, v in value.items() if (x := rebuilt(v)) is not MISSING}
+        return found or MISSING
+    if isinstance(value, list):
+        found = [rebuilt(v) for v in value]
+        while found and found[-1] is MISSING:
+            found.pop()
+        return [None if x is MISSING else x for x in found] or MISSING
+    return value
+
+
+MISSING = object()
+RICH = st.recursive(st.integers(-9, 9) | st.booleans() | st.none() | st.text(alphabet='a"\\é{}[]:, \n', max_size=4),
+                    lambda x: st.lists(x, max_size=4) | st.dictionaries(st.text(alphabet='a_0"\\.', max_size=3), x, max_size=3), max_leaves=10)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(RICH, min_size=1, max_size=6))
+def test_documents_are_rebuilt_from_their_leaves(spark, values):
+    from flatgate.operators.flatten import documents_from_leaves
+
+    df = docs(spark, *map(json.dumps, values), '{"cut": ')
+    got = {r.id: r.doc for r in documents_from_leaves(leaf_steps(df, "id", "doc"), "id").collect()}
+    assert got.pop(len(values)) == '{"cut": '
+    want = {i: x for i, v in enumerate(values) if (x := rebuilt(v)) is not MISSING}
+    assert {i: json.loads(d) for i, d in got.items()} == want
+
+
+def test_levels_group_within_a_document(spark):
+    from flatgate.operators.flatten import documents_from_leaves
+
+    df = docs(spark, '{"a": {"b": [{"c": 1}, {"d": [2, 3]}]}, "e": "x"}', "7", "[]")
+    rebuilt_docs = documents_from_leaves(leaf_steps(df, "id", "doc"), "id")
+    exchanges = [line for line in rebuilt_docs._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in line]
+    assert 0 < len(exchanges) <= 5 and all("hashpartitioning(id#" in x and "up#" not in x for x in exchanges)
+    assert sorted(map(tuple, rebuilt_docs.collect())) == [(0, '{"a":{"b":[{"c":1},{"d":[2,3]}]},"e":"x"}'), (1, "7")]
+    assert documents_from_leaves(leaf_steps(docs(spark, "{}"), "id", "doc"), "id").collect() == []
