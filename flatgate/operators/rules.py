@@ -182,8 +182,12 @@ def query_rule_count(df: DataFrame, sql: str, access: Access = NO_ACCESS) -> int
     by a CTE, so concurrent callers never share a view. The text has to
     parse by itself and pass the guard before it is wrapped.
     """
+    check_rule_sql(df.sparkSession, sql, access.tables, access.paths, access.functions)
+    return _checked_rule_count(df, sql, access)
+
+
+def _checked_rule_count(df: DataFrame, sql: str, access: Access) -> int:
     spark = df.sparkSession
-    check_rule_sql(spark, sql, access.tables, access.paths, access.functions)
     views = {name: f"__fg_src_{uuid.uuid4().hex}" for name in (DATA, *access.tables)}
     for name, frame in {DATA: df, **access.tables}.items():
         frame.createOrReplaceTempView(views[name])
@@ -234,7 +238,7 @@ def run_rules(df: DataFrame, rules: Sequence[Rule], app_id: str | None = None,
             scans.append(([*places[NOT_NULL], *fused], pool.submit(not_null_counts, df, of[NOT_NULL], list(fused.values()))))
         if of[UNIQUE]:
             scans.append((places[UNIQUE], pool.submit(unique_counts, df, of[UNIQUE])))
-        pending = [(i, pool.submit(query_rule_count, df, rules[i].query, access)) for i in places[QUERY]]
+        pending = [(i, pool.submit(_checked_rule_count, df, rules[i].query, access)) for i in places[QUERY]]
         for at, scan in scans:
             total, counts = scan.result()
             fails.update(zip(at, counts, strict=True))

@@ -45,6 +45,7 @@ _LEAVES = frozenset("Literal UnresolvedAttribute UnresolvedStar AttributeReferen
 
 _TREE = "org.apache.spark.sql.catalyst.trees.TreeNode"
 _PLAN = "org.apache.spark.sql.catalyst.plans.logical.LogicalPlan"
+_LOGICAL, _EXPRESSIONS = "org.apache.spark.sql.catalyst.plans.logical.", "org.apache.spark.sql.catalyst.expressions."
 
 
 class RuleSqlError(ValueError):
@@ -83,9 +84,13 @@ class _Walk:
     def is_a(self, obj: JavaObject, name: str) -> bool:
         return is_instance_of(self.gateway, obj, name)
 
-    def nodes(self, value) -> Iterator[JavaObject]:
-        """Tree nodes directly inside a value: an option, sequence or tuple
-        of them, or one itself."""
+    def is_plan(self, obj: JavaObject, name: str) -> bool:
+        # every question to the JVM costs; where the package decides, ask none
+        return name.startswith(_LOGICAL) or (not name.startswith(_EXPRESSIONS) and self.is_a(obj, _PLAN))
+
+    def nodes(self, value) -> Iterator[tuple[JavaObject, str]]:
+        """Tree nodes directly inside a value, with their class: an option,
+        sequence or tuple of them, or one itself."""
         if not isinstance(value, JavaObject):
             return
         name = _class(value)
@@ -98,22 +103,24 @@ class _Walk:
                 yield from self.nodes(value.productElement(i))
         elif "$Lambda" in name:
             raise RuleSqlError("a name given by an expression is not allowed")
+        elif name.startswith(_EXPRESSIONS) or (name.startswith(_LOGICAL) and name.rsplit(".", 1)[-1] in _PLANS):
+            yield value, name
         elif name.startswith("org.apache.spark.") and self.is_a(value, _TREE):
-            yield value
+            yield value, name
 
-    def inside(self, node: JavaObject) -> Iterator[JavaObject]:
-        for i in range(node.productArity()):
+    def inside(self, node: JavaObject) -> Iterator[tuple[JavaObject, str]]:
+        for i in range(node.productArity()):  # every tree node is a product
             yield from self.nodes(node.productElement(i))
 
     # -- what is allowed ----------------------------------------------------
 
-    def check(self, node: JavaObject, scope: frozenset[str] = frozenset()) -> None:
+    def check(self, node: JavaObject, name: str, scope: frozenset[str] = frozenset()) -> None:
         """Raise for anything that is not allowed in ``node`` or below.
         ``scope``: names of common table expressions that can be seen."""
-        kind = _class(node).rsplit(".", 1)[-1]
+        kind = name.rsplit(".", 1)[-1]
         if kind in _LEAVES:
             return
-        if self.is_a(node, _PLAN):
+        if self.is_plan(node, name):
             if kind == "UnresolvedWith":
                 return self.check_with(node, scope)
             if kind.rstrip("$") not in _PLANS:
@@ -128,8 +135,8 @@ class _Walk:
             self.check_function([node.name().funcName()])
         elif "UnresolvedIdentifier" in kind or "Reflect" in kind or "UDF" in kind:
             raise RuleSqlError(f"{kind} is not allowed in a rule")
-        for child in self.inside(node):
-            self.check(child, scope)
+        for child, child_name in self.inside(node):
+            self.check(child, child_name, scope)
 
     def check_with(self, node: JavaObject, scope: frozenset[str]) -> None:
         relations = node.cteRelations()
@@ -137,9 +144,10 @@ class _Walk:
         for i in range(relations.length()):
             one = relations.apply(i)
             name = one.productElement(0).lower()
-            self.check(one.productElement(1), scope | {name} if recursive else scope)
+            body = one.productElement(1)
+            self.check(body, _class(body), scope | {name} if recursive else scope)
             scope = scope | {name}
-        self.check(node.child(), scope)
+        self.check(node.child(), _class(node.child()), scope)
 
     def check_relation(self, parts: list[str], scope: frozenset[str]) -> None:
         name = ".".join(parts).lower()
@@ -177,7 +185,7 @@ class _Walk:
         below, condition = plan.child(), None
         if _class(below).endswith(".Filter"):
             expression, below = below.condition(), below.child()
-            if not self.countable(expression, columns):
+            if not self.countable(expression, _class(expression), columns):
                 return ParsedRule()
             condition = Column(self.jvm.org.apache.spark.sql.classic.ExpressionUtils.column(expression))
         if not _class(below).endswith(".UnresolvedRelation") or [n.lower() for n in _names(below.multipartIdentifier())] != [DATA]:
@@ -197,20 +205,20 @@ class _Walk:
             return True
         return kind == "Literal" or (kind == "UnresolvedStar" and not item.target().isDefined())
 
-    def countable(self, node: JavaObject, columns: set[str]) -> bool:
-        kind = _class(node).rsplit(".", 1)[-1]
+    def countable(self, node: JavaObject, name: str, columns: set[str]) -> bool:
+        kind = name.rsplit(".", 1)[-1]
         if kind == "UnresolvedAttribute":
             self.column(node, columns)
         if kind in _LEAVES:
             return kind != "UnresolvedStar"
-        if self.is_a(node, _PLAN):  # a subquery
+        if self.is_plan(node, name):  # a subquery
             return False
         if kind == "UnresolvedFunction":
-            name = _names(node.nameParts())[-1].lower()
-            info = self.builtin.lookupFunction(self.jvm.org.apache.spark.sql.catalyst.FunctionIdentifier(name))
-            if name in _VARYING or not info.isDefined() or info.get().getGroup() in ("agg_funcs", "window_funcs", "generator_funcs"):
+            function = _names(node.nameParts())[-1].lower()
+            info = self.builtin.lookupFunction(self.jvm.org.apache.spark.sql.catalyst.FunctionIdentifier(function))
+            if function in _VARYING or not info.isDefined() or info.get().getGroup() in ("agg_funcs", "window_funcs", "generator_funcs"):
                 return False
-        return all(self.countable(child, columns) for child in self.inside(node))
+        return all(self.countable(child, child_name, columns) for child, child_name in self.inside(node))
 
 
 def check_rule_sql(spark: SparkSession, sql: str, tables: Iterable[str] = (), paths: Iterable[str] = (),
@@ -221,5 +229,5 @@ def check_rule_sql(spark: SparkSession, sql: str, tables: Iterable[str] = (), pa
     only. Nothing is looked up or run. Returns what the rule is."""
     walk = _Walk(spark, tables, paths, functions)
     plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql.strip().rstrip(";"))
-    walk.check(plan)
+    walk.check(plan, _class(plan))
     return walk.parsed(plan)
