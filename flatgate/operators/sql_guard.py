@@ -109,7 +109,9 @@ class _Walk:
             yield value, name
 
     def inside(self, node: JavaObject) -> Iterator[tuple[JavaObject, str]]:
-        for i in range(node.productArity()):  # every tree node is a product
+        if not self.is_a(node, "scala.Product"):  # a constant of the expressions' package
+            return
+        for i in range(node.productArity()):
             yield from self.nodes(node.productElement(i))
 
     # -- what is allowed ----------------------------------------------------
