@@ -26,7 +26,6 @@ import math
 import re
 import zlib
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +38,8 @@ BLOCK_WORDS = 150_000
 _RUNS = re.compile("\n+[^ \n]*| +[^ \n]*|[^ \n]+")
 _U64 = np.uint64
 _MASK = (1 << 64) - 1
+_SPREAD = 0x9E3779B97F4A7C15
+NO_ARC = _U64(_MASK)
 
 
 def mix(x):
@@ -49,9 +50,15 @@ def mix(x):
         x = ((x ^ x >> 27) * 0x94D049BB133111EB) & _MASK
         return x ^ x >> 31
     x = x + _U64(0x9E3779B97F4A7C15)
-    x = (x ^ x >> _U64(30)) * _U64(0xBF58476D1CE4E5B9)
-    x = (x ^ x >> _U64(27)) * _U64(0x94D049BB133111EB)
-    return x ^ x >> _U64(31)
+    y = x >> _U64(30)
+    y ^= x
+    y *= _U64(0xBF58476D1CE4E5B9)
+    np.right_shift(y, _U64(27), out=x)
+    x ^= y
+    x *= _U64(0x94D049BB133111EB)
+    np.right_shift(x, _U64(31), out=y)
+    y ^= x
+    return y
 
 
 _MIXED = [mix(n) for n in range(64)]
@@ -139,6 +146,7 @@ class Lattices:
                     raise ValueError(f"piece {piece!r} reaches over the bound of a word")
                 weight = -math.log(2 - max(s, worst)) if ranked else max(s, worst)
                 self.pieces[piece.replace(BLANK, " ")] = (i, alpha * weight)
+        self.spelled = pa.array(self.raw, pa.large_binary())
         # an unknown character is spelled in bytes; in ASCII that is one edge
         self.unknown = sp.unk_id()
         for value in range(128):
@@ -149,38 +157,50 @@ class Lattices:
         self.clear()
 
     def _index_prefixes(self) -> None:
-        """Per length: the sorted hashes of all prefixes of pieces, their
-        code points, and the piece that each one is (or -1) with its weight."""
-        found: list[dict[str, tuple[int, float]]] = [{} for _ in range(self.longest + 1)]
-        for piece, hit in self.pieces.items():
-            for n in range(1, len(piece)):
-                found[n].setdefault(piece[:n], (-1, 0.0))
-        for piece, hit in self.pieces.items():
-            found[len(piece)][piece] = hit
-        self.prefixes = []
-        for n, table in enumerate(found[1:], 1):
-            names = list(table)
-            codes = np.array([list(map(ord, p)) for p in names], np.uint32).reshape(len(names), n)
-            h = np.zeros(len(names), np.uint64)
-            for k in range(n):
-                h = self._roll(h, codes[:, k].astype(np.uint64))
-            order = np.argsort(h)
-            if len(np.unique(h)) != len(h):
-                raise ValueError("two prefixes share a hash")
-            hits = [table[names[i]] for i in order]
-            self.prefixes.append((h[order], codes[order], np.array([i for i, _ in hits], np.int32), np.array([w for _, w in hits])))
-
-    @staticmethod
-    def _roll(h: np.ndarray, code: np.ndarray) -> np.ndarray:
-        out = h ^ code
-        out *= _U64(0x9E3779B97F4A7C15)
-        out += _U64(0x632BE59BD9B4E019)
-        return out
+        """Trie of the pieces: a state for each prefix, with its piece (or
+        -1) and weight. Arcs stand in an open hash table by state and code
+        point, less than a quarter full."""
+        number = {"": 0}
+        for piece in self.pieces:
+            for n in range(1, len(piece) + 1):
+                number.setdefault(piece[:n], len(number))
+        self.state_piece, self.state_weight = np.full(len(number), -1, np.int32), np.zeros(len(number))
+        for piece, (i, weight) in self.pieces.items():
+            self.state_piece[number[piece]], self.state_weight[number[piece]] = i, weight
+        bits = (4 * len(number)).bit_length()
+        self.arc_shift, self.arc_mask = _U64(64 - bits), _U64((1 << bits) - 1)
+        self.arc_key, self.arc_to = np.full(1 << bits, NO_ARC), np.zeros(1 << bits, np.uint64)
+        for prefix, state in number.items():
+            if prefix:
+                key = number[prefix[:-1]] << 21 | ord(prefix[-1])
+                slot = (key * _SPREAD & _MASK) >> (64 - bits)
+                while self.arc_key[slot] != NO_ARC:
+                    slot = (slot + 1) % (1 << bits)
+                self.arc_key[slot], self.arc_to[slot] = key, state
+
+    def _step(self, state: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the states have an arc of their character, and the states
+        that these lead to."""
+        key = state << _U64(21)
+        key |= code
+        slot = key * _U64(_SPREAD)
+        slot >>= self.arc_shift
+        got = self.arc_key[slot]
+        same = got == key
+        unsure = np.flatnonzero(~same & (got != NO_ARC))
+        while len(unsure):
+            slot[unsure] = (slot[unsure] + _U64(1)) & self.arc_mask
+            got = self.arc_key[slot[unsure]]
+            same[unsure] = found = got == key[unsure]
+            unsure = unsure[~found & (got != NO_ARC)]
+        same = np.flatnonzero(same)
+        return same, self.arc_to[slot[same]]
 
     def clear(self) -> None:
         self.known: dict[str, int] = {}  # word -> its first node
         self.first = Grown(np.int32)  # node -> its first edge; -1 at a word's end
         self.cum, self.to, self.piece, self.logp = Grown(np.float64), Grown(np.int32), Grown(np.int32), Grown(np.float64)
+        self.go = Grown(np.int32)  # first edge of the node that an edge leads to
         self.first.extend(np.array([-1], np.int32))  # node 0 ends every word
         self.kept: tuple[int, int, int] | None = None
 
@@ -193,12 +213,13 @@ class Lattices:
         words, nodes, edges = self.kept
         self.known = dict(itertools.islice(self.known.items(), words))
         self.first.n = nodes
-        for store in (self.cum, self.to, self.piece, self.logp):
+        for store in (self.cum, self.to, self.piece, self.logp, self.go):
             store.n = edges
 
     def _extend(self, first, cum, to, piece, logp) -> None:
         for store, values in ((self.first, first), (self.cum, cum), (self.to, to), (self.piece, piece), (self.logp, logp)):
             store.extend(np.asarray(values))
+        self.go.extend(self.first.view()[np.asarray(to)])
 
     def _add_all(self, words: list[str]) -> None:
         """Lattices of many words at once: the nodes at one distance from
@@ -220,29 +241,20 @@ class Lattices:
         for d in range(1, width + 1):
             n = alive[d]
             node_of[d] = base + sum(alive[1:d])
-            rows = np.arange(n)
-            h = np.zeros(n, np.uint64)
+            rows, state = np.arange(n), np.zeros(n, np.uint64)
             hit_rows, hit_len, hit_piece, hit_weight = [], [], [], []
             for length in range(1, min(d, self.longest) + 1):
-                at = width - d
-                h = self._roll(h, columns[at + length - 1, :n] if length == 1 else columns[at + length - 1][rows])
-                hashes, spell, ids, weights = self.prefixes[length - 1]
-                k = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
-                same = np.flatnonzero(hashes[k] == h)
+                column = columns[width - d + length - 1]
+                same, state = self._step(state, column[:n] if length == 1 else column[rows])
                 if not len(same):
                     break
-                rows, h, k = rows[same], h[same], k[same]
-                # a piece is compared letter by letter; a prefix that shares
-                # another one's hash would only lead to no piece
-                whole = np.flatnonzero(ids[k] >= 0)
-                of, piece = rows[whole], k[whole]
-                right = (spell[piece] == codes[of, at:at + length]).all(axis=1)
-                if not right.all():
-                    of, piece = of[right], piece[right]
-                hit_rows.append(of)
-                hit_len.append(np.full(len(of), length))
-                hit_piece.append(ids[piece])
-                hit_weight.append(weights[piece])
+                rows = rows[same]
+                piece = self.state_piece[state]
+                whole = np.flatnonzero(piece >= 0)
+                hit_rows.append(rows[whole])
+                hit_len.append(np.full(len(whole), length))
+                hit_piece.append(piece[whole])
+                hit_weight.append(self.state_weight[state[whole]])
             # longer pieces first: they are mostly the likelier ones
             row = np.concatenate(hit_rows[::-1])
             by_row = np.argsort(row, kind="stable")
@@ -330,12 +342,19 @@ class Lattices:
     def starts_of(self, texts: list[list[str]]) -> list[np.ndarray]:
         """First nodes of each text's words; unknown words are learned, those
         of all texts together."""
-        found = [list(map(self.known.get, words)) for words in texts]
-        gaps = [(words, nodes, i) for words, nodes in zip(texts, found, strict=True) if None in nodes
-                for i, node in enumerate(nodes) if node is None]
-        self.learn({words[i] for words, _, i in gaps})
-        for words, nodes, i in gaps:
-            nodes[i] = self.known[words[i]]
+        found, gaps, unknown = [], [], set()
+        get = self.known.get
+        for words in texts:
+            nodes = list(map(get, words))
+            found.append(nodes)
+            if None in nodes:
+                holes = [i for i, node in enumerate(nodes) if node is None]
+                unknown.update([words[i] for i in holes])
+                gaps.append((words, nodes, holes))
+        self.learn(unknown)
+        for words, nodes, holes in gaps:
+            for i in holes:
+                nodes[i] = self.known[words[i]]
         return [np.array(nodes, np.int64) for nodes in found]
 
     def views(self) -> tuple[np.ndarray, ...]:
@@ -347,27 +366,33 @@ class Lattices:
         return joined[1:] if joined[:1] == b" " else joined
 
 
-def walk(tables, nodes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def walk(lattices: Lattices, nodes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Draw a path from each node to its word's end, all at once: edges in
     order, and the number of them for each start."""
-    first, cum, to = tables[:3]
-    who, node, key, step = np.arange(len(nodes), dtype=np.int32), nodes, keys, 0
+    cum, go = lattices.cum.view(), lattices.go.view()
+    who, edge, key, step = np.arange(len(nodes), dtype=np.int32), lattices.first.view()[nodes], keys, 0
     whos, taken = [], []
     while True:
-        alive = np.flatnonzero(node)
-        if len(alive) < len(node):
-            who, key, node = who[alive], key[alive], node[alive]
+        alive = np.flatnonzero(edge >= 0)
+        if len(alive) < len(edge):
+            who, key, edge = who[alive], key[alive], edge[alive]
         if not len(who):
             break
-        edge = first[node]
-        u = (mix(key ^ _U64(mix(step))) >> _U64(11)) * (1.0 / (1 << 53))
+        u = mix(key ^ _U64(mix(step)))
+        u >>= _U64(11)
+        u = u * (1.0 / (1 << 53))
         behind = np.flatnonzero(u >= cum[edge])
-        while len(behind):
-            edge[behind] += 1
-            behind = behind[u[behind] >= cum[edge[behind]]]
+        if len(behind):
+            at, left = edge[behind] + 1, u[behind]
+            while True:
+                edge[behind] = at
+                more = np.flatnonzero(left >= cum[at])
+                if not len(more):
+                    break
+                behind, at, left = behind[more], at[more] + 1, left[more]
         whos.append(who)
         taken.append(edge)
-        node = to[edge]
+        edge = go[edge]
         step += 1
     if not whos:
         return np.empty(0, np.int32), np.zeros(len(nodes), np.int64)
@@ -380,19 +405,47 @@ def walk(tables, nodes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.nd
     return out, counts
 
 
-@dataclass
 class Sample:
-    """One segmentation: its edges, the words they are in, the log
-    probability of each prefix, and its perturbed log probability."""
-
-    edges: np.ndarray
-    words: np.ndarray
-    prefix: np.ndarray
-    value: float
-
-    @property
-    def logp(self) -> float:
-        return float(self.prefix[-1])
+    """One segmentation: its edges, its log probability and its perturbed
+    log probability. Past edge ``start`` the words from ``word`` on have
+    ``counts`` edges each; up to there it follows ``parent``."""
+
+    def __init__(self, edges: np.ndarray, logp: float, value: float, word: int, counts: np.ndarray, parent=None, start: int = 0):
+        self.edges, self.logp, self.value = edges, logp, value
+        self.word, self.counts, self.parent, self.start = word, counts, parent, start
+        self._costs = np.zeros(1)
+
+    def word_at(self, place: int) -> int:
+        """Number of the word that an edge is in."""
+        sample = self
+        while place < sample.start:
+            sample = sample.parent
+        return sample.word + int(np.searchsorted(np.cumsum(sample.counts), place - sample.start, side="right"))
+
+    def costs(self, logp: np.ndarray, n: int) -> np.ndarray:
+        """Negative log probability of each prefix, of those up to ``n``
+        edges at least (all, where there are fewer)."""
+        have = len(self._costs)
+        if n >= have and have <= len(self.edges):
+            more = -logp[self.edges[have - 1:max(n, 2 * have)]]
+            self._costs = np.concatenate([self._costs[:-1], np.cumsum(np.concatenate([self._costs[-1:], more]))])
+        return self._costs
+
+    def cost(self, logp: np.ndarray, n: int) -> float:
+        return float(self.costs(logp, n)[n])
+
+    def first_above(self, logp: np.ndarray, a: int, b: int, cost: float) -> int:
+        """First edge from ``a`` to ``b`` by whose end the path has cost more
+        than ``cost`` since ``a``; else the last that costs anything."""
+        ahead, cost = 64, cost + self.cost(logp, a)
+        while True:
+            upto = self.costs(logp, min(a + ahead, b))[a + 1:b + 1]
+            t = int(np.searchsorted(upto, cost, side="right"))
+            if t < len(upto):
+                return a + t
+            if len(upto) == b - a:
+                return a + int(np.flatnonzero(logp[self.edges[a:b]] < 0)[-1])
+            ahead *= 4
 
 
 def truncated_gumbel(location: float, bound: float, u: float) -> float:
@@ -404,10 +457,11 @@ def truncated_gumbel(location: float, bound: float, u: float) -> float:
 class Search:
     """The queue of one text: sets of paths, by perturbed maximum.
 
-    A set is ``("after", sample, from, done)``: paths that follow the sample
-    up to some edge from ``from`` on, not in ``done``, and leave it there;
-    or ``("at", sample, place, taken)``: paths that follow the sample up to
-    ``place`` and take no edge of ``taken`` there.
+    A set is ``("after", sample, from, done, spans)``: paths that follow the
+    sample up to some edge from ``from`` on, not in ``done``, and leave it
+    there, with the spans between those done; or ``("at", sample, place,
+    taken, None)``: paths that follow the sample up to ``place`` and take no
+    edge of ``taken`` there.
     """
 
     def __init__(self, key: int):
@@ -418,53 +472,61 @@ class Search:
         value = truncated_gumbel(location, bound, self.chance())
         heapq.heappush(self.queue, (-value, next(self.pushed), region))
 
-    def _leaving(self, sample: Sample, start: int, done: tuple) -> np.ndarray:
-        """Chance to leave the sample at each edge from ``start`` on, given
-        its prefix up to there."""
-        p = sample.prefix[start:]
-        if not done:
-            # what lies 60 nats below the first cannot change a double's sum
-            p = p[:max(2, int(np.searchsorted(-p, 60 - p[0])) + 1)]
-        out = np.exp(p[:-1] - p[0]) * -np.expm1(p[1:] - p[:-1])
-        for t in done:
-            out[t - start] = 0.0
-        return out
-
-    def _push_after(self, sample: Sample, start: int, done: tuple, bound: float) -> None:
-        mass = float(self._leaving(sample, start, done).sum())
+    def _spans(self, logp, sample: Sample, start: int, done: tuple) -> list[tuple[int, int, float, float]]:
+        """Spans ``(a, b)`` of edges between those done, each with the chance
+        to reach it and to leave the sample in it, given its prefix up to
+        ``start``. The chances to leave at the single edges of a span add up
+        to one less the chance to follow it to its end."""
+        spans, a = [], start
+        for b in (*sorted(done), len(sample.edges)):
+            if a < b:
+                # to follow 41 nats to the end is nothing beside one
+                far = b == len(sample.edges) and sample.logp + sample.cost(logp, a) < -41
+                leave = 1.0 if far else -math.expm1(float(logp[sample.edges[a:b]].sum()))
+                if leave > 0:
+                    reach = math.exp(sample.cost(logp, start) - sample.cost(logp, a))
+                    spans.append((a, b, reach, reach * leave))
+            a = b + 1
+        return spans
+
+    def _push_after(self, tables, sample: Sample, start: int, done: tuple, bound: float) -> None:
+        spans = self._spans(tables[4], sample, start, done)
+        mass = sum(s[3] for s in spans)
         if mass > 0:
-            self._push(sample.prefix[start] + math.log(mass), bound, ("after", sample, start, done))
+            self._push(math.log(mass) - sample.cost(tables[4], start), bound, ("after", sample, start, done, spans))
 
     def _push_at(self, tables, sample: Sample, place: int, taken: tuple, bound: float) -> None:
         logp = tables[4]
         left = [e for e in _siblings(tables, int(sample.edges[place])) if e not in taken]
         mass = sum(math.exp(logp[e]) for e in left)
         if mass > 0:
-            self._push(sample.prefix[place] + math.log(mass), bound, ("at", sample, place, taken))
+            self._push(math.log(mass) - sample.cost(logp, place), bound, ("at", sample, place, taken, None))
 
-    def first(self, sample_of) -> None:
-        value = -math.log(-math.log(self.chance()))
-        sample = sample_of(value)
+    def first(self, tables, sample: Sample) -> None:
+        sample.value = -math.log(-math.log(self.chance()))
         self.samples.append(sample)
         if len(sample.edges):
-            self._push_after(sample, 0, (), value)
+            self._push_after(tables, sample, 0, (), sample.value)
 
     def next_branch(self, tables) -> tuple | None:
         """Take the best set: ``(sample, place, taken, edge, value)`` of the
         edge by which the next sample leaves a known one."""
         if not self.queue:
             return None
-        value, _, (kind, sample, place, rest) = heapq.heappop(self.queue)
-        value = -value
+        value, _, (kind, sample, place, rest, spans) = heapq.heappop(self.queue)
+        value, logp = -value, tables[4]
         taken = rest
         if kind == "after":
-            leave = np.cumsum(self._leaving(sample, place, rest))
-            t = int(np.searchsorted(leave, self.chance() * leave[-1], side="right"))
-            t = place + min(t, int(np.searchsorted(leave, leave[-1])))  # not past the last edge that can be left
-            self._push_after(sample, place, (*rest, t), value)
+            u = self.chance() * sum(s[3] for s in spans)
+            for first, last, reach, chance in spans:
+                if u < chance:
+                    break
+                u -= chance
+            t = sample.first_above(logp, first, last, -math.log1p(-min(u / reach, 1 - 2.0 ** -53)))
+            self._push_after(tables, sample, place, (*rest, t), value)
             place, taken = t, (int(sample.edges[t]),)
         left = [e for e in _siblings(tables, int(sample.edges[place])) if e not in taken]
-        weights = [math.exp(tables[4][e]) for e in left]
+        weights = [math.exp(logp[e]) for e in left]
         u = self.chance() * sum(weights)
         edge = left[-1]
         for e, w in zip(left, weights, strict=True):
@@ -479,7 +541,7 @@ class Search:
         self.samples.append(new)
         self._push_at(tables, sample, place, taken, value)
         if place + 1 < len(new.edges):
-            self._push_after(new, place + 1, (), value)
+            self._push_after(tables, new, place + 1, (), value)
 
     def log_inclusion(self, sample: Sample) -> float:
         """Log of the chance that the sample's perturbed value exceeds the
@@ -511,36 +573,33 @@ def sample_block(lattices: Lattices, keys: list[int], texts: list[str], k: int)
     searches = [Search(mix(key)) for key in keys]
 
     def draw(rows: list[int], round_no: int, branches: list[tuple | None]) -> None:
-        """New paths for the rows: whole ones, or what follows a branch."""
-        nodes, seeds, firsts = [], [], []
-        for row, branch in zip(rows, branches, strict=True):
-            own = words[row]
-            at = 0 if branch is None else int(branch[0].words[branch[1]]) + 1
-            n = np.arange(at, len(own))
-            start = own[at:]
-            if branch is not None:
-                start = np.concatenate([[to[branch[3]]], start])
-                n = np.concatenate([[len(own)], n])
-            nodes.append(start)
-            seeds.append(mix(_U64(mix(keys[row] ^ mix(round_no))) ^ n.astype(_U64)))
-            firsts.append(at - (branch is not None))
-        edges, counts = walk(tables, np.concatenate(nodes), np.concatenate(seeds))
-        at_item = at_edge = 0
-        for row, branch, start, first in zip(rows, branches, nodes, firsts, strict=True):
-            c = counts[at_item:at_item + len(start)]
-            n = int(c.sum())
-            mine = edges[at_edge:at_edge + n]
-            of_word = np.repeat(np.arange(first, first + len(start), dtype=np.int32), c)
-            at_item, at_edge = at_item + len(start), at_edge + n
-            if branch is not None:
-                sample, place, _, edge, _ = branch
-                mine = np.concatenate([sample.edges[:place], [edge], mine]).astype(np.int32)
-                of_word = np.concatenate([sample.words[:place], [sample.words[place]], of_word]).astype(np.int32)
-            prefix = np.concatenate([[0.0], np.cumsum(logp[mine])])
+        """New paths for the rows: whole ones, or what follows a branch: the
+        rest of its word, which draws by a number behind those of the text's
+        words, and the words after it."""
+        at = [0 if b is None else b[0].word_at(b[1]) for b in branches]
+        nodes = [words[row][w:] for row, w in zip(rows, at, strict=True)]
+        sizes = np.array([len(n) for n in nodes])
+        items = np.append(0, np.cumsum(sizes))
+        nodes = np.concatenate(nodes)
+        number = np.arange(items[-1]) + np.repeat(np.array(at) - items[:-1], sizes)
+        heads = [i for i, b in enumerate(branches) if b is not None]
+        nodes[items[heads]] = [to[branches[i][3]] for i in heads]
+        number[items[heads]] = [len(words[rows[i]]) for i in heads]
+        seeds = np.repeat(np.array([mix(keys[row] ^ mix(round_no)) for row in rows], np.uint64), sizes)
+        seeds ^= number.astype(np.uint64)
+        edges, counts = walk(lattices, nodes, mix(seeds))
+        ends = np.append(0, np.cumsum(counts))[items].tolist()
+        gain = logp[edges]
+        for i, (row, branch) in enumerate(zip(rows, branches, strict=True)):
+            mine, own = edges[ends[i]:ends[i + 1]], counts[items[i]:items[i + 1]]
+            total = float(gain[ends[i]:ends[i + 1]].sum())
             if branch is None:
-                searches[row].first(lambda value, m=mine, w=of_word, p=prefix: Sample(m, w, p, value))
+                searches[row].first(tables, Sample(mine, total, 0.0, 0, own))
             else:
-                searches[row].add(tables, branch, Sample(mine, of_word, prefix, branch[4]))
+                sample, place, _, edge, value = branch
+                total += float(logp[edge]) - sample.cost(logp, place)
+                mine = np.concatenate([sample.edges[:place], np.array([edge], np.int32), mine])
+                searches[row].add(tables, branch, Sample(mine, total, value, at[i], own, sample, place + 1))
 
     if texts:
         draw(list(range(len(texts))), 0, [None] * len(texts))
@@ -552,6 +611,51 @@ def sample_block(lattices: Lattices, keys: list[int], texts: list[str], k: int)
     return searches
 
 
+def describe(lattices: Lattices, ids: list, texts: list[str], searches: list[Search], fields: tuple[str, ...]) -> pa.RecordBatch:
+    """The samples' rows. All samples of a block are spelled at once, into
+    one buffer of bytes, and each compared with its text."""
+    samples = [s for search in searches for s in search.samples]
+    sizes = [len(s.edges) for s in samples]
+    found = lattices.piece.view()[np.concatenate([s.edges for s in samples])].astype("<i4", copy=False)
+    ends = np.append(0, np.cumsum(sizes))
+    cuts = list(itertools.pairwise(ends.tolist()))
+    out = {
+        "doc_id": pa.array([i for i, s in zip(ids, searches, strict=True) for _ in s.samples], pa.int64()),
+        "sample": pa.array([n for s in searches for n in range(len(s.samples))], pa.int32()),
+    }
+    for name in fields:
+        if name == "n_pieces":
+            values = sizes
+        elif name == "ids_crc32":
+            values = [zlib.crc32(found[a:z]) for a, z in cuts]
+        elif name == "log_prob":
+            values = [s.logp for s in samples]
+        elif name == "log_inclusion":
+            values = [search.log_inclusion(s) for search in searches for s in search.samples]
+        elif name == "round_trip":
+            values = _round_trips(lattices, found, ends, searches, texts)
+        else:
+            values = [found[a:z] for a, z in cuts]
+        out[name] = pa.array(values, _ARROW[name])
+    return pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
+
+
+def _round_trips(lattices: Lattices, found: np.ndarray, ends: np.ndarray, searches: list[Search], texts: list[str]) -> list[bool]:
+    """Whether each sample's pieces, joined and without the implied blank,
+    are its text."""
+    spelled = lattices.spelled.take(pa.array(found))
+    _, offsets, data = spelled.buffers()
+    data = memoryview(data if data is not None else b"")
+    bounds = itertools.pairwise(np.frombuffer(offsets, np.int64, len(spelled) + 1, 8 * spelled.offset)[ends].tolist())
+    out = []
+    for search, text in zip(searches, texts, strict=True):
+        plain = text.replace(BLANK, " ").encode()
+        for _, (a, z) in zip(search.samples, bounds, strict=False):
+            got = bytes(data[a:z])
+            out.append((got[1:] if got[:1] == b" " else got) == plain)
+    return out
+
+
 _LATTICES: dict[tuple[str, float], Lattices] = {}
 
 FIELDS = {"n_pieces": "long", "ids_crc32": "long", "log_prob": "double", "log_inclusion": "double", "round_trip": "boolean",
@@ -587,27 +691,12 @@ def sampled_segmentations(docs: DataFrame, id_col: str = "doc_id", text_col: str
         def emit(ids, keys, texts) -> pa.RecordBatch:
             if len(lattices.known) > CACHE_WORDS:
                 lattices.trim()
-            out = {name: [] for name in ("doc_id", "sample", *fields)}
-            searches = sample_block(lattices, keys, texts, k)
-            pieces = lattices.piece.view()
-            for doc_id, text, search in zip(ids, texts, searches, strict=True):
-                plain = text.replace(BLANK, " ").encode() if "round_trip" in fields else b""
-                for n, s in enumerate(search.samples):
-                    found = pieces[s.edges]
-                    out["doc_id"].append(doc_id)
-                    out["sample"].append(n)
-                    for name in fields:
-                        out[name].append(
-                            len(found) if name == "n_pieces" else zlib.crc32(found.astype("<u4").tobytes()) if name == "ids_crc32"
-                            else s.logp if name == "log_prob" else search.log_inclusion(s) if name == "log_inclusion"
-                            else lattices.decode(found.tolist()) == plain if name == "round_trip" else found)
-            types = {"doc_id": pa.int64(), "sample": pa.int32()} | _ARROW
-            return pa.RecordBatch.from_arrays([pa.array(v, types[name]) for name, v in out.items()], names=list(out))
+            return describe(lattices, ids, texts, sample_block(lattices, keys, texts, k), fields)
 
         for batch in batches:
             ids, keys, texts, size = [], [], [], 0
-            for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-                doc_id, text = doc_id.as_py(), text.as_py() or ""
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                text = text.as_py() or ""
                 ids.append(doc_id)
                 keys.append(mix((seed << 1 | (doc_id is None)) & _MASK) ^ mix((doc_id or 0) & _MASK))
                 texts.append(text)
