@@ -440,6 +440,7 @@ ORACLES: dict[str, str] = {
     ),
     "json_lines_roundtrip": FLATTEN_PREFIXED,
     "json_docs_roundtrip": FLATTEN_PREFIXED,
+    "json_docs_split": FLATTEN_PREFIXED,
     "doc_to_csv": FLATTEN_PREFIXED,
     "corrupt_rows": (
         "SELECT NULL::BIGINT AS event_id, NULL::VARCHAR AS event_type, "

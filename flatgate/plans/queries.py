@@ -36,6 +36,7 @@ from flatgate.session import scratch_dir
 from flatgate.sinks.files import read_csv, write_csv, write_good, write_quarantine, write_report
 from flatgate.sources.arrivals import arrivals_audit
 from flatgate.sources.json import corrupt_column, corrupt_rows, read_json_docs, read_json_lines
+from flatgate.sources.json_split import read_json_docs_split
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -578,6 +579,14 @@ def q_json_docs_roundtrip(spark, sf):
     return FL.flatten(back, prefix=True)
 
 
+def q_json_docs_split(spark, sf):
+    """The same documents, each file read by as many tasks as it has ranges."""
+    nested = FX.orders_nested(spark, sf)
+    path = scratch_dir(spark, "jsonsplit")
+    write_json_docs(nested, path)
+    return FL.flatten(read_json_docs_split(spark, path, nested.schema), prefix=True)
+
+
 def q_doc_to_csv(spark, sf):
     """Pipeline B: nested orders as JSON documents -> prefixed flatten ->
     CSV (append) -> read back with the flat schema."""
@@ -836,6 +845,7 @@ QUERIES: dict[str, Query] = {
     "route_target": q_route_target,
     "json_lines_roundtrip": q_json_lines_roundtrip,
     "json_docs_roundtrip": q_json_docs_roundtrip,
+    "json_docs_split": q_json_docs_split,
     "doc_to_csv": q_doc_to_csv,
     "corrupt_rows": q_corrupt_rows,
     "corrupt_rows_own_field": q_corrupt_rows_own_field,
