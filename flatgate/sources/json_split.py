@@ -117,7 +117,8 @@ def split_json_docs(spark: SparkSession, path) -> DataFrame:
     the last document) give no row; all other text does, so that what does
     not parse is seen by the reader.
 
-    The work is two scans; files must not change between them. The driver
+    The work is three scans (beginnings, documents, ends that lie over a
+    bound); files must not change between them. The driver
     holds two numbers for each range of a file, as it holds the ranges
     themselves to plan the scan. A document has to fit in a row, and so does
     the text between two ``}``.
@@ -187,9 +188,9 @@ def read_json_docs_split(spark: SparkSession, path, schema: StructType | str, mo
     corrupt_col = _free(corrupt_col, schema.fieldNames())
     read = StructType([*schema.fields, StructField(corrupt_col, StringType(), True, _MARK)]) if keep_corrupt else schema
     parsed = F.from_json("text", read, {"mode": mode, "columnNameOfCorruptRecord": corrupt_col, **options})
-    docs = split_json_docs(spark, path).select(parsed.alias("doc"), "source_file")
-    quoted = [f.name.replace("`", "``") for f in read.fields]
-    columns = [F.col(f"doc.`{q}`").alias(f.name, **({"metadata": f.metadata} if f.metadata else {})) for q, f in zip(quoted, read.fields, strict=True)]
-    if with_source:
-        columns.append(F.col("source_file").alias(source_column(read.fieldNames())))
-    return docs.select(*columns)
+    source = source_column(read.fieldNames())
+    # a generator, so that later projections do not parse once per column
+    docs = split_json_docs(spark, path).select(F.col("source_file").alias(source), F.inline(F.array(parsed)))
+    if keep_corrupt:
+        docs = docs.withMetadata(corrupt_col, _MARK)
+    return docs.select(*[F.col("`" + name.replace("`", "``") + "`") for name in [*read.fieldNames(), *([source] if with_source else [])]])
