@@ -47,9 +47,12 @@ PRIOR_TOKENS = 50.0
 #: The E-step takes longer documents in blocks of so many tokens, each with
 #: the forward and backward values at its ends.
 BLOCK = 1 << 16
-GROUP_TOKENS = 400_000
+GROUP_TOKENS = 800_000
 #: Tokens whose sequences a task runs side by side, at most a chunk more.
 STEP_TOKENS = 1 << 22
+#: Forward values are scaled once in so many steps: a class that occurs has a
+#: chance far above 1e-50 in some state, so four of them do not underflow.
+SCALE_STEPS = 4
 
 
 def word_class(word: bytes) -> int:
@@ -84,16 +87,21 @@ def log_likelihood(model: Model, obs: np.ndarray, starts: np.ndarray, lengths: n
     """Natural log likelihood of each sequence of classes, by the scaled
     forward recursion; sequences run side by side."""
     out = np.zeros(len(lengths))
+    one = np.ones(len(model.start))
     for group in _groups(lengths):
         at, n = starts[group], _alive(lengths[group])
-        alpha = model.start * model.emit[obs[at]]
+        alpha = model.start
         total = np.zeros(len(group))
         for t, live in enumerate(n.tolist()):
-            if t:
-                alpha = (alpha[:live] @ model.move) * model.emit[obs[at[:live] + t]]
-            scale = alpha.sum(1)
-            alpha = alpha / scale[:, None]
-            total[:live] += np.log(scale)
+            emit = model.emit.take(obs[at[:live] + t], axis=0, mode="clip")
+            alpha = (alpha[:live] @ model.move if t else alpha) * emit
+            ended = int(n[t + 1]) if t + 1 < len(n) else 0
+            if t % SCALE_STEPS == SCALE_STEPS - 1:
+                scale = alpha @ one
+                alpha /= scale[:, None]
+                total[:live] += np.log(scale)
+            if ended < live:
+                total[ended:live] += np.log(alpha[ended:] @ one)
         out[group] = total
     return out
 
@@ -141,47 +149,56 @@ def counts_and_likelihood(model: Model, obs: np.ndarray, starts: np.ndarray, len
     """``expected_counts`` and the log likelihood of all sequences."""
     k = len(model.start)
     first, moves, emitted, likelihood = np.zeros(k), np.zeros((k, k)), np.zeros((CLASSES, k)), 0.0
+    one, back = np.ones(k), np.ascontiguousarray(model.move.T)
     starts, lengths, whole, before, begin, end = _in_blocks(model, obs, starts, lengths)
-    for group in _groups(lengths):
+    groups = list(_groups(lengths))
+    room = max((int(lengths[g].sum()) for g in groups), default=0)
+    every_alpha, every_seen = np.empty((room, k)), np.empty(room, np.intp)
+    every_emit = np.empty((max(map(len, groups), default=0), k))
+    for group in groups:
         at, n = starts[group], _alive(lengths[group])
         # time-major copy: position of (t, sequence) is offset[t] + sequence
         offset = np.concatenate([[0], np.cumsum(n)])
-        alpha = np.empty((int(offset[-1]), k))
-        ahead = np.empty_like(alpha)  # emission times backward value, scaled
-        seen = np.empty(len(alpha), obs.dtype)
-        scales = np.empty(len(alpha))
+        alpha, seen = every_alpha[:offset[-1]], every_seen[:offset[-1]]
+        scales = {}
         a = begin[group]
         for t, live in enumerate(n.tolist()):
             s = slice(offset[t], offset[t + 1])
+            now, emit = alpha[s], every_emit[:live]
             seen[s] = obs[at[:live] + t]
-            ahead[s] = model.emit[seen[s]]
-            a = (a[:live] @ model.move if t else a) * ahead[s]
-            scales[s] = a.sum(1)
-            a = a / scales[s][:, None]
-            alpha[s] = a
-        likelihood += float(np.log(scales).sum())
+            model.emit.take(seen[s], axis=0, out=emit, mode="clip")
+            np.multiply(a[:live] @ model.move if t else a, emit, out=now)
+            if t % SCALE_STEPS == SCALE_STEPS - 1:
+                scales[t] = now @ one
+                now /= scales[t][:, None]
+                likelihood += float(np.log(scales[t]).sum())
+            a = now
         gamma = alpha  # becomes alpha * beta from the end on
         beta = np.ones((0, k))
         for t in range(len(n) - 1, -1, -1):
             live = int(n[t])
             s = slice(offset[t], offset[t + 1])
             if live > len(beta):
-                late = end[group[len(beta):live]]
-                late = late / (alpha[offset[t] + len(beta):offset[t + 1]] * late).sum(1, keepdims=True)
-                beta = np.concatenate([beta, late])
-            ahead[s] *= beta / scales[s][:, None]
+                last, late = alpha[offset[t] + len(beta):offset[t + 1]], end[group[len(beta):live]]
+                likelihood += float(np.log(last @ one).sum())
+                beta = np.concatenate([beta, late / (last * late).sum(1, keepdims=True)])
+            ahead = every_emit[:live]  # emission times backward value, scaled
+            model.emit.take(seen[s], axis=0, out=ahead, mode="clip")
+            ahead *= beta
+            if t in scales:
+                ahead /= scales[t][:, None]
             if t:
                 p = slice(offset[t - 1], offset[t - 1] + live)
-                moves += alpha[p].T @ ahead[s]
+                moves += alpha[p].T @ ahead
             gamma[s] *= beta
-            beta = ahead[s] @ model.move.T
+            beta = ahead @ back
         begins = whole[group]
         first += gamma[:len(group)][begins].sum(0)
         if not begins.all():  # the moves into blocks
             later = group[~begins]
             moves += before[later].T @ (gamma[:len(group)][~begins] / begin[later])
         for j in range(k):
-            emitted[:, j] += np.bincount(seen, weights=gamma[:, j], minlength=CLASSES)
+            emitted[:, j] += np.bincount(seen, weights=np.ascontiguousarray(gamma[:, j]), minlength=CLASSES)
     return first, moves * model.move, emitted, likelihood
 
 
