@@ -46,10 +46,14 @@ SETTLED, MAX_ROUNDS = 1e-3, 50
 PRIOR_TOKENS = 50.0
 #: The E-step takes longer documents in blocks of so many tokens, each with
 #: the forward and backward values at its ends.
-BLOCK = 1 << 16
+BLOCK = 1 << 12
 GROUP_TOKENS = 800_000
+COUNT_TOKENS = 1 << 16
 #: Tokens whose sequences a task runs side by side, at most a chunk more.
 STEP_TOKENS = 1 << 22
+#: A round's task takes so many chunks (about a minute) before there are more
+#: tasks than two a core: each task shuffles a row per class.
+TASK_CHUNKS = 64
 #: Forward values are scaled once in so many steps: a class that occurs has a
 #: chance far above 1e-50 in some state, so four of them do not underflow.
 SCALE_STEPS = 4
@@ -124,10 +128,13 @@ def _in_blocks(model: Model, obs: np.ndarray, starts: np.ndarray, lengths: np.nd
         product = np.where((at[cut] == 0)[:, None, None], np.eye(k), model.move)
         n = _alive(sizes[cut])
         for t, live in enumerate(n.tolist()):
-            product = (product[:live] @ model.move if t else product) * model.emit[obs[starts[cut[:live]] + t]][:, None, :]
-            product /= product.sum((1, 2), keepdims=True)
+            emit = model.emit.take(obs[starts[cut[:live]] + t], axis=0, mode="clip")
+            product = ((product[:live].reshape(-1, k) @ model.move).reshape(-1, k, k) if t else product) * emit[:, None, :]
             ended = int(n[t + 1]) if t + 1 < len(n) else 0
-            done.update(zip(cut[ended:live].tolist(), product[ended:live].copy(), strict=True))
+            if t % SCALE_STEPS == SCALE_STEPS - 1 or ended < live:
+                product /= product.sum((1, 2), keepdims=True)
+            if ended < live:
+                done.update(zip(cut[ended:live].tolist(), product[ended:live].copy(), strict=True))
         for i in sorted(done):
             if at[i]:
                 before[i], begin[i] = alpha, alpha @ model.move
@@ -197,8 +204,10 @@ def counts_and_likelihood(model: Model, obs: np.ndarray, starts: np.ndarray, len
         if not begins.all():  # the moves into blocks
             later = group[~begins]
             moves += before[later].T @ (gamma[:len(group)][~begins] / begin[later])
-        for j in range(k):
-            emitted[:, j] += np.bincount(seen, weights=np.ascontiguousarray(gamma[:, j]), minlength=CLASSES)
+        for part in range(0, len(seen), COUNT_TOKENS):  # what the processor's cache holds
+            s = slice(part, part + COUNT_TOKENS)
+            for j in range(k):
+                emitted[:, j] += np.bincount(seen[s], weights=gamma[s, j], minlength=CLASSES)
     return first, moves * model.move, emitted, likelihood
 
 
@@ -360,9 +369,10 @@ def word_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     z = sums.sum(1) + 1.0
     share = z / z.sum()
 
+    tasks = max(2 * docs.sparkSession.sparkContext.defaultParallelism, chunks.count() // TASK_CHUNKS)
     model, last = first_model(share), -np.inf
     for _ in range(MAX_ROUNDS if n else 0):
-        *sums_of_round, likelihood = corpus_counts(chunks, model)
+        *sums_of_round, likelihood = corpus_counts(chunks.coalesce(tasks), model)
         model = maximised(*sums_of_round, share)
         if likelihood - last < SETTLED * n:
             break
