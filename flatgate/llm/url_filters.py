@@ -6,9 +6,10 @@ a walk down both finds every fitting rule, and the longest one decides.
 
 The rule list is configuration: it comes as a Python sequence, its size is
 checked (``MAX_RULE_BYTES``) and it is broadcast as one trie. A longer list
-is matched by an equality join instead (``url_verdicts_joined``): each url
-emits its host suffixes times its path prefixes (bounded by its own length),
-so no rule list has to fit a worker.
+is matched by equality joins instead (``url_verdicts_joined``): a host's
+suffixes find the lengths that rules of theirs have, and a url emits its
+path's beginnings of those lengths, so no rule list has to fit a worker and
+a long url costs what rules could fit it.
 """
 
 from __future__ import annotations
@@ -116,23 +117,32 @@ def url_verdicts_joined(pages: DataFrame, rules: DataFrame, id_col: str = "page_
                         default: str = "allow") -> DataFrame:
     """The same verdicts with ``rules`` as a table ``(host, path, verdict)``
     of any size: urls are made distinct, each emits the keys of all rules
-    that could fit it, and an equality join finds those that exist."""
+    that could fit it, and an equality join finds those that exist. A rule
+    with a null host or path fits nothing."""
     url = F.col(url_col)
     parts = pages.select(F.col(id_col).cast("long").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
-    labels = F.split("host", r"\.")
-    keys = (
-        parts.select("host", "path").distinct()
-        .withColumn("k_host", F.explode(F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(
-            F.slice(labels, i, F.size(labels)), "."))))
-        .withColumn("k_len", F.explode(F.sequence(F.lit(0), F.length("path"))))
-        .withColumn("k_path", F.expr("left(path, k_len)"))
-    )
     wanted = rules.select(F.col("host").alias("k_host"), F.col("path").alias("k_path"), F.col("verdict").alias("r_verdict"))
     rank = F.struct(F.length("k_host") + F.length("k_path"), F.length("k_host"), F.col("r_verdict") == "block")
     best = (
-        keys.join(wanted, ["k_host", "k_path"]).groupBy("host", "path")
+        rule_keys(parts, wanted).join(wanted, ["k_host", "k_path"]).groupBy("host", "path")
         .agg(F.max_by(F.struct(F.concat("k_host", "k_path").alias("rule"), "r_verdict"), rank).alias("b"))
     )
     return parts.join(best, ["host", "path"], "left").select(
         "page_id", "host", "path", F.col("b.rule").alias("rule"),
         F.coalesce("b.r_verdict", F.lit(default)).alias("verdict"))
+
+
+def rule_keys(parts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``(host, path, k_host, k_path)``: of every distinct url the host
+    suffixes that have rules, with the path's beginnings of the lengths that
+    these rules' paths have. Only hosts meet the rules' lengths, so a suffix
+    that a third of the urls share is one row per host there."""
+    lengths = wanted.select("k_host", F.length("k_path").alias("k_len")).filter("k_len IS NOT NULL").distinct()
+    labels = F.split("host", r"\.")
+    suffixes = parts.select("host").distinct().select("host", F.explode(F.transform(
+        F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))).alias("k_host"))
+    by_host = suffixes.join(lengths, "k_host").groupBy("host").agg(F.collect_list(F.struct("k_host", "k_len")).alias("could_fit"))
+    urls = parts.select("host", "path").distinct().join(by_host, "host")
+    fitting = F.filter("could_fit", lambda c: c["k_len"] <= F.length("path"))
+    return urls.select("host", "path", F.explode(fitting).alias("c")).select(
+        "host", "path", F.col("c.k_host").alias("k_host"), F.expr("left(path, c.k_len)").alias("k_path"))

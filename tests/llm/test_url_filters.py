@@ -1,7 +1,7 @@
 import pytest
 
 from flatgate.llm.queries import URL_RULES
-from flatgate.llm.url_filters import build_trie, longest_match, url_verdicts, url_verdicts_joined
+from flatgate.llm.url_filters import build_trie, longest_match, rule_keys, url_verdicts, url_verdicts_joined
 from tests.llm.helpers import SF, canon
 
 ROWS = [(1, "http://Example.NET/en/x?y#z"), (2, "https://sub.example.net/fr/"), (3, "https://notexample.net"), (4, None), (None, "no scheme/x"),
@@ -55,3 +55,19 @@ def test_bad_rules(spark, monkeypatch):
     monkeypatch.setattr("flatgate.llm.url_filters.MAX_RULE_BYTES", 3)
     with pytest.raises(ValueError, match="too many"):
         url_verdicts(spark.createDataFrame([(1, "x")], "page_id long, url string"), URL_RULES)
+
+
+def test_joined_rules_cost_a_long_url_its_fitting_lengths_only(spark):
+    rules = [("net", "/", "block"), ("a.net", "/p", "allow"), ("a.net", "/q", "block"), ("a.net", "/p/p", "block"), ("b.net", "/p", "block"),
+             ("net", "", "allow"), ("a.net", "/p/é", "allow"), (None, "/", "block"), ("net", None, "block")]
+    urls = ["http://a.net/" + "p/" * 50000, "http://x.a.net/p", "http://a.net", "http://b.net/p/é", "http://a.net/p/é/x", None, "http://org/"]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    table = spark.createDataFrame(rules, "host string, path string, verdict string")
+    whole = [r for r in rules if None not in r]
+    assert canon(url_verdicts_joined(pages, table).collect()) == canon((i, *brute(u, whole)) for i, u in enumerate(urls))
+    parts = spark.createDataFrame([("a.net", "/" + "p/" * 50000)], "host string, path string")
+    wanted = table.selectExpr("host AS k_host", "path AS k_path", "verdict")
+    keys = sorted((r.k_host, r.k_path) for r in rule_keys(parts, wanted).collect())
+    assert keys == [("a.net", "/p"), ("a.net", "/p/p"), ("net", ""), ("net", "/")]
+    empty = spark.createDataFrame([], "host string, path string, verdict string")
+    assert {r.verdict for r in url_verdicts_joined(pages, empty, default="block").collect()} == {"block"}
