@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import os
 import struct
 import tempfile
 from collections.abc import Iterator
@@ -214,9 +215,17 @@ def trie_paths(turns: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
+def spill_folder() -> str | None:
+    """One of the executor's spill folders (``spark.local.dir``), which Spark
+    names to its Python workers; None outside of them."""
+    folders = [f for f in os.environ.get("SPARK_LOCAL_DIRS", "").split(",") if os.path.isdir(f)]
+    return folders[os.getpid() % len(folders)] if folders else None
+
+
 class SpillingQueue:
     """Priority queue of fixed-size messages: ``limit`` of them in memory,
-    the rest in sorted runs on the task's own disk."""
+    the rest in sorted runs where Spark itself spills (a run belongs to one
+    task attempt; a task that is run again writes its own)."""
 
     RECORD = struct.Struct("<qqqqqq")  # order (3), values (3)
 
@@ -239,7 +248,7 @@ class SpillingQueue:
 
     def _run(self, messages: list[tuple]) -> Iterator[tuple]:
         pack, size = self.RECORD.pack, self.RECORD.size
-        file = tempfile.TemporaryFile()
+        file = tempfile.TemporaryFile(dir=spill_folder())
         for m in messages:
             file.write(pack(*m))
         file.seek(0)

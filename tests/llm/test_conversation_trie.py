@@ -129,3 +129,16 @@ def test_queue_keeps_order_through_spills():
 def test_end_ids_in_several_blocks(spark):
     rows = [(20 * c, 0, "u", "all the same") for c in range(3000)]
     assert got(T.prefix_trie(frame(spark, rows))) == brute(rows)
+
+
+def test_tasks_spill_where_spark_spills(spark, monkeypatch, tmp_path):
+    def folder(batches):
+        for batch in batches:
+            yield batch.from_pydict({"folder": [T.spill_folder()]})
+
+    named = {r.folder for r in spark.range(2, numPartitions=2).mapInArrow(folder, "folder string").collect()}
+    assert named and None not in named
+    monkeypatch.setenv("SPARK_LOCAL_DIRS", f"/not/there,{tmp_path}")
+    assert T.spill_folder() == str(tmp_path)
+    monkeypatch.delenv("SPARK_LOCAL_DIRS")
+    assert T.spill_folder() is None
