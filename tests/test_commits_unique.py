@@ -4,6 +4,7 @@ import os
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import functions as F
 
 from flatgate.operators import rules as R
@@ -81,6 +82,20 @@ def test_writers_at_one_time_take_different_versions(spark, tmp):
     assert not [n for n in os.listdir(f"{tmp}/log") if n.startswith(".0") and not n.endswith(".crc")]
 
 
+def test_renaming_does_not_replace(spark, tmp):
+    """What file systems without links use."""
+    log = CommitLog(spark, f"{tmp}/a log")
+    assert log._publish("one", "first") and not log._publish("one", "second")
+    for name, there in (("two", False), ("one", True)):
+        assert log._publish("part", name)
+        if there:
+            with pytest.raises(Py4JJavaError):
+                log._rename(log._at("part"), log._at(name))
+        else:
+            log._rename(log._at("part"), log._at(name))
+    assert (log._read("one"), log._read("two")) == ("first", "two")
+
+
 def test_a_stream_publishes_its_batches(spark, tmp):
     for i in range(3):
         rows(spark, range(10 * i, 10 * i + 10)).coalesce(1).write.mode("append").parquet(f"{tmp}/in")
