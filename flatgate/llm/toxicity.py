@@ -3,25 +3,27 @@
 Each word is the sum of hashed embeddings, of the word and of its first
 letters (so the forms of one stem are alike). Filters of several widths run over the whole text; every filter
 keeps its largest response (max pooling) and a logistic layer weighs them.
-The classifier is trained in numpy on a bounded sample of labelled rows;
-its output is calibrated on labelled rows it was not trained on, and each
-language gets its own decision threshold there (the language is no input of
-the score).
+The classifier learns from all labelled rows: each Spark task runs gradient
+descent over its part of them from the common weights, and the tasks' changes
+are averaged, round by round. Its output is calibrated on all labelled rows
+held back from training, and each language gets its own decision threshold
+there (the language is no input of the score).
 """
 
 from __future__ import annotations
 
 import warnings
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flatgate.llm.common import id_remainder, raw_texts, word_runs
+from flatgate.llm.common import forget, id_remainder, raw_texts, store, word_runs
 
 BUCKETS = 1 << 15
 DIM = 16
@@ -31,9 +33,20 @@ PREFIXES = (4, 5, 7)  # letters; the whole word comes first
 _SHIFT = BUCKETS.bit_length() - 1
 CACHE_WORDS = 300_000
 BLOCK_WORDS = 100_000
-# Bounds of the labelled sample that the fit sees (a documented parameter):
-# rows of each class, and the longest text among them.
-MAX_POSITIVE, MAX_NEGATIVE, MAX_FIT_BYTES = 1500, 4500, 32_000
+# The descent starts near its goal from so many short rows of each class;
+# then every labelled row takes part in every round.
+START_ROWS, START_BYTES = 1000, 32_000
+ROUNDS = 2
+MINIBATCH = 64
+# Text that one task trains on before its changes are averaged with those of
+# others; a task sends a few MB.
+SHARD_BYTES = 64 << 20
+SLICE = 1 << 12  # rows of an array that are added up together
+# Held-back scores are counted in so many steps of 0 to 1; thresholds lie
+# between the scores of different steps. Outputs before calibration are
+# counted in so many steps a unit, those beyond the range in one step.
+SCORE_STEPS = 1 << 12
+LOGIT_STEPS, LOGIT_RANGE = 1 << 8, 64
 _STRIP = b".,;:!?\"'()[]"
 
 
@@ -87,15 +100,17 @@ class TextConv:
 
     def layout(self, blocks: list[np.ndarray]):
         """The blocks one after another, padded so no window reaches the
-        next one: embedding rows, first position and length of each."""
+        next one: packed buckets, first position and length of each."""
         gap = max(WIDTHS) - 1
         lengths = np.array([max(1, len(b)) for b in blocks])
         starts = np.concatenate([[0], np.cumsum(lengths + gap)[:-1]])
         packed = np.full(int((lengths + gap).sum()), -1, np.int64)
         for s, b in zip(starts, blocks, strict=True):
             packed[s:s + len(b)] = b
-        rows = [np.where(packed < 0, BUCKETS, bucket(packed, k)) for k in range(len(self.tables))]
-        return rows, starts, lengths
+        return packed, starts, lengths
+
+    def buckets(self, packed: np.ndarray) -> list[np.ndarray]:
+        return [np.where(packed < 0, BUCKETS, bucket(packed, k)) for k in range(len(self.tables))]
 
     def embedded(self, rows: list[np.ndarray]) -> np.ndarray:
         x = self.tables[0][rows[0]]
@@ -113,8 +128,8 @@ class TextConv:
 
     def pooled(self, blocks: list[np.ndarray]) -> np.ndarray:
         """Largest response of each filter in each block."""
-        rows, starts, lengths = self.layout(blocks)
-        x = self.embedded(rows)
+        packed, starts, lengths = self.layout(blocks)
+        x = self.embedded(self.buckets(packed))
         cuts = np.stack([starts, starts + lengths], 1).ravel()
         if cuts[-1] >= len(x) - max(WIDTHS) + 1:
             cuts = cuts[:-1]
@@ -142,14 +157,8 @@ class TextConv:
 
     def _of_texts(self, blocks, owner, n) -> np.ndarray:
         best = np.zeros((n, len(self.bias)), np.float32)
-        lo = 0
-        while lo < len(blocks):  # bounded memory for a text of many blocks
-            hi, size = lo, 0
-            while hi < len(blocks) and (hi == lo or size + len(blocks[hi]) <= 2 * BLOCK_WORDS):
-                size += len(blocks[hi])
-                hi += 1
+        for lo, hi in _spans(blocks):
             np.maximum.at(best, owner[lo:hi], self.pooled(blocks[lo:hi]))
-            lo = hi
         return best
 
     def scores(self, raws: Iterable[bytes], known: WordHash) -> np.ndarray:
@@ -163,82 +172,229 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def _log_odds(ids: list[np.ndarray], y: np.ndarray, part: int) -> np.ndarray:
+def _spans(blocks: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+    """Blocks that go together: bounded memory for a text of many blocks."""
+    lo = 0
+    while lo < len(blocks):
+        hi, size = lo, 0
+        while hi < len(blocks) and (hi == lo or size + len(blocks[hi]) <= 2 * BLOCK_WORDS):
+            size += len(blocks[hi])
+            hi += 1
+        yield lo, hi
+        lo = hi
+
+
+def _count_texts(docs: list[list[np.ndarray]], labels: np.ndarray, counts: np.ndarray) -> None:
+    """Adds the texts of each label that have a bucket: part, bucket, label."""
+    words = np.concatenate([b for d in docs for b in d])
+    owner = np.repeat(np.arange(len(docs)), [sum(map(len, d)) for d in docs])
+    for part in range(len(counts)):
+        once = np.unique(owner << _SHIFT | bucket(words, part))
+        np.add.at(counts[part], (once & (BUCKETS - 1), labels[once >> _SHIFT]), 1)
+
+
+def _no_counts() -> np.ndarray:
+    return np.zeros((1 + len(PREFIXES), BUCKETS + 1, 2))
+
+
+def _log_odds(with_it: np.ndarray, negative: int, positive: int) -> np.ndarray:
     """Log odds of the label by bucket, over the documents that have it,
     shrunk towards zero where few do."""
-    with_it = np.zeros((2, BUCKETS + 1))
-    for x, label in zip(ids, y, strict=True):
-        with_it[int(label), np.unique(bucket(x, part))] += 1
-    n = np.array([max(1, (y == 0).sum()), max(1, (y == 1).sum())])
-    odds = np.log((with_it[1] + 0.5) / (n[1] + 1)) - np.log((with_it[0] + 0.5) / (n[0] + 1))
-    seen = with_it.sum(0)
-    return (odds * seen / (seen + 5)).astype(np.float32)
-
-
-def train(raws: list[bytes], labels: list[int], seed: int = 7, epochs: int = 6, rate: float = 0.05) -> TextConv:
-    """Fit the network by minibatch gradient descent (Adagrad). The first
-    embedding dimension starts from the log odds of its bucket; a response's
-    gradient flows to the one window that gave the maximum."""
-    y = np.array(labels, np.float32)
+    n = max(1, negative), max(1, positive)
+    odds = np.log((with_it[..., 1] + 0.5) / (n[1] + 1)) - np.log((with_it[..., 0] + 0.5) / (n[0] + 1))
+    seen = with_it.sum(-1)
+    odds = (odds * seen / (seen + 5)).astype(np.float32)
+    odds[:, BUCKETS] = 0
+    return odds
+
+
+class Descent:
+    """Minibatch gradient descent (Adagrad) on the weights of a network. A
+    response's gradient flows to the one window that gave the maximum."""
+
+    def __init__(self, net: TextConv, negative: int, positive: int, rate: float = 0.05):
+        self.net, self.rate = net, rate
+        self.params = [*net.filters, net.bias, net.out]
+        self.squares, self.table_squares = ([np.full(p.shape, 1e-2, np.float32) for p in ps] for ps in (self.params, net.tables))
+        self.out_square = 1e-2
+        self.hits = [np.zeros(len(t), np.float32) for t in net.tables]  # steps that changed a row
+        n = negative + positive
+        self.weight = np.array([0.5 * n / max(1, negative), 0.5 * n / max(1, positive)], np.float32)
+
+    def windows(self, docs: list[list[np.ndarray]]) -> list[np.ndarray]:
+        """Packed buckets of the window of the largest response, per width:
+        document, filter, place."""
+        net = self.net
+        blocks, owner = [b for d in docs for b in d], np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+        best = [np.full((len(docs), FILTERS), -np.inf, np.float32) for _ in WIDTHS]
+        found = [np.full((len(docs), FILTERS, w), -1, np.int64) for w in WIDTHS]
+        for lo, hi in _spans(blocks):
+            packed, starts, lengths = net.layout(blocks[lo:hi])
+            x = net.embedded(net.buckets(packed))
+            for k, (w, r) in enumerate(zip(WIDTHS, net.responses(x), strict=True)):
+                for i, s, n in zip(owner[lo:hi].tolist(), starts.tolist(), lengths.tolist(), strict=True):
+                    t = s + r[s:s + n].argmax(0)
+                    top = r[t, np.arange(FILTERS)]
+                    more = top > best[k][i]
+                    best[k][i, more] = top[more]
+                    found[k][i, more] = packed[t[more, None] + np.arange(w)]
+        return found
+
+    def step(self, docs: list[list[np.ndarray]], y: np.ndarray) -> None:
+        net, rate = self.net, self.rate
+        ids = self.windows(docs)
+        flat = net.buckets(np.concatenate([t.ravel() for t in ids]))
+        cuts = np.cumsum([t.size for t in ids])[:-1]
+        wins = [part.reshape(*t.shape, DIM) for part, t in zip(np.split(net.embedded(flat), cuts), ids, strict=True)]
+        feats = [np.einsum("bfjd,jdf->bf", win, f) for win, f in zip(wins, net.filters, strict=True)]
+        h = np.maximum(np.concatenate(feats, 1) + net.bias, 0)
+        dz = ((_sigmoid(h @ net.out + net.out_bias) - y) * self.weight[y] / len(docs)).astype(np.float32)
+        dh = dz[:, None] * net.out * (h > 0)
+        per_width = [dh[:, k * FILTERS:(k + 1) * FILTERS] for k in range(len(WIDTHS))]
+        grads = [np.einsum("bf,bfjd->jdf", d, win) for d, win in zip(per_width, wins, strict=True)]
+        grads += [dh.sum(0), h.T @ dz + 1e-4 * net.out]
+        drows = np.concatenate([np.einsum("bf,jdf->bfjd", d, f).reshape(-1, DIM) for d, f in zip(per_width, net.filters, strict=True)])
+        for emb, square, hits, rows in zip(net.tables, self.table_squares, self.hits, flat, strict=True):
+            order = np.argsort(rows, kind="stable")
+            hit, first = np.unique(rows[order], return_index=True)
+            g = np.add.reduceat(drows[order], first, axis=0)
+            square[hit] += g * g
+            emb[hit] -= rate * g / np.sqrt(square[hit])
+            emb[BUCKETS] = 0
+            hits[hit] += 1
+        for p, s, g in zip(self.params, self.squares, grads, strict=True):
+            s += g * g
+            p -= rate * g / np.sqrt(s)
+        self.out_square += float(dz.sum()) ** 2
+        net.out_bias -= rate * float(dz.sum()) / self.out_square ** 0.5
+
+
+def train(raws: list[bytes], labels: list[int], odds: np.ndarray | None = None, seed: int = 7, epochs: int = 6, rate: float = 0.05) -> TextConv:
+    """Fit a network from nothing. The first embedding dimension starts from
+    the log odds of its bucket, by default those of ``raws``."""
+    y = np.array(labels, np.int64)
     rng = np.random.default_rng(seed)
     known = WordHash()
-    docs = [np.concatenate(list(text_ids(raw, known))) for raw in raws]
+    docs = [list(text_ids(raw, known)) for raw in raws]
     net = TextConv(
         [rng.normal(0, 0.05, (BUCKETS + 1, DIM)).astype(np.float32) for _ in (0, *PREFIXES)],
         [rng.normal(0, 0.1, (w, DIM, FILTERS)).astype(np.float32) for w in WIDTHS], np.zeros(len(WIDTHS) * FILTERS, np.float32),
         np.full(len(WIDTHS) * FILTERS, 0.1, np.float32), -1.0)
-    for part, emb in enumerate(net.tables):
-        emb[:, 0] = _log_odds(docs, y, part) / len(net.tables)
+    negative, positive = int((y == 0).sum()), int((y == 1).sum())
+    if odds is None:
+        counts = _no_counts()
+        if docs:
+            _count_texts(docs, y, counts)
+        odds = _log_odds(counts, negative, positive)
+    for of_part, emb in zip(odds, net.tables, strict=True):
+        emb[:, 0] = of_part / len(net.tables)
         emb[BUCKETS] = 0
     for f in net.filters:
         f[:, 0, :] += 1.0 / len(f)
-    params = [*net.filters, net.bias, net.out]
-    squares, table_squares = ([np.full(p.shape, 1e-2, np.float32) for p in ps] for ps in (params, net.tables))
-    out_square = 1e-2
-    weight = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum())) * len(y)
+    descent = Descent(net, negative, positive, rate)
     for _ in range(epochs):
         order = rng.permutation(len(docs))
-        for at in range(0, len(docs), 64):
-            pick = order[at:at + 64]
-            buckets, starts, lengths = net.layout([docs[i] for i in pick])
-            x = net.embedded(buckets)
-            # the window of the largest response, per document and filter
-            best = [np.stack([s + r[s:s + n].argmax(0) for s, n in zip(starts, lengths, strict=True)]) for r in net.responses(x)]
-            feats, windows = [], []
-            for w, f, t in zip(WIDTHS, net.filters, best, strict=True):
-                win = x[t[..., None] + np.arange(w)]  # document, filter, place, dimension
-                windows.append(win)
-                feats.append(np.einsum("bfjd,jdf->bf", win, f))
-            h = np.maximum(np.concatenate(feats, 1) + net.bias, 0)
-            dz = ((_sigmoid(h @ net.out + net.out_bias) - y[pick]) * weight[pick] / len(pick)).astype(np.float32)
-            dh = dz[:, None] * net.out * (h > 0)
-            grads = [np.einsum("bf,bfjd->jdf", dh[:, k * FILTERS:(k + 1) * FILTERS], win) for k, win in enumerate(windows)]
-            grads += [dh.sum(0), h.T @ dz + 1e-4 * net.out]
-            rows, drows = [], []
-            for k, (w, f, t) in enumerate(zip(WIDTHS, net.filters, best, strict=True)):
-                d = dh[:, k * FILTERS:(k + 1) * FILTERS]
-                rows.append((t[..., None] + np.arange(w)).ravel())
-                drows.append(np.einsum("bf,jdf->bfjd", d, f).reshape(-1, DIM))
-            rows, drows = np.concatenate(rows), np.concatenate(drows)
-            for emb, square, of_row in zip(net.tables, table_squares, buckets, strict=True):
-                hit, inverse = np.unique(of_row[rows], return_inverse=True)
-                g = np.zeros((len(hit), DIM), np.float32)
-                np.add.at(g, inverse, drows)
-                square[hit] += g * g
-                emb[hit] -= rate * g / np.sqrt(square[hit])
-                emb[BUCKETS] = 0
-            for p, s, g in zip(params, squares, grads, strict=True):
-                s += g * g
-                p -= rate * g / np.sqrt(s)
-            out_square += float(dz.sum()) ** 2
-            net.out_bias -= rate * float(dz.sum()) / out_square ** 0.5
+        for at in range(0, len(docs), MINIBATCH):
+            pick = order[at:at + MINIBATCH]
+            descent.step([docs[i] for i in pick], y[pick])
     return net
 
 
+_SLICE = pa.schema([("array", pa.int32()), ("at", pa.int32()), ("task", pa.int32()), ("data", pa.binary())])
+
+
+def added_up(rows: DataFrame, work: Callable[[Iterable[pa.RecordBatch]], list[np.ndarray]], shapes: list[tuple]) -> list[np.ndarray]:
+    """Sums over the tasks that read ``rows`` of the arrays that ``work``
+    makes in each. Spark adds them up slice by slice; the driver gets the
+    sums."""
+
+    def each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId()
+        for k, values in enumerate(work(batches)):
+            for at in range(0, len(values), SLICE):
+                row = {"array": k, "at": at, "task": task, "data": values[at:at + SLICE].astype("<f4").tobytes()}
+                yield pa.RecordBatch.from_pylist([row], schema=_SLICE)
+
+    def add(group: pa.Table) -> pa.Table:
+        group = group.sort_by("task")  # the same rounding in every run
+        total = sum(np.frombuffer(d.as_py(), "<f4").astype("<f8") for d in group["data"])
+        return pa.Table.from_pylist([{**group.slice(0, 1).to_pylist()[0], "data": total.tobytes()}], schema=_SLICE).drop(["task"])
+
+    sums = [np.zeros(shape) for shape in shapes]
+    parts = rows.mapInArrow(each, "array int, at int, task int, data binary").groupBy("array", "at").applyInArrow(add, "array int, at int, data binary")
+    for r in parts.collect():
+        values = sums[r["array"]][r["at"]:r["at"] + SLICE]
+        values += np.frombuffer(r["data"], "<f8").reshape(values.shape)
+    return sums
+
+
+def _minibatches(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list[list[np.ndarray]], np.ndarray]]:
+    """Blocks and labels of the rows ``(y, text)``, a bounded number of texts
+    and, but for the last of them, of words at a time."""
+    known, docs, labels, size = WordHash(), [], [], 0
+    for batch in batches:
+        for y, raw in zip(batch.column(0).to_pylist(), raw_texts(batch.column(1)), strict=True):
+            docs.append(list(text_ids(raw, known)))
+            labels.append(y)
+            size += sum(map(len, docs[-1]))
+            if len(docs) >= MINIBATCH or size >= 2 * BLOCK_WORDS:
+                yield docs, np.array(labels)
+                docs, labels, size = [], [], 0
+    if docs:
+        yield docs, np.array(labels)
+
+
+def log_odds_of(rows: DataFrame, negative: int, positive: int) -> np.ndarray:
+    """Log odds by part and bucket over all ``rows``."""
+
+    def count(batches: Iterable[pa.RecordBatch]) -> list[np.ndarray]:
+        counts, any_docs = _no_counts(), False
+        for docs, labels in _minibatches(batches):
+            _count_texts(docs, labels, counts)
+            any_docs = True
+        return list(counts) if any_docs else []
+
+    return _log_odds(np.stack(added_up(rows, count, [(BUCKETS + 1, 2)] * (1 + len(PREFIXES)))), negative, positive)
+
+
+def round_of_descent(net: TextConv, rows: DataFrame, negative: int, positive: int) -> TextConv:
+    """One pass over all ``rows``: every task descends from ``net`` over its
+    own. An embedding is moved by the mean of the tasks' changes, each
+    counting by the steps that changed it, the other weights by the mean
+    over rows."""
+    shared = rows.sparkSession.sparkContext.broadcast(net)
+
+    def dense(of: TextConv) -> np.ndarray:
+        return np.concatenate([*(p.ravel() for p in (*of.filters, of.bias, of.out)), [of.out_bias]])
+
+    def descend(batches: Iterable[pa.RecordBatch]) -> list[np.ndarray]:
+        start = shared.value
+        own = TextConv([t.copy() for t in start.tables], [f.copy() for f in start.filters], start.bias.copy(), start.out.copy(), start.out_bias)
+        descent, n = Descent(own, negative, positive), 0
+        for docs, labels in _minibatches(batches):
+            descent.step(docs, labels)
+            n += len(docs)
+        if not n:
+            return []
+        changes = [np.column_stack([(a - b) * h[:, None], h]) for a, b, h in zip(own.tables, start.tables, descent.hits, strict=True)]
+        return [*changes, np.append((dense(own) - dense(start)) * n, n)]
+
+    shapes = [(BUCKETS + 1, DIM + 1)] * len(net.tables)
+    *tables, rest = added_up(rows, descend, [*shapes, (len(dense(net)) + 1,)])
+    moved = [t + (c[:, :-1] / np.maximum(c[:, -1:], 1)).astype(np.float32) for t, c in zip(net.tables, tables, strict=True)]
+    new = dense(net) + rest[:-1] / rest[-1]
+    at, parts = 0, []
+    for p in (*net.filters, net.bias, net.out):
+        parts.append(new[at:at + p.size].reshape(p.shape).astype(np.float32))
+        at += p.size
+    return TextConv(moved, parts[:len(net.filters)], parts[-2], parts[-1], float(new[-1]))
+
+
 def calibrate(z: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of the logistic curve through held-back rows."""
+    """Slope and offset of the logistic curve through held-back rows; an
+    entry stands for ``w`` of them."""
     # two weak pseudo-rows keep the curve finite where the classes separate
-    z = np.concatenate([z, [z[y == 1].mean(), z[y == 0].mean()]])
+    z = np.concatenate([z, [np.average(z[y == v], weights=w[y == v]) for v in (1, 0)]])
     w = np.concatenate([w, [1.0, 1.0]])
     y = np.concatenate([y, [0.5, 0.5]])
     a, b = 1.0, 0.0
@@ -254,72 +410,126 @@ def calibrate(z: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float
     return max(float(a), 1e-3), float(b)
 
 
-def language_thresholds(score: np.ndarray, y: np.ndarray, lang: list, w: np.ndarray, default: float) -> dict[str, float]:
-    """Per language the threshold of least weighted error on held-back rows
-    (midway between the rows it parts), drawn towards ``default`` as by ten
-    rows of it."""
+def calibration_of(held: DataFrame) -> tuple[float, float]:
+    """``calibrate`` over all held-back rows ``(y, z)``. The driver gets
+    their counts and means by label and step of the output."""
+    step = F.floor(F.greatest(F.least("z", F.lit(float(LOGIT_RANGE))), F.lit(-float(LOGIT_RANGE))) * LOGIT_STEPS)
+    steps = held.groupBy("y", step.alias("step")).agg(F.avg("z").alias("z"), F.count(F.lit(1)).alias("n")).toArrow().sort_by([("y", "ascending"), ("step", "ascending")])
+    z, y, n = (steps[c].to_numpy().astype(float) for c in ("z", "y", "n"))
+    return calibrate(z, y, n)
+
+
+def language_thresholds(score: np.ndarray, y: np.ndarray, lang: list, w: np.ndarray, default: float, high: np.ndarray | None = None) -> dict[str, float]:
+    """Per language the threshold of least error on held-back rows (midway
+    between the rows it parts), drawn towards ``default`` as by ten rows of
+    it. An entry stands for ``w`` rows, with scores of ``score`` to ``high``;
+    entries of one ``score`` are never parted."""
     out = {}
+    high = score if high is None else high
     for name in sorted({x for x in lang if x is not None}):
         mine = np.array([x == name for x in lang])
-        s, t, v = score[mine], y[mine], w[mine]
-        if len(s) < 20 or t.sum() == 0 or t.sum() == len(t):
+        t, v = y[mine], w[mine]
+        n = float((v * t).sum())
+        if v.sum() < 20 or n == 0 or n == v.sum():
             continue
-        grid = np.unique(np.concatenate([s, [0.0, 1.0]]))
-        cuts = (grid[1:] + grid[:-1]) / 2
-        errors = [(v * ((s >= c) != (t == 1))).sum() for c in cuts]
-        least = cuts[np.isclose(errors, min(errors))]
+        low, at = np.unique(score[mine], return_inverse=True)
+        top = np.zeros(len(low))
+        np.maximum.at(top, at, high[mine])
+        missed, wrong = np.bincount(at, v * t), np.bincount(at, v * (1 - t))
+        errors = np.append(0, np.cumsum(missed)) + np.append(np.cumsum(wrong[::-1])[::-1], 0)
+        below, above = np.append(0.0, top), np.append(low, 1.0)
+        cuts, errors = ((below + above) / 2)[above > below], errors[above > below]
+        least = cuts[np.isclose(errors, errors.min())]
         best = float(least[np.argmin(abs(least - default))])
-        n = t.sum()
         out[name] = float(best * n + 10 * default) / float(n + 10)
     return out
 
 
+def thresholds_of(held: DataFrame, slope: float, offset: float, default: float) -> dict[str, float]:
+    """``language_thresholds`` over all held-back rows ``(y, lang, z)``. The
+    driver gets their counts by language and step of the score."""
+    score = 1 / (1 + F.exp(-F.greatest(F.least(F.lit(slope) * F.col("z") + F.lit(offset), F.lit(40.0)), F.lit(-40.0))))
+    scored = held.filter("lang IS NOT NULL").select("lang", "y", score.alias("score"))
+    both = scored.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("p")).filter("n >= 20 AND p > 0 AND p < n")
+    steps = (
+        scored.join(both.select("lang"), "lang", "left_semi").groupBy("lang", F.floor(F.col("score") * SCORE_STEPS).alias("step"))
+        .agg(F.min("score").alias("low"), F.max("score").alias("high"), F.sum(1 - F.col("y")).alias("n0"), F.sum("y").alias("n1"))
+        .toArrow()
+    )
+    low, high, n0, n1 = (steps[c].to_numpy() for c in ("low", "high", "n0", "n1"))
+    y = np.repeat([0, 1], len(low))
+    return language_thresholds(np.tile(low, 2), y, steps["lang"].to_pylist() * 2, np.concatenate([n0, n1]).astype(float), default, np.tile(high, 2))
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang",
         label_col: str = "toxic", held_out: int = 1, folds: int = 3, default: float = 0.7) -> tuple[TextConv, dict[str, float]]:
-    """Network and language thresholds from the labelled rows outside fold
-    ``held_out``: at most ``MAX_POSITIVE`` and ``MAX_NEGATIVE`` rows by hash
-    order, of those whose documents have texts up to ``MAX_FIT_BYTES``. A fifth of them calibrates.
+    """Network and language thresholds from all labelled rows outside fold
+    ``held_out``, their whole texts. A fifth of the rows, by id, calibrates
+    and gives the thresholds; the others train: the log odds of all of them
+    and a start trained on at most ``START_ROWS`` short rows of each class
+    give the first weights, then all rows take part in every one of
+    ``ROUNDS`` rounds.
 
     Ids labelled twice count as toxic if any label says so; of the texts
     under one id the one of the smallest hash teaches; null ids and labels
     teach nothing. Without both classes the score is the constant
     share of toxic rows, at most one half."""
+    teaches = F.col(id_col).isNotNull() & (id_remainder(id_col, folds) != held_out)
     marked = (
-        labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & (id_remainder(id_col, folds) != held_out))
+        labels.filter(teaches & F.col(label_col).isNotNull())
         .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("y"))
     )
-    usable = docs.filter(F.coalesce(F.octet_length(text_col), F.lit(0)) <= MAX_FIT_BYTES).select(F.col(id_col).alias("id"))
-    order = F.xxhash64("id")
-    usable = marked.join(usable, "id", "left_semi")
-    chosen = [usable.filter(F.col("y") == v).orderBy(order, "id").limit(n) for v, n in ((1, MAX_POSITIVE), (0, MAX_NEGATIVE))]
-    sample = chosen[0].unionByName(chosen[1])
     lang = F.col(lang_col).cast("string") if lang_col else F.lit(None).cast("string")
-    rows = (
-        docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), lang.alias("lang"))
-        .filter(F.octet_length("text") <= MAX_FIT_BYTES)
-        .join(F.broadcast(sample), "id")  # at most MAX_POSITIVE + MAX_NEGATIVE ids
-        .groupBy("id", "y").agg(F.min(F.struct(F.xxhash64("text"), "text", "lang")).alias("row"))
-        .select("id", "y", "row.text", "row.lang").toArrow().sort_by("id")
+    texts = docs.filter(teaches).select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), lang.alias("lang"))
+    size = texts.select("id", F.octet_length("text").alias("size")).join(marked, "id").agg(F.sum("size")).first()[0]
+    shards = 1 + (size or 0) // SHARD_BYTES
+    each = (
+        texts.repartition(shards, "id").join(marked.repartition(shards, "id"), "id")
+        .groupBy("id").agg(F.max("y").alias("y"), F.min(F.struct(F.xxhash64("text"), "text", "lang")).alias("row"))
     )
-    totals = {r["y"]: r["n"] for r in marked.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    y = np.array(rows["y"].to_pylist(), np.int64)
-    if not 0 < y.sum() < len(y):
+    back = F.crc32(F.concat(F.lit("calibrate"), F.col("id").cast("string")).cast("binary")) % 5 == 0
+    rows, rows_path = store(
+        each.select("id", "y", "row.text", "row.lang", back.alias("back")).sortWithinPartitions(F.xxhash64("id"), "id"), "toxicity-rows")
+
+    n = {(r["y"], r["back"]): r["n"] for r in rows.groupBy("y", "back").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not (any(y == 0 for y, _ in n) and any(y == 1 for y, _ in n)):
+        forget(docs.sparkSession, rows_path)
+        totals = {r["y"]: r["n"] for r in marked.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
         if len(totals) > 1:
             warnings.warn(f"labels have both classes ({totals}), the usable documents do not: the score is constant", RuntimeWarning, stacklevel=2)
-        return TextConv([], [], np.zeros(0), np.zeros(0), 0.0, constant=min(0.5, float(y.mean()) if len(y) else 0.0)), {}
-    raws = list(raw_texts(rows["text"].combine_chunks()))
-    back = np.array([zlib.crc32(b"calibrate%d" % i) % 5 == 0 for i in rows["id"].to_pylist()])
-    if not (0 < y[back].sum() < back.sum() and 0 < y[~back].sum() < (~back).sum()):
-        back = np.zeros(len(y), bool)
-    net = train([r for r, b in zip(raws, back, strict=True) if not b], y[~back].tolist())
-    use = back if back.any() else ~back
-    z = np.concatenate([net.logits(f) for f in net.texts([r for r, b in zip(raws, use, strict=True) if b], WordHash())]).astype(float)
-    # rows of each class stand for all labelled rows of the class
-    w = np.where(y[use] == 1, totals.get(1, 0) / y.sum(), totals.get(0, 0) / (len(y) - y.sum()))
-    net.slope, net.offset = calibrate(z, y[use].astype(float), w)
-    scores = _sigmoid(net.slope * z + net.offset)
-    langs = [x for x, b in zip(rows["lang"].to_pylist(), use, strict=True) if b]
-    return net, language_thresholds(scores, y[use], langs, w, default)
+        return TextConv([], [], np.zeros(0), np.zeros(0), 0.0, constant=0.5 if any(y == 1 for y, _ in n) else 0.0), {}
+    split = len(n) == 4  # both classes train and calibrate; else all rows do both
+    taught, held = (rows.filter("NOT back"), rows.filter("back")) if split else (rows, rows)
+    negative, positive = (sum(k for (y, b), k in n.items() if y == v and not (split and b)) for v in (0, 1))
+
+    pairs = taught.select("y", "text")
+    odds = log_odds_of(pairs, negative, positive)
+    short = taught.filter(F.octet_length("text") <= START_BYTES)
+    order = F.xxhash64("id")
+    first = [short.filter(F.col("y") == v).select("id").orderBy(order, "id").limit(START_ROWS) for v in (0, 1)]
+    start = short.join(F.broadcast(first[0].unionByName(first[1])), "id").select("id", "y", "text").toArrow().sort_by("id")
+    net = train(list(raw_texts(start["text"].combine_chunks())), start["y"].to_pylist(), odds)
+    for _ in range(ROUNDS):
+        net = round_of_descent(net, pairs, negative, positive)
+
+    scored, held_path = store(held.select("y", "lang", logit_column(net, docs, "text").alias("z")), "toxicity-held")
+    net.slope, net.offset = calibration_of(scored)
+    thresholds = thresholds_of(scored, net.slope, net.offset, default)
+    forget(docs.sparkSession, rows_path, held_path)
+    return net, thresholds
+
+
+def logit_column(net: TextConv, docs: DataFrame, text_col: str = "text") -> Column:
+    """Column of the network's outputs before calibration."""
+    shared = docs.sparkSession.sparkContext.broadcast(net)
+    known = WordHash()
+
+    @F.arrow_udf("double")
+    def logit(texts: pa.Array) -> pa.Array:
+        found = [shared.value.logits(f) for f in shared.value.texts(raw_texts(texts), known)]
+        return pa.array(np.concatenate([np.zeros(0), *found]), pa.float64())
+
+    return logit(F.col(text_col))
 
 
 def toxicity_score(net: TextConv, docs: DataFrame, text_col: str = "text") -> Column:

@@ -237,3 +237,27 @@ def test_ids_of_several_texts_teach_alike_in_any_order(spark, module):
     first = weights(frame(spark, rows).repartition(1))
     for n in (3, 7):
         assert np.array_equal(first, weights(frame(spark, rows[::-1]).repartition(n)))
+
+
+def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
+    """The start sees two rows of each class, all of them short and alike;
+    what tells the classes apart stands in long rows of several shards."""
+    monkeypatch.setattr(X, "START_ROWS", 2)
+    monkeypatch.setattr(X, "SHARD_BYTES", 1 << 20)
+    ids = [i for i in range(400) if remainder(i, 3) != 1][:100]
+    rows = [(i, ("calm talk " * 4000 + ("slur" if i % 2 else "bread")) if k >= 10 else "calm talk", "en", "a") for k, i in enumerate(ids)]
+    net, _ = X.fit(frame(spark, rows), labels(spark, [(i, i % 2, i % 2) for i in ids]))
+    slur, bread = net.scores([b"calm talk slur", b"calm talk bread"], X.WordHash())
+    assert net.constant is None and slur > 0.6 > 0.4 > bread
+
+
+def test_log_odds_count_every_row(spark):
+    texts, y = small_set()
+    rows = spark.createDataFrame([(int(v), t.decode()) for v, t in zip(y, texts, strict=True)], "y int, text string")
+    counts = X._no_counts()
+    for t, v in zip(texts, y, strict=True):
+        for block in X.text_ids(t, X.WordHash()):
+            for part in range(1 + len(X.PREFIXES)):
+                counts[part, sorted(set(X.bucket(block, part).tolist())), int(v)] += 1
+    n = sum(v == 0 for v in y), sum(v == 1 for v in y)
+    assert np.allclose(X.log_odds_of(rows.repartition(5), *n), X._log_odds(counts, *n), atol=1e-6)
