@@ -261,3 +261,24 @@ def test_log_odds_count_every_row(spark):
                 counts[part, sorted(set(X.bucket(block, part).tolist())), int(v)] += 1
     n = sum(v == 0 for v in y), sum(v == 1 for v in y)
     assert np.allclose(X.log_odds_of(rows.repartition(5), *n), X._log_odds(counts, *n), atol=1e-6)
+
+
+def test_thresholds_count_every_held_back_row(spark):
+    """As of the rows one by one, where no two scores share a step."""
+    rng = np.random.default_rng(5)
+    z = rng.permutation(np.linspace(-4, 4, 300))
+    y = (z + rng.normal(0, 1.5, 300) > 0).astype(int)
+    lang = [["de", "en", None][i % 3] for i in range(300)]
+    held = spark.createDataFrame([(int(a), b, float(c)) for a, b, c in zip(y, lang, z, strict=True)], "y int, lang string, z double").repartition(4)
+    slope, offset = X.calibration_of(held)
+    assert np.allclose([slope, offset], X.calibrate(z, y, np.ones(300)), atol=1e-4)
+    score = 1 / (1 + np.exp(-(slope * z + offset)))
+    got, want = X.thresholds_of(held, slope, offset, 0.7), X.language_thresholds(score, y, lang, np.ones(300), 0.7)
+    assert set(got) == {"de", "en"} and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_long_texts_have_a_say_in_their_languages_threshold(spark):
+    ids = [i for i in range(900) if remainder(i, 3) != 1][:400]
+    rows = [(i, ("vile slur " if i % 2 else "good words ") * (1 if k % 2 else 3500), "en" if k % 2 else "de", "a") for k, i in enumerate(ids)]
+    _, thresholds = X.fit(frame(spark, rows), labels(spark, [(i, i % 2, i % 2) for i in ids]))
+    assert set(thresholds) == {"en", "de"}
