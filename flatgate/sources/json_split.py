@@ -53,15 +53,14 @@ def _ranges(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int]
     """Consecutive parts ``((file, start), file size, bytes)``; a range may
     come in several."""
     for batch in batches:
-        text, files, starts, sizes = (c.to_pylist() for c in batch.columns)
-        keys = list(zip(files, starts, strict=True))
-        at = 0
-        while at < len(keys):
-            end = at + 1
-            while end < len(keys) and keys[end] == keys[at]:
-                end += 1
-            yield keys[at], sizes[at], b"}".join([*text[at:end], b""])
-            at = end
+        text, files, starts, sizes = batch.columns
+        if not len(text):
+            continue
+        # the places and not the keys of every part become Python objects
+        file, start = files.dictionary_encode().indices.to_numpy(), starts.to_numpy()
+        cuts = np.flatnonzero((np.diff(file) != 0) | (np.diff(start) != 0)) + 1
+        for at, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(text)], strict=True):
+            yield (files[at].as_py(), starts[at].as_py()), sizes[at].as_py(), b"}".join([*text.slice(at, end - at).to_pylist(), b""])
 
 
 def _summaries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,10 +133,13 @@ def split_json_docs(spark: SparkSession, path) -> DataFrame:
         def rows(texts: list[bytes], tail: bool) -> pa.RecordBatch:
             nonlocal n
             first = n == 0 and not state[2]
-            table = [{"file": key[0], "start": key[1], "n": n + i, "head": first and i == 0, "tail": tail, "text": t.decode("utf-8", "replace")}
-                     for i, t in enumerate(texts)]
-            n += len(texts)
-            return pa.RecordBatch.from_pylist(table, _PIECE)
+            k = len(texts)
+            places = np.arange(n, n + k)
+            n += k
+            columns = [pa.repeat(key[0], k), pa.repeat(key[1], k), places, first & (places == 0), pa.repeat(tail, k),
+                       [t.decode("utf-8", "replace") for t in texts]]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) if not isinstance(c, pa.Array) else c.cast(t)
+                                               for c, t in zip(columns, _PIECE.types, strict=True)], schema=_PIECE)
 
         def last() -> pa.RecordBatch:
             text = b"".join(rest)

@@ -4,11 +4,12 @@ import contextlib
 import json
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from flatgate.sources.json import corrupt_rows, read_json_docs
-from flatgate.sources.json_split import read_json_docs_split, split_json_docs
+from flatgate.sources.json_split import _ranges, read_json_docs_split, split_json_docs
 
 SCHEMA = "id bigint, s string, a array<struct<k: string, v: bigint>>, o struct<t: string>"
 
@@ -82,3 +83,9 @@ def test_broken_documents_are_rows_of_their_own(spark, tmp, n_bytes):
         assert sorted(r["_corrupt_record_2"].strip() for r in corrupt_rows(df).collect()) == ["7", '{"id": 4', '{"id": x}']
         texts = sorted(r.text.strip() for r in split_json_docs(spark, f"{tmp}/cut.json").collect())
         assert texts == ['{"id": 3}', '{"id": 4']
+
+
+def test_ranges_of_a_batch_are_kept_apart():
+    batch = pa.RecordBatch.from_pydict({
+        "value": [b"a", b"b", b"", b"c", b"d"], "file": ["x", "x", "x", "y", "y"], "start": [0, 0, 7, 7, 7], "size": [9, 9, 9, 5, 5]})
+    assert list(_ranges([batch.slice(0, 0), batch])) == [(("x", 0), 9, b"a}b}"), (("x", 7), 9, b"}"), (("y", 7), 5, b"c}d}")]
