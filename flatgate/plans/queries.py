@@ -96,12 +96,16 @@ def _orders_json(spark, sf, max_items: int = FX.DEFAULT_MAX_ITEMS):
     lead = items.groupBy("o_orderkey").agg(F.min("part").alias("lead"))
     first = F.col("part").isNull() | (F.col("part") == F.col("lead"))
     doc = F.struct(F.when(first, F.col("o_orderkey")).alias("o_orderkey"), F.when(first, cust).alias("cust"), "items")
-    return (
+    docs = (
         o.join(c, o.o_custkey == c.c_custkey, "left")
         .join(items, "o_orderkey", "left")
         .join(lead, "o_orderkey", "left")
         .select("o_orderkey", F.to_json(doc).alias("doc"))
     )
+    # the operators pass over the texts more than once: built once
+    path = scratch_dir(spark, "order-docs")
+    docs.write.parquet(path)
+    return spark.read.schema(docs.schema).parquet(path)
 
 
 def q_leaf_paths_nested(spark, sf, max_items: int = FX.DEFAULT_MAX_ITEMS):

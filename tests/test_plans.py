@@ -11,6 +11,7 @@ from flatgate.operators.flatten import flatten
 from flatgate.operators.quality import null_flag
 from flatgate.operators.rules import missing_keys
 from flatgate.plans import fixtures as FX
+from flatgate.plans import queries as Q
 
 SF = "/root/testdata/sf0.01"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data missing")
@@ -94,3 +95,8 @@ def test_unique_rules_share_one_scan(spark, capsys):
     assert "o_orderstatus" not in p and "count_if" not in p.split("Exchange")[0]  # the shuffle carries keys and counts only
     assert len(re.findall(r"^\(\d+\) Scan parquet", p, flags=re.M)) == 1
     assert len(re.findall(r"^\(\d+\) Expand", p, flags=re.M)) == 1
+
+
+def test_order_documents_are_built_once(spark, capsys):
+    docs = Q._orders_json(spark, SF)
+    assert exchanges(plan(docs, capsys)) == 0 and docs.count() == spark.read.parquet(f"{SF}/orders.parquet").count()
