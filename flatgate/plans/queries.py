@@ -774,6 +774,10 @@ def q_stream_quarantine(spark, sf):
     return bad_rows(spark, root).select("o_orderkey", "st", "null_check_result")
 
 
+#: Orders and their lines in a file that arrives, about.
+ARRIVAL_ROWS = 500_000
+
+
 def q_stream_json_ledger(spark, sf):
     """T1 and T2 over nested JSON lines: orders arrive as files, each
     micro-batch is flattened, flagged and recorded; returns the ledger's
@@ -782,9 +786,12 @@ def q_stream_json_ledger(spark, sf):
 
     nested = FX.orders_nested(spark, sf)
     arrivals = scratch_dir(spark, "arrivals")
-    nested.repartition(4).write.json(arrivals)
+    # arrivals of bounded size, however large the tables; half of them a batch
+    rows = T(spark, sf, "orders").count() + T(spark, sf, "lineitem").count()
+    files = max(4, -(-rows // ARRIVAL_ROWS))
+    nested.repartition(files).write.json(arrivals)
     ledger = Ledger(spark, scratch_dir(spark, "stream-ledger"))
-    s = stream_json(spark, arrivals, nested.schema, maxFilesPerTrigger=2)
+    s = stream_json(spark, arrivals, nested.schema, maxFilesPerTrigger=-(-files // 2))
     q = stream_ingest(s, ["st"], scratch_dir(spark, "stream-rows"), scratch_dir(spark, "stream-ckpt"), prefix=True, ledger=ledger)
     q.awaitTermination()
     done = ledger.current().filter(F.col("status") == COMPLETED)

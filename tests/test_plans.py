@@ -100,3 +100,15 @@ def test_unique_rules_share_one_scan(spark, capsys):
 def test_order_documents_are_built_once(spark, capsys):
     docs = Q._orders_json(spark, SF)
     assert exchanges(plan(docs, capsys)) == 0 and docs.count() == spark.read.parquet(f"{SF}/orders.parquet").count()
+
+
+def test_arrivals_grow_in_number_not_in_size(spark, monkeypatch):
+    folders = {}
+    real = Q.scratch_dir
+    monkeypatch.setattr(Q, "scratch_dir", lambda s, name: folders.setdefault(name, real(s, name)))
+    monkeypatch.setattr(Q, "ARRIVAL_ROWS", 10_000)
+    totals = Q.q_stream_json_ledger(spark, SF).first()
+    rows = sum(spark.read.parquet(f"{SF}/{t}.parquet").count() for t in ("orders", "lineitem"))
+    sizes = [r["count"] for r in spark.read.text(folders["arrivals"]).groupBy("_metadata.file_name").count().collect()]
+    assert len(sizes) == -(-rows // 10_000) > 4 and max(sizes) < 2 * min(sizes)
+    assert totals.total_record_count > 0
