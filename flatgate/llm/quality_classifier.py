@@ -1,7 +1,8 @@
 """Quality classifier with hierarchical empirical Bayes over sites.
 
-A logistic model on surface features of the whole text (fitted in numpy on
-a bounded sample of labelled rows) gives each document's evidence. Grouped
+A logistic model on surface features of the whole text (fitted on all
+labelled rows by Newton steps over sums from Spark's tasks) gives each
+document's evidence. Grouped
 sums of it over hosts and over paths within hosts give their rates: a host
 is shrunk towards the corpus, a path towards its host, by beta priors whose
 strengths are fitted to the rates themselves. A document's posterior sets
@@ -14,20 +15,20 @@ from __future__ import annotations
 import math
 import warnings
 from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from operator import eq
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flatgate.llm.common import free_name, id_remainder, raw_texts, store, word_runs
+from flatgate.llm.common import forget, free_name, id_remainder, raw_texts, store, word_runs
 from flatgate.operators.flatten import col_of
 
-# Bounds of the labelled sample that the fit sees (a documented parameter).
-MAX_GOOD, MAX_BAD, MAX_FIT_BYTES = 4000, 2000, 32_000
+PART_ROWS = 100_000  # labelled rows, of some 200 bytes, that one task sums up
 
 _SYMBOLS = b"#*$%&|<>!@^~={}[]\\_"
 _UPPER = bytes(range(ord("A"), ord("Z") + 1))
@@ -92,56 +93,125 @@ class Evidence:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def train(raws: list[bytes], y: np.ndarray, w: np.ndarray, ridge: float = 1.0) -> Evidence:
-    """Weighted ridge logistic regression by Newton steps."""
-    x = np.array([features(r) for r in raws])
-    mean, scale = x.mean(0), np.maximum(x.std(0), 1e-3)
-    a = np.hstack([np.clip((x - mean) / scale, -8, 8), np.ones((len(x), 1))])
-    beta = np.zeros(a.shape[1])
-    penalty = np.full(a.shape[1], ridge)
+def train(moments: np.ndarray, sums: Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]], base: float,
+          ridge: float = 1.0) -> Evidence:
+    """Weighted ridge logistic regression by Newton steps. ``moments`` holds
+    mean and spread of the features; ``sums`` gives the gradient and the
+    curvature at given weights, summed over all rows."""
+    mean, scale = moments
+    beta = np.zeros(len(mean) + 1)
+    penalty = np.full(len(beta), ridge)
     penalty[-1] = 1e-6
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a @ beta, -30, 30)))
-        grad = a.T @ (w * (p - y)) + penalty * beta
-        hess = (a * (w * p * (1 - p))[:, None]).T @ a + np.diag(penalty) + 1e-9 * np.eye(len(beta))
-        step = np.linalg.solve(hess, grad)
+        grad, hess = sums(mean, scale, beta)
+        step = np.linalg.solve(hess + np.diag(penalty) + 1e-9 * np.eye(len(beta)), grad + penalty * beta)
         beta -= step * min(1.0, 4.0 / max(1e-9, abs(step).max()))
         if abs(step).max() < 1e-7:
             break
-    return Evidence(mean, scale, beta[:-1], float(beta[-1]), float((w * y).sum() / w.sum()))
+    return Evidence(mean, scale, beta[:-1], float(beta[-1]), base)
+
+
+def _numbers(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Labels and features of the rows ``(y, x)``."""
+    for batch in batches:
+        if batch.num_rows:
+            y = batch.column(0).to_numpy(zero_copy_only=False).astype(float)
+            yield y, batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(len(y), -1)
+
+
+def _summed(rows: DataFrame, work: Callable[[Iterable[pa.RecordBatch]], np.ndarray]) -> np.ndarray:
+    """Sum of what ``work`` makes of the rows of each task, a few KB for
+    ``PART_ROWS`` rows; in the same order in every run."""
+
+    def each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = {"task": TaskContext.get().partitionId(), "data": work(batches).tolist()}
+        yield pa.RecordBatch.from_pylist([row], schema=pa.schema([("task", pa.int32()), ("data", pa.list_(pa.float64()))]))
+
+    parts = rows.mapInArrow(each, "task int, data array<double>").toArrow().sort_by("task")
+    return np.stack([np.array(d.as_py()) for d in parts["data"]]).sum(0)
+
+
+def moments_of(rows: DataFrame, width: int) -> np.ndarray:
+    """Mean and spread of each feature over all ``rows (y, x)``."""
+
+    def first(batches: Iterable[pa.RecordBatch]) -> np.ndarray:
+        return sum((np.append(x.sum(0), len(x)) for _, x in _numbers(batches)), np.zeros(width + 1))
+
+    sums = _summed(rows, first)
+    mean = sums[:-1] / sums[-1]
+
+    def second(batches: Iterable[pa.RecordBatch]) -> np.ndarray:
+        return sum((((x - mean) ** 2).sum(0) for _, x in _numbers(batches)), np.zeros(width))
+
+    spread = np.sqrt(_summed(rows, second) / sums[-1])
+    return np.stack([mean, np.maximum(spread, 1e-3)])
+
+
+def newton_sums(rows: DataFrame, weight: np.ndarray) -> Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """Gradient and curvature of the fit over all ``rows (y, x)``, a row of
+    label y counting as ``weight[y]``; Spark adds up those of its tasks."""
+
+    def sums(mean: np.ndarray, scale: np.ndarray, beta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        def work(batches: Iterable[pa.RecordBatch]) -> np.ndarray:
+            grad, hess = np.zeros(len(beta)), np.zeros((len(beta), len(beta)))
+            for y, x in _numbers(batches):
+                a = np.hstack([np.clip((x - mean) / scale, -8, 8), np.ones((len(x), 1))])
+                w = weight[y.astype(int)]
+                p = 1 / (1 + np.exp(-np.clip(a @ beta, -30, 30)))
+                grad += a.T @ (w * (p - y))
+                hess += (a * (w * p * (1 - p))[:, None]).T @ a
+            return np.append(grad, hess)
+
+        found = _summed(rows, work)
+        return found[:len(beta)], found[len(beta):].reshape(len(beta), -1)
+
+    return sums
+
+
+def features_column(text_col: str) -> Column:
+    @F.arrow_udf("array<double>")
+    def numbers(texts: pa.Array) -> pa.Array:
+        return pa.array([features(raw) for raw in raw_texts(texts)], pa.list_(pa.float64()))
+
+    return numbers(F.col(text_col))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
         held_out: int = 1, folds: int = 3) -> Evidence:
-    """Evidence model from the labelled rows outside fold ``held_out``, at
-    most ``MAX_GOOD`` and ``MAX_BAD`` by hash order, of those whose documents have
-    texts up to ``MAX_FIT_BYTES``, weighted to the classes' shares of all labelled rows.
+    """Evidence model from all labelled rows outside fold ``held_out``, their
+    whole texts, weighted to the classes' shares of all labels.
     Ids labelled twice count as bad if any label says so; of the texts under
     one id the one of the smallest hash teaches; null ids and labels teach
-    nothing; without both classes the evidence is constant."""
+    nothing; without both classes the evidence is constant.
+
+    Only features, some 200 bytes a document, are shuffled and written; each
+    Newton step reads them once, and the driver gets sums."""
+    teaches = F.col(id_col).isNotNull() & (id_remainder(id_col, folds) != held_out)
     marked = (
-        labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & (id_remainder(id_col, folds) != held_out))
-        .groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).cast("int").alias("y"))
-    )
-    usable = docs.filter(F.coalesce(F.octet_length(text_col), F.lit(0)) <= MAX_FIT_BYTES).select(F.col(id_col).alias("id"))
-    usable = marked.join(usable, "id", "left_semi")
-    chosen = [usable.filter(F.col("y") == v).orderBy(F.xxhash64("id"), "id").limit(n) for v, n in ((1, MAX_GOOD), (0, MAX_BAD))]
-    rows = (
-        docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-        .filter(F.octet_length("text") <= MAX_FIT_BYTES)
-        .join(F.broadcast(chosen[0].unionByName(chosen[1])), "id")  # at most MAX_GOOD + MAX_BAD ids
-        .groupBy("id", "y").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("row"))
-        .select("id", "y", "row.text").toArrow().sort_by("id")
+        labels.filter(teaches & F.col(label_col).isNotNull())
+        .groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).cast("int").alias("y")).filter("y IN (0, 1)")
     )
     totals = {r["y"]: r["n"] for r in marked.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    y = np.array(rows["y"].to_pylist(), float)
-    if not 0 < y.sum() < len(y):
+    parts = 1 + sum(totals.values()) // PART_ROWS
+    texts = docs.filter(teaches).select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    found = texts.select("id", F.xxhash64("text").alias("hash"), features_column("text").alias("x"))
+    each = (
+        found.repartition(parts, "id").join(marked.repartition(parts, "id"), "id")
+        .groupBy("id").agg(F.max("y").alias("y"), F.min(F.struct("hash", "x")).alias("row"))
+    )
+    rows, path = store(each.select("id", "y", "row.x").sortWithinPartitions(F.xxhash64("id"), "id"), "quality-rows")
+    n = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(n) < 2:
+        forget(docs.sparkSession, path)
         if len(totals) > 1:
             warnings.warn(f"labels have both classes ({totals}), the usable documents do not: the score is constant", RuntimeWarning, stacklevel=2)
-        share = float(y.mean()) if len(y) else 1.0
+        share = float(next(iter(n), 1))
         return Evidence(*[np.zeros(0)] * 3, 0.0, share, constant=share)
-    w = np.where(y == 1, totals[1] / y.sum(), totals[0] / (len(y) - y.sum()))
-    return train(list(raw_texts(rows["text"].combine_chunks())), y, w * len(y) / w.sum())
+    weight = np.array([totals[v] / n[v] for v in (0, 1)]) * sum(n.values()) / sum(totals.values())
+    numbers = rows.select("y", "x")
+    model = train(moments_of(numbers, len(features(b""))), newton_sums(numbers, weight), totals[1] / sum(totals.values()))
+    forget(docs.sparkSession, path)
+    return model
 
 
 def evidence_column(model: Evidence, docs: DataFrame, text_col: str) -> Column:

@@ -5,9 +5,10 @@ letters (so the forms of one stem are alike). Filters of several widths run over
 keeps its largest response (max pooling) and a logistic layer weighs them.
 The classifier learns from all labelled rows: each Spark task runs gradient
 descent over its part of them from the common weights, and the tasks' changes
-are averaged, round by round. Its output is calibrated on all labelled rows
-held back from training, and each language gets its own decision threshold
-there (the language is no input of the score).
+are averaged, round by round. Its output is calibrated on all labelled rows,
+each scored by a network that learned from the other half of them, and each
+language gets its own decision threshold there (the language is no input of
+the score).
 """
 
 from __future__ import annotations
@@ -141,11 +142,15 @@ class TextConv:
 
     def texts(self, raws: Iterable[bytes], known: WordHash) -> Iterator[np.ndarray]:
         """Pooled features of whole texts, in order."""
+        return self.features(text_ids(raw, known) for raw in raws)
+
+    def features(self, docs: Iterable[Iterable[np.ndarray]]) -> Iterator[np.ndarray]:
+        """Pooled features of texts given as blocks of packed buckets."""
         blocks: list[np.ndarray] = []
         owner: list[int] = []
         waiting, size, k = 0, 0, -1
-        for k, raw in enumerate(raws):  # noqa: B007
-            for b in text_ids(raw, known):
+        for k, doc in enumerate(docs):  # noqa: B007
+            for b in doc:
                 blocks.append(b)
                 owner.append(k - waiting)
                 size += len(b)
@@ -269,13 +274,14 @@ class Descent:
         net.out_bias -= rate * float(dz.sum()) / self.out_square ** 0.5
 
 
-def train(raws: list[bytes], labels: list[int], odds: np.ndarray | None = None, seed: int = 7, epochs: int = 6, rate: float = 0.05) -> TextConv:
+def train(raws: list[bytes] | list[list[np.ndarray]], labels: list[int], odds: np.ndarray | None = None, seed: int = 7, epochs: int = 6, rate: float = 0.05) -> TextConv:
     """Fit a network from nothing. The first embedding dimension starts from
-    the log odds of its bucket, by default those of ``raws``."""
+    the log odds of its bucket, by default those of ``raws`` (texts, or
+    their blocks of packed buckets)."""
     y = np.array(labels, np.int64)
     rng = np.random.default_rng(seed)
     known = WordHash()
-    docs = [list(text_ids(raw, known)) for raw in raws]
+    docs = [list(text_ids(raw, known)) if isinstance(raw, bytes) else raw for raw in raws]
     net = TextConv(
         [rng.normal(0, 0.05, (BUCKETS + 1, DIM)).astype(np.float32) for _ in (0, *PREFIXES)],
         [rng.normal(0, 0.1, (w, DIM, FILTERS)).astype(np.float32) for w in WIDTHS], np.zeros(len(WIDTHS) * FILTERS, np.float32),
@@ -306,7 +312,7 @@ _SLICE = pa.schema([("array", pa.int32()), ("at", pa.int32()), ("task", pa.int32
 def added_up(rows: DataFrame, work: Callable[[Iterable[pa.RecordBatch]], list[np.ndarray]], shapes: list[tuple]) -> list[np.ndarray]:
     """Sums over the tasks that read ``rows`` of the arrays that ``work``
     makes in each. Spark adds them up slice by slice; the driver gets the
-    sums."""
+    sums, in single precision."""
 
     def each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
@@ -318,23 +324,46 @@ def added_up(rows: DataFrame, work: Callable[[Iterable[pa.RecordBatch]], list[np
     def add(group: pa.Table) -> pa.Table:
         group = group.sort_by("task")  # the same rounding in every run
         total = sum(np.frombuffer(d.as_py(), "<f4").astype("<f8") for d in group["data"])
-        return pa.Table.from_pylist([{**group.slice(0, 1).to_pylist()[0], "data": total.tobytes()}], schema=_SLICE).drop(["task"])
+        return pa.Table.from_pylist([{**group.slice(0, 1).to_pylist()[0], "data": total.astype("<f4").tobytes()}], schema=_SLICE).drop(["task"])
 
     sums = [np.zeros(shape) for shape in shapes]
     parts = rows.mapInArrow(each, "array int, at int, task int, data binary").groupBy("array", "at").applyInArrow(add, "array int, at int, data binary")
     for r in parts.collect():
         values = sums[r["array"]][r["at"]:r["at"] + SLICE]
-        values += np.frombuffer(r["data"], "<f8").reshape(values.shape)
+        values += np.frombuffer(r["data"], "<f4").reshape(values.shape)
     return sums
 
 
+def ids_column(text_col: str) -> Column:
+    """Column of a text's blocks of packed buckets: each pass over the
+    labelled rows reads those instead of cutting the texts into words."""
+    known = WordHash()
+
+    @F.arrow_udf("array<binary>")
+    def ids(texts: pa.Array) -> pa.Array:
+        return pa.array([[b.astype("<i8").tobytes() for b in text_ids(raw, known)] for raw in raw_texts(texts)], pa.list_(pa.binary()))
+
+    return ids(F.col(text_col))
+
+
+def _blocks(column: pa.Array) -> Iterator[list[np.ndarray]]:
+    """Blocks of each row of a column of texts or of their ``ids_column``."""
+    if pa.types.is_list(column.type):
+        for row in column:
+            yield [np.frombuffer(b, "<i8") for b in row.as_py()]
+    else:
+        known = WordHash()
+        for raw in raw_texts(column):
+            yield list(text_ids(raw, known))
+
+
 def _minibatches(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list[list[np.ndarray]], np.ndarray]]:
-    """Blocks and labels of the rows ``(y, text)``, a bounded number of texts
-    and, but for the last of them, of words at a time."""
-    known, docs, labels, size = WordHash(), [], [], 0
+    """Blocks and labels of the rows ``(y, text or ids)``, a bounded number
+    of texts and, but for the last of them, of words at a time."""
+    docs, labels, size = [], [], 0
     for batch in batches:
-        for y, raw in zip(batch.column(0).to_pylist(), raw_texts(batch.column(1)), strict=True):
-            docs.append(list(text_ids(raw, known)))
+        for y, blocks in zip(batch.column(0).to_pylist(), _blocks(batch.column(1)), strict=True):
+            docs.append(blocks)
             labels.append(y)
             size += sum(map(len, docs[-1]))
             if len(docs) >= MINIBATCH or size >= 2 * BLOCK_WORDS:
@@ -344,8 +373,8 @@ def _minibatches(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list[list[
         yield docs, np.array(labels)
 
 
-def log_odds_of(rows: DataFrame, negative: int, positive: int) -> np.ndarray:
-    """Log odds by part and bucket over all ``rows``."""
+def counts_of(rows: DataFrame) -> np.ndarray:
+    """Rows of each label by part and bucket."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> list[np.ndarray]:
         counts, any_docs = _no_counts(), False
@@ -354,7 +383,12 @@ def log_odds_of(rows: DataFrame, negative: int, positive: int) -> np.ndarray:
             any_docs = True
         return list(counts) if any_docs else []
 
-    return _log_odds(np.stack(added_up(rows, count, [(BUCKETS + 1, 2)] * (1 + len(PREFIXES)))), negative, positive)
+    return np.stack(added_up(rows, count, [(BUCKETS + 1, 2)] * (1 + len(PREFIXES))))
+
+
+def log_odds_of(rows: DataFrame, negative: int, positive: int) -> np.ndarray:
+    """Log odds by part and bucket over all ``rows``."""
+    return _log_odds(counts_of(rows), negative, positive)
 
 
 def round_of_descent(net: TextConv, rows: DataFrame, negative: int, positive: int) -> TextConv:
@@ -381,6 +415,7 @@ def round_of_descent(net: TextConv, rows: DataFrame, negative: int, positive: in
 
     shapes = [(BUCKETS + 1, DIM + 1)] * len(net.tables)
     *tables, rest = added_up(rows, descend, [*shapes, (len(dense(net)) + 1,)])
+    shared.destroy()
     moved = [t + (c[:, :-1] / np.maximum(c[:, -1:], 1)).astype(np.float32) for t, c in zip(net.tables, tables, strict=True)]
     new = dense(net) + rest[:-1] / rest[-1]
     at, parts = 0, []
@@ -461,14 +496,28 @@ def thresholds_of(held: DataFrame, slope: float, offset: float, default: float)
     return language_thresholds(np.tile(low, 2), y, steps["lang"].to_pylist() * 2, np.concatenate([n0, n1]).astype(float), default, np.tile(high, 2))
 
 
+def learned(rows: DataFrame, counts: np.ndarray, negative: int, positive: int) -> TextConv:
+    """Network from all ``rows (id, y, ids, size)``: the log odds of all of
+    them, by ``counts``, and a start trained on at most ``START_ROWS`` short
+    rows of each class give the first weights, then all rows take part in
+    every one of ``ROUNDS`` rounds."""
+    short = rows.filter(F.col("size") <= START_BYTES)
+    first = [short.filter(F.col("y") == v).select("id").orderBy(F.xxhash64("id"), "id").limit(START_ROWS) for v in (0, 1)]
+    start = short.join(F.broadcast(first[0].unionByName(first[1])), "id").select("id", "y", "ids").toArrow().sort_by("id")
+    net = train(list(_blocks(start["ids"].combine_chunks())), start["y"].to_pylist(), _log_odds(counts, negative, positive))
+    for _ in range(ROUNDS):
+        net = round_of_descent(net, rows.select("y", "ids"), negative, positive)
+    return net
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang",
         label_col: str = "toxic", held_out: int = 1, folds: int = 3, default: float = 0.7) -> tuple[TextConv, dict[str, float]]:
     """Network and language thresholds from all labelled rows outside fold
-    ``held_out``, their whole texts. A fifth of the rows, by id, calibrates
-    and gives the thresholds; the others train: the log odds of all of them
-    and a start trained on at most ``START_ROWS`` short rows of each class
-    give the first weights, then all rows take part in every one of
-    ``ROUNDS`` rounds.
+    ``held_out``, their whole texts. All of them train the network. All of
+    them calibrate it and give the thresholds too, by scores of networks
+    that have not seen them: the rows are dealt into halves by id, and each
+    half is scored by a network trained in the same way on the other one
+    (where a half lacks a class, by the network itself).
 
     Ids labelled twice count as toxic if any label says so; of the texts
     under one id the one of the smallest hash teaches; null ids and labels
@@ -487,49 +536,44 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         texts.repartition(shards, "id").join(marked.repartition(shards, "id"), "id")
         .groupBy("id").agg(F.max("y").alias("y"), F.min(F.struct(F.xxhash64("text"), "text", "lang")).alias("row"))
     )
-    back = F.crc32(F.concat(F.lit("calibrate"), F.col("id").cast("string")).cast("binary")) % 5 == 0
-    rows, rows_path = store(
-        each.select("id", "y", "row.text", "row.lang", back.alias("back")).sortWithinPartitions(F.xxhash64("id"), "id"), "toxicity-rows")
+    half = (F.crc32(F.concat(F.lit("calibrate"), F.col("id").cast("string")).cast("binary")) % 2).cast("int")
+    each = each.select("id", "y", "row.text", "row.lang", half.alias("half")).sortWithinPartitions(F.xxhash64("id"), "id")
+    rows, rows_path = store(each.select("id", "y", "lang", "half", F.octet_length("text").alias("size"), ids_column("text").alias("ids")), "toxicity-rows")
 
-    n = {(r["y"], r["back"]): r["n"] for r in rows.groupBy("y", "back").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n = {(r["y"], r["half"]): r["n"] for r in rows.groupBy("y", "half").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not (any(y == 0 for y, _ in n) and any(y == 1 for y, _ in n)):
         forget(docs.sparkSession, rows_path)
         totals = {r["y"]: r["n"] for r in marked.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
         if len(totals) > 1:
             warnings.warn(f"labels have both classes ({totals}), the usable documents do not: the score is constant", RuntimeWarning, stacklevel=2)
         return TextConv([], [], np.zeros(0), np.zeros(0), 0.0, constant=0.5 if any(y == 1 for y, _ in n) else 0.0), {}
-    split = len(n) == 4  # both classes train and calibrate; else all rows do both
-    taught, held = (rows.filter("NOT back"), rows.filter("back")) if split else (rows, rows)
-    negative, positive = (sum(k for (y, b), k in n.items() if y == v and not (split and b)) for v in (0, 1))
-
-    pairs = taught.select("y", "text")
-    odds = log_odds_of(pairs, negative, positive)
-    short = taught.filter(F.octet_length("text") <= START_BYTES)
-    order = F.xxhash64("id")
-    first = [short.filter(F.col("y") == v).select("id").orderBy(order, "id").limit(START_ROWS) for v in (0, 1)]
-    start = short.join(F.broadcast(first[0].unionByName(first[1])), "id").select("id", "y", "text").toArrow().sort_by("id")
-    net = train(list(raw_texts(start["text"].combine_chunks())), start["y"].to_pylist(), odds)
-    for _ in range(ROUNDS):
-        net = round_of_descent(net, pairs, negative, positive)
 
-    scored, held_path = store(held.select("y", "lang", logit_column(net, docs, "text").alias("z")), "toxicity-held")
+    of_half = [rows.filter(F.col("half") == k) for k in (0, 1)]
+    counts = [counts_of(part.select("y", "ids")) for part in of_half]
+    net = learned(rows, counts[0] + counts[1], *(n.get((v, 0), 0) + n.get((v, 1), 0) for v in (0, 1)))
+    if len(n) == 4:
+        others = [learned(of_half[1 - k], counts[1 - k], n[0, 1 - k], n[1, 1 - k]) for k in (0, 1)]
+        held = [part.select("y", "lang", logit_column(other, docs, "ids").alias("z")) for part, other in zip(of_half, others, strict=True)]
+        scored, held_path = store(held[0].unionByName(held[1]), "toxicity-held")
+    else:
+        scored, held_path = store(rows.select("y", "lang", logit_column(net, docs, "ids").alias("z")), "toxicity-held")
     net.slope, net.offset = calibration_of(scored)
     thresholds = thresholds_of(scored, net.slope, net.offset, default)
     forget(docs.sparkSession, rows_path, held_path)
     return net, thresholds
 
 
-def logit_column(net: TextConv, docs: DataFrame, text_col: str = "text") -> Column:
-    """Column of the network's outputs before calibration."""
+def logit_column(net: TextConv, docs: DataFrame, ids_col: str = "ids") -> Column:
+    """Column of the network's outputs before calibration, of a column of
+    texts or of their ``ids_column``."""
     shared = docs.sparkSession.sparkContext.broadcast(net)
-    known = WordHash()
 
     @F.arrow_udf("double")
-    def logit(texts: pa.Array) -> pa.Array:
-        found = [shared.value.logits(f) for f in shared.value.texts(raw_texts(texts), known)]
+    def logit(column: pa.Array) -> pa.Array:
+        found = [shared.value.logits(f) for f in shared.value.features(_blocks(column))]
         return pa.array(np.concatenate([np.zeros(0), *found]), pa.float64())
 
-    return logit(F.col(text_col))
+    return logit(F.col(ids_col))
 
 
 def toxicity_score(net: TextConv, docs: DataFrame, text_col: str = "text") -> Column:

@@ -282,3 +282,40 @@ def test_long_texts_have_a_say_in_their_languages_threshold(spark):
     rows = [(i, ("vile slur " if i % 2 else "good words ") * (1 if k % 2 else 3500), "en" if k % 2 else "de", "a") for k, i in enumerate(ids)]
     _, thresholds = X.fit(frame(spark, rows), labels(spark, [(i, i % 2, i % 2) for i in ids]))
     assert set(thresholds) == {"en", "de"}
+
+
+def test_every_labelled_row_gives_the_thresholds(spark, monkeypatch):
+    """A language of thirty labelled rows has a threshold of its own, and
+    each row counts once, scored by a network that has not seen it."""
+    ids = [i for i in range(400) if remainder(i, 3) != 1][:200]
+    rows = [(i, "vile slur" if i % 2 else "good words", "fr" if k < 30 else "en", "a") for k, i in enumerate(ids)]
+    counted, taught = [], []
+    calibration, learned = X.calibration_of, X.learned
+    monkeypatch.setattr(X, "calibration_of", lambda held: counted.append(held.count()) or calibration(held))
+    monkeypatch.setattr(X, "learned", lambda part, *rest: taught.append({r.id for r in part.select("id").collect()}) or learned(part, *rest))
+    _, thresholds = X.fit(frame(spark, rows), labels(spark, [(i, i % 2, i % 2) for i in ids]))
+    assert counted == [200] and set(thresholds) == {"fr", "en"}
+    everything, *halves = taught
+    assert everything == set(ids) == halves[0] | halves[1] and not halves[0] & halves[1]
+
+
+def test_quality_learns_from_every_labelled_row(spark):
+    """Bad documents are long ones only; nothing bounds those that teach."""
+    ids = [i for i in range(200) if remainder(i, 3) != 1][:80]
+    rows = [(i, "some good words here" if i % 2 else "### *** " * 5000, "en", "a") for i in ids]
+    model = Q.fit(frame(spark, rows), labels(spark, [(i, i % 2, i % 2) for i in ids]))
+    good, bad = model.probability([b"some good words here", b"### *** " * 5000])
+    assert model.constant is None and good > 0.9 > 0.1 > bad
+
+
+def test_newton_sums_equal_those_of_one_task(spark):
+    rng = np.random.default_rng(3)
+    x, y = rng.normal(2, 3, (90, 4)), rng.integers(0, 2, 90)
+    rows = spark.createDataFrame([(int(a), b.tolist()) for a, b in zip(y, x, strict=True)], "y int, x array<double>").repartition(5)
+    mean, scale = Q.moments_of(rows, 4)
+    assert np.allclose(mean, x.mean(0)) and np.allclose(scale, x.std(0))
+    beta, weight = rng.normal(0, 1, 5), np.array([0.5, 2.0])
+    a = np.hstack([np.clip((x - mean) / scale, -8, 8), np.ones((90, 1))])
+    p, w = 1 / (1 + np.exp(-a @ beta)), weight[y]
+    grad, hess = Q.newton_sums(rows, weight)(mean, scale, beta)
+    assert np.allclose(grad, a.T @ (w * (p - y))) and np.allclose(hess, (a * (w * p * (1 - p))[:, None]).T @ a)
