@@ -13,14 +13,17 @@ can ever be ambiguous.
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructField, StructType
 
-from flatgate.session import scratch_dir
-
 
 def quote(name: str) -> str:
     """Back-quote a column name so dots, spaces and backticks resolve."""
@@ -420,17 +423,42 @@ CORRUPT_PATH = "_corrupt_record"
 USUAL_DEPTH = 8
 
 
-def json_depth_sql(text: str) -> str:
-    """Nesting depth of JSON text, as SQL: with escapes and strings taken
-    out, the largest number of brackets open at once. Keys of any spelling
-    do not matter, and no schema is built."""
-    bare = f"regexp_replace(replace(replace({text}, '\\\\\\\\', ''), '\\\\\"', ''), '\"[^\"]*\"', '')"
-    brackets = f"split(regexp_replace({bare}, '[^\\\\[\\\\]{{}}]', ''), '')"
-    return (
-        f"aggregate({brackets}, named_struct('d', 0, 'm', 0), (a, c) -> named_struct("
-        "'d', a.d + CASE WHEN c IN ('{', '[') THEN 1 WHEN c IN ('}', ']') THEN -1 ELSE 0 END, "
-        "'m', greatest(a.m, a.d + CASE WHEN c IN ('{', '[') THEN 1 ELSE 0 END)), a -> a.m)"
-    )
+def _deep_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(d, t)``: the largest usual depth of a batch of JSON texts, and each
+    text that looks deeper with its own."""
+    for batch in batches:
+        texts = batch.column(0).drop_null()
+        depth = _json_depths(texts) if len(texts) else np.zeros(0, np.int64)
+        deep = np.flatnonzero(depth > USUAL_DEPTH)
+        d = [depth[depth <= USUAL_DEPTH].max(initial=0), *depth[deep]]
+        yield pa.RecordBatch.from_arrays([pa.array(d, pa.int32()), pa.array([None, *texts.take(deep).to_pylist()], pa.string())], names=["d", "t"])
+
+
+_MARKS = np.zeros(256, np.int8)
+_MARKS[list(b"{[")], _MARKS[list(b"}]")], _MARKS[list(b'"')] = 1, -1, 2
+
+
+def _json_depths(texts: pa.StringArray) -> np.ndarray:
+    """Nesting depths of JSON texts: the largest number of brackets open at
+    once outside strings. Keys of any spelling do not matter."""
+    for escaped in ("\\\\", '\\"'):
+        texts = pc.replace_substring(texts, escaped, "")
+    ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1]
+    marks = _MARKS[np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]]]
+    at = np.flatnonzero(marks)
+    marks, bounds = marks[at], np.searchsorted(at, ends - ends[0])
+    quote = marks == 2
+
+    def since(total: np.ndarray) -> np.ndarray:
+        """Running totals begun again at each text."""
+        return total - np.repeat(np.append(0, total)[bounds[:-1]], np.diff(bounds))
+
+    outside = ~quote & (since(np.cumsum(quote)) % 2 == 0)
+    level = since(np.cumsum(np.where(outside, marks, 0)))
+    depth, some = np.zeros(len(texts), np.int64), np.diff(bounds) > 0
+    if some.any():
+        depth[some] = np.maximum(np.maximum.reduceat(level, bounds[:-1][some]), 0)
+    return depth
 
 
 def leaf_paths(
@@ -463,8 +491,8 @@ def leaf_paths(
     job instead.
 
     The text is parsed once into VARIANT; each nesting level fans the
-    objects and arrays still open out to their entries with two plain outer
-    generators (all levels fuse into one codegen stage, no shuffle). The
+    objects and arrays still open out to their entries with one plain outer
+    generator (all levels fuse into one codegen stage, no shuffle). The
     number of levels is the largest depth of any document: one pass over the
     text that returns one number. A caller who knows it passes ``depth`` to
     skip that pass; the plan then carries a guard that fails the job if any
@@ -511,48 +539,129 @@ def leaf_steps(df: DataFrame, id_col: str, json_col: str, exclude: Iterable[str]
 
 def documents_from_leaves(leaves: DataFrame, id_col: str, out: str = "doc") -> DataFrame:
     """``(id, out)``: JSON documents put together again from the rows of
-    ``leaf_steps``, deepest level first; ids must tell documents apart.
+    ``leaf_steps``; ids must tell documents apart.
 
     Keys come in their own order. An empty object or array has no leaf: it is
     gone from an object, and null where it was an element of an array, so
     that the others keep their places. A document that did not parse comes
-    back as its text. The leaves are written once to the shared scratch
-    folder, by level; each level turns a parent's entries into its text, and
-    as all levels group within a document, rows are shuffled by id only."""
-    spark = leaves.sparkSession
+    back as its text. Rows are shuffled once, by id, and sorted by path
+    within it: what a leaf opens and closes then follows from the row before
+    it, for all rows of an Arrow batch at once."""
     quoted = F.to_json(F.array("value"))
     text = F.when(F.col("kind") == "VOID", F.lit("null")).when(
         F.col("kind") == "STRING", F.substring(quoted, F.lit(2), F.length(quoted) - 2)).otherwise(F.col("value"))
-    level = F.when(F.col("steps").isNull(), F.lit(-1)).otherwise(F.size("steps"))
-    rows = leaves.select(col_of(id_col).alias("id"), "steps", text.alias("text"), level.alias("level"))
-    path = scratch_dir(spark, "leaves")
-    rows.write.partitionBy("level").parquet(path)
-    rows = spark.read.schema(rows.schema).parquet(path)
-    depth = rows.agg(F.max("level").alias("d")).first()["d"] or 0
-    whole = rows.filter(F.col("level") <= 0).select("id", "text")
-
-    def entries(of: DataFrame, steps: str) -> DataFrame:
-        last = F.element_at(steps, -1)
-        return of.select("id", F.slice(steps, 1, F.size(steps) - 1).alias("up"), last["key"].alias("key"), last["pos"].alias("pos"), "text")
-
-    name = F.to_json(F.array("key"))
-    member = F.concat(F.substring(name, F.lit(2), F.length(name) - 2), F.lit(":"), "text")
-    members = F.array_sort(F.collect_list(F.when(F.col("key").isNotNull(), F.struct("key", member.alias("text")))))
-    items = F.map_from_entries(F.collect_list(F.when(F.col("key").isNull(), F.struct("pos", "text"))))
-    filled = F.transform(F.sequence(F.lit(0), F.coalesce("last", F.lit(0))), lambda i: F.coalesce(F.try_element_at("items", i), F.lit("null")))
-    as_object = F.concat(F.lit("{"), F.array_join(F.transform("members", lambda m: m["text"]), ","), F.lit("}"))
-    as_array = F.concat(F.lit("["), F.array_join(filled, ","), F.lit("]"))
-    parents = None
-    for n in range(depth, 0, -1):
-        level_rows = entries(rows.filter(F.col("level") == n).repartition("id"), "steps")
-        if parents is not None:
-            level_rows = level_rows.unionByName(entries(parents, "up"))
-        grouped = level_rows.groupBy("id", "up").agg(members.alias("members"), items.alias("items"), F.max("pos").alias("last"))
-        parents = grouped.select("id", "up", F.when(F.size("members") > 0, as_object).otherwise(as_array).alias("text"))
-    found = whole if parents is None else whole.unionByName(parents.select("id", "text"))
+    # a text or scalar that is a document of its own need not meet others of its id
+    alone = F.when(F.coalesce(F.size("steps"), F.lit(0)) <= 0, F.xxhash64("value"))
+    rows = leaves.select(col_of(id_col).alias("id"), "steps", text.alias("text"), alone.alias("alone"))
+    rows = rows.repartition("id", "alone").sortWithinPartitions("id", "steps", "text").drop("alone")
+    found = rows.mapInArrow(_documents, rows.select("id", "text").schema)
     return found.select(F.col("id").alias(id_col), F.col("text").alias(out))
 
 
+def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents from ``(id, steps, text)`` in the order of ids and steps; the
+    rows of a batch's last document wait for the next batch."""
+    waiting: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        before = waiting[-1].slice(waiting[-1].num_rows - 1) if waiting else batch.slice(0, 0)
+        first = _first(pa.chunked_array([x.column("id") for x in (before, batch)]), pa.chunked_array([x.column("steps") for x in (before, batch)]))
+        starts = np.flatnonzero(first[before.num_rows:])
+        if len(starts):
+            yield from _assembled([*waiting, batch.slice(0, starts[-1])])
+            waiting, batch = [], batch.slice(starts[-1])
+        waiting.append(batch)
+    yield from _assembled(waiting)
+
+
+def _first(ids: pa.ChunkedArray, steps: pa.ChunkedArray) -> np.ndarray:
+    """Rows that begin a document: another id than the row before (null and
+    NaN are ids, as in a grouping), or a whole document, which has no steps."""
+    ids = ids.combine_chunks()
+    old, new = ids.slice(0, max(len(ids) - 1, 0)), ids.slice(1)
+    try:
+        other = pc.fill_null(pc.not_equal(old, new), False).to_numpy(zero_copy_only=False)
+        other = other | (old.is_valid().to_numpy(zero_copy_only=False) != new.is_valid().to_numpy(zero_copy_only=False))
+        if pa.types.is_floating(ids.type):
+            other &= ~pc.and_(pc.is_nan(old).fill_null(False), pc.is_nan(new).fill_null(False)).to_numpy(zero_copy_only=False)
+    except pa.ArrowNotImplementedError:  # a struct, say
+        other = np.array([a != b for a, b in zip(old.to_pylist(), new.to_pylist(), strict=True)], bool)
+    whole = pc.fill_null(pc.list_value_length(steps), 0).to_numpy() == 0
+    first = whole.copy()
+    first[:1] = True
+    first[1:] |= other | whole[:-1]
+    return first
+
+
+def _assembled(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents of batches that hold all leaves of each of them."""
+    rows = pa.Table.from_batches(batches) if batches else None
+    if not rows:
+        return
+    first = _first(rows.column("id"), rows.column("steps"))
+    ids, steps, text = (c.combine_chunks() for c in rows.columns)
+    n, at = len(ids), steps.offsets.to_numpy().astype(np.int64)
+    size, at, flat = np.diff(at), at - at[0], steps.flatten()
+    key, pos = flat.field("key").dictionary_encode(), flat.field("pos")
+    # a step as a number: a key's place in the dictionary, or -1 - pos
+    code = np.where(key.is_valid(), pc.fill_null(key.indices, 0), -1 - pc.fill_null(pos, 0).to_numpy().astype(np.int64))
+
+    # how many containers a row shares with the row before it, without the last step of either
+    shared, same = np.zeros(n, np.int64), ~first
+    for depth in range(size.max()):
+        same[1:] &= (size[1:] > depth + 1) & (size[:-1] > depth + 1)
+        i = np.flatnonzero(same)
+        same[i] = code[at[i] + depth] == code[at[i - 1] + depth]
+        shared += same
+    row = np.repeat(np.arange(n), size)
+    depth = np.arange(at[-1]) - at[row]
+    # a step at the depth where rows part follows an entry, deeper ones open a container
+    beside = (depth == shared[row]) & ~first[row]
+    opens = depth >= shared[row]
+    i = np.flatnonzero(beside)
+    prior = code[at[row[i] - 1] + shared[row[i]]]
+    mixed = row[i[(code[i] < 0) != (prior < 0)]]
+    if len(mixed):  # repeated ids: where an array meets an object, the object stays
+        stay = np.ones(n, bool)
+        for r in mixed.tolist():
+            before = r - 1
+            while stay[before]:
+                stay[before] = False
+                if first[before] or shared[before] < shared[r]:
+                    break
+                before -= 1
+        yield from _assembled(rows.filter(pa.array(stay)).to_batches())
+        return
+    skipped = np.where(code < 0, -1 - code, 0)
+    skipped[i] = np.where((code[i] < 0) & (prior < 0), prior - code[i] - 1, 0)
+    if (skipped < 0).any():
+        raise ValueError("documents_from_leaves: two elements at one place of an array; ids must tell documents apart")
+    stays = np.append(np.where(first[1:], -1, shared[1:]), -1)
+    closes = depth > stays[row]
+
+    # the text of each document: tokens of its rows, opening steps, value, closing brackets from the deepest
+    names = ["", *(_json_string(k) + ":" for k in key.dictionary.to_pylist())]
+    distinct, token = np.unique(((skipped * 2 + beside) * len(names) + np.maximum(code, -1) + 1)[opens], return_inverse=True)
+    words = []
+    for gap_mark, k in zip(*(x.tolist() for x in np.divmod(distinct, len(names))), strict=True):
+        words.append(("," if gap_mark % 2 else "{" if k else "[") + "null," * (gap_mark // 2) + names[k])
+    n_opens, n_closes = np.bincount(row[opens], minlength=n), np.bincount(row[closes], minlength=n)
+    start = np.concatenate([[0], np.cumsum(n_opens + 1 + n_closes)])
+    order = np.empty(start[-1], np.int64)
+    order[start[row[opens]] + (depth - shared[row])[opens]] = n + token
+    order[start[:-1] + n_opens] = np.arange(n)
+    order[start[row[closes] + 1] - 1 - (depth - stays[row] - 1)[closes]] = n + len(words) + (code[closes] < 0)
+    pieces = pa.concat_arrays([text.cast(pa.large_string()), pa.array([*words, "}", "]"], pa.large_string())]).take(pa.array(order))
+    docs = pa.LargeListArray.from_arrays(pa.array(np.append(start[:-1][first], start[-1])), pieces)
+    yield pa.RecordBatch.from_arrays([ids.filter(pa.array(first)), pc.binary_join(docs, pa.scalar("", pa.large_string())).cast(pa.string())], names=["id", "text"])
+
+
+def _json_string(text: str) -> str:
+    """As ``to_json`` writes it: other control characters in capitals."""
+    return re.sub(r"\\(u....|.)", lambda m: m[0][:2] + m[0][2:].upper(), json.dumps(text, ensure_ascii=False))
+
+
 def _leaf_rows(df: DataFrame, id_col: str, json_col: str, exclude: Iterable[str], root: Column, longer: Column,
                max_depth: int | None, depth: int | None, fail: bool) -> DataFrame:
     """``(id, path, raw, v, value)`` per leaf: ``root`` is the path of a whole
@@ -568,8 +677,8 @@ def _leaf_rows(df: DataFrame, id_col: str, json_col: str, exclude: Iterable[str]
     if depth is None:
         # a broken text may open any number of brackets: a document that
         # looks unusually deep counts only if it parses
-        seen = df.select(F.expr(json_depth_sql(quote(json_col))).alias("d"), text.alias("t"))
-        real = F.when((F.col("d") <= USUAL_DEPTH) | F.try_parse_json("t").isNotNull(), F.col("d"))
+        seen = df.select(text.cast("string").alias("t")).mapInArrow(_deep_texts, "d int, t string")
+        real = F.when(F.col("t").isNull() | F.try_parse_json("t").isNotNull(), F.col("d"))
         planned = seen.agg(F.max(real).alias("d")).first()["d"] or 0
     else:
         planned = depth
@@ -581,30 +690,24 @@ def _leaf_rows(df: DataFrame, id_col: str, json_col: str, exclude: Iterable[str]
     is_open = obj.isNotNull() | arr.isNotNull()
 
     def step(frontier: DataFrame) -> DataFrame:
-        # One level: decode each value once (object view, array view), then
-        # two plain outer generators (no lambdas, so they stay in codegen).
-        # Objects fan out to (key, value), arrays to (position, element);
-        # a scalar passes both generators as one row and stays a leaf; an
-        # empty object or array and a missing document yield nothing.
-        decoded = frontier.select("id", "path", "raw", "v", obj.alias("__o"), arr.alias("__a"))
-        by_key = decoded.select(
-            "id", "path", "raw", "v", "__o", "__a", F.explode_outer("__o").alias("__k", "__kv")
-        )
-        both = by_key.select(
-            "id", "path", "raw", "v", "__o", "__a", "__k", "__kv", F.posexplode_outer("__a").alias("__p", "__pv")
+        # One level: one plain outer generator (no lambdas, so it stays in
+        # codegen). Objects fan out to (key, value), arrays to (position,
+        # element); a scalar passes as one row and stays a leaf; an empty
+        # object or array and a missing document yield nothing.
+        entries = frontier.lateralJoin(frontier.sparkSession.tvf.variant_explode_outer(F.col("v").outer()))
+        entries = entries.select(
+            "id", "path", "raw", "v", F.col("key").alias("__k"), F.when(F.col("key").isNull(), F.col("pos")).alias("__p"), F.col("value").alias("__e")
         )
         # (a missing document -- SQL NULL, not JSON null -- is dropped at
         # the end, where the test cannot be pushed below the parse and make
         # Spark parse every document twice)
-        keep = ~(
-            (F.col("__o").isNotNull() & F.col("__k").isNull()) | (F.col("__a").isNotNull() & F.col("__p").isNull())
-        )
+        scalar = F.col("__k").isNull() & F.col("__p").isNull()
+        keep = ~(scalar & is_open)
         if exclude:
             keep = keep & ~(F.col("__k").isNotNull() & F.col("__k").isin(exclude))
-        scalar = F.col("__k").isNull() & F.col("__p").isNull()
-        return both.filter(keep).select(
+        return entries.filter(keep).select(
             "id", F.when(scalar, F.col("path")).otherwise(longer).alias("path"), "raw",
-            F.when(scalar, F.col("v")).otherwise(F.coalesce(F.col("__kv"), F.col("__pv"))).alias("v"),
+            F.when(scalar, F.col("v")).otherwise(F.col("__e")).alias("v"),
         )
 
     frontier = base

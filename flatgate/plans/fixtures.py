@@ -63,7 +63,8 @@ def _group_parts(salted: DataFrame, key: str, item_cols: list[str], name: str, s
     order = sort_cols or item_cols
     sort_key = F.struct(*[col_of(c) for c in order], item.alias("__fg_item"))
     grouped = salted.groupBy(col_of(key), "part").agg(F.collect_list(F.struct(sort_key.alias("s"), item.alias("i"))).alias("__fg_l"))
-    return grouped.select(col_of(key), "part", F.transform(F.array_sort("__fg_l"), lambda x: x["i"]).alias(name))
+    # sort_array and the field of an array of structs need no lambda per element
+    return grouped.select(col_of(key), "part", F.sort_array("__fg_l")["i"].alias(name))
 
 
 def orders_with_customer(spark: SparkSession, sf_dir: str) -> DataFrame:

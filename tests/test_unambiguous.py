@@ -134,3 +134,48 @@ def test_levels_group_within_a_document(spark):
     assert 0 < len(exchanges) <= 5 and all("hashpartitioning(id#" in x and "up#" not in x for x in exchanges)
     assert sorted(map(tuple, rebuilt_docs.collect())) == [(0, '{"a":{"b":[{"c":1},{"d":[2,3]}]},"e":"x"}'), (1, "7")]
     assert documents_from_leaves(leaf_steps(docs(spark, "{}"), "id", "doc"), "id").collect() == []
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_documents_are_rebuilt_in_one_shuffle(spark):
+    from flatgate.operators.flatten import documents_from_leaves
+
+    values = [{"a": {"b": [{"c": i}, [], {"d": [2, None, "x\u001f"]}]}, 'k"\u001f': [[], [i]], "n": i % 3} for i in range(40)]
+    df = docs(spark, *map(json.dumps, values), "7", '{"cut": ')
+    steps = leaf_steps(df, "id", "doc", depth=6)
+    assert plan_of(steps).count("Generate variant_explode") == 6 and "Generate explode" not in plan_of(steps)
+    folders = spark.sparkContext._jvm.java.io.File(spark.sparkContext.getCheckpointDir().replace("file:", "")).list
+    before = list(folders())
+    whole = documents_from_leaves(steps, "id")
+    assert plan_of(whole).count("Exchange hashpartitioning") == 1 and list(folders()) == before
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)  # documents lie across batches
+    try:
+        got = {r.id: r.doc for r in whole.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert (got.pop(40), got.pop(41)) == ("7", '{"cut": ')
+    assert {i: json.loads(d) for i, d in got.items()} == {i: rebuilt(v) for i, v in enumerate(values)}
+    assert got[1] == '{"a":{"b":[{"c":1},null,{"d":[2,null,"x\\u001F"]}]},"k\\"\\u001F":[null,[1]],"n":1}'
+
+
+def test_repeated_and_null_ids_are_one_document(spark):
+    from flatgate.operators.flatten import documents_from_leaves
+
+    rows = [(None, '{"a":[1,2],"b":3}'), (None, '{"a":{"k":1},"b":[7]}'), (None, "[5]"), (None, "6"), (None, '{"cut"'), (None, '{"cut"'),
+            ("z", '{"q":{"n":2},"l":[{"i":1}]}'), ("z", '{"q":{"n":1},"l":[{"i":1}]}')]
+    leaves = leaf_steps(spark.createDataFrame(rows, "id string, doc string"), "id", "doc")
+    assert sorted((r.id or "", r.doc) for r in documents_from_leaves(leaves, "id").collect()) == [
+        ("", "6"), ("", '{"a":{"k":1},"b":3,"b":[7]}'), ("", '{"cut"'), ("", '{"cut"'), ("z", '{"l":[{"i":1,"i":1}],"q":{"n":1,"n":2}}')]
+
+
+def test_depths_of_a_batch():
+    import pyarrow as pa
+
+    from flatgate.operators.flatten import _json_depths
+
+    texts = ["", "7", '{"a\\\\":"[[[","b\\"{":[[1]]}', "[" * 12 + "]" * 12, '"[é{"', "[[]", '{"a":[],"b":{"c":[0]}}']
+    assert _json_depths(pa.array(texts)).tolist() == [0, 0, 3, 12, 0, 2, 3]
+    assert _json_depths(pa.array(texts).slice(3)).tolist() == [12, 0, 2, 3]
